@@ -209,6 +209,9 @@ JOIN (VALUES (0, 1, -0.5e0, -0.5e0, 0.5e0, -0.5e0), (1, 1, 0.5e0, -0.5e0, 0.5e0,
 TRACKER_POINTS_SQL = """
 SELECT 'GEM_' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_partkey AS STRING) || '-'
            || CAST(l.l_suppkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS powerplant_id,
+       'Solar ' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS name,
+       'solar' AS category,
+       'utility pv' AS technology,
        ((l.l_suppkey * 7907) % 34000) / 100e0 - 170e0
            + ((l.l_partkey * 13 + l.l_linenumber * 7) % 140) / 100e0 - 0.7e0 + 0.0037e0 AS lon,
        ((l.l_suppkey * 3491) % 16000) / 100e0 - 80e0
