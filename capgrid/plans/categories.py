@@ -16,6 +16,7 @@ from capgrid.functions import columns as X
 from capgrid.functions.fuels import parse_fuel_set
 from capgrid.operators import capacity, fuel_classes, geometry, impute, raster
 from capgrid.operators.place import relocate
+from capgrid.session import cut_lineage
 from capgrid.sources.readers import drop_invalid_status, drop_missing
 
 PLANT_COLUMNS = [
@@ -275,8 +276,15 @@ def unadjusted_plants(
     year: int = C.DATASET_YEAR,
     exclusive_edges: DataFrame | None = None,
 ) -> DataFrame:
-    """Assign countries (E16), relocate misplaced technologies (E15), impute ages."""
-    assigned = geometry.assign_country(plants, shapes, edges, band, on_overlap=location.on_overlap)
+    """Assign countries (E16), relocate misplaced technologies (E15), impute ages.
+
+    The assigned table feeds several branches of the relocation (already
+    inside / to move / untouched), so its lineage is cut once with a reliable
+    checkpoint instead of re-running the spatial join per branch; the result
+    is materialised the same way because it is a published table that the
+    adjustment and aggregation jobs read more than once.
+    """
+    assigned = cut_lineage(geometry.assign_country(plants, shapes, edges, band, on_overlap=location.on_overlap))
     placed = relocate(
         assigned.drop("shape_id"), shapes, exclusive_edges if exclusive_edges is not None else edges, band,
         location.shape_class, location.inner_distance, location.on_shape_class_error,
@@ -284,7 +292,7 @@ def unadjusted_plants(
     aged = impute.impute_time(
         placed, imputation.scenario, imputation.lifetime_years, imputation.retirement_delay_years, year
     )
-    return aged
+    return cut_lineage(aged)
 
 
 # P9 -----------------------------------------------------------------------
