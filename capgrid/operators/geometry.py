@@ -426,7 +426,7 @@ def project(lon: Column | str, lat: Column | str, epsg: int) -> tuple[Column, Co
 
 
 def unproject(x: Column | str, y: Column | str, epsg: int, newton_steps: int = 6) -> tuple[Column, Column]:
-    """Inverse of `project` (Equal Earth by unrolled Newton steps on theta)."""
+    """Inverse of `project` (Equal Earth by Newton steps on theta)."""
     x_c = F.col(x) if isinstance(x, str) else x
     y_c = F.col(y) if isinstance(y, str) else y
     if epsg == 4326:
@@ -438,13 +438,16 @@ def unproject(x: Column | str, y: Column | str, epsg: int, newton_steps: int = 6
     if epsg == 8857:
         e, e2, qp, rq = _authalic_constants()
         yr = y_c / F.lit(rq)
-        theta = yr
-        for _ in range(newton_steps):
+
+        def newton(theta, _):
             t2 = theta * theta
             t6 = t2 * t2 * t2
             fy = theta * (F.lit(_A1) + F.lit(_A2) * t2 + t6 * (F.lit(_A3) + F.lit(_A4) * t2)) - yr
             fpy = F.lit(_A1) + F.lit(3 * _A2) * t2 + t6 * (F.lit(7 * _A3) + F.lit(9 * _A4) * t2)
-            theta = theta - fy / fpy
+            return theta - fy / fpy
+
+        # iterate inside one expression (an unrolled loop would grow the tree exponentially)
+        theta = F.aggregate(F.sequence(F.lit(1), F.lit(newton_steps)), yr, newton)
         t2 = theta * theta
         t6 = t2 * t2 * t2
         denom = F.lit(_A1) + F.lit(3 * _A2) * t2 + t6 * (F.lit(7 * _A3) + F.lit(9 * _A4) * t2)

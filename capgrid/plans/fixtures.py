@@ -208,7 +208,8 @@ JOIN (VALUES (0, 1, -0.5e0, -0.5e0, 0.5e0, -0.5e0), (1, 1, 0.5e0, -0.5e0, 0.5e0,
 # Solar tracker points scattered around the facilities of their supplier.
 TRACKER_POINTS_SQL = """
 SELECT 'GEM_' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_partkey AS STRING) || '-'
-           || CAST(l.l_suppkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS powerplant_id,
+           || CAST(l.l_suppkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) || '-'
+           || CAST(CAST(round(l.l_extendedprice * 100e0) AS BIGINT) AS STRING) AS powerplant_id,
        'Solar ' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS name,
        'solar' AS category,
        'utility pv' AS technology,
