@@ -88,6 +88,13 @@ SELECT
        ELSE CAST(NULL AS STRING) END AS alternate_fuel,
   CASE WHEN o.o_orderkey % 3 = 0 THEN 'yes' ELSE 'no' END AS chp_raw,
   CASE WHEN o.o_orderkey % 13 = 0 THEN 'yes' ELSE CAST(NULL AS STRING) END AS ccs_raw,
+  CASE o.o_orderkey % 6
+       WHEN 0 THEN 'Onshore' WHEN 1 THEN 'Offshore floating' WHEN 2 THEN 'Offshore hard mount'
+       WHEN 3 THEN 'Offshore mount unknown' WHEN 4 THEN 'Unknown' ELSE CAST(NULL AS STRING) END AS installation_type,
+  CASE o.o_orderkey % 5
+       WHEN 0 THEN 'Canal' WHEN 1 THEN 'PS' WHEN 2 THEN 'ROR' WHEN 3 THEN 'STO'
+       ELSE CAST(NULL AS STRING) END AS plant_type,
+  ((o.o_orderkey % 7) - 2) / 10e0 AS res_vol_km3,
   'N' || lpad(CAST(c.c_nationkey AS STRING), 2, '0') AS nation_id
 FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
 """

@@ -921,3 +921,80 @@ def p6(spark, d):
     tp = FX.stand_in(spark, d, FX.TRACKER_POINTS_SQL)
     fe = FX.stand_in(spark, d, FX.FACILITY_EDGES_SQL)
     return P.prepare_large_solar(facilities_df(spark, d), fe, tp, 0.5, BUFFER)
+
+
+# ---------------------------------------------------------------------------
+# Other category jobs on the tracker stand-in
+# ---------------------------------------------------------------------------
+def _cat_sql(category: str, tech: str, start: str, end: str, extra: str = "", where: str = "") -> str:
+    return f"""SELECT 'GEM_' || gem_location_id || '-' || gem_unit_id AS powerplant_id,
+  plant_name || '-' || coalesce(unit_name, 'nan') AS name, '{category}' AS category, {tech} AS technology,
+  capacity_mw_raw AS output_capacity_mw, {start} AS start_year, {end} AS end_year,
+  {O.case_map('status', C.STATUS_MAPPING)} AS status, longitude AS lon, latitude AS lat{extra}
+FROM clean {where}"""
+
+
+BIO_FIXTURE_COLS = dict(OG_FIXTURE_COLS, conversion="planned_retire_raw", unit_id="gem_unit_id", plant_name="plant_name")
+
+
+@query(
+    "P1_prepare_bioenergy",
+    O.ctes(tracker=O.TRACKER, clean=O.CLEAN + "", bio=f"SELECT *, {O.fuels_sql('fuel_raw', 'biomass')} AS fuels FROM clean",
+           codes="SELECT fuels, 'b' || CAST(dense_rank() OVER (ORDER BY fuels) - 1 AS VARCHAR) AS fuel_class FROM (SELECT DISTINCT fuels FROM bio)")
+    + _cat_sql(
+        "bioenergy", "'bioenergy turbine'",
+        "CASE WHEN planned_retire_raw IS NOT NULL THEN TRY_CAST(planned_retire_raw AS DOUBLE) ELSE TRY_CAST(start_year_raw AS DOUBLE) END",
+        "TRY_CAST(retired_year_raw AS DOUBLE)",
+        ", false AS ccs, false AS chp, k.fuel_class",
+    ).replace("FROM clean ", "FROM bio JOIN codes k USING (fuels) "),
+)
+def p1(spark, d):
+    plants, _ = P.prepare_bioenergy(tracker(spark, d), cols=BIO_FIXTURE_COLS)
+    return plants
+
+
+@query(
+    "P3_prepare_geothermal",
+    CLEAN_CTE + _cat_sql("geothermal", O.tech_sql("technology_raw", FX.FIXTURE_TECH_MAP), "TRY_CAST(start_year_raw AS DOUBLE)", "TRY_CAST(retired_year_raw AS DOUBLE)"),
+)
+def p3(spark, d):
+    return P.prepare_geothermal(tracker(spark, d), tech_map=FX.FIXTURE_TECH_MAP, cols=dict(OG_FIXTURE_COLS, plant_name="plant_name"))
+
+
+@query(
+    "P4_prepare_hydropower",
+    O.ctes(tracker=O.TRACKER) + f"""SELECT 'GloHydroRes_' || gem_unit_id AS powerplant_id, plant_name AS name, 'hydropower' AS category,
+  {O.case_map("coalesce(plant_type, 'unknown')", C.TECHNOLOGY_MAPPING['hydropower'])} AS technology,
+  capacity_mw_raw AS output_capacity_mw, TRY_CAST(start_year_raw AS DOUBLE) AS start_year, CAST(NULL AS DOUBLE) AS end_year,
+  'operating' AS status, longitude AS lon, latitude AS lat, CASE WHEN res_vol_km3 >= 0 THEN res_vol_km3 END AS reservoir_km3
+FROM tracker WHERE capacity_mw_raw IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL""",
+)
+def p4(spark, d):
+    raw = tracker(spark, d).select(
+        F.col("gem_unit_id").alias("ID"), F.col("plant_name").alias("name"), "plant_type",
+        F.col("capacity_mw_raw").alias("capacity_mw"), F.col("longitude").alias("plant_lon"),
+        F.col("latitude").alias("plant_lat"), X.coerce_year("start_year_raw").alias("year"), "res_vol_km3",
+    )
+    return P.prepare_hydropower(raw)
+
+
+@query(
+    "P5_prepare_nuclear",
+    CLEAN_CTE + _cat_sql("nuclear", O.tech_sql("technology_raw", FX.FIXTURE_TECH_MAP), "TRY_CAST(start_year_raw AS DOUBLE)", "TRY_CAST(retired_year_raw AS DOUBLE)"),
+)
+def p5(spark, d):
+    cols = dict(OG_FIXTURE_COLS, plant_name="plant_name", start_date="start_year_raw", end_date="retired_year_raw")
+    return P.prepare_nuclear(tracker(spark, d), tech_map=FX.FIXTURE_TECH_MAP, cols=cols)
+
+
+@query(
+    "P7_prepare_wind",
+    CLEAN_CTE + _cat_sql(
+        "wind", O.case_map("installation_type", C.WIND_INSTALLATION_MAPPING),
+        "TRY_CAST(start_year_raw AS DOUBLE)", "TRY_CAST(retired_year_raw AS DOUBLE)",
+        where="WHERE installation_type IS NOT NULL AND installation_type <> 'Unknown'",
+    ),
+)
+def p7(spark, d):
+    cols = dict(OG_FIXTURE_COLS, plant_name="plant_name", unit_name="unit_name", installation="installation_type")
+    return P.prepare_wind_tracker(tracker(spark, d), cols=cols)
