@@ -488,17 +488,25 @@ def country_borders(shapes: DataFrame, edges: DataFrame) -> tuple[DataFrame, Dat
 # Polygon checks on the edge table
 # ---------------------------------------------------------------------------
 def polygon_checks(edges: DataFrame) -> DataFrame:
-    """One row per shape with rule results: closed rings, >= 3 edges, non-zero area."""
-    ring = edges.groupBy("shape_id", "part", "ring").agg(
+    """One row per shape with rule results: closed rings, >= 3 edges, non-zero area.
+
+    A ring is closed when every vertex starts as many edges as it ends: a
+    +1/-1 count per (ring, vertex), so no ring is gathered into one array.
+    """
+    ring_keys = ["shape_id", "part", "ring"]
+    ring = edges.groupBy(*ring_keys).agg(
         F.count(F.lit(1)).alias("n_edges"),
         (F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("signed_area"),
-        # every start vertex must be some edge's end vertex for a closed ring
-        F.array_sort(F.collect_list(F.struct("x1", "y1"))).alias("starts"),
-        F.array_sort(F.collect_list(F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1")))).alias("ends"),
     )
-    ring = ring.select(
+    ends = edges.select(*ring_keys, F.col("x1").alias("vx"), F.col("y1").alias("vy"), F.lit(1).alias("d")).unionByName(
+        edges.select(*ring_keys, F.col("x2").alias("vx"), F.col("y2").alias("vy"), F.lit(-1).alias("d"))
+    )
+    balance = ends.groupBy(*ring_keys, "vx", "vy").agg(F.sum("d").alias("b")).groupBy(*ring_keys).agg(
+        F.bool_and(F.col("b") == 0).alias("closed")
+    )
+    ring = ring.join(balance, on=ring_keys).select(
         "shape_id",
-        (F.col("starts") == F.col("ends")).alias("closed"),
+        "closed",
         (F.col("n_edges") >= 3).alias("enough_vertices"),
         (F.abs("signed_area") > 0).alias("non_zero_area"),
     )

@@ -916,7 +916,28 @@ def j5(spark, d):
     return reports.relocation_summary(unadjusted_df(spark, d))
 
 
-@query("P6_large_solar")
+P6_SQL = (
+    F5_SQL.replace(
+        "SELECT f.cluster_id AS shape_id, f.capacity_mw AS output_capacity_mw",
+        ", filled AS (SELECT f.cluster_id AS shape_id, f.capacity_mw AS output_capacity_mw",
+    )
+    + "),\nedges AS (SELECT * FROM facility_edges),"
+    + REP_SQL.replace("SELECT shape_id, arg_max(mx, (w, -rn)) AS rx, any_value(sy) AS ry FROM spans GROUP BY 1",
+                      ", rep AS (SELECT shape_id, arg_max(mx, (w, -rn)) AS rx, any_value(sy) AS ry FROM spans GROUP BY 1),")
+    + f"""
+fut AS (SELECT * FROM tracker_points WHERE status IN {FUTURE}),
+inside AS ({O.pip("fut", "facility_edges", "lon", "lat", "powerplant_id")}),
+near AS (SELECT DISTINCT p.powerplant_id FROM fut p JOIN facility_edges e ON p.lat BETWEEN least(e.y1, e.y2) - {BUFFER} AND greatest(e.y1, e.y2) + {BUFFER}
+  WHERE {O.seg_dist('p.lon', 'p.lat')} <= {BUFFER})
+SELECT 'TZ-SAM_' || f.shape_id AS powerplant_id, 'TZ-SAM cluster ' || f.shape_id AS name, 'solar' AS category, 'utility pv' AS technology,
+  f.output_capacity_mw, f.start_year, f.end_year, f.status, r.rx AS lon, r.ry AS lat
+FROM filled f JOIN rep r USING (shape_id)
+UNION ALL
+SELECT {_sel(PLANT_OUT)} FROM fut WHERE powerplant_id NOT IN (SELECT powerplant_id FROM inside) AND powerplant_id NOT IN (SELECT powerplant_id FROM near)"""
+)
+
+
+@query("P6_large_solar", P6_SQL)
 def p6(spark, d):
     tp = FX.stand_in(spark, d, FX.TRACKER_POINTS_SQL)
     fe = FX.stand_in(spark, d, FX.FACILITY_EDGES_SQL)
