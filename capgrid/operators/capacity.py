@@ -30,8 +30,9 @@ def expected_capacity(stats: DataFrame, year: int, category: str) -> DataFrame:
 # G1 -----------------------------------------------------------------------
 def scale_to_total(df: DataFrame, expected: DataFrame, by: str = "country_id", col: str = "output_capacity_mw") -> DataFrame:
     """value / group sum * expected group total (inner join on the expected table)."""
+    # one row per country on both small sides (bounded by the country list): broadcast
     sums = df.groupBy(by).agg(F.sum(col).alias("_sum"))
-    scaled = df.join(sums, on=by).join(expected, on=by)
+    scaled = df.join(F.broadcast(sums), on=by).join(F.broadcast(expected), on=by)
     return scaled.withColumn(col, F.col(col) / F.col("_sum") * F.col("expected")).select(*df.columns)
 
 
@@ -41,7 +42,7 @@ def adjust_capacity(plants: DataFrame, stats: DataFrame, year: int, category: st
     zero they are removed; past and future plants pass unchanged."""
     expected = expected_capacity(stats, year, category).where(F.col("expected") > 0)
     operating, other = operating_split(plants, year)
-    adjusted = scale_to_total(operating.join(expected.select("country_id"), on="country_id", how="left_semi"), expected)
+    adjusted = scale_to_total(operating.join(F.broadcast(expected.select("country_id")), on="country_id", how="left_semi"), expected)
     return other.unionByName(adjusted)
 
 
@@ -75,7 +76,7 @@ def aggregate_capacity(
     pts = operating.select(x, y, "output_capacity_mw", *groups).dropna(subset=groups)
     matched = points_in_shapes(pts, edges, band, x=x, y=y, boundary="include")
     agg = matched.groupBy("shape_id", *groups).agg(F.sum("output_capacity_mw").alias("output_capacity_mw"))
-    agg = agg.join(shapes.select("shape_id", "country_id"), on="shape_id")
+    agg = agg.join(F.broadcast(shapes.select("shape_id", "country_id")), on="shape_id")
     agg = agg.withColumn("output_capacity_mw", F.coalesce("output_capacity_mw", F.lit(0.0)))
     return agg.where(F.col("output_capacity_mw") > 0).withColumn("reference_year", F.lit(year)).select(
         "shape_id", "country_id", *groups, "output_capacity_mw", "reference_year"

@@ -39,7 +39,8 @@ def impute_start_year(df: DataFrame, lifetimes: Mapping[str, float], keys: Seque
         .groupBy(*keys)
         .agg(F.bround(F.avg("start_year"), 0).alias("_mean_start"))
     )
-    joined = df.join(means, on=list(keys), how="left")
+    # one row per (country, category, technology, status): bounded by the vocabularies
+    joined = df.join(F.broadcast(means), on=list(keys), how="left")
     filled = F.coalesce(F.col("start_year"), F.col("end_year") - _lookup(lifetimes), F.col("_mean_start"))
     return joined.withColumn("start_year", filled).select(*df.columns)
 

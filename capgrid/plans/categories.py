@@ -90,8 +90,8 @@ def _base(c: Mapping[str, str], category: str, technology, start, end, status_ma
 
 
 # P2 -----------------------------------------------------------------------
-def prepare_oil_gas(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[str, str] = C.FUEL_MAPPING, cols=None):
-    """(plants, fuel class table) of the oil and gas tracker."""
+def prepare_oil_gas(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[str, str] = C.FUEL_MAPPING, cols=None, keep=()):
+    """(plants, fuel class table) of the oil and gas tracker; `keep` passes raw columns through."""
     c = _cols(OIL_GAS_COLS, cols)
     clean = _clean(raw, c).withColumn("_fuels", parse_fuel_set(c["fuel"], fuel_map, "fossil gas: unknown"))
     classes, coded = fuel_classes.encode_sets(clean, "_fuels", "og")
@@ -103,6 +103,7 @@ def prepare_oil_gas(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mappi
         X.yes_flag(c["ccs"]).alias("ccs"),
         X.yes_flag(c["chp"]).alias("chp"),
         "fuel_class",
+        *keep,
     )
     return plants.where(F.col("output_capacity_mw") > 0), classes
 

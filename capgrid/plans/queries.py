@@ -63,10 +63,10 @@ def tracker(spark, d):
 
 def og_plants(spark, d, with_country: bool = True):
     raw = tracker(spark, d)
-    plants, classes = P.prepare_oil_gas(raw, FX.FIXTURE_TECH_MAP, cols=OG_FIXTURE_COLS)
+    keep = ("nation_id",) if with_country else ()
+    plants, classes = P.prepare_oil_gas(raw, FX.FIXTURE_TECH_MAP, cols=OG_FIXTURE_COLS, keep=keep)
     if with_country:
-        ids = raw.select(X.combined_text(["gem_location_id", "gem_unit_id"], prefix="GEM_").alias("powerplant_id"), F.col("nation_id").alias("country_id"))
-        plants = plants.join(ids, on="powerplant_id")
+        plants = plants.withColumnRenamed("nation_id", "country_id")
     return plants, classes
 
 
