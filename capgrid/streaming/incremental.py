@@ -46,7 +46,11 @@ def running_capacity(
 
 
 def start(agg: DataFrame, name: str, sink: str = "memory", path: str | None = None) -> StreamingQuery:
-    """Start the query with its state under the shared checkpoint folder."""
+    """Start the query with its state under the shared checkpoint folder.
+
+    The state folder is keyed by `name`, so a restarted job with the same
+    name resumes from its last committed offsets (exactly-once sums).
+    """
     ckpt = os.path.join(ensure_checkpoint_dir(agg.sparkSession), f"stream-{name}")
     writer = agg.writeStream.outputMode("complete").option("checkpointLocation", ckpt).queryName(name)
     if sink == "memory":

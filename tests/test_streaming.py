@@ -1,7 +1,7 @@
 """The streaming aggregation equals the batch aggregation on the same files."""
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -17,14 +17,16 @@ def test_stream_matches_batch(spark):
     plants = conform(Q.aged_plants(spark, SF), PLANT_SCHEMA, optional=["reservoir_km3"])
     plants = plants.withColumn("reservoir_km3", F.lit(None).cast("double"))
     folder = tempfile.mkdtemp(prefix="capgrid-stream-")
-    plants.where(F.col("technology") == "ccgt").write.mode("append").parquet(os.path.join(folder, "a"))
-    plants.where(F.col("technology") != "ccgt").write.mode("append").parquet(os.path.join(folder, "b"))
+    plants = plants.cache()
+    plants.where(F.col("technology") == "ccgt").write.mode("append").parquet(folder)
+    plants.where(F.col("technology") != "ccgt").write.mode("append").parquet(folder)
     shapes, edges = Q.shapes(spark, SF)
-    stream = stream_plants(spark, os.path.join(folder, "*"))
-    q = start(running_capacity(stream, shapes, edges, Q.Y, Q.B), "cap_test")
+    stream = stream_plants(spark, folder)
+    name = f"cap_test_{uuid.uuid4().hex[:8]}"  # state of a stream name persists in the shared folder
+    q = start(running_capacity(stream, shapes, edges, Q.Y, Q.B), name)
     try:
         q.processAllAvailable()
-        got = spark.sql("SELECT * FROM cap_test")
+        got = spark.sql(f"SELECT * FROM {name}")
         cols = ["shape_id", "technology", "fuel_class", "chp", "ccs"]
         want = aggregate_capacity(plants, shapes, edges, Q.Y, Q.B)
         a = sorted((tuple(r[c] for c in cols), round(r["output_capacity_mw"], 6)) for r in got.collect())
