@@ -88,19 +88,23 @@ def fill_from_points(facilities: DataFrame, within: DataFrame, fac_id: str = "sh
     `within` has one row per (point, facility) with the point's
     start_year, end_year and status and the facility id in `fac_id`.
     """
-    years = within.groupBy(fac_id).agg(
-        F.bround(F.avg("start_year"), 0).alias("_start"), F.bround(F.avg("end_year"), 0).alias("_end")
+    # one pass over the (large) point table: per (facility, status) partial sums;
+    # everything else is derived from that small table
+    per = within.groupBy(fac_id, "status").agg(
+        F.sum("start_year").alias("_ss"), F.count("start_year").alias("_ns"),
+        F.sum("end_year").alias("_se"), F.count("end_year").alias("_ne"),
+        F.count(F.lit(1)).alias("_n"),
     )
-    per_status = within.where(F.col("status").isNotNull()).groupBy(fac_id, "status").agg(F.count(F.lit(1)).alias("_n"))
-    top = per_status.groupBy(fac_id).agg(
-        F.max("_n").alias("_max"),
-        F.max_by("status", "_n").alias("_mode"),
-        F.count_if(F.lit(True)).alias("_k"),
+    years = per.groupBy(fac_id).agg(
+        F.bround(F.sum("_ss") / F.sum("_ns"), 0).alias("_start"),
+        F.bround(F.sum("_se") / F.sum("_ne"), 0).alias("_end"),
     )
-    ties = per_status.join(top.select(fac_id, "_max"), on=fac_id).where(F.col("_n") == F.col("_max")).groupBy(fac_id).agg(
-        F.count(F.lit(1)).alias("_ties")
+    counted = per.where(F.col("status").isNotNull())
+    top = counted.groupBy(fac_id).agg(F.max("_n").alias("_max"), F.max_by("status", "_n").alias("_mode"))
+    ties = counted.join(top, on=fac_id).where(F.col("_n") == F.col("_max")).groupBy(fac_id).agg(
+        F.count(F.lit(1)).alias("_ties"), F.first("_mode").alias("_mode")
     )
-    mode = top.join(ties, on=fac_id).where(F.col("_ties") == 1).select(fac_id, F.col("_mode"))
+    mode = ties.where(F.col("_ties") == 1).select(fac_id, "_mode")
     out = facilities.join(years, on=fac_id, how="left").join(mode, on=fac_id, how="left")
     return out.select(
         *[
