@@ -63,8 +63,10 @@ HYDRO_SCHEMA = T.StructType(
 
 
 def read_hydro_csv(spark: SparkSession, path: str, schema: T.StructType = HYDRO_SCHEMA) -> DataFrame:
-    """Hydropower CSV with a header and an explicit schema (extra columns ignored)."""
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+    """Hydropower CSV with a header; the needed columns are picked by name and
+    typed (`try_cast`: a bad number becomes null), extra columns are ignored."""
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # A6 -----------------------------------------------------------------------
