@@ -224,12 +224,16 @@ def assign_country(
     x: str = "lon",
     y: str = "lat",
     id_col: str = "powerplant_id",
+    exclusive: DataFrame | None = None,
+    inner_distance: float = 100.0,
 ) -> DataFrame:
     """Country from the shape each plant intersects; out-of-scope plants drop out.
 
     `on_overlap="raise"` fails the job (lazily, inside the plan) when a plant
     matches more than one shape; `"split_capacity"` divides its capacity over
-    the matches and renames the copies (`split` column marks them).
+    the matches and renames the copies (`split` column marks them), and, when
+    the `exclusive` edge table (E7) is given, moves each copy just inside the
+    exclusive part of its shape (E9).
     Output: plant columns (its `country_id` replaced) + `shape_id` + `split`.
     """
     base = plants.drop("country_id") if "country_id" in plants.columns else plants
@@ -244,7 +248,14 @@ def assign_country(
         ).otherwise(F.col("country_id"))
         return counted.withColumn("country_id", gated).withColumn("split", F.lit(False)).drop("_matches")
     if on_overlap == "split_capacity":
-        return split_capacity(matched, id_col)
+        out = split_capacity(matched, id_col)
+        if exclusive is None:
+            return out
+        from capgrid.operators.place import place_inside
+
+        moved = place_inside(out.where("split"), exclusive, inner_distance, x=x, y=y, id_col=id_col)
+        split_rows = out.where("split").join(moved, on=id_col).withColumn(x, F.col("new_x")).withColumn(y, F.col("new_y"))
+        return out.where(~F.col("split")).unionByName(split_rows.drop("new_x", "new_y"))
     raise ValueError(f"Invalid overlap method {on_overlap!r}.")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from capgrid import config as C
 from capgrid.functions import columns as X
 from capgrid.functions.fuels import parse_fuel_set
-from capgrid.operators import capacity, fuel_classes, geometry, impute, quality, raster, reports
+from capgrid.operators import capacity, fuel_classes, geometry, impute, overlay, quality, raster, reports
 from capgrid.operators.place import relocate
 from capgrid.plans import categories as P
 from capgrid.plans import fixtures as FX
@@ -1019,3 +1019,34 @@ def p5(spark, d):
 def p7(spark, d):
     cols = dict(OG_FIXTURE_COLS, plant_name="plant_name", unit_name="unit_name", installation="installation_type")
     return P.prepare_wind_tracker(tracker(spark, d), cols=cols)
+
+
+# ---------------------------------------------------------------------------
+# Exclusive shapes (checked by point membership: in i and in no other)
+# ---------------------------------------------------------------------------
+@query(
+    "E7_exclusive_shapes",
+    OV_CTE + "SELECT powerplant_id, any_value(shape_id) AS shape_id FROM m GROUP BY 1 HAVING count(*) = 1",
+)
+def e7(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    s, e = shapes(spark, d, overlap=True)
+    excl = overlay.build_exclusive_shapes(s, e, B)
+    return geometry.points_in_shapes(p.select("powerplant_id", "lon", "lat"), excl, B, x="lon", y="lat").select("powerplant_id", "shape_id")
+
+
+@query(
+    "E16_assign_country_split",
+    OV_CTE + """, j AS (SELECT m.powerplant_id, m.shape_id, s.country_id, p.output_capacity_mw,
+    count(*) OVER (PARTITION BY m.powerplant_id) AS n,
+    row_number() OVER (PARTITION BY m.powerplant_id ORDER BY m.shape_id) - 1 AS k
+  FROM m JOIN og_plants p USING (powerplant_id) JOIN shapes_ov s USING (shape_id))
+SELECT CASE WHEN n > 1 THEN powerplant_id || '_duplicate_' || CAST(k AS VARCHAR) ELSE powerplant_id END AS powerplant_id,
+  shape_id, country_id, CASE WHEN n > 1 THEN output_capacity_mw / n ELSE output_capacity_mw END AS output_capacity_mw, n > 1 AS split FROM j""",
+)
+def e16s(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    s, e = shapes(spark, d, overlap=True)
+    excl = overlay.build_exclusive_shapes(s, e, B)
+    out = geometry.assign_country(p, s, e, B, on_overlap="split_capacity", exclusive=excl, inner_distance=0.5)
+    return out.select("powerplant_id", "shape_id", "country_id", "output_capacity_mw", "split")

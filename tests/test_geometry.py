@@ -144,3 +144,48 @@ def test_projection_round_trip(spark):
             assert abs(r["lon"] - a) < 1e-6 and abs(r["lat"] - b) < 1e-5
     x, y = G.project(F.lit(180.0), F.lit(0.0), 8857)
     assert abs(df.limit(1).select(x).first()[0] - 17243959.06) < 0.5
+
+
+def test_exclusive_shapes_membership(spark):
+    from capgrid.operators import overlay
+
+    rows = square_edges("A", 0, 0, 10, 10) + square_edges("B", 5, 5, 15, 15) + square_edges("C", 10, 0, 20, 5)
+    edges = spark.createDataFrame(rows, EDGE_DDL)
+    shapes = spark.createDataFrame([("A",), ("B",), ("C",)], "shape_id string")
+    ex = overlay.build_exclusive_shapes(shapes, edges, 1.0)
+    rng = np.random.default_rng(3)
+    xy = rng.uniform(-1, 21, size=(1500, 2)) + 0.00013
+    pts = spark.createDataFrame([(f"p{i}", float(x), float(y)) for i, (x, y) in enumerate(xy)], "id string, x double, y double")
+    got = {(r.id, r.shape_id) for r in G.points_in_shapes(pts, ex, 1.0).collect()}
+    boxes = {"A": (0, 0, 10, 10), "B": (5, 5, 15, 15), "C": (10, 0, 20, 5)}
+    want = set()
+    for i, (x, y) in enumerate(xy):
+        ins = [k for k, (a, b, c, d) in boxes.items() if a <= x <= c and b <= y <= d]
+        if len(ins) == 1:
+            want.add((f"p{i}", ins[0]))
+    assert got == want
+
+
+def test_exclusive_shapes_fully_covered_raises(spark):
+    import pytest
+
+    from capgrid.operators import overlay
+
+    rows = square_edges("A", 0, 0, 10, 10) + square_edges("D", 2, 2, 3, 3)
+    edges = spark.createDataFrame(rows, EDGE_DDL)
+    shapes = spark.createDataFrame([("A",), ("D",)], "shape_id string")
+    with pytest.raises(ValueError, match="D"):
+        overlay.build_exclusive_shapes(shapes, edges, 1.0)
+
+
+def test_split_copies_move_into_exclusive_part(spark):
+    from capgrid.operators import overlay
+
+    rows = square_edges("A", 0, 0, 10, 10) + square_edges("B", 5, 0, 15, 10)
+    edges = spark.createDataFrame(rows, EDGE_DDL)
+    shapes = spark.createDataFrame([("A", "X"), ("B", "Y")], "shape_id string, country_id string")
+    ex = overlay.build_exclusive_shapes(shapes, edges, 1.0)
+    plants = spark.createDataFrame([("p", 7.0, 5.0, 10.0)], "powerplant_id string, lon double, lat double, output_capacity_mw double")
+    out = geometry_rows = G.assign_country(plants, shapes, edges, 1.0, on_overlap="split_capacity", exclusive=ex, inner_distance=0.5)
+    got = {r.powerplant_id: (r.shape_id, r.country_id, r.output_capacity_mw, round(r.lon, 6), round(r.lat, 6)) for r in geometry_rows.collect()}
+    assert got == {"p_duplicate_0": ("A", "X", 5.0, 4.5, 5.0), "p_duplicate_1": ("B", "Y", 5.0, 10.5, 5.0)}
