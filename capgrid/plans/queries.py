@@ -886,7 +886,10 @@ def unadjusted_df(spark, d):
     return P.unadjusted_plants(p, s, e, B, imp, loc, Y)
 
 
-@query("E15_relocate")
+RELOC_CTE = O.ctes(**O.BASE, **O.SHAPES, **O.relocation(0.5, FX.FIXTURE_SHAPE_CLASS))
+
+
+@query("E15_relocate", RELOC_CTE + "SELECT powerplant_id, country_id, technology, lon, lat, moved FROM reloc")
 def e15(spark, d):
     p, _ = og_plants(spark, d, with_country=False)
     s, e = shapes(spark, d)
@@ -894,24 +897,37 @@ def e15(spark, d):
     return relocate(assigned, s, e, B, FX.FIXTURE_SHAPE_CLASS, 0.5, "drop").select("powerplant_id", "country_id", "technology", "lon", "lat", "moved")
 
 
-@query("P8_unadjusted_plants")
+P8_CTE = O.ctes(**O.BASE, **O.SHAPES, **O.relocation(0.5, FX.FIXTURE_SHAPE_CLASS), **O.aged_from("reloc"), **O.STATS)
+P9_CTE = P8_CTE.rstrip() + ADJ_SQL
+P10_SQL = P9_CTE + f""", opa AS (SELECT * FROM allp WHERE start_year <= {Y} AND {Y} < end_year),
+ma AS ({O.pip('opa', 'edges', 'lon', 'lat', 'powerplant_id')})
+SELECT ma.shape_id, s.country_id, {_sel('o.' + g for g in GROUPS)}, sum(o.output_capacity_mw) AS output_capacity_mw, {Y} AS reference_year
+FROM ma JOIN opa o USING (powerplant_id) JOIN shapes s ON s.shape_id = ma.shape_id
+GROUP BY ma.shape_id, s.country_id, {_sel('o.' + g for g in GROUPS)} HAVING sum(o.output_capacity_mw) > 0"""
+
+
+@query("P8_unadjusted_plants", P8_CTE + f"SELECT {_sel(PLANT_OUT)}, country_id, moved FROM f4")
 def p8(spark, d):
     return unadjusted_df(spark, d).select(*PLANT_OUT, "country_id", "moved")
 
 
-@query("P9_adjusted_plants")
+@query("P9_adjusted_plants", P9_CTE + f"\nSELECT {_sel(PLANT_OUT)}, country_id FROM allp")
 def p9(spark, d):
     return P.adjusted_plants(unadjusted_df(spark, d), stats(spark, d), Y, "fossil").select(*PLANT_OUT, "country_id")
 
 
-@query("P10_aggregated")
+@query("P10_aggregated", P10_SQL)
 def p10(spark, d):
     s, e = shapes(spark, d)
     adj = P.adjusted_plants(unadjusted_df(spark, d), stats(spark, d), Y, "fossil")
     return P.aggregated(adj, s, e, Y, B)
 
 
-@query("J5_relocation_summary")
+@query(
+    "J5_relocation_summary",
+    P8_CTE + """SELECT count(*) AS n_plants, count_if(NOT split AND NOT moved) AS n_valid,
+  count_if(split) AS n_split, count_if(moved) AS n_moved FROM f4""",
+)
 def j5(spark, d):
     return reports.relocation_summary(unadjusted_df(spark, d))
 

@@ -149,3 +149,67 @@ FAC = dict(
     facility_edges=FX.duck(FX.FACILITY_EDGES_SQL),
     tracker_points=FX.duck(FX.TRACKER_POINTS_SQL),
 )
+
+
+def _class_case(mapping: dict) -> str:
+    return case_map("technology", mapping)
+
+
+def relocation(inner: float, shape_class: dict) -> dict:
+    """CTEs: assign country (E16), keep plants already in a shape of their class,
+    move the others just inside the nearest one (E6, E10, E9, E15).  Needs
+    og_plants, shapes, edges; produces `reloc`."""
+    seg = seg_dist("p.lon", "p.lat")
+    tcl = "least(greatest(CASE WHEN (e.x2-e.x1)*(e.x2-e.x1)+(e.y2-e.y1)*(e.y2-e.y1) > 0 THEN ((p.lon-e.x1)*(e.x2-e.x1)+(p.lat-e.y1)*(e.y2-e.y1))/((e.x2-e.x1)*(e.x2-e.x1)+(e.y2-e.y1)*(e.y2-e.y1)) ELSE 0 END, 0), 1)"
+    cross_sum = "sum(CASE WHEN (e.y1 > q.y) <> (e.y2 > q.y) AND q.x < e.x1 + (q.y - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) THEN 1 ELSE 0 END) % 2 = 1"
+    return dict(
+        m0=pip("og_plants", "edges", "lon", "lat", "powerplant_id"),
+        asg=("SELECT p.* EXCLUDE (country_id), s.country_id, false AS split FROM og_plants p "
+             "JOIN m0 USING (powerplant_id) JOIN shapes s ON s.shape_id = m0.shape_id"),
+        tgt=f"SELECT *, {_class_case(shape_class)} AS tcls FROM asg",
+        valid=("SELECT t.* FROM tgt t WHERE tcls IS NOT NULL AND EXISTS "
+               "(SELECT 1 FROM shapes s WHERE s.country_id = t.country_id AND s.shape_class = t.tcls)"),
+        win=pip("valid", "edges", "lon", "lat", "powerplant_id", boundary="exclude"),
+        okp=("SELECT v.* FROM valid v WHERE EXISTS (SELECT 1 FROM win w JOIN shapes s USING (shape_id) "
+             "WHERE w.powerplant_id = v.powerplant_id AND s.country_id = v.country_id AND s.shape_class = v.tcls)"),
+        mv="SELECT * FROM valid WHERE powerplant_id NOT IN (SELECT powerplant_id FROM okp)",
+        mvin=pip("mv", "edges", "lon", "lat", "powerplant_id"),
+        dist=f"""SELECT p.powerplant_id, s.shape_id, CASE WHEN i.shape_id IS NOT NULL THEN 0e0 ELSE min({seg}) END AS d
+  FROM mv p JOIN shapes s ON s.country_id = p.country_id AND s.shape_class = p.tcls JOIN edges e ON e.shape_id = s.shape_id
+  LEFT JOIN mvin i ON i.powerplant_id = p.powerplant_id AND i.shape_id = s.shape_id GROUP BY p.powerplant_id, s.shape_id, i.shape_id""",
+        best="SELECT powerplant_id, arg_min(shape_id, (d, shape_id)) AS shape_id FROM dist GROUP BY 1",
+        pin=f"""SELECT q.powerplant_id, e.part, {cross_sum} AS ins
+  FROM (SELECT powerplant_id, lon AS x, lat AS y FROM mv) q JOIN best b USING (powerplant_id)
+  JOIN edges e ON e.shape_id = b.shape_id AND q.y BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) GROUP BY 1, 2""",
+        pdist=f"""SELECT p.powerplant_id, b.shape_id, e.part, CASE WHEN coalesce(any_value(pi.ins), false) THEN 0e0 ELSE min({seg}) END AS dd
+  FROM mv p JOIN best b USING (powerplant_id) JOIN edges e ON e.shape_id = b.shape_id
+  LEFT JOIN pin pi ON pi.powerplant_id = p.powerplant_id AND pi.part = e.part GROUP BY 1, 2, 3""",
+        bpart="SELECT powerplant_id, any_value(shape_id) AS shape_id, arg_min(part, (dd, part)) AS part FROM pdist GROUP BY 1",
+        pedges="SELECT e.*, e.shape_id || '#' || CAST(e.part AS VARCHAR) AS pk FROM edges e",
+        contact=f"""SELECT p.powerplant_id, b.shape_id || '#' || CAST(b.part AS VARCHAR) AS pk, any_value(p.lon) AS px, any_value(p.lat) AS py,
+    arg_min({{'x': e.x1 + {tcl} * (e.x2 - e.x1), 'y': e.y1 + {tcl} * (e.y2 - e.y1)}}, {seg}) AS c
+  FROM mv p JOIN bpart b USING (powerplant_id) JOIN edges e ON e.shape_id = b.shape_id AND e.part = b.part GROUP BY 1, 2""",
+        ray="""SELECT k.powerplant_id, k.pk, k.c.x AS cx, k.c.y AS cy,
+    (k.c.x - k.px) / sqrt(power(k.c.x - k.px, 2) + power(k.c.y - k.py, 2)) AS ux,
+    (k.c.y - k.py) / sqrt(power(k.c.x - k.px, 2) + power(k.c.y - k.py, 2)) AS uy,
+    sqrt(power(max(greatest(e.x1, e.x2)) OVER w - min(least(e.x1, e.x2)) OVER w, 2)
+       + power(max(greatest(e.y1, e.y2)) OVER w - min(least(e.y1, e.y2)) OVER w, 2)) AS span
+  FROM contact k JOIN pedges e USING (pk) WINDOW w AS (PARTITION BY k.powerplant_id) QUALIFY row_number() OVER w = 1""",
+        hitsr=f"""SELECT r.powerplant_id, r.pk, r.cx, r.cy, r.ux, r.uy, (r.span + {inner}) AS ext,
+    min(CASE WHEN abs((r.ux * (r.span + {inner})) * (e.y2 - e.y1) - (r.uy * (r.span + {inner})) * (e.x2 - e.x1)) > 1e-12 THEN
+      ((e.x1 - r.cx) * (e.y2 - e.y1) - (e.y1 - r.cy) * (e.x2 - e.x1)) / ((r.ux * (r.span + {inner})) * (e.y2 - e.y1) - (r.uy * (r.span + {inner})) * (e.x2 - e.x1)) END)
+      FILTER (WHERE abs((r.ux * (r.span + {inner})) * (e.y2 - e.y1) - (r.uy * (r.span + {inner})) * (e.x2 - e.x1)) > 1e-12
+        AND ((e.x1 - r.cx) * (e.y2 - e.y1) - (e.y1 - r.cy) * (e.x2 - e.x1)) / ((r.ux * (r.span + {inner})) * (e.y2 - e.y1) - (r.uy * (r.span + {inner})) * (e.x2 - e.x1)) BETWEEN 1e-9 AND 1
+        AND ((e.x1 - r.cx) * (r.uy * (r.span + {inner})) - (e.y1 - r.cy) * (r.ux * (r.span + {inner}))) / ((r.ux * (r.span + {inner})) * (e.y2 - e.y1) - (r.uy * (r.span + {inner})) * (e.x2 - e.x1)) BETWEEN 0 AND 1) AS t1
+  FROM ray r JOIN pedges e USING (pk) GROUP BY 1, 2, 3, 4, 5, 6, 7""",
+        placed=f"""SELECT powerplant_id, pk, cx + ux * CASE WHEN {inner} < coalesce(t1, 1) * ext THEN {inner} ELSE coalesce(t1, 1) * ext / 2 END AS nx,
+    cy + uy * CASE WHEN {inner} < coalesce(t1, 1) * ext THEN {inner} ELSE coalesce(t1, 1) * ext / 2 END AS ny FROM hitsr""",
+        reloc="""SELECT * EXCLUDE (tcls), false AS moved FROM tgt WHERE tcls IS NULL
+UNION ALL BY NAME SELECT * EXCLUDE (tcls), false AS moved FROM okp
+UNION ALL BY NAME SELECT v.* EXCLUDE (tcls, lon, lat), pl.nx AS lon, pl.ny AS lat, true AS moved FROM mv v JOIN placed pl USING (powerplant_id)""",
+    )
+
+
+def aged_from(src: str) -> dict:
+    """The F1-F4 chain over another plant table (replacing the scenario source)."""
+    return dict(scen=SCEN.replace("FROM og_plants", f"FROM {src}"), f1=F1, f2=F2, f4=F4)
