@@ -30,14 +30,19 @@ _EDGE_BYTES = 48  # four doubles in a struct plus array overhead
 # ---------------------------------------------------------------------------
 # Index building
 # ---------------------------------------------------------------------------
-def band_index(edges: DataFrame, band: float, pad: float = 0.0) -> DataFrame:
-    """(shape_id, b, bx_min, bx_max, edges) with edges grouped per latitude band.
-
-    `pad` widens each edge's reach by a distance (for within-distance tests).
+def band_index(edges: DataFrame, band: float, pad: float = 0.0, xcell: float | None = None) -> DataFrame:
+    """(shape_id, b, c, bx_min, bx_max, edges): edges grouped per latitude band
+    `b` and replicated over the x-cells `c` their band row spans.
+
+    A cell's copy keeps only the edges reaching that cell or further right
+    (`max x >= cell left`), which is all a ray towards +x from a point of
+    that cell can meet; so a point joins only the shapes whose band row
+    covers its own cell.  `pad` widens each edge's reach by a distance (for
+    within-distance tests).  `xcell=None` uses one cell per band.
     """
     lo = F.floor((F.least("y1", "y2") - F.lit(pad)) / F.lit(band))
     hi = F.floor((F.greatest("y1", "y2") + F.lit(pad)) / F.lit(band))
-    return (
+    rows = (
         edges.select("shape_id", "x1", "y1", "x2", "y2")
         .withColumn("b", F.explode(F.sequence(lo, hi)))
         .groupBy("shape_id", "b")
@@ -47,10 +52,23 @@ def band_index(edges: DataFrame, band: float, pad: float = 0.0) -> DataFrame:
             F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
         )
     )
+    if xcell is None:
+        return rows.withColumn("c", F.lit(0).cast("long"))
+    w = F.lit(float(xcell))
+    cells = rows.withColumn("c", F.explode(F.sequence(F.floor(F.col("bx_min") / w), F.floor(F.col("bx_max") / w))))
+    return cells.withColumn(
+        "edges", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) + F.lit(pad) >= F.col("c") * w)
+    )
+
+
+def measure_index(index: DataFrame) -> int:
+    """Measured size of a band index (one aggregate over the small index)."""
+    total = index.agg(F.sum(F.size("edges")).alias("n"), F.count(F.lit(1)).alias("r")).first()
+    return int(total["n"] or 0) * _EDGE_BYTES + int(total["r"] or 0) * 64
 
 
 def index_size_bytes(edges: DataFrame, band: float, pad: float = 0.0) -> int:
-    """Estimated size of `band_index` (one small aggregate over the edges)."""
+    """Size estimate of a one-cell band index straight from the edges."""
     spans = F.floor((F.greatest("y1", "y2") + F.lit(pad)) / F.lit(band)) - F.floor(
         (F.least("y1", "y2") - F.lit(pad)) / F.lit(band)
     ) + F.lit(1)
@@ -58,6 +76,11 @@ def index_size_bytes(edges: DataFrame, band: float, pad: float = 0.0) -> int:
     return int(total or 0) * _EDGE_BYTES
 
 
+def default_xcell(band: float) -> float:
+    """x-cell width used with a band height (a few band heights wide)."""
+    return 8.0 * band
+
+
 def maybe_broadcast(small: DataFrame, size_bytes: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Broadcast a side only when its measured size is below `limit`."""
     return F.broadcast(small) if size_bytes <= limit else small
@@ -129,48 +152,52 @@ def points_in_shapes(
     y: str = "y",
     boundary: str = "include",
     index: DataFrame | None = None,
-    index_bytes: int | None = None,
+    index_size: int | None = None,
 ) -> DataFrame:
     """Inner spatial join: one row per (point, shape) with the point inside the shape.
 
     `boundary="include"` is `intersects` (points on an edge match);
     `boundary="exclude"` is `within` (they do not).  Output: all point
-    columns plus `shape_id`.
+    columns plus `shape_id`.  A prebuilt `index` must come from
+    `band_index(edges, band, xcell=default_xcell(band))`.
     """
     if boundary not in ("include", "exclude"):
         raise ValueError(f"Invalid boundary rule {boundary!r}.")
+    xcell = default_xcell(band)
     if index is None:
-        index = band_index(edges, band)
-    if index_bytes is None:
-        index_bytes = index_size_bytes(edges, band)
+        index = band_index(edges, band, xcell=xcell)
+    if index_size is None:
+        index_size = measure_index(index)
+    return _probe(points, index, index_size, band, xcell, x, y, boundary)
+
+
+def _probe(points: DataFrame, index: DataFrame, size: int, band: float, xcell: float, x: str, y: str, boundary: str, distance: float | None = None) -> DataFrame:
     px, py = F.col(x), F.col(y)
-    cand = points.withColumn("_b", F.floor(py / F.lit(band))).join(
-        maybe_broadcast(index.withColumnRenamed("b", "_b"), index_bytes), on="_b"
-    )
-    cand = cand.where(px.between(F.col("bx_min"), F.col("bx_max")))
+    keyed = points.withColumn("_b", F.floor(py / F.lit(band))).withColumn("_c", F.floor(px / F.lit(xcell)))
+    side = index.withColumnRenamed("b", "_b").withColumnRenamed("c", "_c")
+    cand = keyed.join(maybe_broadcast(side, size), on=["_b", "_c"]).where(px.between(F.col("bx_min"), F.col("bx_max")))
     inside = (crossing_count(F.col("edges"), px, py) % 2) == 1
-    edge = on_boundary(F.col("edges"), px, py)
-    keep = (inside | edge) if boundary == "include" else (inside & ~edge)
-    return cand.where(keep).drop("_b", "bx_min", "bx_max", "edges")
+    if distance is not None:
+        keep = inside | (min_edge_distance(F.col("edges"), px, py) <= F.lit(float(distance)))
+    else:
+        edge = on_boundary(F.col("edges"), px, py)
+        keep = (inside | edge) if boundary == "include" else (inside & ~edge)
+    return cand.where(keep).drop("_b", "_c", "bx_min", "bx_max", "edges")
 
 
 def points_within_distance(
     points: DataFrame, edges: DataFrame, distance: float, band: float, x: str = "x", y: str = "y"
 ) -> DataFrame:
-    """(point, shape) pairs with the point inside the shape or within `distance` of it."""
-    index = band_index(edges, band, pad=distance)
-    size = index_size_bytes(edges, band, pad=distance)
-    px, py = F.col(x), F.col(y)
-    cand = points.withColumn("_b", F.floor(py / F.lit(band))).join(
-        maybe_broadcast(index.withColumnRenamed("b", "_b"), size), on="_b"
-    )
-    cand = cand.where(px.between(F.col("bx_min"), F.col("bx_max")))
-    # Edges of the band are exactly those with a y-range (padded) reaching py,
-    # which covers every edge closer than `distance`; crossing parity needs
-    # the unpadded edges spanning py, which are all in the same list.
-    inside = (crossing_count(F.col("edges"), px, py) % 2) == 1
-    near = min_edge_distance(F.col("edges"), px, py) <= F.lit(float(distance))
-    return cand.where(inside | near).drop("_b", "bx_min", "bx_max", "edges")
+    """(point, shape) pairs with the point inside the shape or within `distance` of it.
+
+    Edges are indexed with their reach padded by `distance`, so every edge
+    closer than `distance` is in the point's (band, cell) row; the crossing
+    parity only counts edges spanning the point's latitude, which are there
+    too.
+    """
+    xcell = default_xcell(band)
+    index = band_index(edges, band, pad=distance, xcell=xcell)
+    return _probe(points, index, measure_index(index), band, xcell, x, y, "include", distance=distance)
 
 
 # ---------------------------------------------------------------------------
