@@ -308,18 +308,63 @@ def nearest_shape(
     x: str = "x",
     y: str = "y",
     id_col: str = "powerplant_id",
+    band: float | None = None,
 ) -> DataFrame:
-    """For each point, the nearest shape sharing the `by` keys (ties -> smallest shape_id).
-
-    Adds `shape_id` and `distance`; points with no eligible shape drop out.
+    """For each point, the nearest shape sharing the `by` keys (ties -> smallest
+    shape_id) and the nearest part of it (ties -> smallest part).
+
+    Adds `shape_id`, `distance` and `part`; points with no eligible shape drop
+    out.  The search is bounded: D = distance to the nearest eligible
+    representative point (a point inside its shape) bounds the answer, so
+    only the band rows within D of the point are read; no shape's whole
+    geometry travels with a point.
     """
-    geom = shape_geometry(edges).join(shapes.select("shape_id", *by), on="shape_id")
+    if band is None:
+        band = default_band(edges)
     px, py = F.col(x), F.col(y)
-    cand = points.join(geom, on=list(by)).withColumn("distance", distance_to_shape(F.col("geom"), px, py))
-    best = F.min_by(F.struct("shape_id", "distance"), F.struct("distance", "shape_id"))
-    chosen = cand.groupBy(id_col).agg(best.alias("_best"))
-    return points.join(chosen, on=id_col).select(
-        *[F.col(c) for c in points.columns], F.col("_best.shape_id").alias("shape_id"), F.col("_best.distance").alias("distance")
+    attrs = shapes.select("shape_id", *by)
+    reps = representative_points(edges).join(attrs, on="shape_id")
+    pts = points.select(id_col, x, y, *by)
+    ub = pts.join(reps, on=list(by)).groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
+    win = pts.join(ub, on=id_col).withColumn(
+        "_b", F.explode(F.sequence(F.floor((py - F.col("_D")) / F.lit(band)), F.floor((py + F.col("_D")) / F.lit(band))))
+    )
+    lo = F.floor(F.least("y1", "y2") / F.lit(band))
+    hi = F.floor(F.greatest("y1", "y2") / F.lit(band))
+    rows = (
+        edges.select("shape_id", "part", "x1", "y1", "x2", "y2")
+        .withColumn("_b", F.explode(F.sequence(lo, hi)))
+        .groupBy("shape_id", "part", "_b")
+        .agg(
+            F.min(F.least("x1", "x2")).alias("bx_min"),
+            F.max(F.greatest("x1", "x2")).alias("bx_max"),
+            F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
+        )
+        .join(attrs, on="shape_id")
+    )
+    cand = win.join(rows, on=["_b", *by]).where(
+        px.between(F.col("bx_min") - F.col("_D"), F.col("bx_max") + F.col("_D"))
+    )
+    own_band = F.col("_b") == F.floor(py / F.lit(band))
+    per_row = cand.select(
+        id_col, "shape_id", "part",
+        (own_band & ((crossing_count(F.col("edges"), px, py) % 2) == 1)).alias("_in"),
+        min_edge_distance(F.col("edges"), px, py).alias("_md"),
+    )
+    per_part = per_row.groupBy(id_col, "shape_id", "part").agg(
+        F.bool_or("_in").alias("_in"), F.min("_md").alias("_md")
+    ).withColumn("_d", F.when(F.col("_in"), F.lit(0.0)).otherwise(F.col("_md")))
+    per_shape = per_part.groupBy(id_col, "shape_id").agg(
+        F.min("_d").alias("distance"), F.min_by("part", F.struct("_d", "part")).alias("part")
+    )
+    best = per_shape.groupBy(id_col).agg(
+        F.min_by(F.struct("shape_id", "distance", "part"), F.struct("distance", "shape_id")).alias("_best")
+    )
+    return points.join(best, on=id_col).select(
+        *[F.col(c) for c in points.columns],
+        F.col("_best.shape_id").alias("shape_id"),
+        F.col("_best.distance").alias("distance"),
+        F.col("_best.part").alias("part"),
     )
 
 

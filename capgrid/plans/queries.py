@@ -401,7 +401,7 @@ def e6(spark, d):
     p, _ = og_plants(spark, d)
     s, e = shapes(spark, d)
     pts = p.select("powerplant_id", "lon", "lat", "country_id").withColumn("shape_class", F.lit("land"))
-    near = geometry.nearest_shape(pts, s, e, x="lon", y="lat")
+    near = geometry.nearest_shape(pts, s, e, x="lon", y="lat", band=B)
     return near.select("powerplant_id", "shape_id", "distance")
 
 
@@ -451,8 +451,8 @@ def e10(spark, d):
     p, _ = og_plants(spark, d)
     s, e = shapes(spark, d)
     pts = p.select("powerplant_id", "lon", "lat", "country_id").withColumn("shape_class", F.lit("land"))
-    near = geometry.nearest_shape(pts, s, e, x="lon", y="lat").select("powerplant_id", "lon", "lat", "shape_id")
-    return geometry.nearest_part(near, e, x="lon", y="lat").select("powerplant_id", "shape_id", "part")
+    near = geometry.nearest_shape(pts, s, e, x="lon", y="lat", band=B)
+    return near.select("powerplant_id", "shape_id", "part")
 
 
 OV_CTE = O.ctes(**O.BASE, **O.SHAPES_OV, m=O.pip("og_plants", "edges_ov", "lon", "lat", "powerplant_id"))
