@@ -326,15 +326,36 @@ def nearest_shape(
     reps = representative_points(edges).join(attrs, on="shape_id")
     pts = points.select(id_col, x, y, *by)
     ub = pts.join(reps, on=list(by)).groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
-    win = pts.join(ub, on=id_col).withColumn(
-        "_b", F.explode(F.sequence(F.floor((py - F.col("_D")) / F.lit(band)), F.floor((py + F.col("_D")) / F.lit(band))))
+    # the window is also clamped to the y-extent of the eligible shapes (one row per key)
+    extent = edges.groupBy("shape_id").agg(F.min(F.least("y1", "y2")).alias("_y0"), F.max(F.greatest("y1", "y2")).alias("_y1"))
+    extent = extent.join(attrs, on="shape_id").groupBy(*by).agg(F.min("_y0").alias("_y0"), F.max("_y1").alias("_y1"))
+    # band pyramid: level k has bands of height band * 4**k; each point reads the
+    # level where its window spans a few bands, so near and far points alike
+    # touch a handful of rows
+    span = edges.agg((F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h")).first()["h"] or band
+    levels = max(0, math.ceil(math.log(max(span / band, 1.0), 4)))
+    lvl = F.least(F.lit(levels), F.greatest(F.lit(0), F.ceil(F.log(4.0, F.greatest(F.col("_D") / F.lit(band), F.lit(1.0))))))
+    hb = F.lit(float(band)) * F.pow(F.lit(4.0), F.col("_lvl"))
+    lo_y = F.greatest(py - F.col("_D"), F.col("_y0"))
+    hi_y = F.least(py + F.col("_D"), F.col("_y1"))
+    win = (
+        pts.join(ub, on=id_col).join(extent, on=list(by))
+        .withColumn("_lvl", lvl.cast("int"))
+        .withColumn("_b", F.explode(F.sequence(F.floor(lo_y / hb), F.floor(F.greatest(lo_y, hi_y) / hb))))
     )
-    lo = F.floor(F.least("y1", "y2") / F.lit(band))
-    hi = F.floor(F.greatest("y1", "y2") / F.lit(band))
+    level_rows = None
+    for k in range(levels + 1):
+        h = float(band) * 4**k
+        lo = F.floor(F.least("y1", "y2") / F.lit(h))
+        hi = F.floor(F.greatest("y1", "y2") / F.lit(h))
+        rk = (
+            edges.select("shape_id", "part", "x1", "y1", "x2", "y2")
+            .withColumn("_b", F.explode(F.sequence(lo, hi)))
+            .withColumn("_lvl", F.lit(k))
+        )
+        level_rows = rk if level_rows is None else level_rows.unionByName(rk)
     rows = (
-        edges.select("shape_id", "part", "x1", "y1", "x2", "y2")
-        .withColumn("_b", F.explode(F.sequence(lo, hi)))
-        .groupBy("shape_id", "part", "_b")
+        level_rows.groupBy("shape_id", "part", "_lvl", "_b")
         .agg(
             F.min(F.least("x1", "x2")).alias("bx_min"),
             F.max(F.greatest("x1", "x2")).alias("bx_max"),
@@ -342,23 +363,18 @@ def nearest_shape(
         )
         .join(attrs, on="shape_id")
     )
-    cand = win.join(rows, on=["_b", *by]).where(
+    cand = win.join(rows, on=["_lvl", "_b", *by]).where(
         px.between(F.col("bx_min") - F.col("_D"), F.col("bx_max") + F.col("_D"))
     )
-    own_band = F.col("_b") == F.floor(py / F.lit(band))
-    per_row = cand.select(
-        id_col, "shape_id", "part",
-        (own_band & ((crossing_count(F.col("edges"), px, py) % 2) == 1)).alias("_in"),
-        min_edge_distance(F.col("edges"), px, py).alias("_md"),
-    )
-    per_part = per_row.groupBy(id_col, "shape_id", "part").agg(
-        F.bool_or("_in").alias("_in"), F.min("_md").alias("_md")
-    ).withColumn("_d", F.when(F.col("_in"), F.lit(0.0)).otherwise(F.col("_md")))
-    per_shape = per_part.groupBy(id_col, "shape_id").agg(
-        F.min("_d").alias("distance"), F.min_by("part", F.struct("_d", "part")).alias("part")
-    )
-    best = per_shape.groupBy(id_col).agg(
-        F.min_by(F.struct("shape_id", "distance", "part"), F.struct("distance", "shape_id")).alias("_best")
+    # per row: 0 when the point is inside the part (decided on its own band row),
+    # else the nearest edge of the row; the lexicographic minimum of
+    # (distance, shape_id, part) over all rows is the answer (one aggregation)
+    own_band = F.col("_b") == F.floor(py / hb)
+    inside = own_band & ((crossing_count(F.col("edges"), px, py) % 2) == 1)
+    d = F.when(inside, F.lit(0.0)).otherwise(min_edge_distance(F.col("edges"), px, py))
+    per_row = cand.select(id_col, "shape_id", "part", d.alias("distance"))
+    best = per_row.groupBy(id_col).agg(
+        F.min_by(F.struct("shape_id", "distance", "part"), F.struct("distance", "shape_id", "part")).alias("_best")
     )
     return points.join(best, on=id_col).select(
         *[F.col(c) for c in points.columns],
