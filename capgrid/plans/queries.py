@@ -1066,3 +1066,160 @@ def e16s(spark, d):
     excl = overlay.build_exclusive_shapes(s, e, B)
     out = geometry.assign_country(p, s, e, B, on_overlap="split_capacity", exclusive=excl, inner_distance=0.5)
     return out.select("powerplant_id", "shape_id", "country_id", "output_capacity_mw", "split")
+
+
+# ---------------------------------------------------------------------------
+# File sources and the sink: the stand-in is written under the session's
+# checkpoint folder (a fresh sub-folder per call) and read back through the
+# library reader, so the reader itself is what is checked.
+# ---------------------------------------------------------------------------
+def _scratch(spark, name):
+    import uuid
+
+    from capgrid.session import scratch_path
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("A9_read_pixels", O.ctes(**O.SHAPES, **O.PIXELS).rstrip()
+       + ", pxid AS (SELECT *, CAST(prow AS VARCHAR) || '_' || CAST(pcol AS VARCHAR) AS pid FROM pixels)\n"
+       + f"SELECT m.shape_id, s.country_id, sum(p.value) AS sum FROM ({O.pip('pxid', 'edges', 'x', 'y', 'pid')}) m JOIN pxid p USING (pid) JOIN shapes s USING (shape_id) GROUP BY 1, 2")
+def a9(spark, d):
+    path = _scratch(spark, "pixels")
+    pixels(spark, d).write.parquet(path)
+    s, e = shapes(spark, d)
+    return raster.zonal_sum(R.read_pixels(spark, path), s, e, B)
+
+
+@query("A10_write_output", AGG_CTE + "\nSELECT *, 'fixture' AS shapes, 'unadjusted' AS adjustment, 'fossil' AS category_part FROM agg")
+def a10(spark, d):
+    from capgrid.sources.sinks import write_output
+
+    path = _scratch(spark, "published")
+    write_output(aggregated_df(spark, d), path, "fixture", "unadjusted", "fossil")
+    return spark.read.parquet(path)
+
+
+_HYDRO_CSV_SQL = O.ctes(tracker=O.TRACKER) + f"""SELECT 'GloHydroRes_' || gem_unit_id AS powerplant_id, plant_name AS name, 'hydropower' AS category,
+  {O.case_map("coalesce(plant_type, 'unknown')", C.TECHNOLOGY_MAPPING['hydropower'])} AS technology,
+  capacity_mw_raw AS output_capacity_mw, TRY_CAST(start_year_raw AS DOUBLE) AS start_year, CAST(NULL AS DOUBLE) AS end_year,
+  'operating' AS status, longitude AS lon, latitude AS lat, CASE WHEN res_vol_km3 >= 0 THEN res_vol_km3 END AS reservoir_km3
+FROM tracker WHERE capacity_mw_raw IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL"""
+
+
+@query("A5_read_hydro_csv", _HYDRO_CSV_SQL)
+def a5(spark, d):
+    path = _scratch(spark, "hydro-csv")
+    tracker(spark, d).select(
+        F.col("gem_unit_id").alias("ID"), F.col("plant_name").alias("name"), "plant_type",
+        F.col("capacity_mw_raw").alias("capacity_mw"), F.col("longitude").alias("plant_lon"),
+        F.col("latitude").alias("plant_lat"), X.coerce_year("start_year_raw").alias("year"), "res_vol_km3",
+        F.lit("12.5").alias("head_m"),
+    ).write.option("header", True).csv(path)
+    return P.prepare_hydropower(R.read_hydro_csv(spark, path))
+
+
+_MARKET_STATUS = {"operating": "Production", "retired": "Dismantled", "construction": "Construction", "announced": "Planned", "pre-construction": "Approved"}
+
+
+@query(
+    "A7_P7_wind_market",
+    O.ctes(tracker=O.TRACKER) + f"""SELECT 'WEMI_' || substr(gem_unit_id, 2) AS powerplant_id, plant_name AS name, 'wind' AS category,
+  CASE WHEN technology_raw LIKE '%URGENT%' THEN 'offshore' ELSE 'onshore' END AS technology,
+  floor(capacity_mw_raw * 1000) * 0.001e0 AS output_capacity_mw,
+  TRY_CAST(start_year_raw AS DOUBLE) AS start_year, CAST(NULL AS DOUBLE) AS end_year,
+  coalesce({O.case_map(O.case_map('status', _MARKET_STATUS), C.STATUS_MAPPING_WIND_MARKET)}, {O.case_map('status', _MARKET_STATUS, 'status')}) AS status,
+  longitude AS lon, latitude AS lat
+FROM tracker WHERE capacity_mw_raw IS NOT NULL AND latitude IS NOT NULL""",
+)
+def a7(spark, d):
+    path = _scratch(spark, "wind-market")
+    t = tracker(spark, d)
+    units = spark.createDataFrame([("(id)", "(text)", "(kW)", "(km)", "(date)", "(text)", "(deg)", "(deg)")],
+                                  "ID string, Name string, `Total power` string, `Offshore\nShore distance` string, `Commissioning date` string, Status string, Latitude string, Longitude string")
+    rows = t.select(
+        F.substring("gem_unit_id", 2, 100).alias("ID"), F.col("plant_name").alias("Name"),
+        F.coalesce(F.floor(F.col("capacity_mw_raw") * 1000).cast("string"), F.lit("#ND")).alias("Total power"),
+        F.when(F.col("technology_raw").contains("URGENT"), F.lit("Yes (8 km)")).otherwise(F.lit("No")).alias("Offshore\nShore distance"),
+        F.coalesce(F.concat(F.lit("Q2 "), F.col("start_year_raw")), F.lit("#ND")).alias("Commissioning date"),
+        F.coalesce(X.map_status("status", _MARKET_STATUS, keep_unmapped=True), F.lit("#ND")).alias("Status"),
+        F.coalesce(F.col("latitude").cast("string"), F.lit("#ND")).alias("Latitude"),
+        F.col("longitude").cast("string").alias("Longitude"),
+    )
+    units.unionByName(rows).coalesce(1).write.option("header", True).csv(path)
+    raw = R.read_sentinel_table(spark, path, first_col="ID")
+    raw = raw.withColumn("Latitude", F.col("Latitude").cast("double")).withColumn("Longitude", F.col("Longitude").cast("double"))
+    return P.prepare_wind_market(raw)
+
+
+@query("A8_read_geo_polygons", GEO_CTE + O.pip("og_plants", "edges", "lon", "lat", "powerplant_id"))
+def a8(spark, d):
+    from capgrid.sources.sinks import write_geo_polygons
+
+    path = _scratch(spark, "shapes-geoparquet")
+    s, e = shapes(spark, d)
+    write_geo_polygons(s, e, path)
+    attrs, edges = R.read_geo_polygons(spark, path)
+    p, _ = og_plants(spark, d, with_country=False)
+    return geometry.points_in_shapes(p.select("powerplant_id", "lon", "lat"), edges, B, x="lon", y="lat").select("powerplant_id", "shape_id")
+
+
+_EXCLUDED = ["GEM_L899-G0", "GEM_L769-C1"]
+
+
+@query(
+    "A11_combine_with_user_plants",
+    O.ctes(**O.BASE, **O.COAL) + "SELECT powerplant_id, category FROM (SELECT powerplant_id, category FROM og_plants UNION ALL "
+    "SELECT powerplant_id, category FROM coal_plants) WHERE powerplant_id NOT IN ('" + "', '".join(_EXCLUDED) + "')",
+)
+def a11(spark, d):
+    og, _ = og_plants(spark, d, with_country=False)
+    coal, _ = P.prepare_coal(coal_raw(spark, d), FX.FIXTURE_TECH_MAP, cols=COAL_FIXTURE_COLS)
+    return R.combine_with_user_plants(og, [coal], _EXCLUDED).select("powerplant_id", "category")
+
+
+@query("I1_conform", PLANTS_CTE + f"SELECT {_sel(PLANT_OUT)}, ccs, chp, fuel_class FROM og_plants")
+def i1(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    return quality.conform(p, quality.PLANT_SCHEMA, optional=quality.PLANT_OPTIONAL)
+
+
+@query("I4_single_category", PLANTS_CTE + "SELECT DISTINCT category FROM og_plants")
+def i4(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    category = quality.single_category(p)
+    return p.select("category").where(F.col("category") == category).distinct()
+
+
+@query("B17_valid_points", CLEAN_CTE + "SELECT gem_unit_id, longitude AS lon, latitude AS lat FROM clean WHERE longitude BETWEEN -180 AND 180 AND latitude BETWEEN -90 AND 90")
+def b17(spark, d):
+    t = _clean_tracker(spark, d)
+    return t.where(X.valid_lonlat("longitude", "latitude")).select("gem_unit_id", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+
+
+def _equal_earth_sql(lon: str, lat: str) -> tuple[str, str]:
+    import math
+
+    from capgrid.operators.geometry import _A1, _A2, _A3, _A4, _authalic_constants
+
+    e, e2, qp, rq = _authalic_constants()
+    s = f"sin(radians({lat}))"
+    q = f"({1 - e2!r} * ({s} / (1e0 - {e2!r} * {s} * {s}) - {1 / (2 * e)!r} * ln((1e0 - {e!r} * {s}) / (1e0 + {e!r} * {s}))))"
+    beta = f"asin(least(greatest({q} / {qp!r}, -1e0), 1e0))"
+    th = f"asin({math.sqrt(3) / 2!r} * sin({beta}))"
+    t2 = f"({th} * {th})"
+    t6 = f"({t2} * {t2} * {t2})"
+    den = f"({_A1!r} + {3 * _A2!r} * {t2} + {t6} * ({7 * _A3!r} + {9 * _A4!r} * {t2}))"
+    x = f"{rq * 2 * math.sqrt(3) / 3!r} * radians({lon}) * cos({th}) / {den}"
+    y = f"{rq!r} * {th} * ({_A1!r} + {_A2!r} * {t2} + {t6} * ({_A3!r} + {_A4!r} * {t2}))"
+    return x, y
+
+
+_EE_X, _EE_Y = _equal_earth_sql("lon", "lat")
+
+
+@query("E1_project_8857", PLANTS_CTE + f"SELECT powerplant_id, round({_EE_X}, 2) AS x8857, round({_EE_Y}, 2) AS y8857 FROM og_plants")
+def e1b(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    x, y = geometry.project("lon", "lat", 8857)
+    return p.select("powerplant_id", F.round(x, 2).alias("x8857"), F.round(y, 2).alias("y8857"))
