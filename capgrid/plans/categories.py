@@ -286,10 +286,11 @@ def unadjusted_plants(
     adjustment and aggregation jobs read more than once.
     """
     assigned = cut_lineage(geometry.assign_country(plants, shapes, edges, band, on_overlap=location.on_overlap))
-    placed = relocate(
+    # relocation output is read twice by the imputation (group means, join back)
+    placed = cut_lineage(relocate(
         assigned.drop("shape_id"), shapes, exclusive_edges if exclusive_edges is not None else edges, band,
         location.shape_class, location.inner_distance, location.on_shape_class_error,
-    )
+    ))
     aged = impute.impute_time(
         placed, imputation.scenario, imputation.lifetime_years, imputation.retirement_delay_years, year
     )
