@@ -103,28 +103,37 @@ def default_band(edges: DataFrame, target_edges_per_band: int = 8) -> float:
 # ---------------------------------------------------------------------------
 # Geometry expressions on an `edges` array column
 # ---------------------------------------------------------------------------
+# The point travels in the accumulator of `aggregate`, so no lambda refers to a
+# column outside it: the expressions stay well-formed wherever the optimizer
+# moves them (join conditions, pushed-down filters).
+def _acc(px: Column, py: Column, **fields) -> Column:
+    return F.struct(px.cast("double").alias("px"), py.cast("double").alias("py"), *[v.alias(k) for k, v in fields.items()])
+
+
 def crossing_count(edges: Column, px: Column, py: Column) -> Column:
     """Number of edges crossed by the ray from (px, py) towards +x (half-open rule)."""
-    return F.aggregate(
-        edges,
-        F.lit(0),
-        lambda acc, e: acc
-        + F.when(
-            ((e["y1"] > py) != (e["y2"] > py))
-            & (px < e["x1"] + (py - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])),
-            1,
-        ).otherwise(0),
-    )
+
+    def step(acc, e):
+        x, y = acc["px"], acc["py"]
+        hit = ((e["y1"] > y) != (e["y2"] > y)) & (x < e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"]))
+        return F.struct(x.alias("px"), y.alias("py"), (acc["n"] + F.when(hit, 1).otherwise(0)).alias("n"))
+
+    return F.aggregate(edges, _acc(px, py, n=F.lit(0)), step)["n"]
 
 
 def on_boundary(edges: Column, px: Column, py: Column) -> Column:
     """True when (px, py) lies on one of the edges."""
-    return F.exists(
-        edges,
-        lambda e: (((e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])) == 0)
-        & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])),
-    )
+
+    def step(acc, e):
+        x, y = acc["px"], acc["py"]
+        on = (
+            (((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])) == 0)
+            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        )
+        return F.struct(x.alias("px"), y.alias("py"), (acc["on"] | on).alias("on"))
+
+    return F.aggregate(edges, _acc(px, py, on=F.lit(False)), step)["on"]
 
 
 def segment_distance(e: Column, px: Column, py: Column) -> Column:
@@ -138,7 +147,11 @@ def segment_distance(e: Column, px: Column, py: Column) -> Column:
 
 
 def min_edge_distance(edges: Column, px: Column, py: Column) -> Column:
-    return F.aggregate(edges, F.lit(float("inf")), lambda acc, e: F.least(acc, segment_distance(e, px, py)))
+    def step(acc, e):
+        x, y = acc["px"], acc["py"]
+        return F.struct(x.alias("px"), y.alias("py"), F.least(acc["d"], segment_distance(e, x, y)).alias("d"))
+
+    return F.aggregate(edges, _acc(px, py, d=F.lit(float("inf"))), step)["d"]
 
 
 # ---------------------------------------------------------------------------
