@@ -67,15 +67,6 @@ def measure_index(index: DataFrame) -> int:
     return int(total["n"] or 0) * _EDGE_BYTES + int(total["r"] or 0) * 64
 
 
-def index_size_bytes(edges: DataFrame, band: float, pad: float = 0.0) -> int:
-    """Size estimate of a one-cell band index straight from the edges."""
-    spans = F.floor((F.greatest("y1", "y2") + F.lit(pad)) / F.lit(band)) - F.floor(
-        (F.least("y1", "y2") - F.lit(pad)) / F.lit(band)
-    ) + F.lit(1)
-    total = edges.agg(F.sum(spans).alias("n")).first()["n"]
-    return int(total or 0) * _EDGE_BYTES
-
-
 def default_xcell(band: float) -> float:
     """x-cell width used with a band height (a few band heights wide)."""
     return 8.0 * band
@@ -302,11 +293,6 @@ def assign_country(
 # ---------------------------------------------------------------------------
 # Nearest shape and nearest part
 # ---------------------------------------------------------------------------
-def shape_geometry(edges: DataFrame) -> DataFrame:
-    """(shape_id, edges array of the whole shape) for distance work."""
-    return edges.groupBy("shape_id").agg(F.collect_list(F.struct("part", "x1", "y1", "x2", "y2")).alias("geom"))
-
-
 def distance_to_shape(geom: Column, px: Column, py: Column) -> Column:
     """0 inside, else the distance to the nearest edge."""
     inside = (crossing_count(geom, px, py) % 2) == 1

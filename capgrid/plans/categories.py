@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from capgrid import config as C
 from capgrid.functions import columns as X
 from capgrid.functions.fuels import parse_fuel_set
-from capgrid.operators import capacity, fuel_classes, geometry, impute, raster
+from capgrid.operators import capacity, fuel_classes, geometry, impute, quality, raster
 from capgrid.operators.place import relocate
 from capgrid.session import cut_lineage
 from capgrid.sources.readers import drop_invalid_status, drop_missing
@@ -276,9 +276,15 @@ def unadjusted_plants(
     location: C.LocationSettings,
     year: int = C.DATASET_YEAR,
     exclusive_edges: DataFrame | None = None,
+    quality_mode: str = "raise",
+    tech_values=None,
 ) -> DataFrame:
     """Assign countries (E16), relocate misplaced technologies (E15), impute ages.
 
+    The published table is checked against the "impute" stage rules (I2/I3)
+    with `quality_mode` ("raise", "report" or "skip"); `tech_values`, when
+    given, adds the technology vocabulary rule.
+
     The assigned table feeds several branches of the relocation (already
     inside / to move / untouched), so its lineage is cut once with a reliable
     checkpoint instead of re-running the spatial join per branch; the result
@@ -294,17 +300,22 @@ def unadjusted_plants(
     aged = impute.impute_time(
         placed, imputation.scenario, imputation.lifetime_years, imputation.retirement_delay_years, year
     )
-    return cut_lineage(aged)
+    published = cut_lineage(aged)
+    rules = quality.stage_rules(tech_values or [], "impute")
+    if tech_values is None:
+        rules = [r for r in rules if not (r.column == "technology" and r.kind == "isin")]
+    return quality.gate(published, rules, quality_mode)
 
 
 # P9 -----------------------------------------------------------------------
-def adjusted_plants(unadjusted: DataFrame, stats: DataFrame, year: int, category: str) -> DataFrame:
-    return capacity.adjust_capacity(unadjusted, stats, year, category)
+def adjusted_plants(unadjusted: DataFrame, stats: DataFrame, year: int, category: str, quality_mode: str = "skip") -> DataFrame:
+    out = capacity.adjust_capacity(unadjusted, stats, year, category)
+    return quality.gate(out, [quality.Rule("powerplant_id", "unique"), quality.Rule("output_capacity_mw", "gt", 0)], quality_mode)
 
 
 # P10 ----------------------------------------------------------------------
-def aggregated(plants: DataFrame, shapes: DataFrame, edges: DataFrame, year: int, band: float) -> DataFrame:
-    return capacity.aggregate_capacity(plants, shapes, edges, year, band)
+def aggregated(plants: DataFrame, shapes: DataFrame, edges: DataFrame, year: int, band: float, quality_mode: str = "skip") -> DataFrame:
+    return quality.gate(capacity.aggregate_capacity(plants, shapes, edges, year, band), quality.AGGREGATED_RULES, quality_mode)
 
 
 # P11 ----------------------------------------------------------------------

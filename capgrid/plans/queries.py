@@ -883,7 +883,7 @@ def unadjusted_df(spark, d):
     s, e = shapes(spark, d)
     loc = C.LocationSettings(inner_distance=0.5, on_overlap="raise", on_shape_class_error="drop", shape_class=FX.FIXTURE_SHAPE_CLASS)
     imp = C.ImputationSettings(scenario="construction", lifetime_years=FX.FIXTURE_LIFETIMES, retirement_delay_years=FX.FIXTURE_DELAYS)
-    return P.unadjusted_plants(p, s, e, B, imp, loc, Y)
+    return P.unadjusted_plants(p, s, e, B, imp, loc, Y, tech_values=FX.FIXTURE_TECH_MAP.values())
 
 
 RELOC_CTE = O.ctes(**O.BASE, **O.SHAPES, **O.relocation(0.5, FX.FIXTURE_SHAPE_CLASS))
