@@ -299,6 +299,31 @@ def distance_to_shape(geom: Column, px: Column, py: Column) -> Column:
     return F.when(inside, F.lit(0.0)).otherwise(min_edge_distance(geom, px, py))
 
 
+GROUP_SCAN_LIMIT = 64
+
+
+def _grid_bound(pts: DataFrame, reps: DataFrame, by, band: float, x: str, y: str, id_col: str) -> DataFrame:
+    """(id, _D): distance to the nearest representative found in the point's
+    3 x 3 grid neighbourhood, or among its whole group when none is nearby."""
+    px, py = F.col(x), F.col(y)
+    g = F.lit(float(band) * 16.0)
+    near_keys = F.explode(F.array(*[
+        F.struct((F.floor(px / g) + i).alias("_gx"), (F.floor(py / g) + j).alias("_gy")) for i in (-1, 0, 1) for j in (-1, 0, 1)
+    ]))
+    rep_cells = reps.select(*by, "rx", "ry", F.floor(F.col("rx") / g).alias("_gx"), F.floor(F.col("ry") / g).alias("_gy"))
+    local = (
+        pts.select(id_col, x, y, *by, near_keys.alias("_k")).select(id_col, x, y, *by, "_k._gx", "_k._gy")
+        .join(rep_cells, on=[*by, "_gx", "_gy"])
+        .groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
+    )
+    far = (
+        pts.join(local.select(id_col), on=id_col, how="left_anti")
+        .join(reps, on=list(by))
+        .groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
+    )
+    return local.unionByName(far)
+
+
 def nearest_shape(
     points: DataFrame,
     shapes: DataFrame,
@@ -324,7 +349,17 @@ def nearest_shape(
     attrs = shapes.select("shape_id", *by)
     reps = representative_points(edges).join(attrs, on="shape_id")
     pts = points.select(id_col, x, y, *by)
-    ub = pts.join(reps, on=list(by)).groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
+    # upper bound D: distance to an eligible representative point.  With small
+    # groups (measured: at most GROUP_SCAN_LIMIT shapes per key) each point is
+    # compared with its whole group; otherwise representatives are looked up
+    # in the point's 3 x 3 grid neighbourhood first and only points with none
+    # nearby compare against every representative of their group.
+    largest = attrs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if largest <= GROUP_SCAN_LIMIT:
+        ub = pts.join(reps, on=list(by)).groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
+    else:
+        ub = _grid_bound(pts, reps, by, band, x, y, id_col)
+
     # the window is also clamped to the y-extent of the eligible shapes (one row per key)
     extent = edges.groupBy("shape_id").agg(F.min(F.least("y1", "y2")).alias("_y0"), F.max(F.greatest("y1", "y2")).alias("_y1"))
     extent = extent.join(attrs, on="shape_id").groupBy(*by).agg(F.min("_y0").alias("_y0"), F.max("_y1").alias("_y1"))

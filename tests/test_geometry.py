@@ -189,3 +189,19 @@ def test_split_copies_move_into_exclusive_part(spark):
     out = geometry_rows = G.assign_country(plants, shapes, edges, 1.0, on_overlap="split_capacity", exclusive=ex, inner_distance=0.5)
     got = {r.powerplant_id: (r.shape_id, r.country_id, r.output_capacity_mw, round(r.lon, 6), round(r.lat, 6)) for r in geometry_rows.collect()}
     assert got == {"p_duplicate_0": ("A", "X", 5.0, 4.5, 5.0), "p_duplicate_1": ("B", "Y", 5.0, 10.5, 5.0)}
+
+
+def test_nearest_grid_bound_matches_group_scan(spark, monkeypatch):
+    from capgrid.plans import queries as Q
+
+    p, _ = Q.og_plants(spark, "/root/testdata/sf0.001")
+    s, e = Q.shapes(spark, "/root/testdata/sf0.001")
+    pts = p.select("powerplant_id", "lon", "lat", "country_id").withColumn("shape_class", F.lit("land"))
+
+    def run():
+        out = G.nearest_shape(pts, s, e, x="lon", y="lat", band=Q.B)
+        return sorted((r.powerplant_id, r.shape_id, r.part, round(r.distance, 9)) for r in out.collect())
+
+    direct = run()
+    monkeypatch.setattr(G, "GROUP_SCAN_LIMIT", 0)
+    assert run() == direct and len(direct) > 0
