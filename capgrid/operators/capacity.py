@@ -33,7 +33,8 @@ def scale_to_total(df: DataFrame, expected: DataFrame, by: str = "country_id", c
     # one row per country on both small sides (bounded by the country list): broadcast
     sums = df.groupBy(by).agg(F.sum(col).alias("_sum"))
     scaled = df.join(F.broadcast(sums), on=by).join(F.broadcast(expected), on=by)
-    return scaled.withColumn(col, F.col(col) / F.col("_sum") * F.col("expected")).select(*df.columns)
+    # a group summing to zero has no share to give (null, as pandas gives NaN; ANSI would raise)
+    return scaled.withColumn(col, F.try_divide(F.col(col), F.col("_sum")) * F.col("expected")).select(*df.columns)
 
 
 # G2 -----------------------------------------------------------------------

@@ -96,8 +96,8 @@ def fill_from_points(facilities: DataFrame, within: DataFrame, fac_id: str = "sh
         F.count(F.lit(1)).alias("_n"),
     )
     years = per.groupBy(fac_id).agg(
-        F.bround(F.sum("_ss") / F.sum("_ns"), 0).alias("_start"),
-        F.bround(F.sum("_se") / F.sum("_ne"), 0).alias("_end"),
+        F.bround(F.try_divide(F.sum("_ss"), F.sum("_ns")), 0).alias("_start"),
+        F.bround(F.try_divide(F.sum("_se"), F.sum("_ne")), 0).alias("_end"),
     )
     counted = per.where(F.col("status").isNotNull())
     top = counted.groupBy(fac_id).agg(F.max("_n").alias("_max"), F.max_by("status", "_n").alias("_mode"))

@@ -52,8 +52,8 @@ def split_points(edges: DataFrame, band: float) -> DataFrame:
     # proper crossings, plus end points of collinear edges lying on this edge
     crossing = F.when((den != 0) & t.between(0, 1) & u.between(0, 1), F.array(t))
     on_line = (den == 0) & ((wx * dy - wy * dx) == 0)
-    t1 = (wx * dx + wy * dy) / d2
-    t2 = ((F.col("b_x2") - F.col("a_x1")) * dx + (F.col("b_y2") - F.col("a_y1")) * dy) / d2
+    t1 = F.try_divide(wx * dx + wy * dy, d2)
+    t2 = F.try_divide((F.col("b_x2") - F.col("a_x1")) * dx + (F.col("b_y2") - F.col("a_y1")) * dy, d2)
     collinear = F.when(on_line, F.filter(F.array(t1, t2), lambda v: v.between(0, 1)))
     ts = pairs.select(
         *[F.col(f"a_{k}").alias(k) for k in EDGE_KEY], F.explode(F.coalesce(crossing, collinear, F.array())).alias("t")

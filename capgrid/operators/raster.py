@@ -53,7 +53,7 @@ def disaggregate_by_proxy(totals: DataFrame, pixels: DataFrame, land_shapes: Dat
     # per-country tables (bounded by the country list) are broadcast to the pixels
     shares = pc.join(F.broadcast(sums), on="country_id").join(F.broadcast(totals), on="country_id")
     spread = shares.select(
-        "prow", "pcol", "x", "y", (F.col("value") / F.col("_sum") * F.col("output_capacity_mw")).alias("value")
+        "prow", "pcol", "x", "y", (F.try_divide(F.col("value"), F.col("_sum")) * F.col("output_capacity_mw")).alias("value")
     )
     return spread.groupBy("prow", "pcol", "x", "y").agg(F.sum("value").alias("value"))
 

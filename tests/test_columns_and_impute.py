@@ -157,3 +157,18 @@ def test_conform_strict(spark):
     assert quality.conform(df, schema).schema["b"].dataType == quality.T.DoubleType()
     with pytest.raises(ValueError):
         quality.conform(df.withColumn("c", F.lit(1)), schema)
+
+
+def test_zero_denominators_give_null_not_errors(spark):
+    from conftest import EDGE_DDL, square_edges
+
+    from capgrid.operators import raster
+
+    plants = spark.createDataFrame([("a", "X", 0.0), ("b", "X", 0.0)], "powerplant_id string, country_id string, output_capacity_mw double")
+    expected = spark.createDataFrame([("X", 5.0)], "country_id string, expected double")
+    assert [r.output_capacity_mw for r in capacity.scale_to_total(plants, expected).collect()] == [None, None]
+    pixels = spark.createDataFrame([(0, 0, 0.5, 0.5, 0.0)], "prow int, pcol int, x double, y double, value double")
+    shapes = spark.createDataFrame([("S", "X", "land")], "shape_id string, country_id string, shape_class string")
+    edges = spark.createDataFrame(square_edges("S", 0, 0, 10, 10), EDGE_DDL)
+    totals = spark.createDataFrame([("X", 7.0)], "country_id string, output_capacity_mw double")
+    assert raster.disaggregate_by_proxy(totals, pixels, shapes, edges, 1.0).first()["value"] is None
