@@ -4,14 +4,19 @@ Polygons are held as an *edge table* `(shape_id, part, ring, x1, y1, x2, y2)`:
 one row per ring segment.  Membership (ray crossing + on-edge test) and
 distance (point-segment) need only these rows, no ring assembly.
 
-Point-in-polygon runs as an equi-join on a latitude band: every edge is
-listed in each band its y-range touches, grouped per (shape, band) into a
-small array.  A point joins the rows of its own band, keeps those whose
-x-range covers it (exact: outside that range the crossing count is even),
-and the crossing parity is evaluated with SQL higher-order functions, so
-the whole test runs in the JVM.  The band index is broadcast only after its
-size has been measured; above the limit the join is a shuffle join on the
-band, which AQE splits when one band is hot.
+Point-in-polygon runs as an equi-join on (latitude band, x-cell): every edge
+is listed in each band its y-range touches, grouped per (shape, band) into a
+small array, and each band row is copied to the x-cells it spans keeping only
+the edges that reach that cell or further right.  A point joins the rows of
+its own (band, cell), keeps those whose x-range covers it (exact: outside
+that range the crossing count is even), and the crossing parity is evaluated
+with SQL higher-order functions, so the whole test runs in the JVM.  The
+index is broadcast only after its size has been measured; above the limit
+the join is a shuffle join on (band, cell), which AQE splits when one cell
+is hot.
+
+Nearest-shape search reads only the band rows within a distance bound of
+each point, from a pyramid of band heights chosen per point.
 """
 
 from __future__ import annotations
