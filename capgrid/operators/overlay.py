@@ -4,7 +4,7 @@ No polygon overlay library is needed.  The boundary of "i and no other
 shape" is made of pieces of the input edges:
 
 1. every edge is split where an edge of another shape crosses it or runs
-   along it (candidate pairs from a latitude-band self-join of the edges);
+   along it (candidate pairs from a (band, x-cell) self-join of the edges);
 2. each piece gets two probe points a small distance either side of its
    midpoint, and the band point-in-polygon join tells which shapes contain
    each probe;
@@ -26,18 +26,29 @@ from capgrid.operators.geometry import points_in_shapes
 EDGE_KEY = ["shape_id", "part", "ring", "seq"]
 
 
-def _edge_bands(edges: DataFrame, band: float, prefix: str) -> DataFrame:
+def _edge_cells(edges: DataFrame, band: float, prefix: str) -> DataFrame:
+    """Each edge listed in every (band, x-cell) its bounding box touches."""
+    w = 8.0 * band
     lo = F.floor(F.least("y1", "y2") / F.lit(band))
     hi = F.floor(F.greatest("y1", "y2") / F.lit(band))
+    xlo = F.floor(F.least("x1", "x2") / F.lit(w))
+    xhi = F.floor(F.greatest("x1", "x2") / F.lit(w))
     cols = [F.col(c).alias(prefix + c) for c in [*EDGE_KEY, "x1", "y1", "x2", "y2"]]
-    return edges.select(*cols, F.explode(F.sequence(lo, hi)).alias("b"))
+    return edges.select(*cols, F.explode(F.sequence(lo, hi)).alias("b"), xlo.alias("_xlo"), xhi.alias("_xhi")).select(
+        *[c for c in [prefix + k for k in [*EDGE_KEY, "x1", "y1", "x2", "y2"]]], "b",
+        F.explode(F.sequence("_xlo", "_xhi")).alias("c"),
+    )
 
 
 def split_points(edges: DataFrame, band: float) -> DataFrame:
-    """(edge key, t) positions along each edge where another shape's edge meets it."""
-    a = _edge_bands(edges, band, "a_")
-    b = _edge_bands(edges, band, "b_")
-    pairs = a.join(b, on="b").where(F.col("a_shape_id") != F.col("b_shape_id"))
+    """(edge key, t) positions along each edge where another shape's edge meets it.
+
+    Candidate pairs meet in a shared (band, x-cell), so a long boundary in one
+    band is compared only with the edges near each of its pieces.
+    """
+    a = _edge_cells(edges, band, "a_")
+    b = _edge_cells(edges, band, "b_")
+    pairs = a.join(b, on=["b", "c"]).where(F.col("a_shape_id") != F.col("b_shape_id"))
     pairs = pairs.where(
         (F.greatest("a_x1", "a_x2") >= F.least("b_x1", "b_x2")) & (F.greatest("b_x1", "b_x2") >= F.least("a_x1", "a_x2"))
         & (F.greatest("a_y1", "a_y2") >= F.least("b_y1", "b_y2")) & (F.greatest("b_y1", "b_y2") >= F.least("a_y1", "a_y2"))
