@@ -61,3 +61,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def cluster_conf(total_input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:
+    """Recommended settings for a large run (returned, not applied).
+
+    Scans split at 256 MB; the initial shuffle partition count is sized so a
+    partition holds about 256 MB of the input (AQE then coalesces small ones
+    and splits skewed ones); broadcasts are decided by the library's own
+    measured checks, so the automatic threshold stays modest.
+    """
+    target = 256 * 1024 * 1024
+    partitions = max(executors * executor_cores * 2, total_input_bytes // target)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
+    }
