@@ -92,3 +92,13 @@ def coarsen(pixels: DataFrame, factor: int, n_rows: int, n_cols: int) -> DataFra
         .groupBy((F.col("prow") / f).cast("int").alias("brow"), (F.col("pcol") / f).cast("int").alias("bcol"))
         .agg(F.avg("value").alias("value"), F.avg("x").alias("x"), F.avg("y").alias("y"))
     )
+
+
+def coarsen_to_budget(pixels: DataFrame, budget: int = 500_000) -> DataFrame:
+    """Coarsen with the factor ceil(sqrt(n / budget)), n = grid rows x columns.
+
+    The grid size comes from one small aggregate (max row and column index).
+    """
+    dims = pixels.agg((F.max("prow") + 1).alias("r"), (F.max("pcol") + 1).alias("c")).first()
+    n_rows, n_cols = int(dims["r"] or 0), int(dims["c"] or 0)
+    return coarsen(pixels, coarsen_factor(n_rows * n_cols, budget), n_rows, n_cols)

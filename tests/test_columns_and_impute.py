@@ -172,3 +172,14 @@ def test_zero_denominators_give_null_not_errors(spark):
     edges = spark.createDataFrame(square_edges("S", 0, 0, 10, 10), EDGE_DDL)
     totals = spark.createDataFrame([("X", 7.0)], "country_id string, output_capacity_mw double")
     assert raster.disaggregate_by_proxy(totals, pixels, shapes, edges, 1.0).first()["value"] is None
+
+
+def test_coarsen_to_budget(spark):
+    from capgrid.operators import raster
+
+    rows = [(r, c, float(c), float(r), float(r * 10 + c)) for r in range(10) for c in range(9)]
+    pixels = spark.createDataFrame(rows, "prow int, pcol int, x double, y double, value double")
+    assert raster.coarsen_factor(90, 10) == 3
+    out = {(r.brow, r.bcol): r.value for r in raster.coarsen_to_budget(pixels, budget=10).collect()}
+    # 10 x 9 grid, factor 3: the tenth row is trimmed, 3 x 3 blocks remain
+    assert len(out) == 9 and out[(0, 0)] == sum(r * 10 + c for r in range(3) for c in range(3)) / 9
