@@ -34,3 +34,21 @@ def test_stream_matches_batch(spark):
         assert a == b and len(a) > 0
     finally:
         q.stop()
+
+
+def test_stream_file_sink_overwrites_with_running_totals(spark):
+    plants = conform(Q.aged_plants(spark, SF), PLANT_SCHEMA, optional=["reservoir_km3"])
+    plants = plants.withColumn("reservoir_km3", F.lit(None).cast("double")).cache()
+    folder = tempfile.mkdtemp(prefix="capgrid-stream-in-")
+    out = tempfile.mkdtemp(prefix="capgrid-stream-out-") + "/table"
+    plants.write.mode("append").parquet(folder)
+    shapes, edges = Q.shapes(spark, SF)
+    name = f"cap_file_{uuid.uuid4().hex[:8]}"
+    q = start(running_capacity(stream_plants(spark, folder), shapes, edges, Q.Y, Q.B), name, sink="parquet", path=out)
+    try:
+        q.processAllAvailable()
+        got = spark.read.parquet(out).agg(F.sum("output_capacity_mw")).first()[0]
+        want = aggregate_capacity(plants, shapes, edges, Q.Y, Q.B).agg(F.sum("output_capacity_mw")).first()[0]
+        assert abs(got - want) < 1e-6 * max(1.0, abs(want))
+    finally:
+        q.stop()
