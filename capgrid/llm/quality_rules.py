@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from capgrid.llm import common
 
 BUCKETS = 1 << 14
-THRESHOLD = -0.5
+THRESHOLD = -0.3
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -54,18 +54,20 @@ def _indices(first: int, last: Column) -> Column:
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row: `ratios`, log target minus log raw probability of every bucket."""
     marked = common.broadcast_if_small(trusted.select(F.col(id_col).alias("trusted_id")).filter(F.col("trusted_id").isNotNull()).distinct(), 16)
-    hashed = docs.select(F.col(id_col).alias("id"), F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w)).alias("h"))
-    flagged = hashed.join(marked, F.col("id") == F.col("trusted_id"), "left").select("h", F.col("trusted_id").isNotNull().cast("int").alias("t"))
-    single = F.transform("h", lambda h: _bucket(h, buckets))
-    double = F.transform(_indices(1, F.size("h") - 1), lambda i: _bucket(_pair("h", i), buckets))
-    grams = flagged.select("t", F.explode(F.concat(single, double)).alias("bucket"))
+    split = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w")).join(marked, F.col("id") == F.col("trusted_id"), "left")
+    # each word beside the next one, so that hashing runs on exploded rows in generated code
+    beside = split.select(F.col("trusted_id").isNotNull().cast("int").alias("t"), F.explode(F.arrays_zip("w", F.slice("w", F.lit(2), F.size("w")).alias("next"))).alias("z"))
+    hashed = beside.select("t", F.xxhash64("z.w").alias("h"), F.when(F.col("z.next").isNotNull(), F.xxhash64("z.next")).alias("next"))
+    single, double = _bucket(F.col("h"), buckets), _bucket(F.xxhash64("h", "next"), buckets)
+    grams = hashed.select("t", F.explode(F.when(F.col("next").isNull(), F.array(single)).otherwise(F.array(single, double))).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("target"))
-    sums = counted.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"), F.map_from_entries(F.collect_list(F.struct("bucket", F.struct("raw", "target")))).alias("by"))
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    full = every.join(counted, "bucket", "left").select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target"))
+    sums = full.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"), F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("by"))
     ratio = lambda b: (
-        F.log((F.coalesce(b["target"], F.lit(0)) + 1) / (F.coalesce("target_all", F.lit(0)) + buckets))
-        - F.log((F.coalesce(b["raw"], F.lit(0)) + 1) / (F.coalesce("raw_all", F.lit(0)) + buckets))
+        F.log((b["target"] + 1) / (F.col("target_all") + buckets)) - F.log((b["raw"] + 1) / (F.col("raw_all") + buckets))
     )
-    return sums.select(F.when(F.coalesce("target_all", F.lit(0)) > 0, F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: ratio(F.element_at("by", i)))).otherwise(F.array_repeat(F.lit(0.0), buckets)).alias("ratios"))
+    return sums.select(F.transform("by", lambda b: F.when(F.col("target_all") > 0, ratio(b)).otherwise(0.0)).alias("ratios"))
 
 
 def evaluate(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,7 +96,7 @@ def evaluate(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
     )
     fourth = third.withColumn("ratios", ratios).select(
         "id", "n", "word_chars", "n_symbols", "n_dup_lines",
-        F.when(F.size(F.array_distinct("win")) < F.size("win"), F.array_sort(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("sorted"),
+        F.when(F.size(F.array_distinct("win")) < F.size("win"), F.sort_array(F.transform("win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("sorted"),
         F.when(F.col("n") > 0, total / (2 * F.col("n") - 1)).otherwise(0.0).alias("score"),
     )
     both = F.zip_with(
