@@ -17,36 +17,35 @@ def capacity_buildup(plants: DataFrame) -> DataFrame:
 
     Each plant adds its capacity at ceil(start) and removes it at ceil(end);
     a running sum over the year spine gives the active capacity, so no plant
-    is exploded over its lifetime.
+    is exploded over its lifetime.  The number of active plants runs along:
+    where it is zero so is the capacity, without a residue of the sum.  Plants
+    that never start, or end before they start, are never active.
     """
-    # the year range and the technology vocabulary are two tiny aggregates
-    row = plants.agg(
+    plants = plants.where(F.col("start_year").isNotNull() & (F.col("end_year").isNull() | (F.col("end_year") > F.col("start_year"))))
+    # the year range and the technology vocabulary: one row, read by scalar subqueries
+    extent = plants.agg(
         F.floor(F.min("start_year")).cast("int").alias("y0"),
         F.floor(F.max("end_year")).cast("int").alias("y1"),
         F.array_sort(F.collect_set("technology")).alias("techs"),
-    ).first()
-    if row["y0"] is None:
-        return plants.sparkSession.createDataFrame(
-            [], "country_id string, technology string, year int, output_capacity_mw double"
-        )
+    )
     spine = plants.select("country_id").distinct().select(
-        "country_id",
-        F.explode(F.array(*[F.lit(t) for t in row["techs"]])).alias("technology"),
-    ).select("country_id", "technology", F.explode(F.sequence(F.lit(row["y0"]), F.lit(row["y1"]))).alias("year"))
+        "country_id", F.explode(extent.select("techs").scalar()).alias("technology")
+    ).select("country_id", "technology", F.explode(F.sequence(extent.select("y0").scalar(), extent.select("y1").scalar())).alias("year"))
     ev = plants.select(
         "country_id", "technology",
         F.explode(
             F.array(
-                F.struct(F.ceil("start_year").cast("int").alias("year"), F.col("output_capacity_mw").alias("d")),
-                F.struct(F.ceil("end_year").cast("int").alias("year"), (-F.col("output_capacity_mw")).alias("d")),
+                F.struct(F.ceil("start_year").cast("int").alias("year"), F.col("output_capacity_mw").alias("d"), F.lit(1).alias("n")),
+                F.struct(F.ceil("end_year").cast("int").alias("year"), (-F.col("output_capacity_mw")).alias("d"), F.lit(-1).alias("n")),
             )
         ).alias("e"),
-    ).select("country_id", "technology", "e.year", "e.d")
-    deltas = ev.groupBy("country_id", "technology", "year").agg(F.sum("d").alias("d"))
+    ).select("country_id", "technology", "e.year", "e.d", "e.n")
+    deltas = ev.groupBy("country_id", "technology", "year").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
     w = Window.partitionBy("country_id", "technology").orderBy("year").rowsBetween(Window.unboundedPreceding, 0)
     # deltas before the first spine year belong to no spine row; starts are never before y0
     out = spine.join(deltas, on=["country_id", "technology", "year"], how="left").withColumn(
-        "output_capacity_mw", F.sum(F.coalesce("d", F.lit(0.0))).over(w)
+        "output_capacity_mw",
+        F.when(F.sum(F.coalesce("n", F.lit(0))).over(w) == 0, F.lit(0.0)).otherwise(F.sum(F.coalesce("d", F.lit(0.0))).over(w)),
     )
     return out.select("country_id", "technology", "year", "output_capacity_mw")
 

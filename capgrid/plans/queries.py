@@ -2,8 +2,8 @@
 independent DuckDB oracle where SQL can express it.
 
 Every query reads the driver's test tables through the stand-ins of
-`fixtures` (so its work grows with the scale factor) and returns a
-DataFrame whose double columns are rounded for value comparison.
+`fixtures` (so its work grows with the scale factor) and returns its values
+as computed, without rounding.
 """
 
 from __future__ import annotations
@@ -27,18 +27,9 @@ from capgrid.sources import readers as R
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-DIGITS = 4
-
-
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(
-        *[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in df.schema.fields]
-    )
-
-
 def query(name: str, sql: str | None = None):
     def wrap(fn):
-        QUERIES[name] = lambda spark, sf_dir: rounded(fn(spark, sf_dir))
+        QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -71,7 +62,7 @@ def og_plants(spark, d, with_country: bool = True):
 
 
 def coal_raw(spark, d):
-    return tracker(spark, d).withColumn("coal_unit_id", F.concat(F.lit("C"), F.substring("gem_unit_id", 2, 100)))
+    return tracker(spark, d).withColumn("coal_unit_id", F.concat(F.lit("C"), F.expr("substring(gem_unit_id, 2)")))
 
 
 def shapes(spark, d, overlap=False):
@@ -1124,7 +1115,8 @@ _MARKET_STATUS = {"operating": "Production", "retired": "Dismantled", "construct
 
 @query(
     "A7_P7_wind_market",
-    O.ctes(tracker=O.TRACKER) + f"""SELECT 'WEMI_' || substr(gem_unit_id, 2) AS powerplant_id, plant_name AS name, 'wind' AS category,
+    O.ctes(tracker=O.TRACKER) + f"""SELECT 'WEMI_' || CASE WHEN gem_unit_id LIKE '%7' THEN 'WF-' || substr(gem_unit_id, 2) WHEN gem_unit_id LIKE '%3' THEN 'A' || substr(gem_unit_id, 2)
+    WHEN gem_unit_id LIKE '%64' THEN NULL ELSE substr(gem_unit_id, 2) END AS powerplant_id, plant_name AS name, 'wind' AS category,
   CASE WHEN technology_raw LIKE '%URGENT%' THEN 'offshore' ELSE 'onshore' END AS technology,
   floor(capacity_mw_raw * 1000) * 0.001e0 AS output_capacity_mw,
   TRY_CAST(start_year_raw AS DOUBLE) AS start_year, CAST(NULL AS DOUBLE) AS end_year,
@@ -1135,10 +1127,12 @@ FROM tracker WHERE capacity_mw_raw IS NOT NULL AND latitude IS NOT NULL""",
 def a7(spark, d):
     path = _scratch(spark, "wind-market")
     t = tracker(spark, d)
+    number = F.expr("substring(gem_unit_id, 2)")
     units = spark.createDataFrame([("(id)", "(text)", "(kW)", "(km)", "(date)", "(text)", "(deg)", "(deg)")],
                                   "ID string, Name string, `Total power` string, `Offshore\nShore distance` string, `Commissioning date` string, Status string, Latitude string, Longitude string")
     rows = t.select(
-        F.substring("gem_unit_id", 2, 100).alias("ID"), F.col("plant_name").alias("Name"),
+        F.when(F.col("gem_unit_id").endswith("7"), F.concat(F.lit("WF-"), number)).when(F.col("gem_unit_id").endswith("3"), F.concat(F.lit("A"), number))
+        .when(~F.col("gem_unit_id").endswith("64"), number).alias("ID"), F.col("plant_name").alias("Name"),
         F.coalesce(F.floor(F.col("capacity_mw_raw") * 1000).cast("string"), F.lit("#ND")).alias("Total power"),
         F.when(F.col("technology_raw").contains("URGENT"), F.lit("Yes (8 km)")).otherwise(F.lit("No")).alias("Offshore\nShore distance"),
         F.coalesce(F.concat(F.lit("Q2 "), F.col("start_year_raw")), F.lit("#ND")).alias("Commissioning date"),
@@ -1146,8 +1140,8 @@ def a7(spark, d):
         F.coalesce(F.col("latitude").cast("string"), F.lit("#ND")).alias("Latitude"),
         F.col("longitude").cast("string").alias("Longitude"),
     )
-    units.unionByName(rows).coalesce(1).write.option("header", True).csv(path)
-    raw = R.read_sentinel_table(spark, path, first_col="ID")
+    units.unionByName(rows).write.option("header", True).csv(path)
+    raw = R.read_sentinel_table(spark, path, units={"ID": "(id)", "Total power": "(kW)", "Latitude": "(deg)"})
     raw = raw.withColumn("Latitude", F.col("Latitude").cast("double")).withColumn("Longitude", F.col("Longitude").cast("double"))
     return P.prepare_wind_market(raw)
 

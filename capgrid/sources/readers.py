@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,15 +93,22 @@ def explode_series(series: DataFrame) -> DataFrame:
 
 # A7 -----------------------------------------------------------------------
 def read_sentinel_table(
-    spark: SparkSession, path: str, null_value: str = "#ND", units_row: bool = True, first_col: str | None = None
+    spark: SparkSession, path: str, null_value: str = "#ND", units_row: bool = True, units: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """CSV export of a sheet with a null sentinel and a units row under the header."""
+    """CSV export of a sheet with a null sentinel and a units row under the header.
+
+    The units row is known by its exact texts: those in `units`, or, when none
+    are given, all cells of the file's first row.  Rows that differ from it in
+    any of these cells are kept, whatever their id looks like.
+    """
     df = spark.read.option("header", True).option("nullValue", null_value).option("multiLine", True).csv(path)
-    if units_row:
-        # the units row is the first data row; it carries no numeric id
-        key = first_col or df.columns[0]
-        df = df.where(F.col(key).try_cast("double").isNotNull() | F.col(key).rlike(r"^\d"))
-    return df
+    if not units_row:
+        return df
+    cells = dict(units) if units is not None else (first.asDict() if (first := df.first()) else {})
+    if not cells:
+        return df
+    same = reduce(and_, [F.col(f"`{name}`").eqNullSafe(F.lit(text)) for name, text in cells.items()])
+    return df.where(~same)
 
 
 # A8 -----------------------------------------------------------------------

@@ -12,13 +12,12 @@ def write_output(df: DataFrame, path: str, shapes: str, adjustment: str, categor
     Dynamic partition overwrite replaces only the partition being written, so
     jobs for other categories can publish into the same table concurrently.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (
         df.withColumn("shapes", F.lit(shapes))
         .withColumn("adjustment", F.lit(adjustment))
         .withColumn("category_part", F.lit(category))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("shapes", "adjustment", "category_part")
         .parquet(path)
     )

@@ -5,7 +5,6 @@ Usage: python tests/oracle_check.py [sf_dir] [name-substring ...]
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 
@@ -16,29 +15,15 @@ sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(_
 from capgrid.plans.fixtures import BASE_TABLES  # noqa: E402
 from capgrid.plans.queries import ORACLES, QUERIES  # noqa: E402
 from capgrid.session import local_session  # noqa: E402
+from compare import differences  # noqa: E402
 
 TABLES = BASE_TABLES
 
 
-def norm(v):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 4)
-    if hasattr(v, "item"):
-        return v.item()
-    return v
-
-
-def canon(rows, cols):
-    idx = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted((tuple(repr(norm(r[i])) for i in idx) for r in rows))
-
-
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = local_session(8)
+    spark = local_session(int(__import__('os').environ.get('CPUS', '8')))
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
@@ -68,19 +53,9 @@ def main():
             print(f"FAIL {name}: duckdb error {str(exc)[:600]}")
             bad += 1
             continue
-        if sorted(scols) != sorted(dcols):
-            print(f"FAIL {name}: columns {sorted(scols)} vs {sorted(dcols)}")
-            bad += 1
-            continue
-        a = canon([tuple(r) for r in srows], scols)
-        b = canon(drows, dcols)
-        if a == b:
-            ok += 1
-            print(f"ok   {name}: {len(a)} rows {ts:.1f}s")
-        else:
-            bad += 1
-            sa, sb = set(a), set(b)
-            print(f"FAIL {name}: spark {len(a)} rows, duck {len(b)} rows; only spark {list(sa - sb)[:3]} only duck {list(sb - sa)[:3]}")
+        wrong = differences(srows, scols, drows, dcols)
+        ok, bad = (ok + 1, bad) if not wrong else (ok, bad + 1)
+        print(f"{'FAIL' if wrong else 'ok  '} {name}: {len(srows)} rows {ts:.1f}s {wrong or ''}", flush=True)
     print(f"{ok} ok, {bad} failed")
     spark.stop()
 
