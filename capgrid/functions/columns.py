@@ -65,7 +65,7 @@ def map_technology(c: ColumnLike, mapping: Mapping[str, str], strict: bool = Tru
     if not strict:
         return value
     return F.when(value.isNotNull(), value).otherwise(
-        F.raise_error(F.concat(F.lit("No technology mapping for '"), key, F.lit("'.")))
+        F.raise_error(F.concat(F.lit("technology without an entry in its map: "), key))
     )
 
 
@@ -76,7 +76,7 @@ def map_plain(c: ColumnLike, mapping: Mapping[str, str], default: str | None = N
     if not strict:
         return value
     return F.when(value.isNotNull(), value).otherwise(
-        F.raise_error(F.concat(F.lit("No mapping for '"), F.coalesce(key, F.lit("null")), F.lit("'.")))
+        F.raise_error(F.concat(F.lit("value without an entry in its map: "), F.coalesce(key, F.lit("null"))))
     )
 
 
@@ -95,7 +95,7 @@ def ac_capacity(capacity: ColumnLike, rating: ColumnLike, dc_ac_ratio: float, de
     return (
         F.when(r == "AC", cap)
         .when(r == "DC", cap / F.lit(float(dc_ac_ratio)))
-        .otherwise(F.raise_error(F.concat(F.lit("Invalid capacity rating '"), r, F.lit("'."))))
+        .otherwise(F.raise_error(F.concat(F.lit("unknown capacity rating: "), r)))
     )
 
 
@@ -202,7 +202,7 @@ def year_predicate(year: int, how: str, start: ColumnLike = "start_year", end: C
         return s > y
     if how == "past":
         return y >= e
-    raise ValueError(f"Invalid request {how!r}.")
+    raise ValueError(f"how is 'operating', 'future' or 'past', not {how!r}")
 
 
 # C4 -----------------------------------------------------------------------

@@ -34,7 +34,7 @@ def parse_fuel_set(
         if not strict:
             return v
         return F.when(v.isNotNull(), v).otherwise(
-            F.raise_error(F.concat(F.lit("No mapped fuel for '"), x, F.lit("'.")))
+            F.raise_error(F.concat(F.lit("fuel without an entry in its map: "), x))
         )
 
     entries = F.transform(F.split(_col(cell), ","), clean)

@@ -140,4 +140,4 @@ def split_total(stats: DataFrame, rel_tol: float = 1e-9) -> tuple[DataFrame, Dat
 def checksum_gate(check: DataFrame) -> None:
     row = check.first()
     if not row["ok"]:
-        raise AssertionError(f"Aggregated capacity checksum failed: {row['total_sum']} vs {row['category_sum']}.")
+        raise ValueError(f"the categories add up to {row['category_sum']} MW, the totals to {row['total_sum']} MW")

@@ -280,7 +280,7 @@ def assign_country(
         counted = match_counts(matched, id_col)
         gated = F.when(
             F.col("_matches") > 1,
-            F.raise_error(F.concat(F.lit("Found powerplants intersecting multiple countries: "), F.col(id_col))),
+            F.raise_error(F.concat(F.lit("Plant lies in shapes of more than one match: "), F.col(id_col))),
         ).otherwise(F.col("country_id"))
         return counted.withColumn("country_id", gated).withColumn("split", F.lit(False)).drop("_matches")
     if on_overlap == "split_capacity":
@@ -292,7 +292,7 @@ def assign_country(
         moved = place_inside(out.where("split"), exclusive, inner_distance, x=x, y=y, id_col=id_col)
         split_rows = out.where("split").join(moved, on=id_col).withColumn(x, F.col("new_x")).withColumn(y, F.col("new_y"))
         return out.where(~F.col("split")).unionByName(split_rows.drop("new_x", "new_y"))
-    raise ValueError(f"Invalid overlap method {on_overlap!r}.")
+    raise ValueError(f"on_overlap is 'raise' or 'split_capacity', not {on_overlap!r}")
 
 
 # ---------------------------------------------------------------------------
@@ -423,14 +423,28 @@ def nearest_shape(
     )
 
 
+def edge_foot(px: Column, py: Column) -> tuple[Column, Column]:
+    """The point of the row's edge (x1, y1, x2, y2) that is nearest to (px, py)."""
+    x1, y1, dx, dy = F.col("x1"), F.col("y1"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    share = F.coalesce(((px - x1) * dx + (py - y1) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+    t = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
+    return x1 + t * dx, y1 + t * dy
+
+
 def nearest_part(points: DataFrame, edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """For (point, shape_id) rows, the polygon part closest to the point (ties -> smallest part)."""
-    parts = edges.groupBy("shape_id", "part").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("pe"))
+    """For (point, shape_id) rows, the polygon part closest to the point (ties -> smallest part).
+
+    Points meet edges as join rows; distance and inside-ness are aggregates.
+    """
     px, py = F.col(x), F.col(y)
-    key_cols = points.columns
-    cand = points.join(parts, on="shape_id").withColumn("_d", distance_to_shape(F.col("pe"), px, py))
-    best = F.min_by(F.col("part"), F.struct("_d", "part"))
-    return cand.groupBy(*key_cols).agg(best.alias("part"))
+    foot = edge_foot(px, py)
+    right = ((F.col("y1") > py) != (F.col("y2") > py)) & (
+        px < F.col("x1") + (py - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+    )
+    met = points.join(edges.select("shape_id", "part", "x1", "y1", "x2", "y2"), on="shape_id")
+    by_part = met.groupBy(*points.columns, "part").agg(F.min(F.hypot(px - foot[0], py - foot[1])).alias("_gap"), F.count_if(right).alias("_crossed"))
+    gap = F.when(F.col("_crossed") % 2 == 1, F.lit(0.0)).otherwise(F.col("_gap"))
+    return by_part.groupBy(*points.columns).agg(F.min_by("part", F.struct(gap.alias("_d"), "part")).alias("part"))
 
 
 # ---------------------------------------------------------------------------
@@ -446,7 +460,7 @@ def require_target_shape(
     them out of `valid` too but the caller leaves them in place unmoved.
     """
     if on_error not in ("raise", "drop", "ignore"):
-        raise ValueError(f"Invalid on_error {on_error!r}.")
+        raise ValueError(f"on_error is 'raise', 'drop' or 'ignore', not {on_error!r}")
     available = shapes.select("country_id", F.col("shape_class").alias(class_col)).distinct().withColumn("_ok", F.lit(True))
     keys = ["country_id", class_col]
     flagged = candidates.join(F.broadcast(available), on=keys, how="left")
@@ -456,8 +470,7 @@ def require_target_shape(
             F.col("_ok").isNull(),
             F.raise_error(
                 F.concat(
-                    F.lit("No matching shapes found: technology="), F.col("technology"),
-                    F.lit(", country_id="), F.col("country_id"), F.lit(", shape_class="), F.col(class_col),
+                    F.lit("The country has no shape of the wanted class: "), F.concat_ws(" / ", "technology", "country_id", class_col),
                 )
             ),
         ).otherwise(F.col("country_id"))

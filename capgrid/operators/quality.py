@@ -156,7 +156,7 @@ def stage_rules(tech_values: Iterable[str], stage: str) -> list[Rule]:
     elif stage == "impute":
         statuses, years_required = IMPUTED_STATUS, True
     else:
-        raise ValueError(f"Incorrect stage given: '{stage}'.")
+        raise ValueError(f"unknown rule stage {stage!r}")
     rules = [
         Rule("powerplant_id", "unique"),
         Rule("powerplant_id", "not_null"),
@@ -194,7 +194,7 @@ def single_category(df: DataFrame) -> str:
     """The one category of a table (reads at most two distinct values)."""
     cats = [r[0] for r in df.select("category").distinct().limit(2).collect()]
     if len(cats) != 1:
-        raise ValueError(f"Cannot compute dataset with ambiguous category. Found '{cats}'")
+        raise ValueError(f"the table must hold exactly one category, it holds {cats}")
     return cats[0]
 
 

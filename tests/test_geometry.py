@@ -7,7 +7,7 @@ from conftest import EDGE_DDL, square_edges
 from pyspark.sql import functions as F
 
 from capgrid.operators import geometry as G
-from capgrid.operators.place import place_inside, place_slightly_inside
+from capgrid.operators.place import place_inside
 
 
 def _edges(spark):
@@ -104,21 +104,32 @@ def test_representative_point_inside(spark):
     assert _matches(G.points_in_shapes(pt, edges, 1.0, boundary="exclude")) == [("r", "L")]
 
 
-def test_place_slightly_inside_ray_and_midpoint():
-    sq = [np.array(v, float) for v in zip(*[(0, 0, 10, 0), (10, 0, 10, 10), (10, 10, 0, 10), (0, 10, 0, 0)])]
-    x, y = place_slightly_inside(-5.0, 5.0, sq, 5.0, 5.0, 1.0)
-    assert math.isclose(x, 1.0) and math.isclose(y, 5.0)
-    # narrow strip: the inner distance exceeds the span, so the midpoint is used
-    strip = [np.array(v, float) for v in zip(*[(0, 0, 1, 0), (1, 0, 1, 10), (1, 10, 0, 10), (0, 10, 0, 0)])]
-    x, y = place_slightly_inside(-3.0, 5.0, strip, 0.5, 5.0, 5.0)
-    assert math.isclose(x, 0.5) and math.isclose(y, 5.0)
-
-
-def test_place_inside_job(spark):
-    edges = spark.createDataFrame(square_edges("S", 0, 0, 10, 10), EDGE_DDL)
-    pts = spark.createDataFrame([("p", -5.0, 5.0, "S")], "powerplant_id string, lon double, lat double, shape_id string")
-    r = place_inside(pts, edges, 1.0).collect()[0]
-    assert math.isclose(r["new_x"], 1.0) and math.isclose(r["new_y"], 5.0)
+def test_place_inside(spark):
+    """Ray through the contact, the middle of a short stretch, points that touch already, and holes."""
+    ring = [(0, 0), (0, 10), (10, 10), (10, 0)]
+    hole = [("H", 0, 1, i, *map(float, a), *map(float, b)) for i, (a, b) in enumerate(zip([(4, 4), (6, 4), (6, 6), (4, 6)], [(6, 4), (6, 6), (4, 6), (4, 4)]))]
+    rows = (
+        square_edges("S", 0, 0, 10, 10) + square_edges("T", 0, 0, 1, 10)
+        + [("H", 0, 0, i, *map(float, a), *map(float, b)) for i, (a, b) in enumerate(zip(ring, ring[1:] + ring[:1]))] + hole
+        + square_edges("M", 0, 0, 1, 1, part=0) + square_edges("M", 5, 0, 9, 4, part=1)
+    )
+    points = [
+        ("outside", -5.0, 5.0, "S", (1.0, 5.0)),
+        ("narrow", -3.0, 5.0, "T", (0.5, 5.0)),
+        ("corner", -3.0, -4.0, "S", (0.6, 0.8)),
+        ("inside", 5.0, 2.0, "S", (5.0, 3.0)),  # towards the representative point (5, 5)
+        ("border", 0.0, 5.0, "S", (1.0, 5.0)),
+        ("in hole", 5.0, 5.5, "H", (5.0, 7.0)),
+        ("second part", 12.0, 2.0, "M", (8.0, 2.0)),
+    ]
+    edges = spark.createDataFrame(rows, EDGE_DDL)
+    frame = spark.createDataFrame([p[:4] for p in points], "powerplant_id string, lon double, lat double, shape_id string")
+    got = {r["powerplant_id"]: (r["new_x"], r["new_y"]) for r in place_inside(frame, edges, 1.0).collect()}
+    assert set(got) == {p[0] for p in points}
+    for name, _, _, _, want in points:
+        assert np.allclose(got[name], want), (name, got[name])
+    strict = G.points_in_shapes(spark.createDataFrame([(k, *v) for k, v in got.items()], "id string, x double, y double"), edges, 1.0, boundary="exclude")
+    assert {m[0] for m in _matches(strict)} >= set(got)
 
 
 def test_split_capacity_names(spark):
