@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from capgrid.config import CAPACITY_GROUP_COLUMNS, EIA_CAT_MAPPING, EIA_CATEGORY_IDS
 from capgrid.functions.columns import stats_category_predicate, year_predicate
 from capgrid.operators.geometry import points_in_shapes
+from capgrid.session import small
 
 
 def operating_split(df: DataFrame, year: int) -> tuple[DataFrame, DataFrame]:
@@ -30,9 +31,9 @@ def expected_capacity(stats: DataFrame, year: int, category: str) -> DataFrame:
 # G1 -----------------------------------------------------------------------
 def scale_to_total(df: DataFrame, expected: DataFrame, by: str = "country_id", col: str = "output_capacity_mw") -> DataFrame:
     """value / group sum * expected group total (inner join on the expected table)."""
-    # one row per country on both small sides (bounded by the country list): broadcast
+    # one row per country on both small sides
     sums = df.groupBy(by).agg(F.sum(col).alias("_sum"))
-    scaled = df.join(F.broadcast(sums), on=by).join(F.broadcast(expected), on=by)
+    scaled = df.join(small(sums.join(expected, on=by)), on=by)
     # a group summing to zero has no share to give (null, as pandas gives NaN; ANSI would raise)
     return scaled.withColumn(col, F.try_divide(F.col(col), F.col("_sum")) * F.col("expected")).select(*df.columns)
 
@@ -40,11 +41,19 @@ def scale_to_total(df: DataFrame, expected: DataFrame, by: str = "country_id", c
 # G2 -----------------------------------------------------------------------
 def adjust_capacity(plants: DataFrame, stats: DataFrame, year: int, category: str) -> DataFrame:
     """Operating plants scaled to the national statistic; where it is missing or
-    zero they are removed; past and future plants pass unchanged."""
+    zero they are removed; past and future plants pass unchanged.
+
+    One pass over the plants for the sums and one for the result: plants carry
+    a flag instead of being split and united again.
+    """
+    now = F.coalesce(year_predicate(year, "operating"), F.lit(False))
     expected = expected_capacity(stats, year, category).where(F.col("expected") > 0)
-    operating, other = operating_split(plants, year)
-    adjusted = scale_to_total(operating.join(F.broadcast(expected.select("country_id")), on="country_id", how="left_semi"), expected)
-    return other.unionByName(adjusted)
+    sums = plants.where(now).groupBy("country_id").agg(F.sum("output_capacity_mw").alias("_sum"))
+    # one row a country on both sides
+    factors = small(expected.join(sums, on="country_id"))
+    joined = plants.join(factors, on="country_id", how="left").where(~now | F.col("expected").isNotNull())
+    scaled = F.try_divide(F.col("output_capacity_mw"), F.col("_sum")) * F.col("expected")
+    return joined.withColumn("output_capacity_mw", F.when(now, scaled).otherwise(F.col("output_capacity_mw"))).select(*plants.columns)
 
 
 # G3 -----------------------------------------------------------------------
@@ -77,7 +86,7 @@ def aggregate_capacity(
     pts = operating.select(x, y, "output_capacity_mw", *groups).dropna(subset=groups)
     matched = points_in_shapes(pts, edges, band, x=x, y=y, boundary="include")
     agg = matched.groupBy("shape_id", *groups).agg(F.sum("output_capacity_mw").alias("output_capacity_mw"))
-    agg = agg.join(F.broadcast(shapes.select("shape_id", "country_id")), on="shape_id")
+    agg = agg.join(shapes.select("shape_id", "country_id"), on="shape_id")
     agg = agg.withColumn("output_capacity_mw", F.coalesce("output_capacity_mw", F.lit(0.0)))
     return agg.where(F.col("output_capacity_mw") > 0).withColumn("reference_year", F.lit(year)).select(
         "shape_id", "country_id", *groups, "output_capacity_mw", "reference_year"
@@ -95,14 +104,20 @@ def series_codes(countries: DataFrame, category_ids: dict = EIA_CATEGORY_IDS) ->
     )
 
 
-def national_statistics(series: DataFrame, countries: DataFrame, category_ids: dict = EIA_CATEGORY_IDS) -> tuple[DataFrame, DataFrame]:
+def national_statistics(series: DataFrame, countries: DataFrame, category_ids: dict = EIA_CATEGORY_IDS, order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(statistics, missing countries) from raw series rows (series_id, data).
 
-    A country lacking any of the series is skipped whole; if a series id
-    repeats, the first row wins; values are GW -> MW.
+    A country lacking any of the series is skipped whole; values are GW -> MW.
+    If a series id repeats, the row with the smallest `order_col` wins (say, a
+    position in the file); without such a column, rows of one id that differ
+    fail the job, since a distributed read has no first row.
     """
-    first = series.withColumn("_pos", F.monotonically_increasing_id())
-    first = first.groupBy("series_id").agg(F.min_by("data", "_pos").alias("data"))
+    if order_col:
+        data = F.min_by("data", order_col)
+    else:
+        clash = F.raise_error(F.concat(F.lit("series with differing rows: "), F.col("series_id")))
+        data = F.when(F.min("data").eqNullSafe(F.max("data")), F.min("data")).otherwise(clash)
+    first = series.groupBy("series_id").agg(data.alias("data"))
     codes = series_codes(countries, category_ids)
     found = codes.join(first, on="series_id")
     complete = found.groupBy("country_id").agg(F.count_distinct("category").alias("n")).where(

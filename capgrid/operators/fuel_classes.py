@@ -5,10 +5,10 @@ A plant burns a *set* of fuels; each distinct set gets a class code
 order (arrays compare element-wise, like tuples).  The class table holds one
 row per (class, fuel).
 
-The distinct sets are few (bounded by the fuel vocabulary's combinations);
-ranking them needs one global order, so it runs on that small distinct
-table only, and the codes are joined back to the plants by broadcast after
-their number has been measured.
+The distinct sets are ranked by ranges: they are dealt to partitions by range
+and sorted there, and a partition's ranks start after the sizes of those
+before it, so no single task holds them all.  Codes are joined back by
+broadcast when their measured size allows.
 """
 
 from __future__ import annotations
@@ -19,19 +19,25 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Largest number of distinct sets joined back by broadcast.
-MAX_BROADCAST_SETS = 1_000_000
+from capgrid.session import cut_lineage, small
+
+_LOCAL = (1 << 33) - 1
 
 
 def _ranked_sets(sets: DataFrame, set_col: str, prefix: str) -> DataFrame:
-    distinct = sets.select(set_col).distinct()
-    rank = F.dense_rank().over(Window.orderBy(set_col)) - 1
-    return distinct.withColumn("fuel_class", F.concat(F.lit(prefix), rank.cast("string")))
+    """(set, fuel_class), written to the checkpoint folder: both results of an encoding read it."""
+    dealt = cut_lineage(sets.select(set_col).distinct().repartitionByRange(set_col).sortWithinPartitions(set_col))
+    placed = dealt.withColumn("_id", F.monotonically_increasing_id())
+    part = F.shiftright("_id", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    rank = F.col("_before") + F.col("_id").bitwiseAND(F.lit(_LOCAL))
+    ranked = placed.withColumn("_part", part).join(F.broadcast(before), on="_part")
+    return cut_lineage(ranked.select(set_col, F.concat(F.lit(prefix), rank.cast("string")).alias("fuel_class")))
 
 
-def _join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    n = small.count()
-    return big.join(F.broadcast(small) if n <= MAX_BROADCAST_SETS else small, on=on, how=how)
+def _join_small(big: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFrame:
+    return big.join(small(side), on=on, how=how)
 
 
 def class_table(codes: DataFrame, set_col: str = "fuels") -> DataFrame:
@@ -42,7 +48,7 @@ def class_table(codes: DataFrame, set_col: str = "fuels") -> DataFrame:
 # D2 -----------------------------------------------------------------------
 def encode_sets(df: DataFrame, set_col: str, prefix: str) -> tuple[DataFrame, DataFrame]:
     """Returns (class table, df with `fuel_class` in place of the set column)."""
-    codes = _ranked_sets(df, set_col, prefix).cache()
+    codes = _ranked_sets(df, set_col, prefix)
     coded = _join_small(df, codes, on=set_col).drop(set_col)
     return class_table(codes, set_col), coded
 
@@ -70,7 +76,7 @@ def remap_classes(plants: DataFrame, old_classes: DataFrame, new_classes: DataFr
     mapped = F.col("_new")
     if strict:
         mapped = F.when(mapped.isNotNull(), mapped).otherwise(
-            F.raise_error(F.concat(F.lit("No new fuel class for '"), F.coalesce(F.col("_old"), F.lit("null")), F.lit("'.")))
+            F.raise_error(F.concat(F.lit("fuel class that the harmonised table lacks: "), F.coalesce(F.col("_old"), F.lit("null"))))
         )
     cols = [mapped.alias("fuel_class") if c == "fuel_class" else F.col(c) for c in plants.columns]
     return out.select(*cols)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from capgrid.config import EIA_CAT_MAPPING
 from capgrid.functions.columns import stats_category_predicate
 from capgrid.operators.geometry import points_in_shapes
+from capgrid.session import small
 
 
 # H1 -----------------------------------------------------------------------
@@ -37,7 +38,7 @@ def missing_capacity(stats: DataFrame, agg: DataFrame, year: int, category: str)
 def pixel_countries(pixels: DataFrame, land_shapes: DataFrame, land_edges: DataFrame, band: float) -> DataFrame:
     """(pixel, country) pairs: pixel centres in a country's land shapes (E11 without a union)."""
     hits = points_in_shapes(pixels.select("prow", "pcol", "x", "y", "value"), land_edges, band, boundary="include")
-    return hits.join(F.broadcast(land_shapes.select("shape_id", "country_id")), on="shape_id").drop("shape_id").dropDuplicates(
+    return hits.join(small(land_shapes.select("shape_id", "country_id")), on="shape_id").drop("shape_id").dropDuplicates(
         ["prow", "pcol", "country_id"]
     )
 
@@ -50,8 +51,8 @@ def disaggregate_by_proxy(totals: DataFrame, pixels: DataFrame, land_shapes: Dat
     """
     pc = pixel_countries(pixels, land_shapes, land_edges, band)
     sums = pc.groupBy("country_id").agg(F.sum("value").alias("_sum"))
-    # per-country tables (bounded by the country list) are broadcast to the pixels
-    shares = pc.join(F.broadcast(sums), on="country_id").join(F.broadcast(totals), on="country_id")
+    # one row a country: joined first, then to the pixels
+    shares = pc.join(small(sums.join(totals, on="country_id")), on="country_id")
     spread = shares.select(
         "prow", "pcol", "x", "y", (F.try_divide(F.col("value"), F.col("_sum")) * F.col("output_capacity_mw")).alias("value")
     )

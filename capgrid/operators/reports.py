@@ -52,24 +52,36 @@ def capacity_buildup(plants: DataFrame) -> DataFrame:
 
 # J2 -----------------------------------------------------------------------
 def adjustment_comparison(unadjusted: DataFrame, adjusted: DataFrame, stats: DataFrame, year: int, category: str, disaggregated: bool = True) -> DataFrame:
-    """Long table (country_id, source, label, capacity_mw, share_of_adjusted)."""
+    """Long table (country_id, source, label, capacity_mw, share_of_adjusted).
+
+    Each input is read once: labels and their total come from one aggregation,
+    and what is known of a country from windows over its few summary rows.
+    """
     if disaggregated:
         unadjusted, _ = operating_split(unadjusted, year)
         adjusted, _ = operating_split(adjusted, year)
     eia = stats.where(stats_category_predicate(year, EIA_CAT_MAPPING[category]))
-    in_stats = eia.select("country_id").distinct()
-    unadjusted = unadjusted.join(in_stats, on="country_id", how="left_semi")
-    u = unadjusted.groupBy("country_id", F.col("technology").alias("label")).agg(F.sum("output_capacity_mw").alias("capacity_mw")).withColumn("source", F.lit("unadjusted"))
-    a = adjusted.groupBy("country_id", F.col("technology").alias("label")).agg(F.sum("output_capacity_mw").alias("capacity_mw")).withColumn("source", F.lit("adjusted"))
-    s = eia.groupBy("country_id", F.col("category").alias("label")).agg(F.sum("capacity_mw").alias("capacity_mw")).withColumn("source", F.lit("statistics"))
-    countries = u.select("country_id").union(a.select("country_id")).distinct()
-    long = u.unionByName(a).unionByName(s.join(countries, on="country_id", how="left_semi"))
-    totals = long.groupBy("country_id", "source").agg(F.sum("capacity_mw").alias("capacity_mw")).withColumn("label", F.lit("total"))
-    out = long.unionByName(totals)
-    adj_total = totals.where(F.col("source") == "adjusted").select("country_id", F.col("capacity_mw").alias("_adj"))
-    return out.join(adj_total, on="country_id", how="left").withColumn(
-        "share_of_adjusted", F.when(F.col("_adj") != 0, F.col("capacity_mw") / F.col("_adj") * 100)
-    ).drop("_adj")
+    rows = lambda df, label, mw, source: df.select("country_id", F.lit(source).alias("source"), F.col(label).alias("label"), F.col(mw).alias("mw"))
+    every = (
+        rows(unadjusted, "technology", "output_capacity_mw", "unadjusted")
+        .unionByName(rows(adjusted, "technology", "output_capacity_mw", "adjusted"))
+        .unionByName(rows(eia, "category", "capacity_mw", "statistics"))
+    )
+    sums = (
+        every.select("country_id", "source", "mw", F.explode(F.array(F.struct(F.col("label").alias("label"), F.lit(False).alias("all")), F.struct(F.lit("total").alias("label"), F.lit(True).alias("all")))).alias("l"))
+        .groupBy("country_id", "source", "l.label", "l.all").agg(F.sum("mw").alias("capacity_mw"))
+    )
+    country = Window.partitionBy("country_id")
+    has = lambda source: F.max(F.col("source") == source).over(country)
+    adjusted_total = F.max(F.when((F.col("source") == "adjusted") & F.col("all"), F.col("capacity_mw"))).over(country)
+    known = sums.withColumns({"_stats": has("statistics"), "_unadjusted": has("unadjusted"), "_adjusted": has("adjusted"), "_adj": adjusted_total})
+    kept = known.where(
+        (F.col("source") == "adjusted")
+        | ((F.col("source") == "unadjusted") & F.col("_stats"))
+        | ((F.col("source") == "statistics") & (F.col("_unadjusted") | F.col("_adjusted")))
+    )
+    share = F.when(F.col("_adj") != 0, F.col("capacity_mw") / F.col("_adj") * 100)
+    return kept.select("country_id", "label", "capacity_mw", "source", share.alias("share_of_adjusted"))
 
 
 # J3 -----------------------------------------------------------------------

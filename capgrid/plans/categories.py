@@ -6,7 +6,7 @@ takes a `cols` override so differently labelled inputs can be used as is.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -126,17 +126,24 @@ def prepare_coal(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[
     return plants.where(F.col("output_capacity_mw") > 0), classes
 
 
-def prepare_fossil(og_raw, coal_raw, og_tech, coal_tech, fuel_map=C.FUEL_MAPPING, og_cols=None, coal_cols=None):
-    """P2 + D3 + D4: both trackers, harmonised fuel classes, one fossil table."""
+def prepare_fossil(og_raw, coal_raw, og_tech, coal_tech, fuel_map=C.FUEL_MAPPING, og_cols=None, coal_cols=None, other_classes: Sequence[DataFrame] = ()):
+    """P2 + D3 + D4: both trackers as one fossil table; classes harmonised with each other and with `other_classes`."""
     og, og_classes = prepare_oil_gas(og_raw, og_tech, fuel_map, og_cols)
     coal, coal_classes = prepare_coal(coal_raw, coal_tech, fuel_map, coal_cols)
-    classes = fuel_classes.harmonise_classes([coal_classes, og_classes, ]).cache()
+    classes = fuel_classes.harmonise_classes([coal_classes, og_classes, *other_classes])
     plants = fuel_classes.remap_classes(og, og_classes, classes).unionByName(
         fuel_classes.remap_classes(coal, coal_classes, classes)
     )
     return plants, classes
 
 
+def prepare_burners(bio_raw, og_raw, coal_raw, og_tech, coal_tech, fuel_map=C.FUEL_MAPPING, bio_tech=C.TECHNOLOGY_MAPPING["bioenergy"], bio_cols=None, og_cols=None, coal_cols=None):
+    """P1 + P2: (bioenergy, fossil, classes) with one class table for all three burner trackers."""
+    bio, bio_classes = prepare_bioenergy(bio_raw, bio_tech, fuel_map, bio_cols)
+    fossil, classes = prepare_fossil(og_raw, coal_raw, og_tech, coal_tech, fuel_map, og_cols, coal_cols, [bio_classes])
+    return fuel_classes.remap_classes(bio, bio_classes, classes), fossil, classes
+
+
 # P1 -----------------------------------------------------------------------
 def prepare_bioenergy(raw: DataFrame, tech_map: Mapping[str, str] = C.TECHNOLOGY_MAPPING["bioenergy"], fuel_map=C.FUEL_MAPPING, cols=None):
     c = _cols(BIO_COLS, cols)
@@ -308,13 +315,13 @@ def unadjusted_plants(
 
 
 # P9 -----------------------------------------------------------------------
-def adjusted_plants(unadjusted: DataFrame, stats: DataFrame, year: int, category: str, quality_mode: str = "skip") -> DataFrame:
+def adjusted_plants(unadjusted: DataFrame, stats: DataFrame, year: int, category: str, quality_mode: str = "raise") -> DataFrame:
     out = capacity.adjust_capacity(unadjusted, stats, year, category)
     return quality.gate(out, [quality.Rule("powerplant_id", "unique"), quality.Rule("output_capacity_mw", "gt", 0)], quality_mode)
 
 
 # P10 ----------------------------------------------------------------------
-def aggregated(plants: DataFrame, shapes: DataFrame, edges: DataFrame, year: int, band: float, quality_mode: str = "skip") -> DataFrame:
+def aggregated(plants: DataFrame, shapes: DataFrame, edges: DataFrame, year: int, band: float, quality_mode: str = "raise") -> DataFrame:
     return quality.gate(capacity.aggregate_capacity(plants, shapes, edges, year, band), quality.AGGREGATED_RULES, quality_mode)
 
 
@@ -335,3 +342,16 @@ def adjusted_solar(
     proxy = raster.disaggregate_by_proxy(totals, pixels, land, land_edges, band)
     roof = raster.zonal_sum(proxy, shapes, edges, band)
     return raster.combine_solar(roof, large_agg, technology)
+
+
+# National statistics ------------------------------------------------------
+def prepare_statistics(series: DataFrame, countries: DataFrame, rel_tol: float = 1e-9, order_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(total rows, category rows, missing countries) from raw series.
+
+    Fails when the categories do not add up to the totals.
+    """
+    stats, missing = capacity.national_statistics(series, countries, order_col=order_col)
+    stats = cut_lineage(stats)  # read by the checksum and by both results
+    total, categories, check = capacity.split_total(stats, rel_tol)
+    capacity.checksum_gate(check)
+    return total, categories, missing

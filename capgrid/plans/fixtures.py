@@ -153,14 +153,16 @@ WHERE t.part = 0 OR s.nk % 4 = 0
 """
 
 
-# Proxy raster: 60 x 30 grid of 6-degree pixels keyed by part numbers.
+# Proxy raster: pixels of a 600 x 300 grid of 0.6-degree cells, one per part
+# (parts beyond the grid's 180,000 cells share them).
+PIXEL_ROWS, PIXEL_COLS = 300, 600
 PIXELS_SQL = """
 SELECT prow, pcol,
-       -177e0 + 6e0 * pcol + 0.0017e0 AS x,
-       87e0 - 6e0 * prow + 0.0023e0 AS y,
+       -179.7e0 + 0.6e0 * pcol + 0.0017e0 AS x,
+       89.7e0 - 0.6e0 * prow + 0.0023e0 AS y,
        avg(p_retailprice) AS value
-FROM (SELECT CAST(floor(p_partkey / 60e0) AS BIGINT) % 30 AS prow,
-             p_partkey % 60 AS pcol, p_retailprice FROM {part}) p
+FROM (SELECT (p_partkey * 7) % 300 AS prow,
+             (p_partkey * 13 + CAST(floor(p_partkey / 300e0) AS BIGINT)) % 600 AS pcol, p_retailprice FROM {part}) p
 GROUP BY prow, pcol
 """
 
@@ -176,11 +178,14 @@ def _category_case(key: str) -> str:
 
 
 # National statistics by country, year and category (exact cent sums).
-# N03 is missing, N04 fossil is zero, N06 fossil is null.
+# N03 is missing, N04 fossil is zero, N06 fossil is null.  Solar is above the
+# plants' sum for every third country, below it for the others, null for N07.
 STATS_SQL = f"""
 SELECT year, category,
        CASE WHEN country_id = 'N04' AND category = 'fossil fuels' THEN 0e0
             WHEN country_id = 'N06' AND category = 'fossil fuels' THEN CAST(NULL AS DOUBLE)
+            WHEN country_id = 'N07' AND category = 'solar' THEN CAST(NULL AS DOUBLE)
+            WHEN category = 'solar' AND CAST(substr(country_id, 2, 2) AS INT) % 3 = 0 THEN cents / 900e0
             ELSE cents / 90000e0 END AS capacity_mw,
        country_id
 FROM (SELECT CAST(year(o.o_orderdate) AS INT) AS year,

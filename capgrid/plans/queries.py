@@ -22,6 +22,7 @@ from capgrid.operators.place import relocate
 from capgrid.plans import categories as P
 from capgrid.plans import fixtures as FX
 from capgrid.plans import sql_oracle as O
+from capgrid.session import cut_lineage
 from capgrid.sources import readers as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -278,6 +279,38 @@ def b5(spark, d):
     )
 
 
+@query("B7_start_year_conversion_first", CLEAN_CTE + "SELECT gem_unit_id, CASE WHEN planned_retire_raw IS NOT NULL THEN TRY_CAST(planned_retire_raw AS DOUBLE) ELSE TRY_CAST(start_year_raw AS DOUBLE) END AS start_year FROM clean")
+def b7(spark, d):
+    return _clean_tracker(spark, d).select("gem_unit_id", X.first_present_number("planned_retire_raw", "start_year_raw").alias("start_year"))
+
+
+@query("B13_first_year_in_text", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(year(o_orderdate) AS DOUBLE) END AS year FROM orders")
+def b13(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    text = F.when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "'in Q'q yyyy', then 2050'")).when(F.col("o_orderkey") % 3 == 2, F.date_format("o_orderdate", "yyyyMMdd")).otherwise(F.lit("no 123 year"))
+    return o.select("o_orderkey", X.first_year_in_text(text).alias("year"))
+
+
+@query(
+    "B15_wind_technology",
+    CLEAN_CTE + f"SELECT gem_unit_id, {O.case_map(O.case_map('installation_type', C.WIND_INSTALLATION_MAPPING), C.TECHNOLOGY_MAPPING['wind'])} AS technology FROM clean WHERE installation_type <> 'Unknown'",
+)
+def b15(spark, d):
+    cols = {"capacity": "capacity_mw_raw", "installation": "installation_type", "start": "start_year_raw", "retired": "retired_year_raw", "location_id": "gem_location_id", "unit_id": "gem_unit_id", "plant_name": "plant_name", "unit_name": "unit_name"}
+    return P.prepare_wind_tracker(tracker(spark, d), cols=cols).select(F.regexp_extract("powerplant_id", "-(G.*)$", 1).alias("gem_unit_id"), "technology")
+
+
+@query("B16_non_negative_or_null", CLEAN_CTE + "SELECT gem_unit_id, CASE WHEN res_vol_km3 >= 0 THEN res_vol_km3 END AS reservoir_km3 FROM clean")
+def b16(spark, d):
+    return _clean_tracker(spark, d).select("gem_unit_id", X.non_negative_or_null("res_vol_km3").alias("reservoir_km3"))
+
+
+@query("B19_id_prefix", "SELECT 'TZ-SAM_' || CAST(s_suppkey AS VARCHAR) AS powerplant_id, 'TZ-SAM cluster ' || CAST(s_suppkey AS VARCHAR) AS name FROM supplier")
+def b19(spark, d):
+    s = spark.read.parquet(f"{d}/supplier.parquet")
+    return s.select(X.with_prefix("TZ-SAM_", "s_suppkey").alias("powerplant_id"), X.with_prefix("TZ-SAM cluster ", "s_suppkey").alias("name"))
+
+
 # ---------------------------------------------------------------------------
 # C, D: filters and fuel classes
 # ---------------------------------------------------------------------------
@@ -315,21 +348,53 @@ def d2(spark, d):
     return classes
 
 
-@query("D3_harmonise_classes", O.ctes(**O.BASE, **O.COAL, fc_classes=O.FC_CLASSES) + "SELECT fuel_class, unnest(fuels) AS fuel FROM fc_classes")
+@query("D3_harmonise_classes", O.ctes(**O.BASE, **O.COAL, **O.BIO, fc_classes=O.FC_CLASSES) + "SELECT fuel_class, unnest(fuels) AS fuel FROM fc_classes")
 def d3(spark, d):
-    _, og_classes = P.prepare_oil_gas(tracker(spark, d), FX.FIXTURE_TECH_MAP, cols=OG_FIXTURE_COLS)
-    _, coal_classes = P.prepare_coal(coal_raw(spark, d), FX.FIXTURE_TECH_MAP, cols=COAL_FIXTURE_COLS)
-    return fuel_classes.harmonise_classes([coal_classes, og_classes])
+    return burners(spark, d)[2]
+
+
+def burners(spark, d):
+    """(bioenergy, fossil, classes) of the three burner trackers."""
+    bio_cols = dict(OG_FIXTURE_COLS, conversion="planned_retire_raw", unit_id="gem_unit_id", plant_name="plant_name")
+    return P.prepare_burners(
+        tracker(spark, d), tracker(spark, d), coal_raw(spark, d), FX.FIXTURE_TECH_MAP, FX.FIXTURE_TECH_MAP,
+        bio_cols=bio_cols, og_cols=OG_FIXTURE_COLS, coal_cols=COAL_FIXTURE_COLS,
+    )
 
 
 @query(
     "P2_prepare_fossil",
-    O.ctes(**O.BASE, **O.COAL, fc_classes=O.FC_CLASSES, fossil=O.FOSSIL)
+    O.ctes(**O.BASE, **O.COAL, **O.BIO, fc_classes=O.FC_CLASSES, fossil=O.FOSSIL)
     + f"SELECT {_sel(PLANT_OUT)}, ccs, chp, fuel_class FROM fossil",
 )
 def p2(spark, d):
-    plants, _ = P.prepare_fossil(tracker(spark, d), coal_raw(spark, d), FX.FIXTURE_TECH_MAP, FX.FIXTURE_TECH_MAP, og_cols=OG_FIXTURE_COLS, coal_cols=COAL_FIXTURE_COLS)
-    return plants.select(*PLANT_OUT, "ccs", "chp", "fuel_class")
+    return burners(spark, d)[1].select(*PLANT_OUT, "ccs", "chp", "fuel_class")
+
+
+@query(
+    "C2_scenario_filter",
+    O.ctes(**O.BASE) + "\nUNION ALL\n".join(f"SELECT '{name}' AS scenario, powerplant_id FROM og_plants WHERE status IN ({', '.join(repr(v) for v in values)})" for name, values in (
+        ("historical", ("operating", "retired")), ("construction", ("operating", "retired", "construction")),
+        ("pre_construction", ("operating", "retired", "construction", "pre-construction")), ("announced", ("operating", "retired", "construction", "pre-construction", "announced")))),
+)
+def c2(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    parts = [impute.scenario_filter(p, name).select(F.lit(name).alias("scenario"), "powerplant_id") for name in ("historical", "construction", "pre_construction", "announced")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("C4_stats_in_category_year", O.ctes(**O.STATS) + f"SELECT country_id, category, capacity_mw FROM stats WHERE year = {Y} AND category IN ('hydropower', 'pumped storage')")
+def c4(spark, d):
+    return stats(spark, d).where(X.stats_category_predicate(Y, C.EIA_CAT_MAPPING["hydropower"])).select("country_id", "category", "capacity_mw")
+
+
+@query(
+    "D4_remap_classes",
+    O.ctes(**O.BASE, **O.COAL, **O.BIO, fc_classes=O.FC_CLASSES) + "SELECT p.powerplant_id, f.fuel_class FROM coal_plants p JOIN coal_codes c USING (fuel_class) JOIN fc_classes f USING (fuels)",
+)
+def d4(spark, d):
+    coal, coal_classes = P.prepare_coal(coal_raw(spark, d), FX.FIXTURE_TECH_MAP, cols=COAL_FIXTURE_COLS)
+    return fuel_classes.remap_classes(coal, coal_classes, burners(spark, d)[2]).select("powerplant_id", "fuel_class")
 
 
 # ---------------------------------------------------------------------------
@@ -677,24 +742,34 @@ def g6(spark, d):
     return missing
 
 
-@query(
-    "G7_statistics_checksum",
-    O.ctes(**O.STATS, st=STATS_ALL) + """SELECT coalesce(sum(CASE WHEN category = 'total' THEN capacity_mw END), 0) AS total_sum,
-  coalesce(sum(CASE WHEN category <> 'total' THEN capacity_mw END), 0) AS category_sum, true AS ok FROM st""",
-)
+_G7_SQL = f"""{G5_SQL.replace("SELECT year, category, capacity_mw / 1000", ", g5 AS (SELECT year, category, capacity_mw / 1000")}),
+off AS (SELECT * REPLACE (CASE WHEN category = 'total' AND country_id = 'N01' THEN capacity_mw * 1.01e0 ELSE capacity_mw END AS capacity_mw) FROM g5),
+cases AS (SELECT 'as published' AS name, * FROM g5 UNION ALL SELECT 'one total off' AS name, * FROM off),
+sums AS (SELECT name, coalesce(sum(capacity_mw) FILTER (category = 'total'), 0) AS total_sum, coalesce(sum(capacity_mw) FILTER (category <> 'total'), 0) AS category_sum FROM cases GROUP BY 1)
+SELECT name, total_sum, category_sum, abs(total_sum - category_sum) <= 1e-9 * greatest(abs(total_sum), abs(category_sum)) AS ok FROM sums"""
+
+
+@query("G7_statistics_checksum", _G7_SQL)
 def g7(spark, d):
     s, _ = shapes(spark, d)
     st, _ = capacity.national_statistics(raw_series(spark, d), s)
-    allst = stats(spark, d)
-    total = allst.groupBy("year", "country_id").agg(F.sum("capacity_mw").alias("capacity_mw")).withColumn("category", F.lit("total"))
-    _, _, check = capacity.split_total(allst.unionByName(total))
-    return check
+    off = st.withColumn("capacity_mw", F.when((F.col("category") == "total") & (F.col("country_id") == "N01"), F.col("capacity_mw") * 1.01).otherwise(F.col("capacity_mw")))
+    checks = [capacity.split_total(rows)[2].select(F.lit(name).alias("name"), "*") for name, rows in (("as published", st), ("one total off", off))]
+    return checks[0].unionByName(checks[1])
+
+
+@query("G5_G7_prepare_statistics", f"""{G5_SQL.replace("SELECT year, category, capacity_mw / 1000", ", g5 AS (SELECT year, category, capacity_mw / 1000")})
+SELECT category = 'total' AS is_total, year, category, capacity_mw, country_id FROM g5""")
+def statistics_job(spark, d):
+    s, _ = shapes(spark, d)
+    total, categories, _ = P.prepare_statistics(raw_series(spark, d), s)
+    return total.withColumn("is_total", F.lit(True)).unionByName(categories.withColumn("is_total", F.lit(False)))
 
 
 # ---------------------------------------------------------------------------
 # H: raster
 # ---------------------------------------------------------------------------
-H1_SQL = f""", tot AS (SELECT country_id, sum(capacity_mw) AS t FROM stats WHERE year = {Y} AND category IN ('fossil fuels') GROUP BY 1),
+H1_SQL = f""", tot AS (SELECT country_id, sum(capacity_mw) AS t FROM stats WHERE year = {Y} AND category IN ('solar') GROUP BY 1),
 lg AS (SELECT country_id, sum(output_capacity_mw) AS l FROM agg GROUP BY 1),
 miss AS (SELECT country_id, CASE WHEN t - l >= 0 THEN t - l ELSE 0e0 END AS output_capacity_mw FROM tot JOIN lg USING (country_id) WHERE t - l IS NOT NULL)"""
 H_CTE = O.ctes(**O.BASE, **O.AGES, **O.SHAPES, **O.STATS, **O.PIXELS).rstrip() + AGG_SQL + H1_SQL
@@ -702,7 +777,7 @@ H_CTE = O.ctes(**O.BASE, **O.AGES, **O.SHAPES, **O.STATS, **O.PIXELS).rstrip() +
 
 @query("H1_missing_capacity", H_CTE + "\nSELECT * FROM miss")
 def h1(spark, d):
-    return raster.missing_capacity(stats(spark, d), aggregated_df(spark, d), Y, "fossil")
+    return raster.missing_capacity(stats(spark, d), aggregated_df(spark, d), Y, "solar")
 
 
 H2_SQL = f""",
@@ -717,7 +792,7 @@ spread AS (SELECT pc.prow, pc.pcol, pc.x, pc.y, sum(pc.value / t.s * miss.output
 
 def proxy_df(spark, d):
     s, e = shapes(spark, d)
-    totals = raster.missing_capacity(stats(spark, d), aggregated_df(spark, d), Y, "fossil")
+    totals = raster.missing_capacity(stats(spark, d), aggregated_df(spark, d), Y, "solar")
     land, land_edges = geometry.country_borders(s, e)
     return raster.disaggregate_by_proxy(totals, pixels(spark, d), land, land_edges, B)
 
@@ -738,6 +813,32 @@ def h3(spark, d):
     return raster.zonal_sum(pixels(spark, d), s, e, B)
 
 
+@query(
+    "H4_combine_solar",
+    H_CTE + ", pxid AS (SELECT *, CAST(prow AS VARCHAR) || '_' || CAST(pcol AS VARCHAR) AS pid FROM pixels),\n"
+    + f"""roof AS (SELECT m.shape_id, s.country_id, CASE WHEN m.shape_id <> 'S01_L' THEN sum(p.value) - 1500 END AS sum FROM ({O.pip('pxid', 'edges', 'x', 'y', 'pid')}) m JOIN pxid p USING (pid) JOIN shapes s USING (shape_id) GROUP BY 1, 2)
+SELECT shape_id, country_id, 'solar' AS category, 'rooftop pv' AS technology, sum AS output_capacity_mw FROM roof WHERE sum > 0
+UNION ALL SELECT shape_id, country_id, category, technology, output_capacity_mw FROM agg WHERE output_capacity_mw > 0""",
+)
+def h4(spark, d):
+    s, e = shapes(spark, d)
+    roof = raster.zonal_sum(pixels(spark, d), s, e, B).withColumn("sum", F.when(F.col("shape_id") != "S01_L", F.col("sum") - 1500))
+    return raster.combine_solar(roof, aggregated_df(spark, d), "rooftop pv").select("shape_id", "country_id", "category", "technology", "output_capacity_mw")
+
+
+@query(
+    "E11_country_pixels",
+    O.ctes(**O.SHAPES_OV, **O.PIXELS).rstrip() + """,
+land AS (SELECT e.* FROM edges_ov e JOIN shapes_ov s USING (shape_id) WHERE s.shape_class = 'land'),
+pxid AS (SELECT *, CAST(prow AS VARCHAR) || '_' || CAST(pcol AS VARCHAR) AS pid FROM pixels)\n"""
+    + f"SELECT DISTINCT p.prow, p.pcol, s.country_id FROM ({O.pip('pxid', 'land', 'x', 'y', 'pid')}) m JOIN pxid p USING (pid) JOIN shapes_ov s USING (shape_id)",
+)
+def e11(spark, d):
+    s, e = shapes(spark, d, overlap=True)
+    land, land_edges = geometry.country_borders(s, e)
+    return raster.pixel_countries(pixels(spark, d), land, land_edges, B).select("prow", "pcol", "country_id")
+
+
 @query(
     "P11_adjusted_solar",
     H_CTE + H2_SQL + f""",
@@ -756,11 +857,11 @@ def p11(spark, d):
 
 @query(
     "H5_coarsen",
-    O.ctes(**O.PIXELS) + """SELECT CAST(floor(prow / 4) AS INTEGER) AS brow, CAST(floor(pcol / 4) AS INTEGER) AS bcol,
-  avg(value) AS value, avg(x) AS x, avg(y) AS y FROM pixels WHERE prow < 28 AND pcol < 60 GROUP BY 1, 2""",
+    O.ctes(**O.PIXELS) + """SELECT CAST(floor(prow / 7) AS INTEGER) AS brow, CAST(floor(pcol / 7) AS INTEGER) AS bcol,
+  avg(value) AS value, avg(x) AS x, avg(y) AS y FROM pixels WHERE prow < 294 AND pcol < 595 GROUP BY 1, 2""",
 )
 def h5(spark, d):
-    return raster.coarsen(pixels(spark, d), 4, 30, 60)
+    return raster.coarsen(pixels(spark, d), 7, FX.PIXEL_ROWS, FX.PIXEL_COLS)
 
 
 # ---------------------------------------------------------------------------
@@ -795,6 +896,31 @@ def i2(spark, d):
     return quality.check_rules(p, rules)
 
 
+_I3_WANT = {
+    "prepare": [("status", ("announced", "construction", "operating", "pre-construction", "retired"))],
+    "impute": [("status", ("operating", "planned", "retired")), ("start_year", None), ("end_year", None)],
+}
+
+
+@query(
+    "I3_stage_rules",
+    O.ctes(**O.BASE) + "\nUNION ALL\n".join(
+        f"SELECT '{stage}' AS stage, '{column}' AS column_name, '{'isin' if values else 'not_null'}' AS kind, "
+        + (f"count_if({column} IS NOT NULL AND {column} NOT IN ({', '.join(repr(v) for v in values)}))" if values else f"count_if({column} IS NULL)") + "::BIGINT AS failures FROM og_plants"
+        for stage, wanted in _I3_WANT.items() for column, values in wanted
+    ),
+)
+def i3(spark, d):
+    p, _ = og_plants(spark, d)
+    out = None
+    for stage, wanted in _I3_WANT.items():
+        keep = {(column, "isin" if values else "not_null") for column, values in wanted}
+        rules = [r for r in quality.stage_rules(FX.FIXTURE_TECH_MAP.values(), stage) if (r.column, r.kind) in keep]
+        part = quality.check_rules(p, rules).select(F.lit(stage).alias("stage"), F.split("rule", ":")[0].alias("column_name"), F.split("rule", ":")[1].alias("kind"), "failures")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("I5_mismatched_ids", O.ctes(**O.SHAPES, **O.SHAPES_OV) + "SELECT shape_id FROM shapes_ov WHERE shape_id NOT IN (SELECT shape_id FROM shapes)")
 def i5(spark, d):
     a, _ = shapes(spark, d)
@@ -861,9 +987,10 @@ SELECT al.country_id, al.label, al.capacity_mw, al.source,
 FROM al LEFT JOIN (SELECT * FROM tot WHERE source = 'adjusted') t USING (country_id)""",
 )
 def j2(spark, d):
-    un = aged_plants(spark, d)
-    adj = capacity.adjust_capacity(un, stats(spark, d), Y, "fossil")
-    return reports.adjustment_comparison(un, adj, stats(spark, d), Y, "fossil").select("country_id", "label", "capacity_mw", "source", "share_of_adjusted")
+    un = cut_lineage(aged_plants(spark, d))  # a published table that both sides read
+    st = cut_lineage(stats(spark, d))
+    adj = capacity.adjust_capacity(un, st, Y, "fossil")
+    return reports.adjustment_comparison(un, adj, st, Y, "fossil").select("country_id", "label", "capacity_mw", "source", "share_of_adjusted")
 
 
 # ---------------------------------------------------------------------------
@@ -962,23 +1089,18 @@ def _cat_sql(category: str, tech: str, start: str, end: str, extra: str = "", wh
 FROM clean {where}"""
 
 
-BIO_FIXTURE_COLS = dict(OG_FIXTURE_COLS, conversion="planned_retire_raw", unit_id="gem_unit_id", plant_name="plant_name")
-
-
 @query(
     "P1_prepare_bioenergy",
-    O.ctes(tracker=O.TRACKER, clean=O.CLEAN + "", bio=f"SELECT *, {O.fuels_sql('fuel_raw', 'biomass')} AS fuels FROM clean",
-           codes="SELECT fuels, 'b' || CAST(dense_rank() OVER (ORDER BY fuels) - 1 AS VARCHAR) AS fuel_class FROM (SELECT DISTINCT fuels FROM bio)")
+    O.ctes(**O.BASE, **O.COAL, **O.BIO, fc_classes=O.FC_CLASSES, clean=O.CLEAN)
     + _cat_sql(
         "bioenergy", "'bioenergy turbine'",
         "CASE WHEN planned_retire_raw IS NOT NULL THEN TRY_CAST(planned_retire_raw AS DOUBLE) ELSE TRY_CAST(start_year_raw AS DOUBLE) END",
         "TRY_CAST(retired_year_raw AS DOUBLE)",
         ", false AS ccs, false AS chp, k.fuel_class",
-    ).replace("FROM clean ", "FROM bio JOIN codes k USING (fuels) "),
+    ).replace("FROM clean ", "FROM bio_clean JOIN fc_classes k USING (fuels) "),
 )
 def p1(spark, d):
-    plants, _ = P.prepare_bioenergy(tracker(spark, d), cols=BIO_FIXTURE_COLS)
-    return plants
+    return burners(spark, d)[0]
 
 
 @query(

@@ -78,7 +78,7 @@ COAL_PLANTS = f"""SELECT {_plant_cols("'C' || substr(gem_unit_id, 2)", C.STATUS_
 FROM coal_clean JOIN coal_codes k USING (fuels) WHERE capacity_mw_raw > 0"""
 
 FC_CLASSES = """SELECT 'fc' || CAST(dense_rank() OVER (ORDER BY fuels) - 1 AS VARCHAR) AS fuel_class, fuels
-FROM (SELECT DISTINCT fuels FROM (SELECT fuels FROM og_codes UNION ALL SELECT fuels FROM coal_codes))"""
+FROM (SELECT DISTINCT fuels FROM (SELECT fuels FROM og_codes UNION ALL SELECT fuels FROM coal_codes UNION ALL SELECT fuels FROM bio_codes))"""
 
 FOSSIL = """SELECT p.* EXCLUDE (fuel_class), f.fuel_class FROM (
   SELECT o.*, c.fuels FROM og_plants o JOIN og_codes c USING (fuel_class)
@@ -138,6 +138,10 @@ def ctes(**parts: str) -> str:
 
 
 BASE = dict(tracker=TRACKER, og_clean=OG_CLEAN, og_codes=OG_CODES, og_plants=OG_PLANTS)
+BIO = dict(
+    bio_clean=f"SELECT *, {fuels_sql('fuel_raw', 'biomass')} AS fuels FROM ({CLEAN})",
+    bio_codes="SELECT DISTINCT fuels FROM bio_clean",
+)
 COAL = dict(coal_clean=COAL_CLEAN, coal_codes=COAL_CODES, coal_plants=COAL_PLANTS)
 AGES = dict(scen=SCEN, f1=F1, f2=F2, f4=F4)
 SHAPES = dict(shapes=FX.duck(FX.shapes_sql(False)), edges=FX.duck(FX.edges_sql(False)))

@@ -9,6 +9,9 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_FIXED_WIDTH = {"byte", "short", "integer", "long", "float", "double", "boolean", "date", "timestamp"}
 
 #: Settings every job in the library is written against.
 BASE_CONF = {
@@ -66,6 +69,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame, limit: int = 32 * 1024 * 1024) -> DataFrame:
+    """Mark `df` for broadcast if its rows, measured by one count, fit in `limit` bytes; else leave the join to shuffle.
+
+    The size of a row is taken from its types (64 bytes a text or array).
+    """
+    width = 16 + sum(8 if f.dataType.typeName() in _FIXED_WIDTH else 64 for f in df.schema.fields)
+    return F.broadcast(df) if df.count() * width <= limit else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
