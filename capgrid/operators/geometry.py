@@ -267,9 +267,9 @@ def assign_country(
 
     `on_overlap="raise"` fails the job (lazily, inside the plan) when a plant
     matches more than one shape; `"split_capacity"` divides its capacity over
-    the matches and renames the copies (`split` column marks them), and, when
-    the `exclusive` edge table (E7) is given, moves each copy just inside the
-    exclusive part of its shape (E9).
+    the matches, renames the copies (`split` column marks them) and moves each
+    copy just inside its shape (E9): inside the `exclusive` edge table (E7)
+    when one is given, else inside the raw shapes.
     Output: plant columns (its `country_id` replaced) + `shape_id` + `split`.
     """
     base = plants.drop("country_id") if "country_id" in plants.columns else plants
@@ -285,11 +285,9 @@ def assign_country(
         return counted.withColumn("country_id", gated).withColumn("split", F.lit(False)).drop("_matches")
     if on_overlap == "split_capacity":
         out = split_capacity(matched, id_col)
-        if exclusive is None:
-            return out
         from capgrid.operators.place import place_inside
 
-        moved = place_inside(out.where("split"), exclusive, inner_distance, x=x, y=y, id_col=id_col)
+        moved = place_inside(out.where("split"), edges if exclusive is None else exclusive, inner_distance, x=x, y=y, id_col=id_col)
         split_rows = out.where("split").join(moved, on=id_col).withColumn(x, F.col("new_x")).withColumn(y, F.col("new_y"))
         return out.where(~F.col("split")).unionByName(split_rows.drop("new_x", "new_y"))
     raise ValueError(f"on_overlap is 'raise' or 'split_capacity', not {on_overlap!r}")
@@ -304,9 +302,6 @@ def distance_to_shape(geom: Column, px: Column, py: Column) -> Column:
     return F.when(inside, F.lit(0.0)).otherwise(min_edge_distance(geom, px, py))
 
 
-GROUP_SCAN_LIMIT = 64
-
-
 def _grid_bound(pts: DataFrame, reps: DataFrame, by, band: float, x: str, y: str, id_col: str) -> DataFrame:
     """(id, _D): distance to the nearest representative found in the point's
     3 x 3 grid neighbourhood, or among its whole group when none is nearby."""
@@ -354,16 +349,10 @@ def nearest_shape(
     attrs = shapes.select("shape_id", *by)
     reps = representative_points(edges).join(attrs, on="shape_id")
     pts = points.select(id_col, x, y, *by)
-    # upper bound D: distance to an eligible representative point.  With small
-    # groups (measured: at most GROUP_SCAN_LIMIT shapes per key) each point is
-    # compared with its whole group; otherwise representatives are looked up
-    # in the point's 3 x 3 grid neighbourhood first and only points with none
-    # nearby compare against every representative of their group.
-    largest = attrs.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= GROUP_SCAN_LIMIT:
-        ub = pts.join(reps, on=list(by)).groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
-    else:
-        ub = _grid_bound(pts, reps, by, band, x, y, id_col)
+    # upper bound D: distance to an eligible representative point, looked up in
+    # the point's 3 x 3 grid neighbourhood; only points with none nearby are
+    # compared with the representatives of their group
+    ub = _grid_bound(pts, reps, by, band, x, y, id_col)
 
     # the window is also clamped to the y-extent of the eligible shapes (one row per key)
     extent = edges.groupBy("shape_id").agg(F.min(F.least("y1", "y2")).alias("_y0"), F.max(F.greatest("y1", "y2")).alias("_y1"))
@@ -603,14 +592,18 @@ def unproject(x: Column | str, y: Column | str, epsg: int, newton_steps: int = 6
         t6 = t2 * t2 * t2
         denom = F.lit(_A1) + F.lit(3 * _A2) * t2 + t6 * (F.lit(7 * _A3) + F.lit(9 * _A4) * t2)
         lon = F.degrees(F.lit(3 / (2 * math.sqrt(3))) * x_c * denom / (F.lit(rq) * F.cos(theta)))
-        beta = F.asin(F.lit(2 / math.sqrt(3)) * F.sin(theta))
-        # authalic -> geodetic latitude (series, accurate to well below a metre)
-        e4, e6 = e2 * e2, e2 * e2 * e2
-        c2 = e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040
-        c4 = 23 * e4 / 360 + 251 * e6 / 3780
-        c6 = 761 * e6 / 45360
-        lat = beta + F.lit(c2) * F.sin(2 * beta) + F.lit(c4) * F.sin(4 * beta) + F.lit(c6) * F.sin(6 * beta)
-        return lon, F.degrees(lat)
+        sin_beta = F.lit(2 / math.sqrt(3)) * F.sin(theta)
+
+        def refine(phi, _):
+            """Newton step for the geographic latitude whose authalic latitude is beta."""
+            sp = F.sin(phi)
+            flat = F.lit(1.0) - F.lit(e2) * sp * sp
+            q = sp / flat - F.log((F.lit(1.0) - F.lit(e) * sp) / (F.lit(1.0) + F.lit(e) * sp)) / F.lit(2 * e)
+            gap = F.lit(qp / (1 - e2)) * sin_beta - q
+            return phi + F.coalesce(gap * flat * flat / F.nullif(F.lit(2.0) * F.cos(phi), F.lit(0.0)), F.lit(0.0))
+
+        phi = F.aggregate(F.sequence(F.lit(1), F.lit(5)), F.asin(F.least(F.greatest(sin_beta, F.lit(-1.0)), F.lit(1.0))), refine)
+        return lon, F.degrees(phi)
     raise ValueError(f"Unsupported CRS EPSG:{epsg}.")
 
 
@@ -638,11 +631,30 @@ def country_borders(shapes: DataFrame, edges: DataFrame) -> tuple[DataFrame, Dat
 # ---------------------------------------------------------------------------
 # Polygon checks on the edge table
 # ---------------------------------------------------------------------------
+def _self_crossings(edges: DataFrame, ring_keys: Sequence[str]) -> DataFrame:
+    """(ring keys, crossings) of rings with edges that properly cross."""
+    cell = F.lit(float(default_band(edges)))
+    reach = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell))
+    spread = edges.select(*ring_keys, "seq", "x1", "y1", "x2", "y2", F.explode(reach(F.col("y1"), F.col("y2"))).alias("_row"))
+    spread = spread.withColumn("_col", F.explode(reach(F.col("x1"), F.col("x2"))))
+    a = spread.alias("a")
+    b = spread.select(*ring_keys, "_row", "_col", F.col("seq").alias("seq_b"), *[F.col(c).alias(f"b{c}") for c in ("x1", "y1", "x2", "y2")])
+    side = lambda px, py, x1, y1, x2, y2: F.signum((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1))
+    col = F.col
+    met = a.join(b, on=[*ring_keys, "_row", "_col"]).where(col("seq") < col("seq_b"))
+    one = side(col("bx1"), col("by1"), col("x1"), col("y1"), col("x2"), col("y2")) * side(col("bx2"), col("by2"), col("x1"), col("y1"), col("x2"), col("y2"))
+    two = side(col("x1"), col("y1"), col("bx1"), col("by1"), col("bx2"), col("by2")) * side(col("x2"), col("y2"), col("bx1"), col("by1"), col("bx2"), col("by2"))
+    return met.where((one < 0) & (two < 0)).groupBy(*ring_keys).agg(F.count(F.lit(1)).alias("crossings"))
+
+
 def polygon_checks(edges: DataFrame) -> DataFrame:
-    """One row per shape with rule results: closed rings, >= 3 edges, non-zero area.
+    """One row per shape with rule results: closed rings, >= 3 edges, non-zero area, no self-crossing.
 
     A ring is closed when every vertex starts as many edges as it ends: a
-    +1/-1 count per (ring, vertex), so no ring is gathered into one array.
+    +1/-1 count per (ring, vertex), so no ring is gathered into one array.  It
+    crosses itself when two of its edges pass through each other; edges meet
+    only in the (band, x-cell) squares that both reach, so a ring's edges are
+    compared with their neighbourhood.
     """
     ring_keys = ["shape_id", "part", "ring"]
     ring = edges.groupBy(*ring_keys).agg(
@@ -655,8 +667,9 @@ def polygon_checks(edges: DataFrame) -> DataFrame:
     balance = ends.groupBy(*ring_keys, "vx", "vy").agg(F.sum("d").alias("b")).groupBy(*ring_keys).agg(
         F.bool_and(F.col("b") == 0).alias("closed")
     )
-    ring = ring.join(balance, on=ring_keys).select(
+    ring = ring.join(balance, on=ring_keys).join(_self_crossings(edges, ring_keys), on=ring_keys, how="left").select(
         "shape_id",
+        F.col("crossings").isNull().alias("simple"),
         "closed",
         (F.col("n_edges") >= 3).alias("enough_vertices"),
         (F.abs("signed_area") > 0).alias("non_zero_area"),
@@ -665,4 +678,5 @@ def polygon_checks(edges: DataFrame) -> DataFrame:
         F.bool_and("closed").alias("closed"),
         F.bool_and("enough_vertices").alias("enough_vertices"),
         F.bool_and("non_zero_area").alias("non_zero_area"),
-    ).withColumn("valid", F.col("closed") & F.col("enough_vertices") & F.col("non_zero_area"))
+        F.bool_and("simple").alias("simple"),
+    ).withColumn("valid", F.col("closed") & F.col("enough_vertices") & F.col("non_zero_area") & F.col("simple"))

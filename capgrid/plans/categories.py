@@ -17,7 +17,7 @@ from capgrid.functions.fuels import parse_fuel_set
 from capgrid.operators import capacity, fuel_classes, geometry, impute, quality, raster
 from capgrid.operators.place import relocate
 from capgrid.session import cut_lineage
-from capgrid.sources.readers import drop_invalid_status, drop_missing
+from capgrid.sources.readers import combine_with_user_plants, drop_invalid_status, drop_missing
 
 PLANT_COLUMNS = [
     "powerplant_id", "name", "category", "technology", "output_capacity_mw",
@@ -240,16 +240,32 @@ def prepare_large_solar(
     facilities: DataFrame,
     facility_edges: DataFrame,
     tracker: DataFrame,
-    band: float,
-    buffer: float,
+    buffer: float = 1000.0,
     pv_name: str = "utility pv",
     valid_status=("announced", "pre-construction", "construction", "retired"),
+    fill_epsg: int = 3857,
+    buffer_epsg: int = 8857,
+    band: float = 100_000.0,
+    csp: DataFrame | None = None,
 ) -> DataFrame:
     """Satellite facilities filled from tracker points (F5), plus tracker points
-    of non-operating projects far from every facility (E5); all as points."""
+    of non-operating projects far from every facility (E5), plus the `csp` rows;
+    all as points in degrees.
+
+    Points are matched to facilities in `fill_epsg` and kept `buffer` metres
+    away in `buffer_epsg`; `band` is the index height in the same metres.
+    """
+    if not valid_status:
+        raise ValueError("valid_status names no status")
+
+    def projected(df, epsg):
+        x, y = geometry.project("lon", "lat", epsg)
+        return df.withColumns({"_x": x, "_y": y})
+
     # tracker points strictly inside a facility
     within = geometry.points_in_shapes(
-        tracker.select("lon", "lat", "start_year", "end_year", "status"), facility_edges, band, x="lon", y="lat", boundary="exclude"
+        projected(tracker, fill_epsg).select("_x", "_y", "start_year", "end_year", "status"),
+        geometry.project_edges(facility_edges, fill_epsg), band, x="_x", y="_y", boundary="exclude",
     )
     filled = impute.fill_from_points(facilities, within, fac_id="shape_id")
     # Facilities become their representative points
@@ -268,9 +284,34 @@ def prepare_large_solar(
     )
     # E5: non-operating tracker points with no facility within the buffer
     future = tracker.where(F.col("status").isin(list(valid_status)))
-    near = geometry.points_within_distance(future.select("powerplant_id", "lon", "lat"), facility_edges, buffer, band, x="lon", y="lat")
+    near = geometry.points_within_distance(
+        projected(future, buffer_epsg).select("powerplant_id", "_x", "_y"), geometry.project_edges(facility_edges, buffer_epsg), buffer, band, x="_x", y="_y"
+    )
     mismatch = future.join(near.select("powerplant_id").distinct(), on="powerplant_id", how="left_anti")
-    return fac_points.unionByName(mismatch.select(*PLANT_COLUMNS))
+    pv = fac_points.unionByName(mismatch.select(*PLANT_COLUMNS))
+    return pv if csp is None else pv.unionByName(csp.select(*PLANT_COLUMNS))
+
+
+def prepare_satellite(raw: DataFrame, pv_name: str = "utility pv") -> DataFrame:
+    """Satellite clusters (B9): operating since the middle of their detection window."""
+    return raw.select(
+        F.col("cluster_id").alias("shape_id"),
+        F.col("capacity_mw").cast("double").alias("output_capacity_mw"),
+        X.midpoint_year("constructed_after", "constructed_before").alias("start_year"),
+        F.lit(None).cast("double").alias("end_year"),
+        F.lit("operating").alias("status"),
+        F.lit(pv_name).alias("technology"),
+    )
+
+
+def prepare_solar(
+    satellite: DataFrame, satellite_edges: DataFrame, tracker: DataFrame,
+    pv_name: str = "utility pv", csp_name: str = "csp", dc_ac_ratio: float = 1.25, buffer: float = 1000.0, cols=None,
+) -> DataFrame:
+    """P6 from the raw inputs: satellite clusters, photovoltaic and solar-thermal rows of the tracker."""
+    pv = prepare_solar_tracker(tracker, pv_name, X.PV_TYPES, dc_ac_ratio, cols)
+    csp = prepare_solar_tracker(tracker, csp_name, [X.CSP_TYPE], 1.0, cols)
+    return prepare_large_solar(prepare_satellite(satellite, pv_name), satellite_edges, pv, buffer, pv_name, csp=csp)
 
 
 # P8 -----------------------------------------------------------------------
@@ -285,8 +326,17 @@ def unadjusted_plants(
     exclusive_edges: DataFrame | None = None,
     quality_mode: str = "raise",
     tech_values=None,
+    users: Sequence[DataFrame] = (),
+    excluded_ids: Sequence[str] = (),
+    projected_epsg: int = 4326,
 ) -> DataFrame:
-    """Assign countries (E16), relocate misplaced technologies (E15), impute ages.
+    """Combine with user plants (A11), assign countries (E16), relocate misplaced
+    technologies (E15), impute ages (F4).
+
+    The combined table must hold one category and pass the "prepare" rules; the
+    exclusive shapes must have the ids of `shapes`.  Points and edges are in
+    degrees and are worked on in `projected_epsg`, whose unit `band` and the
+    distances of `location` have; the result is in degrees again.
 
     The published table is checked against the "impute" stage rules (I2/I3)
     with `quality_mode` ("raise", "report" or "skip"); `tech_values`, when
@@ -298,12 +348,33 @@ def unadjusted_plants(
     is materialised the same way because it is a published table that the
     adjustment and aggregation jobs read more than once.
     """
-    assigned = cut_lineage(geometry.assign_country(plants, shapes, edges, band, on_overlap=location.on_overlap))
+    if users or excluded_ids:
+        plants = cut_lineage(combine_with_user_plants(plants, users, excluded_ids))
+    if quality_mode != "skip":
+        if plants.limit(1).count():
+            quality.single_category(plants)
+        before = quality.stage_rules(tech_values or [], "prepare")
+        plants = quality.gate(plants, [r for r in before if tech_values is not None or (r.column, r.kind) != ("technology", "isin")], quality_mode)
+    if exclusive_edges is not None:
+        odd = sorted(r[0] for r in quality.mismatched_ids(shapes, exclusive_edges).collect())
+        if odd:
+            raise ValueError(f"shapes and exclusive shapes differ in {len(odd)} ids: {', '.join(odd)}")
+    if projected_epsg != 4326:
+        x, y = geometry.project("lon", "lat", projected_epsg)
+        plants = plants.withColumns({"lon": x, "lat": y})
+        edges = geometry.project_edges(edges, projected_epsg)
+        exclusive_edges = None if exclusive_edges is None else geometry.project_edges(exclusive_edges, projected_epsg)
+    assigned = cut_lineage(geometry.assign_country(
+        plants, shapes, edges, band, on_overlap=location.on_overlap, exclusive=exclusive_edges, inner_distance=location.inner_distance,
+    ))
     # relocation output is read twice by the imputation (group means, join back)
     placed = cut_lineage(relocate(
         assigned.drop("shape_id"), shapes, exclusive_edges if exclusive_edges is not None else edges, band,
         location.shape_class, location.inner_distance, location.on_shape_class_error,
     ))
+    if projected_epsg != 4326:
+        lon, lat = geometry.unproject("lon", "lat", projected_epsg)
+        placed = placed.withColumns({"lon": lon, "lat": lat})
     aged = impute.impute_time(
         placed, imputation.scenario, imputation.lifetime_years, imputation.retirement_delay_years, year
     )

@@ -397,6 +397,25 @@ def d4(spark, d):
     return fuel_classes.remap_classes(coal, coal_classes, burners(spark, d)[2]).select("powerplant_id", "fuel_class")
 
 
+def _equal_earth_sql(lon: str, lat: str) -> tuple[str, str]:
+    """Equal Earth on the WGS 84 ellipsoid, written from its published formulas and constants (a, 1/f, A1 to A4)."""
+    flat = "(1e0 / 298.257223563e0)"
+    e2 = f"({flat} * (2 - {flat}))"
+    e = f"sqrt({e2})"
+    authalic = lambda s: f"((1 - {e2}) * ({s} / (1 - {e2} * {s} * {s}) - ln((1 - {e} * {s}) / (1 + {e} * {s})) / (2 * {e})))"
+    pole = authalic("1e0")
+    radius = f"(6378137e0 * sqrt({pole} / 2))"
+    beta = f"asin(least(greatest({authalic(f'sin(radians({lat}))')} / {pole}, -1e0), 1e0))"
+    th = f"asin(sqrt(3e0) / 2 * sin({beta}))"
+    slope = f"(1.340264e0 - 3 * 0.081106e0 * power({th}, 2) + 7 * 0.000893e0 * power({th}, 6) + 9 * 0.003796e0 * power({th}, 8))"
+    x = f"2 * sqrt(3e0) / 3 * {radius} * radians({lon}) * cos({th}) / {slope}"
+    y = f"{radius} * (1.340264e0 * {th} - 0.081106e0 * power({th}, 3) + 0.000893e0 * power({th}, 7) + 0.003796e0 * power({th}, 9))"
+    return x, y
+
+
+_EE_X, _EE_Y = _equal_earth_sql("lon", "lat")
+
+
 # ---------------------------------------------------------------------------
 # E: geometry
 # ---------------------------------------------------------------------------
@@ -568,30 +587,54 @@ def e16(spark, d):
     return geometry.assign_country(p, s, e, B).select("powerplant_id", "country_id", "shape_id")
 
 
+#: A ring that passes through itself, added to the shapes for the polygon checks.
+_BOW = [("BOW", 0, 0, i, *map(float, a), *map(float, b)) for i, (a, b) in enumerate(zip([(0, 0), (4, 4), (4, 0), (0, 1)], [(4, 4), (4, 0), (0, 1), (0, 0)]))]
+
+
+def _side(p, e):
+    return f"sign(({e}.x2 - {e}.x1) * ({p[1]} - {e}.y1) - ({e}.y2 - {e}.y1) * ({p[0]} - {e}.x1))"
+
+
 @query(
     "E17_polygon_checks",
-    O.ctes(**O.SHAPES_OV)
-    + """, r AS (SELECT shape_id, part, ring, count(*) >= 3 AS enough_vertices,
+    O.ctes(**O.SHAPES_OV, every="SELECT * FROM edges_ov UNION ALL SELECT * FROM (VALUES " + ", ".join(f"('BOW', 0, 0, {r[3]}, {r[4]}, {r[5]}, {r[6]}, {r[7]})" for r in _BOW) + ") AS b")
+    + f""", cross_ AS (SELECT DISTINCT a.shape_id, a.part, a.ring FROM every a JOIN every b ON a.shape_id = b.shape_id AND a.part = b.part AND a.ring = b.ring AND a.seq < b.seq
+  WHERE {_side(('b.x1', 'b.y1'), 'a')} * {_side(('b.x2', 'b.y2'), 'a')} < 0 AND {_side(('a.x1', 'a.y1'), 'b')} * {_side(('a.x2', 'a.y2'), 'b')} < 0),
+r AS (SELECT shape_id, part, ring, count(*) >= 3 AS enough_vertices,
     abs(sum(x1 * y2 - x2 * y1) / 2) > 0 AS non_zero_area,
     list_sort(list(struct_pack(a := x1, b := y1))) = list_sort(list(struct_pack(a := x2, b := y2))) AS closed
-  FROM edges_ov GROUP BY ALL)
-SELECT shape_id, bool_and(closed) AS closed, bool_and(enough_vertices) AS enough_vertices, bool_and(non_zero_area) AS non_zero_area,
-  bool_and(closed) AND bool_and(enough_vertices) AND bool_and(non_zero_area) AS valid FROM r GROUP BY 1""",
+  FROM every GROUP BY ALL),
+f AS (SELECT r.*, c.shape_id IS NULL AS simple FROM r LEFT JOIN cross_ c ON r.shape_id = c.shape_id AND r.part = c.part AND r.ring = c.ring)
+SELECT shape_id, bool_and(closed) AS closed, bool_and(enough_vertices) AS enough_vertices, bool_and(non_zero_area) AS non_zero_area, bool_and(simple) AS simple,
+  bool_and(closed) AND bool_and(enough_vertices) AND bool_and(non_zero_area) AND bool_and(simple) AS valid FROM f GROUP BY 1""",
 )
 def e17(spark, d):
     _, e = shapes(spark, d, overlap=True)
-    return geometry.polygon_checks(e)
+    bow = spark.createDataFrame(_BOW, R.EDGE_SCHEMA)
+    return geometry.polygon_checks(e.select(*bow.columns).unionByName(bow))
 
 
-PROJ_SQL = """SELECT powerplant_id, round(6378137e0 * radians(lon), 2) AS x3857,
-  round(6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)), 2) AS y3857 FROM og_plants"""
+PROJ_SQL = """SELECT powerplant_id, 6378137e0 * radians(lon) AS x3857,
+  6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)) AS y3857 FROM og_plants"""
 
 
 @query("E1_project_3857", PLANTS_CTE + PROJ_SQL)
 def e1(spark, d):
     p, _ = og_plants(spark, d, with_country=False)
     x, y = geometry.project("lon", "lat", 3857)
-    return p.select("powerplant_id", F.round(x, 2).alias("x3857"), F.round(y, 2).alias("y3857"))
+    return p.select("powerplant_id", x.alias("x3857"), y.alias("y3857"))
+
+
+@query("E1_unproject", PLANTS_CTE + "SELECT powerplant_id, epsg, lon, lat FROM og_plants, (VALUES (3857), (8857)) AS v(epsg) WHERE lat BETWEEN -80 AND 80")
+def e1c(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    p = p.where(F.col("lat").between(-80, 80)).select("powerplant_id", "lon", "lat")
+    parts = []
+    for epsg in (3857, 8857):
+        x, y = geometry.project("lon", "lat", epsg)
+        lon, lat = geometry.unproject("x", "y", epsg)
+        parts.append(p.select("powerplant_id", x.alias("x"), y.alias("y")).select("powerplant_id", F.lit(epsg).alias("epsg"), lon.alias("lon"), lat.alias("lat")))
+    return parts[0].unionByName(parts[1])
 
 
 # ---------------------------------------------------------------------------
@@ -1060,9 +1103,11 @@ P6_SQL = (
                       ", rep AS (SELECT shape_id, arg_max(mx, (w, -rn)) AS rx, any_value(sy) AS ry FROM spans GROUP BY 1),")
     + f"""
 fut AS (SELECT * FROM tracker_points WHERE status IN {FUTURE}),
-inside AS ({O.pip("fut", "facility_edges", "lon", "lat", "powerplant_id")}),
-near AS (SELECT DISTINCT p.powerplant_id FROM fut p JOIN facility_edges e ON p.lat BETWEEN least(e.y1, e.y2) - {BUFFER} AND greatest(e.y1, e.y2) + {BUFFER}
-  WHERE {O.seg_dist('p.lon', 'p.lat')} <= {BUFFER})
+futp AS (SELECT powerplant_id, {_EE_X} AS px, {_EE_Y} AS py FROM fut),
+fep AS (SELECT shape_id, {_equal_earth_sql('x1', 'y1')[0]} AS x1, {_equal_earth_sql('x1', 'y1')[1]} AS y1, {_equal_earth_sql('x2', 'y2')[0]} AS x2, {_equal_earth_sql('x2', 'y2')[1]} AS y2 FROM facility_edges),
+inside AS ({O.pip("futp", "fep", "px", "py", "powerplant_id")}),
+near AS (SELECT DISTINCT p.powerplant_id FROM futp p JOIN fep e ON p.py BETWEEN least(e.y1, e.y2) - 1000 AND greatest(e.y1, e.y2) + 1000
+  WHERE {O.seg_dist('p.px', 'p.py')} <= 1000)
 SELECT 'TZ-SAM_' || f.shape_id AS powerplant_id, 'TZ-SAM cluster ' || f.shape_id AS name, 'solar' AS category, 'utility pv' AS technology,
   f.output_capacity_mw, f.start_year, f.end_year, f.status, r.rx AS lon, r.ry AS lat
 FROM filled f JOIN rep r USING (shape_id)
@@ -1075,7 +1120,7 @@ SELECT {_sel(PLANT_OUT)} FROM fut WHERE powerplant_id NOT IN (SELECT powerplant_
 def p6(spark, d):
     tp = FX.stand_in(spark, d, FX.TRACKER_POINTS_SQL)
     fe = FX.stand_in(spark, d, FX.FACILITY_EDGES_SQL)
-    return P.prepare_large_solar(facilities_df(spark, d), fe, tp, 0.5, BUFFER)
+    return P.prepare_large_solar(facilities_df(spark, d), fe, tp)
 
 
 # ---------------------------------------------------------------------------
@@ -1313,29 +1358,8 @@ def b17(spark, d):
     return t.where(X.valid_lonlat("longitude", "latitude")).select("gem_unit_id", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
 
 
-def _equal_earth_sql(lon: str, lat: str) -> tuple[str, str]:
-    import math
-
-    from capgrid.operators.geometry import _A1, _A2, _A3, _A4, _authalic_constants
-
-    e, e2, qp, rq = _authalic_constants()
-    s = f"sin(radians({lat}))"
-    q = f"({1 - e2!r} * ({s} / (1e0 - {e2!r} * {s} * {s}) - {1 / (2 * e)!r} * ln((1e0 - {e!r} * {s}) / (1e0 + {e!r} * {s}))))"
-    beta = f"asin(least(greatest({q} / {qp!r}, -1e0), 1e0))"
-    th = f"asin({math.sqrt(3) / 2!r} * sin({beta}))"
-    t2 = f"({th} * {th})"
-    t6 = f"({t2} * {t2} * {t2})"
-    den = f"({_A1!r} + {3 * _A2!r} * {t2} + {t6} * ({7 * _A3!r} + {9 * _A4!r} * {t2}))"
-    x = f"{rq * 2 * math.sqrt(3) / 3!r} * radians({lon}) * cos({th}) / {den}"
-    y = f"{rq!r} * {th} * ({_A1!r} + {_A2!r} * {t2} + {t6} * ({_A3!r} + {_A4!r} * {t2}))"
-    return x, y
-
-
-_EE_X, _EE_Y = _equal_earth_sql("lon", "lat")
-
-
-@query("E1_project_8857", PLANTS_CTE + f"SELECT powerplant_id, round({_EE_X}, 2) AS x8857, round({_EE_Y}, 2) AS y8857 FROM og_plants")
+@query("E1_project_8857", PLANTS_CTE + f"SELECT powerplant_id, {_EE_X} AS x8857, {_EE_Y} AS y8857 FROM og_plants")
 def e1b(spark, d):
     p, _ = og_plants(spark, d, with_country=False)
     x, y = geometry.project("lon", "lat", 8857)
-    return p.select("powerplant_id", F.round(x, 2).alias("x8857"), F.round(y, 2).alias("y8857"))
+    return p.select("powerplant_id", x.alias("x8857"), y.alias("y8857"))

@@ -115,66 +115,68 @@ def read_sentinel_table(
 EDGE_SCHEMA = "shape_id string, part int, ring int, seq int, x1 double, y1 double, x2 double, y2 double"
 
 
+def _wkb_header(buf: bytes, at: int) -> tuple[str, int, int, int]:
+    """(byte order, geometry type, numbers per point, next offset); Z, M and ZM in both the ISO and the flagged notation."""
+    import struct
+
+    order = "<" if buf[at] == 1 else ">"
+    (code,) = struct.unpack_from(order + "I", buf, at + 1)
+    at += 5
+    if code & 0x20000000:  # an SRID follows
+        at += 4
+    thousands, kind = divmod(code & 0x0FFFFFFF, 1000)
+    if thousands > 3:
+        raise ValueError(f"WKB geometry code {code} is unknown")
+    extra = {0: 0, 1: 1, 2: 1, 3: 2}[thousands] or bool(code & 0x80000000) + bool(code & 0x40000000)
+    return order, kind, 2 + extra, at
+
+
+def _wkb_polygon(buf: bytes, at: int, order: str, width: int) -> tuple[list, int]:
+    """Rings (x, y arrays) of one polygon body and the offset behind it."""
+    import struct
+
+    import numpy as np
+
+    (n_rings,) = struct.unpack_from(order + "I", buf, at)
+    at += 4
+    rings = []
+    for _ in range(n_rings):
+        (n,) = struct.unpack_from(order + "I", buf, at)
+        rings.append(np.frombuffer(buf, order + "f8", n * width, at + 4).reshape(n, width)[:, :2].astype("f8"))
+        at += 4 + 8 * n * width
+    return rings, at
+
+
 def _wkb_edges(pdf_iter, id_col: str, geom_col: str):
     import struct
 
     import numpy as np
     import pandas as pd
 
-    def rings_of(buf: bytes):
-        # yields (part, ring, coords ndarray) for Polygon / MultiPolygon WKB
-        def read_polygon(off, order, part, has_z):
-            (nrings,) = struct.unpack_from(order + "I", buf, off)
-            off += 4
-            dim = 3 if has_z else 2
-            for r in range(nrings):
-                (npts,) = struct.unpack_from(order + "I", buf, off)
-                off += 4
-                arr = np.frombuffer(buf, dtype=order + "f8", count=npts * dim, offset=off)
-                off += 8 * npts * dim
-                yield part, r, arr.reshape(npts, dim)[:, :2]
-            return off
-
-        def header(off):
-            order = "<" if buf[off] == 1 else ">"
-            (gtype,) = struct.unpack_from(order + "I", buf, off + 1)
-            has_z = gtype in (1003, 1006) or bool(gtype & 0x80000000)
-            return order, gtype % 1000 & 0xFF, has_z, off + 5
-
-        order, gtype, has_z, off = header(0)
-        if gtype == 3:
-            yield from read_polygon(off, order, 0, has_z)
-        elif gtype == 6:
-            (nparts,) = struct.unpack_from(order + "I", buf, off)
-            off += 4
-            for p in range(nparts):
-                o2, _, hz, off = header(off)
-                gen = read_polygon(off, o2, p, hz)
-                while True:
-                    try:
-                        yield next(gen)
-                    except StopIteration as stop:
-                        off = stop.value
-                        break
-        else:
-            raise ValueError(f"Unsupported WKB geometry type {gtype}.")
+    def parts_of(buf: bytes) -> list:
+        order, kind, width, at = _wkb_header(buf, 0)
+        if kind == 3:
+            return [_wkb_polygon(buf, at, order, width)[0]]
+        if kind != 6:
+            raise ValueError(f"WKB geometry kind {kind} is no polygon")
+        (n_parts,) = struct.unpack_from(order + "I", buf, at)
+        at += 4
+        parts = []
+        for _ in range(n_parts):
+            order, _, width, at = _wkb_header(buf, at)
+            rings, at = _wkb_polygon(buf, at, order, width)
+            parts.append(rings)
+        return parts
 
     for pdf in pdf_iter:
         out = []
         for sid, wkb in zip(pdf[id_col], pdf[geom_col]):
-            for part, ring, xy in rings_of(bytes(wkb)):
-                if len(xy) < 2:
-                    continue
-                a, b = xy[:-1], xy[1:]
-                n = len(a)
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "shape_id": sid, "part": part, "ring": ring, "seq": np.arange(n, dtype="int32"),
-                            "x1": a[:, 0], "y1": a[:, 1], "x2": b[:, 0], "y2": b[:, 1],
-                        }
-                    )
-                )
+            for part, rings in enumerate(parts_of(bytes(wkb))):
+                for ring, xy in enumerate(rings):
+                    if len(xy) < 2:
+                        continue
+                    ends = {"x1": xy[:-1, 0], "y1": xy[:-1, 1], "x2": xy[1:, 0], "y2": xy[1:, 1]}
+                    out.append(pd.DataFrame({"shape_id": sid, "part": part, "ring": ring, "seq": np.arange(len(xy) - 1, dtype="int32"), **ends}))
         if out:
             yield pd.concat(out, ignore_index=True).astype({"part": "int32", "ring": "int32"})
 
@@ -205,8 +207,10 @@ def read_geo_points(spark: SparkSession, path: str, geom_col: str = "geometry")
             lat = np.empty(len(buf))
             for i, b in enumerate(buf):
                 b = bytes(b)
-                dt = "<f8" if b[0] == 1 else ">f8"
-                lon[i], lat[i] = np.frombuffer(b, dtype=dt, count=2, offset=5)
+                order, kind, _, at = _wkb_header(b, 0)
+                if kind != 1:
+                    raise ValueError(f"WKB geometry kind {kind} is no point")
+                lon[i], lat[i] = np.frombuffer(b, dtype=order + "f8", count=2, offset=at)
             pdf = pdf.drop(columns=[geom_col])
             pdf["lon"] = lon
             pdf["lat"] = lat
