@@ -4,16 +4,17 @@ Polygons are held as an *edge table* `(shape_id, part, ring, x1, y1, x2, y2)`:
 one row per ring segment.  Membership (ray crossing + on-edge test) and
 distance (point-segment) need only these rows, no ring assembly.
 
-Point-in-polygon runs as an equi-join on (latitude band, x-cell): every edge
-is listed in each band its y-range touches, grouped per (shape, band) into a
-small array, and each band row is copied to the x-cells it spans keeping only
-the edges that reach that cell or further right.  A point joins the rows of
-its own (band, cell), keeps those whose x-range covers it (exact: outside
-that range the crossing count is even), and the crossing parity is evaluated
-with SQL higher-order functions, so the whole test runs in the JVM.  The
-index is broadcast only after its size has been measured; above the limit
-the join is a shuffle join on (band, cell), which AQE splits when one cell
-is hot.
+Point-in-polygon runs as an equi-join on (latitude band, x-cell).  A cell's
+row of the index holds the shape's edges that touch the cell; of the edges
+further right, which a ray towards +x crosses at any x, only the parity is
+kept: a constant for the whole cell and the few y values at which it changes.
+So an edge is copied to the cells it touches and to no others, and a cell
+wholly inside a shape has no edges at all.  A point joins the rows of its own
+cell, and crossing parity and on-edge test are evaluated with SQL
+higher-order functions in the JVM, with the answer of the full ray test.  The
+index is built once, written to the checkpoint folder and measured; it is
+broadcast within the limit, else the join is a shuffle join on (band, cell),
+which AQE splits when one cell is hot.
 
 Nearest-shape search reads only the band rows within a distance bound of
 each point, from a pyramid of band heights chosen per point.
@@ -27,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from capgrid.session import cut_lineage, small
+
 #: Largest band index (bytes, estimated) that is broadcast.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 _EDGE_BYTES = 48  # four doubles in a struct plus array overhead
@@ -36,40 +39,60 @@ _EDGE_BYTES = 48  # four doubles in a struct plus array overhead
 # Index building
 # ---------------------------------------------------------------------------
 def band_index(edges: DataFrame, band: float, pad: float = 0.0, xcell: float | None = None) -> DataFrame:
-    """(shape_id, b, c, bx_min, bx_max, edges): edges grouped per latitude band
-    `b` and replicated over the x-cells `c` their band row spans.
-
-    A cell's copy keeps only the edges reaching that cell or further right
-    (`max x >= cell left`), which is all a ray towards +x from a point of
-    that cell can meet; so a point joins only the shapes whose band row
-    covers its own cell.  `pad` widens each edge's reach by a distance (for
-    within-distance tests).  `xcell=None` uses one cell per band.
+    """(shape_id, b, c, base, turns, edges): what a point of cell (b, c) needs to know of a shape.
+
+    `edges` touch the cell (with their reach widened by `pad`).  An edge
+    beyond the cell's right side is crossed by the ray of a point at height y
+    when exactly one of its ends lies above y, so the parity of all of them is
+    that of their ends above y.  Ends above the band count for every point of
+    the cell (`base`); of ends inside the band, a vertex whose edges both lie
+    beyond the cell cancels out, and the others are `turns`.  Rows without
+    edges, turns and parity are left out: their cells lie outside the shape.
     """
-    lo = F.floor((F.least("y1", "y2") - F.lit(pad)) / F.lit(band))
-    hi = F.floor((F.greatest("y1", "y2") + F.lit(pad)) / F.lit(band))
-    rows = (
-        edges.select("shape_id", "x1", "y1", "x2", "y2")
-        .withColumn("b", F.explode(F.sequence(lo, hi)))
-        .groupBy("shape_id", "b")
-        .agg(
-            (F.min(F.least("x1", "x2")) - F.lit(pad)).alias("bx_min"),
-            (F.max(F.greatest("x1", "x2")) + F.lit(pad)).alias("bx_max"),
-            F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-        )
+    w = F.lit(float(xcell if xcell is not None else default_xcell(band)))
+    h, p = F.lit(float(band)), F.lit(float(pad))
+    low, high = F.floor((F.least("y1", "y2") - p) / h), F.floor((F.greatest("y1", "y2") + p) / h)
+    listed = edges.select(
+        "shape_id", F.explode(F.sequence(low, high)).alias("b"), F.struct("x1", "y1", "x2", "y2").alias("e"),
+        F.floor((F.least("x1", "x2") - p) / w).alias("first"), F.floor((F.greatest("x1", "x2") + p) / w).alias("last"),
     )
-    if xcell is None:
-        return rows.withColumn("c", F.lit(0).cast("long"))
-    w = F.lit(float(xcell))
-    cells = rows.withColumn("c", F.explode(F.sequence(F.floor(F.col("bx_min") / w), F.floor(F.col("bx_max") / w))))
-    return cells.withColumn(
-        "edges", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) + F.lit(pad) >= F.col("c") * w)
+    row = Window.partitionBy("shape_id", "b")
+    listed = listed.withColumn("leftmost", F.min("first").over(row))
+    no_edge, no_turn = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>"), F.lit(None).cast("double")
+    cells = lambda c, e=no_edge, t=no_turn, above=0: (c.alias("c"), e.alias("e"), t.alias("turn"), F.lit(above).alias("above"))
+    touching = listed.select("shape_id", "b", *cells(F.explode(F.sequence("first", "last")), F.col("e")))
+    ends = listed.select("shape_id", "b", "first", "leftmost", F.explode(F.array("e.y1", "e.y2")).alias("y"))
+    at = F.floor(F.col("y") / h)  # the rule that puts points into bands, so an end in a higher band lies above every point of this one
+    over = ends.where(at > F.col("b")).where(F.col("first") > F.col("leftmost"))
+    over = over.select("shape_id", "b", *cells(F.col("first") - 1, above=1))
+    # at one height, ends of edges that begin in the cells m1 <= m2 <= ... are odd in number from m1 to m2 - 1, from m3 to m4 - 1 ...
+    begun = ends.where(at == F.col("b")).groupBy("shape_id", "b", "y").agg(
+        F.array_sort(F.collect_list("first")).alias("m"), F.first("leftmost").alias("leftmost")
     )
+    begun = begun.withColumn("m", F.when(F.size("m") % 2 == 1, F.concat(F.array("leftmost"), F.col("m"))).otherwise(F.col("m")))
+    pairs = F.filter(F.transform(F.sequence(F.lit(1), F.size("m") - 1, F.lit(2)), lambda i: F.struct(F.get("m", i - 1).alias("a"), F.get("m", i).alias("z"))), lambda r: r["z"] > r["a"])
+    spans = begun.select("shape_id", "b", "y", F.explode(pairs).alias("r"))
+    turning = spans.select("shape_id", "b", *cells(F.explode(F.sequence(F.col("r.a"), F.col("r.z") - 1)), t=F.col("y")))
+    reach = listed.groupBy("shape_id", "b").agg(F.min("first").alias("f"), F.max("last").alias("l"))
+    between = reach.select("shape_id", "b", *cells(F.explode(F.sequence("f", "l"))))
+    gathered = touching.unionByName(over).unionByName(turning).unionByName(between).groupBy("shape_id", "b", "c").agg(
+        F.collect_list("e").alias("edges"), F.collect_list("turn").alias("turns"), F.sum("above").alias("above")
+    )
+    beyond = Window.partitionBy("shape_id", "b").orderBy(F.col("c").desc())
+    based = gathered.withColumn("base", (F.sum("above").over(beyond) % 2).cast("int"))
+    return based.where((F.size("edges") > 0) | (F.size("turns") > 0) | (F.col("base") == 1)).select("shape_id", "b", "c", "base", "turns", "edges")
+
+
+def build_index(edges: DataFrame, band: float, pad: float = 0.0) -> tuple[DataFrame, int]:
+    """The index written to the checkpoint folder, and its measured size; one build serves any number of joins."""
+    index = cut_lineage(band_index(edges, band, pad))
+    return index, measure_index(index)
 
 
 def measure_index(index: DataFrame) -> int:
-    """Measured size of a band index (one aggregate over the small index)."""
-    total = index.agg(F.sum(F.size("edges")).alias("n"), F.count(F.lit(1)).alias("r")).first()
-    return int(total["n"] or 0) * _EDGE_BYTES + int(total["r"] or 0) * 64
+    """Measured size of an index (one aggregate over it)."""
+    total = index.agg(F.sum(F.size("edges") * _EDGE_BYTES + F.size("turns") * 8).alias("n"), F.count(F.lit(1)).alias("r")).first()
+    return int(total["n"] or 0) + int(total["r"] or 0) * 96
 
 
 def default_xcell(band: float) -> float:
@@ -117,6 +140,12 @@ def crossing_count(edges: Column, px: Column, py: Column) -> Column:
     return F.aggregate(edges, _acc(px, py, n=F.lit(0)), step)["n"]
 
 
+def turn_count(turns: Column, py: Column) -> Column:
+    """Number of the given heights above the point."""
+    above = F.aggregate(turns, F.struct(py.cast("double").alias("py"), F.lit(0).alias("n")), lambda a, t: F.struct(a["py"].alias("py"), (a["n"] + F.when(t > a["py"], 1).otherwise(0)).alias("n")))
+    return above["n"]
+
+
 def on_boundary(edges: Column, px: Column, py: Column) -> Column:
     """True when (px, py) lies on one of the edges."""
 
@@ -167,31 +196,29 @@ def points_in_shapes(
 
     `boundary="include"` is `intersects` (points on an edge match);
     `boundary="exclude"` is `within` (they do not).  Output: all point
-    columns plus `shape_id`.  A prebuilt `index` must come from
-    `band_index(edges, band, xcell=default_xcell(band))`.
+    columns plus `shape_id`.  A prebuilt `index` comes from `build_index(edges, band)`.
     """
     if boundary not in ("include", "exclude"):
-        raise ValueError(f"Invalid boundary rule {boundary!r}.")
-    xcell = default_xcell(band)
+        raise ValueError(f"boundary is 'include' or 'exclude', not {boundary!r}")
     if index is None:
-        index = band_index(edges, band, xcell=xcell)
+        index, index_size = build_index(edges, band)
     if index_size is None:
         index_size = measure_index(index)
-    return _probe(points, index, index_size, band, xcell, x, y, boundary)
+    return _probe(points, index, index_size, band, default_xcell(band), x, y, boundary)
 
 
 def _probe(points: DataFrame, index: DataFrame, size: int, band: float, xcell: float, x: str, y: str, boundary: str, distance: float | None = None) -> DataFrame:
     px, py = F.col(x), F.col(y)
     keyed = points.withColumn("_b", F.floor(py / F.lit(band))).withColumn("_c", F.floor(px / F.lit(xcell)))
     side = index.withColumnRenamed("b", "_b").withColumnRenamed("c", "_c")
-    cand = keyed.join(maybe_broadcast(side, size), on=["_b", "_c"]).where(px.between(F.col("bx_min"), F.col("bx_max")))
-    inside = (crossing_count(F.col("edges"), px, py) % 2) == 1
+    cand = keyed.join(maybe_broadcast(side, size), on=["_b", "_c"])
+    inside = ((F.col("base") + turn_count(F.col("turns"), py) + crossing_count(F.col("edges"), px, py)) % 2) == 1
     if distance is not None:
         keep = inside | (min_edge_distance(F.col("edges"), px, py) <= F.lit(float(distance)))
     else:
         edge = on_boundary(F.col("edges"), px, py)
         keep = (inside | edge) if boundary == "include" else (inside & ~edge)
-    return cand.where(keep).drop("_b", "_c", "bx_min", "bx_max", "edges")
+    return cand.where(keep).drop("_b", "_c", "base", "turns", "edges")
 
 
 def points_within_distance(
@@ -199,14 +226,11 @@ def points_within_distance(
 ) -> DataFrame:
     """(point, shape) pairs with the point inside the shape or within `distance` of it.
 
-    Edges are indexed with their reach padded by `distance`, so every edge
-    closer than `distance` is in the point's (band, cell) row; the crossing
-    parity only counts edges spanning the point's latitude, which are there
-    too.
+    Edges are indexed with their reach widened by `distance`, so every edge
+    closer than `distance` is in the row of the point's cell.
     """
-    xcell = default_xcell(band)
-    index = band_index(edges, band, pad=distance, xcell=xcell)
-    return _probe(points, index, measure_index(index), band, xcell, x, y, "include", distance=distance)
+    index, size = build_index(edges, band, pad=distance)
+    return _probe(points, index, size, band, default_xcell(band), x, y, "include", distance=distance)
 
 
 # ---------------------------------------------------------------------------
@@ -452,7 +476,7 @@ def require_target_shape(
         raise ValueError(f"on_error is 'raise', 'drop' or 'ignore', not {on_error!r}")
     available = shapes.select("country_id", F.col("shape_class").alias(class_col)).distinct().withColumn("_ok", F.lit(True))
     keys = ["country_id", class_col]
-    flagged = candidates.join(F.broadcast(available), on=keys, how="left")
+    flagged = candidates.join(small(available), on=keys, how="left")
     missing = flagged.where(F.col("_ok").isNull()).drop("_ok")
     if on_error == "raise":
         gated = F.when(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from capgrid.config import DATASET_YEAR, SCENARIO_MAP
 from capgrid.functions.columns import map_literal
+from capgrid.session import cut_lineage, small
 
 GROUP_KEYS = ["country_id", "category", "technology", "status"]
 
@@ -39,8 +40,8 @@ def impute_start_year(df: DataFrame, lifetimes: Mapping[str, float], keys: Seque
         .groupBy(*keys)
         .agg(F.bround(F.avg("start_year"), 0).alias("_mean_start"))
     )
-    # one row per (country, category, technology, status): bounded by the vocabularies
-    joined = df.join(F.broadcast(means), on=list(keys), how="left")
+    # written once: measured for the broadcast, then joined
+    joined = df.join(small(cut_lineage(means)), on=list(keys), how="left")
     filled = F.coalesce(F.col("start_year"), F.col("end_year") - _lookup(lifetimes), F.col("_mean_start"))
     return joined.withColumn("start_year", filled).select(*df.columns)
 

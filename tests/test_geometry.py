@@ -80,6 +80,51 @@ def test_random_points_against_numpy(spark):
     assert got == want
 
 
+def _ring(shape, ring, cx, cy, radius, n, rng):
+    angle = np.sort(rng.uniform(0, 2 * np.pi, n))
+    r = radius * rng.uniform(0.3, 1.0, n)
+    x, y = cx + r * np.cos(angle), cy + r * np.sin(angle)
+    if ring == 0:
+        y = np.round(y * 2) / 2  # vertices and whole edges on band borders
+    return [(shape, 0, ring, i, float(x[i]), float(y[i]), float(x[(i + 1) % n]), float(y[(i + 1) % n])) for i in range(n)]
+
+
+def test_index_against_full_ray_test(spark):
+    """Jagged rings with holes: the index gives the answer of all edges, at every band height and with padding."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(4):
+        cx, cy = rng.uniform(-20, 20, 2)
+        rows += _ring(f"s{k}", 0, cx, cy, 15, 60, rng) + _ring(f"s{k}", 1, cx, cy, 4, 15, rng)
+    xy = rng.uniform(-40, 40, (1500, 2))
+    xy[:300] = np.round(xy[:300] * 2) / 2
+    want = set()
+    for shape in {r[0] for r in rows}:
+        x1, y1, x2, y2 = np.array([r[4:] for r in rows if r[0] == shape]).T[:, None, :]
+        px, py = xy[:, :1], xy[:, 1:]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            crossed = ((y1 > py) != (y2 > py)) & (px < x1 + (py - y1) * (x2 - x1) / (y2 - y1))
+        on = (((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) == 0) & (px >= np.minimum(x1, x2)) & (px <= np.maximum(x1, x2)) & (py >= np.minimum(y1, y2)) & (py <= np.maximum(y1, y2))
+        want |= {(str(i), shape) for i in np.flatnonzero((crossed.sum(1) % 2 == 1) & ~on.any(1))}
+    edges = spark.createDataFrame(rows, EDGE_DDL)
+    points = spark.createDataFrame([(str(i), float(a), float(b)) for i, (a, b) in enumerate(xy)], "id string, x double, y double")
+    for band in (0.1, 0.5, 3.0, 100.0):
+        assert set(_matches(G.points_in_shapes(points, edges, band, boundary="exclude"))) == want
+    assert set(_matches(G.points_within_distance(points, edges, 0.0, 0.5))) >= want
+
+
+def test_edges_are_copied_to_the_cells_they_touch_only(spark):
+    n = 4000
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    x, y = 100 * np.cos(angle), 100 * np.sin(angle)
+    edges = spark.createDataFrame([("o", 0, 0, i, float(x[i]), float(y[i]), float(x[(i + 1) % n]), float(y[(i + 1) % n])) for i in range(n)], EDGE_DDL)
+    for band, most in ((2.0, 1.3), (0.2, 2.2), (0.05, 5.0)):
+        index = G.band_index(edges, band)
+        copies = index.selectExpr("sum(size(edges)) AS n").first()["n"]
+        assert n <= copies <= most * n
+    assert index.where("size(edges) = 0 AND base = 1").count() > 0
+
+
 def test_within_distance(spark):
     pts = spark.createDataFrame([("near", 21.0, 5.0), ("far", 25.0, 5.0), ("inside", 15.0, 5.0)], "id string, x double, y double")
     got = _matches(G.points_within_distance(pts, _edges(spark), 1.5, band=1.0))
@@ -202,17 +247,15 @@ def test_split_copies_move_into_exclusive_part(spark):
     assert got == {"p_duplicate_0": ("A", "X", 5.0, 4.5, 5.0), "p_duplicate_1": ("B", "Y", 5.0, 10.5, 5.0)}
 
 
-def test_nearest_grid_bound_matches_group_scan(spark, monkeypatch):
+def test_nearest_does_not_depend_on_the_band(spark):
     from capgrid.plans import queries as Q
 
     p, _ = Q.og_plants(spark, "/root/testdata/sf0.001")
     s, e = Q.shapes(spark, "/root/testdata/sf0.001")
     pts = p.select("powerplant_id", "lon", "lat", "country_id").withColumn("shape_class", F.lit("land"))
 
-    def run():
-        out = G.nearest_shape(pts, s, e, x="lon", y="lat", band=Q.B)
+    def run(band):
+        out = G.nearest_shape(pts, s, e, x="lon", y="lat", band=band)
         return sorted((r.powerplant_id, r.shape_id, r.part, round(r.distance, 9)) for r in out.collect())
 
-    direct = run()
-    monkeypatch.setattr(G, "GROUP_SCAN_LIMIT", 0)
-    assert run() == direct and len(direct) > 0
+    assert run(Q.B) == run(0.25) != []
