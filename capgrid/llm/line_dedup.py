@@ -11,8 +11,8 @@ lines of a page) / ratio boilerplate lines, so they fit in one array per host, w
 back to the pages; the pages' texts are shuffled only when the arrays of all
 hosts are too large to broadcast (measured).
 
-Defined results.  Lines end at a line feed; lines of white space only are kept
-and not counted.  Null text stays null (no lines); a null host is a host of
+Defined results.  Lines end at a line feed; lines that are empty or hold spaces
+only are kept and not counted.  Null text stays null (no lines); a null host is a host of
 its own.  A text whose lines all go becomes empty.  Repeated rows count as
 pages each.  Extra columns are carried; empty input gives empty output.
 """

@@ -8,6 +8,8 @@ oracle: the classifier, fingerprints and tokenizer are not SQL.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +60,9 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, with every stage's result written to the shared scratch folder."""
     docs = read(spark, sf_dir, "documents")
-    folder = scratch_path(spark, f"corpus_pipeline-{spark.sparkContext.applicationId}-{spark.sparkContext.startTime}-{abs(hash(sf_dir))}")
+    folder = scratch_path(spark, f"corpus_pipeline-{uuid.uuid4().hex}")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}_{name}"
-        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
