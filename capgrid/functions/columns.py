@@ -189,7 +189,8 @@ CSP_TYPE = "Solar Thermal"
 
 # B19 ----------------------------------------------------------------------
 def with_prefix(prefix: str, c: ColumnLike) -> Column:
-    return F.concat(F.lit(prefix), _col(c).cast("string"))
+    """Prefix and id; a missing id is written as `nan`, as in combined texts."""
+    return F.concat(F.lit(prefix), F.coalesce(_col(c).cast("string"), F.lit("nan")))
 
 
 # C1 -----------------------------------------------------------------------

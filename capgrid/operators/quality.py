@@ -148,6 +148,19 @@ def gate(df: DataFrame, rules: Sequence[Rule], mode: str = "raise") -> DataFrame
     return df
 
 
+def enforce(df: DataFrame, rules: Sequence[Rule], mode: str = "raise", key: str = "powerplant_id") -> DataFrame:
+    """Row rules as part of the plan: a row that breaks one fails the job when its `key` is read, without a pass of its own.
+
+    Rules on whole columns (uniqueness) are left to `gate`.  `skip` does nothing.
+    """
+    present = [r for r in rules if r.column in df.columns and r.kind != "unique"]
+    if mode == "skip" or not present:
+        return df
+    broken = F.coalesce(*[F.when(r.failing(), F.lit(r.name)) for r in present])
+    stop = F.raise_error(F.concat(F.lit("row breaks the rule "), broken, F.lit(": "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    return df.withColumn(key, F.when(broken.isNull(), F.col(key)).otherwise(stop))
+
+
 # I3 -----------------------------------------------------------------------
 def stage_rules(tech_values: Iterable[str], stage: str) -> list[Rule]:
     """Plant rules of a stage: prepare (years nullable, 5 statuses) or impute (years set, 3 statuses)."""

@@ -89,8 +89,13 @@ def _base(c: Mapping[str, str], category: str, technology, start, end, status_ma
     ]
 
 
+def _published(plants: DataFrame, tech_map: Mapping[str, str], mode: str) -> DataFrame:
+    """The prepared table with its row rules (I2, I3) enforced in the plan."""
+    return quality.enforce(plants, quality.stage_rules(tech_map.values(), "prepare"), mode)
+
+
 # P2 -----------------------------------------------------------------------
-def prepare_oil_gas(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[str, str] = C.FUEL_MAPPING, cols=None, keep=()):
+def prepare_oil_gas(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[str, str] = C.FUEL_MAPPING, cols=None, keep=(), quality_mode: str = "raise"):
     """(plants, fuel class table) of the oil and gas tracker; `keep` passes raw columns through."""
     c = _cols(OIL_GAS_COLS, cols)
     clean = _clean(raw, c).withColumn("_fuels", parse_fuel_set(c["fuel"], fuel_map, "fossil gas: unknown"))
@@ -105,10 +110,10 @@ def prepare_oil_gas(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mappi
         "fuel_class",
         *keep,
     )
-    return plants.where(F.col("output_capacity_mw") > 0), classes
+    return _published(plants.where(F.col("output_capacity_mw") > 0), tech_map, quality_mode), classes
 
 
-def prepare_coal(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[str, str] = C.FUEL_MAPPING, cols=None):
+def prepare_coal(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[str, str] = C.FUEL_MAPPING, cols=None, quality_mode: str = "raise"):
     """(plants, fuel class table) of the coal tracker."""
     c = _cols(COAL_COLS, cols)
     fuel_text = X.coal_fuel_text(c["coal_type"], c["alternate_fuel"])
@@ -123,7 +128,7 @@ def prepare_coal(raw: DataFrame, tech_map: Mapping[str, str], fuel_map: Mapping[
         F.lit(False).alias("chp"),
         "fuel_class",
     )
-    return plants.where(F.col("output_capacity_mw") > 0), classes
+    return _published(plants.where(F.col("output_capacity_mw") > 0), tech_map, quality_mode), classes
 
 
 def prepare_fossil(og_raw, coal_raw, og_tech, coal_tech, fuel_map=C.FUEL_MAPPING, og_cols=None, coal_cols=None, other_classes: Sequence[DataFrame] = ()):
@@ -145,7 +150,7 @@ def prepare_burners(bio_raw, og_raw, coal_raw, og_tech, coal_tech, fuel_map=C.FU
 
 
 # P1 -----------------------------------------------------------------------
-def prepare_bioenergy(raw: DataFrame, tech_map: Mapping[str, str] = C.TECHNOLOGY_MAPPING["bioenergy"], fuel_map=C.FUEL_MAPPING, cols=None):
+def prepare_bioenergy(raw: DataFrame, tech_map: Mapping[str, str] = C.TECHNOLOGY_MAPPING["bioenergy"], fuel_map=C.FUEL_MAPPING, cols=None, quality_mode: str = "raise"):
     c = _cols(BIO_COLS, cols)
     clean = _clean(raw, c).withColumn("_fuels", parse_fuel_set(c["fuel"], fuel_map, "bioenergy: unknown"))
     classes, coded = fuel_classes.encode_sets(clean, "_fuels", "b")
@@ -158,21 +163,22 @@ def prepare_bioenergy(raw: DataFrame, tech_map: Mapping[str, str] = C.TECHNOLOGY
         F.lit(False).alias("chp"),
         "fuel_class",
     )
-    return plants, classes
+    return _published(plants, tech_map, quality_mode), classes
 
 
 # P3 -----------------------------------------------------------------------
-def prepare_geothermal(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["geothermal"], cols=None) -> DataFrame:
+def prepare_geothermal(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["geothermal"], cols=None, quality_mode: str = "raise") -> DataFrame:
     c = _cols(GEO_COLS, cols)
-    return _clean(raw, c).select(
+    plants = _clean(raw, c).select(
         *_base(c, "geothermal", X.map_technology(c["technology"], tech_map), X.coerce_year(c["start"]), X.coerce_year(c["retired"]))
     )
+    return _published(plants, tech_map, quality_mode)
 
 
 # P4 -----------------------------------------------------------------------
-def prepare_hydropower(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["hydropower"]) -> DataFrame:
+def prepare_hydropower(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["hydropower"], quality_mode: str = "raise") -> DataFrame:
     clean = drop_missing(raw, ["capacity_mw", "plant_lon", "plant_lat"])
-    return clean.select(
+    plants = clean.select(
         X.with_prefix("GloHydroRes_", "ID").alias("powerplant_id"),
         F.col("name").cast("string").alias("name"),
         F.lit("hydropower").alias("category"),
@@ -185,32 +191,35 @@ def prepare_hydropower(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["hydropower
         F.col("plant_lat").cast("double").alias("lat"),
         X.non_negative_or_null(F.col("res_vol_km3").cast("double")).alias("reservoir_km3"),
     )
+    return _published(plants, tech_map, quality_mode)
 
 
 # P5 -----------------------------------------------------------------------
-def prepare_nuclear(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["nuclear"], cols=None) -> DataFrame:
+def prepare_nuclear(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["nuclear"], cols=None, quality_mode: str = "raise") -> DataFrame:
     c = _cols(NUCLEAR_COLS, cols)
-    return _clean(raw, c).select(
+    plants = _clean(raw, c).select(
         *_base(
             c, "nuclear", X.map_technology(c["technology"], tech_map),
             X.year_of_mixed_date(c["start_date"]), X.year_of_mixed_date(c["end_date"]),
         )
     )
+    return _published(plants, tech_map, quality_mode)
 
 
 # P7 -----------------------------------------------------------------------
-def prepare_wind_tracker(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["wind"], cols=None) -> DataFrame:
+def prepare_wind_tracker(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["wind"], cols=None, quality_mode: str = "raise") -> DataFrame:
     c = _cols(WIND_COLS, cols)
     clean = _clean(raw, c)
     clean = clean.where(F.col(c["installation"]).isNotNull() & (F.col(c["installation"]) != "Unknown"))
     tech = F.try_element_at(X.map_literal(tech_map), X.map_plain(c["installation"], C.WIND_INSTALLATION_MAPPING))
-    return clean.select(*_base(c, "wind", tech, X.coerce_year(c["start"]), X.coerce_year(c["retired"])))
+    plants = clean.select(*_base(c, "wind", tech, X.coerce_year(c["start"]), X.coerce_year(c["retired"])))
+    return _published(plants, tech_map, quality_mode)
 
 
-def prepare_wind_market(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["wind"]) -> DataFrame:
+def prepare_wind_market(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["wind"], quality_mode: str = "raise") -> DataFrame:
     """Wind market file (sentinel-null sheet, kW capacities, replace-style statuses)."""
     clean = raw.dropna(subset=["Total power", "Latitude", "Longitude"])
-    return clean.select(
+    plants = clean.select(
         X.with_prefix("WEMI_", "ID").alias("powerplant_id"),
         F.col("Name").cast("string").alias("name"),
         F.lit("wind").alias("category"),
@@ -222,6 +231,7 @@ def prepare_wind_market(raw: DataFrame, tech_map=C.TECHNOLOGY_MAPPING["wind"]) -
         F.col("Longitude").cast("double").alias("lon"),
         F.col("Latitude").cast("double").alias("lat"),
     )
+    return _published(plants, tech_map, quality_mode)
 
 
 # P6 -----------------------------------------------------------------------
@@ -247,6 +257,8 @@ def prepare_large_solar(
     buffer_epsg: int = 8857,
     band: float = 100_000.0,
     csp: DataFrame | None = None,
+    csp_name: str = "csp",
+    quality_mode: str = "raise",
 ) -> DataFrame:
     """Satellite facilities filled from tracker points (F5), plus tracker points
     of non-operating projects far from every facility (E5), plus the `csp` rows;
@@ -289,7 +301,8 @@ def prepare_large_solar(
     )
     mismatch = future.join(near.select("powerplant_id").distinct(), on="powerplant_id", how="left_anti")
     pv = fac_points.unionByName(mismatch.select(*PLANT_COLUMNS))
-    return pv if csp is None else pv.unionByName(csp.select(*PLANT_COLUMNS))
+    every = pv if csp is None else pv.unionByName(csp.select(*PLANT_COLUMNS))
+    return _published(every, {"utility_pv": pv_name, "csp": csp_name}, quality_mode)
 
 
 def prepare_satellite(raw: DataFrame, pv_name: str = "utility pv") -> DataFrame:
@@ -311,7 +324,7 @@ def prepare_solar(
     """P6 from the raw inputs: satellite clusters, photovoltaic and solar-thermal rows of the tracker."""
     pv = prepare_solar_tracker(tracker, pv_name, X.PV_TYPES, dc_ac_ratio, cols)
     csp = prepare_solar_tracker(tracker, csp_name, [X.CSP_TYPE], 1.0, cols)
-    return prepare_large_solar(prepare_satellite(satellite, pv_name), satellite_edges, pv, buffer, pv_name, csp=csp)
+    return prepare_large_solar(prepare_satellite(satellite, pv_name), satellite_edges, pv, buffer, pv_name, csp=csp, csp_name=csp_name)
 
 
 # P8 -----------------------------------------------------------------------

@@ -63,7 +63,8 @@ def og_plants(spark, d, with_country: bool = True):
 
 
 def coal_raw(spark, d):
-    return tracker(spark, d).withColumn("coal_unit_id", F.concat(F.lit("C"), F.expr("substring(gem_unit_id, 2)")))
+    own = F.when(F.col("status") == "pre-construction", F.lit("permitted")).otherwise(F.col("status"))
+    return tracker(spark, d).withColumn("status", own).withColumn("coal_unit_id", F.concat(F.lit("C"), F.expr("substring(gem_unit_id, 2)")))
 
 
 def shapes(spark, d, overlap=False):
@@ -1283,17 +1284,17 @@ _MARKET_STATUS = {"operating": "Production", "retired": "Dismantled", "construct
 @query(
     "A7_P7_wind_market",
     O.ctes(tracker=O.TRACKER) + f"""SELECT 'WEMI_' || CASE WHEN gem_unit_id LIKE '%7' THEN 'WF-' || substr(gem_unit_id, 2) WHEN gem_unit_id LIKE '%3' THEN 'A' || substr(gem_unit_id, 2)
-    WHEN gem_unit_id LIKE '%64' THEN NULL ELSE substr(gem_unit_id, 2) END AS powerplant_id, plant_name AS name, 'wind' AS category,
+    WHEN gem_unit_id LIKE '%64' THEN 'nan' ELSE substr(gem_unit_id, 2) END AS powerplant_id, plant_name AS name, 'wind' AS category,
   CASE WHEN technology_raw LIKE '%URGENT%' THEN 'offshore' ELSE 'onshore' END AS technology,
   floor(capacity_mw_raw * 1000) * 0.001e0 AS output_capacity_mw,
   TRY_CAST(start_year_raw AS DOUBLE) AS start_year, CAST(NULL AS DOUBLE) AS end_year,
   coalesce({O.case_map(O.case_map('status', _MARKET_STATUS), C.STATUS_MAPPING_WIND_MARKET)}, {O.case_map('status', _MARKET_STATUS, 'status')}) AS status,
   longitude AS lon, latitude AS lat
-FROM tracker WHERE capacity_mw_raw IS NOT NULL AND latitude IS NOT NULL""",
+FROM tracker WHERE capacity_mw_raw IS NOT NULL AND latitude IS NOT NULL AND status IN ({', '.join(repr(k) for k in _MARKET_STATUS)})""",
 )
 def a7(spark, d):
     path = _scratch(spark, "wind-market")
-    t = tracker(spark, d)
+    t = tracker(spark, d).where(F.col("status").isin(list(_MARKET_STATUS)))
     number = F.expr("substring(gem_unit_id, 2)")
     units = spark.createDataFrame([("(id)", "(text)", "(kW)", "(km)", "(date)", "(text)", "(deg)", "(deg)")],
                                   "ID string, Name string, `Total power` string, `Offshore\nShore distance` string, `Commissioning date` string, Status string, Latitude string, Longitude string")

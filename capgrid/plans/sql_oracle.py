@@ -53,6 +53,11 @@ COAL_CLEAN = f"SELECT *, {fuels_sql('(' + COAL_TEXT + ')', 'brown coal')} AS fue
 COAL_CODES = "SELECT fuels, 'c' || CAST(dense_rank() OVER (ORDER BY fuels) - 1 AS VARCHAR) AS fuel_class FROM (SELECT DISTINCT fuels FROM coal_clean)"
 
 
+def _coal_status(status_map: dict) -> str:
+    """The stand-in coal tracker words one status in its own way."""
+    return "CASE WHEN status = 'pre-construction' THEN 'permitted' ELSE status END" if status_map is C.STATUS_MAPPING_COAL else "status"
+
+
 def _plant_cols(unit_prefix: str, status_map: dict) -> str:
     return f"""
   'GEM_' || coalesce(gem_location_id, 'nan') || '-' || coalesce({unit_prefix}, 'nan') AS powerplant_id,
@@ -63,7 +68,7 @@ def _plant_cols(unit_prefix: str, status_map: dict) -> str:
   TRY_CAST(start_year_raw AS DOUBLE) AS start_year,
   CASE WHEN retired_year_raw IS NOT NULL THEN TRY_CAST(retired_year_raw AS DOUBLE)
        ELSE TRY_CAST(planned_retire_raw AS DOUBLE) END AS end_year,
-  {case_map('status', status_map)} AS status,
+  {case_map(_coal_status(status_map), status_map)} AS status,
   longitude AS lon, latitude AS lat"""
 
 

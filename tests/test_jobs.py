@@ -175,3 +175,35 @@ def test_checkpoints_need_a_shared_folder_off_local(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session)
+
+
+def test_row_rules_stop_the_job_where_they_break(spark):
+    from capgrid.operators import quality
+
+    plants = _plants(spark, [("p", "fossil", 5.0, 5.0), ("q", "fossil", None, 5.0)])
+    rules = quality.stage_rules(["ccgt"], "prepare")
+    with pytest.raises(Exception, match="lon:not_null: q"):
+        quality.enforce(plants, rules).collect()
+    assert quality.enforce(plants.where("lon IS NOT NULL"), rules).count() == 1
+    assert quality.enforce(plants, rules, "skip").count() == 2
+    with pytest.raises(Exception, match="technology:isin"):
+        quality.enforce(plants, quality.stage_rules(["ocgt"], "prepare")).collect()
+
+
+def test_solar_from_raw_inputs(spark):
+    """Satellite midpoint years, photovoltaic and solar-thermal tracker rows, ratings, and the 1,000 m rule."""
+    import datetime as dt
+
+    day = dt.datetime(2018, 1, 1), dt.datetime(2020, 1, 1)
+    satellite = spark.createDataFrame([("c1", 5.0, *day)], "cluster_id string, capacity_mw double, constructed_after timestamp, constructed_before timestamp")
+    edges = spark.createDataFrame(square_edges("c1", 10, 10, 10.01, 10.01), EDGE_DDL)
+    rows = [
+        ("in", "PV", "operating", 10.005, 10.005, "MWac"), ("near", None, "announced", 10.015, 10.005, "MWac"), ("far", "PV", "construction", 10.05, 10.005, "MWp/dc"),
+        ("runs", "PV", "operating", 11.0, 10.0, "MWac"), ("heat", "Solar Thermal", "operating", 12.0, 10.0, "MWac"),
+    ]
+    tracker = spark.createDataFrame([(i, i, "n", "u", t, s, x, y, "100", r, "2015", None) for i, t, s, x, y, r in rows],
+        "gem_location_id string, gem_phase_id string, project_name string, phase_name string, technology_type string, status string, longitude double, latitude double, `capacity_(mw)` string, capacity_rating string, start_year string, retired_year string")
+    got = {r["powerplant_id"]: r for r in P.prepare_solar(satellite, edges, tracker).collect()}
+    assert set(got) == {"TZ-SAM_c1", "GEM_far-far", "GEM_heat-heat"}
+    assert got["TZ-SAM_c1"]["start_year"] == 2015.0 and got["TZ-SAM_c1"]["status"] == "operating"
+    assert got["GEM_far-far"]["output_capacity_mw"] == 80.0 and got["GEM_heat-heat"]["technology"] == "csp"
