@@ -253,13 +253,15 @@ def components(docs: DataFrame, shingle: int = 4, distance: int = 4, exact: int
 
 def deduplicate(docs: DataFrame, shingle: int = 4, distance: int = 4, exact: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Keep one row of each component: its smallest id (nulls last), then the smallest text hash; one of repeated rows."""
-    key = common.fresh("text_key", docs.columns)
+    key, row = common.fresh("text_key", docs.columns), common.fresh("row_key", docs.columns)
     groups = components(docs, shingle, distance, exact, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")
-    winners = groups.groupBy("root").agg(F.min(order).alias("w")).select(F.col("w.id").alias("w_id"), F.col("w.text_key").alias("w_key"))
-    keyed = docs.withColumn(key, F.xxhash64(text_col))
-    kept = keyed.join(winners, keyed[id_col].eqNullSafe(F.col("w_id")) & (keyed[key] == F.col("w_key"))).drop("w_id", "w_key")
-    return kept.dropDuplicates([id_col, key]).drop(key)
+    winners = groups.groupBy("root").agg(F.min(order).alias("w")).select(F.xxhash64("w.id", "w.text_key").alias("w_row"), F.col("w.text_key").alias("w_key"))
+    # A row is known by two hashes, of id and text and of the text.  Both the join and the removal of
+    # repeated rows use just these columns, so texts move once.
+    keyed = docs.withColumn(key, F.xxhash64(text_col)).withColumn(row, F.xxhash64(id_col, key))
+    kept = keyed.join(winners, (keyed[row] == F.col("w_row")) & (keyed[key] == F.col("w_key"))).drop("w_row", "w_key")
+    return kept.dropDuplicates([row, key]).drop(row, key)
 
 
 def hex_digits(fp: Column) -> Column:
