@@ -5,10 +5,9 @@ A plant burns a *set* of fuels; each distinct set gets a class code
 order (arrays compare element-wise, like tuples).  The class table holds one
 row per (class, fuel).
 
-The distinct sets are ranked by ranges: they are dealt to partitions by range
-and sorted there, and a partition's ranks start after the sizes of those
-before it, so no single task holds them all.  Codes are joined back by
-broadcast when their measured size allows.
+Distinct sets are ranked per first fuel, and each first fuel's ranks start after
+the number of sets before it, so no single task orders them all.  Codes are
+joined back by broadcast when their measured size allows.
 """
 
 from __future__ import annotations
@@ -21,19 +20,20 @@ from pyspark.sql import functions as F
 
 from capgrid.session import cut_lineage, small
 
-_LOCAL = (1 << 33) - 1
-
-
 def _ranked_sets(sets: DataFrame, set_col: str, prefix: str) -> DataFrame:
-    """(set, fuel_class), written to the checkpoint folder: both results of an encoding read it."""
-    dealt = cut_lineage(sets.select(set_col).distinct().repartitionByRange(set_col).sortWithinPartitions(set_col))
-    placed = dealt.withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
-    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    rank = F.col("_before") + F.col("_id").bitwiseAND(F.lit(_LOCAL))
-    ranked = placed.withColumn("_part", part).join(F.broadcast(before), on="_part")
-    return cut_lineage(ranked.select(set_col, F.concat(F.lit(prefix), rank.cast("string")).alias("fuel_class")))
+    """(set, fuel_class), marked for broadcast when measured small.
+
+    The distinct sets are written to the checkpoint folder, so the input is
+    read once.  Sets are ranked among those with the same first fuel, after
+    the number of sets with smaller first fuels.
+    """
+    distinct = cut_lineage(sets.select(set_col).distinct()).withColumn("_first", F.get(set_col, F.lit(0)))
+    sizes = distinct.groupBy("_first").agg(F.count(F.lit(1)).alias("_n"))  # one row a fuel
+    before = sizes.select(F.col("_first").alias("_fuel"), (F.sum("_n").over(Window.orderBy("_first")) - F.col("_n")).alias("_before"))
+    among = F.row_number().over(Window.partitionBy("_first").orderBy(set_col)) - 1
+    ranked = distinct.withColumn("_among", among).join(before, F.col("_first").eqNullSafe(F.col("_fuel")))
+    codes = ranked.select(set_col, F.concat(F.lit(prefix), (F.col("_before") + F.col("_among")).cast("string")).alias("fuel_class"))
+    return small(codes, measured=distinct)
 
 
 def _join_small(big: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -49,7 +49,7 @@ def class_table(codes: DataFrame, set_col: str = "fuels") -> DataFrame:
 def encode_sets(df: DataFrame, set_col: str, prefix: str) -> tuple[DataFrame, DataFrame]:
     """Returns (class table, df with `fuel_class` in place of the set column)."""
     codes = _ranked_sets(df, set_col, prefix)
-    coded = _join_small(df, codes, on=set_col).drop(set_col)
+    coded = df.join(codes, on=set_col).drop(set_col)
     return class_table(codes, set_col), coded
 
 

@@ -56,24 +56,21 @@ def band_index(edges: DataFrame, band: float, pad: float = 0.0, xcell: float | N
         "shape_id", F.explode(F.sequence(low, high)).alias("b"), F.struct("x1", "y1", "x2", "y2").alias("e"),
         F.floor((F.least("x1", "x2") - p) / w).alias("first"), F.floor((F.greatest("x1", "x2") + p) / w).alias("last"),
     )
-    row = Window.partitionBy("shape_id", "b")
-    listed = listed.withColumn("leftmost", F.min("first").over(row))
+    reach = listed.groupBy("shape_id", "b").agg(F.min("first").alias("f"), F.max("last").alias("l"))
     no_edge, no_turn = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>"), F.lit(None).cast("double")
     cells = lambda c, e=no_edge, t=no_turn, above=0: (c.alias("c"), e.alias("e"), t.alias("turn"), F.lit(above).alias("above"))
     touching = listed.select("shape_id", "b", *cells(F.explode(F.sequence("first", "last")), F.col("e")))
-    ends = listed.select("shape_id", "b", "first", "leftmost", F.explode(F.array("e.y1", "e.y2")).alias("y"))
+    ends = listed.select("shape_id", "b", "first", F.explode(F.array("e.y1", "e.y2")).alias("y"))
     at = F.floor(F.col("y") / h)  # the rule that puts points into bands, so an end in a higher band lies above every point of this one
-    over = ends.where(at > F.col("b")).where(F.col("first") > F.col("leftmost"))
-    over = over.select("shape_id", "b", *cells(F.col("first") - 1, above=1))
+    over = ends.where(at > F.col("b")).select("shape_id", "b", *cells(F.col("first") - 1, above=1))
     # at one height, ends of edges that begin in the cells m1 <= m2 <= ... are odd in number from m1 to m2 - 1, from m3 to m4 - 1 ...
     begun = ends.where(at == F.col("b")).groupBy("shape_id", "b", "y").agg(
-        F.array_sort(F.collect_list("first")).alias("m"), F.first("leftmost").alias("leftmost")
-    )
-    begun = begun.withColumn("m", F.when(F.size("m") % 2 == 1, F.concat(F.array("leftmost"), F.col("m"))).otherwise(F.col("m")))
+        F.array_sort(F.collect_list("first")).alias("m")
+    ).join(reach, on=["shape_id", "b"])
+    begun = begun.withColumn("m", F.when(F.size("m") % 2 == 1, F.concat(F.array("f"), F.col("m"))).otherwise(F.col("m")))  # an open ring: odd from the first cell on
     pairs = F.filter(F.transform(F.sequence(F.lit(1), F.size("m") - 1, F.lit(2)), lambda i: F.struct(F.get("m", i - 1).alias("a"), F.get("m", i).alias("z"))), lambda r: r["z"] > r["a"])
     spans = begun.select("shape_id", "b", "y", F.explode(pairs).alias("r"))
     turning = spans.select("shape_id", "b", *cells(F.explode(F.sequence(F.col("r.a"), F.col("r.z") - 1)), t=F.col("y")))
-    reach = listed.groupBy("shape_id", "b").agg(F.min("first").alias("f"), F.max("last").alias("l"))
     between = reach.select("shape_id", "b", *cells(F.explode(F.sequence("f", "l"))))
     gathered = touching.unionByName(over).unionByName(turning).unionByName(between).groupBy("shape_id", "b", "c").agg(
         F.collect_list("e").alias("edges"), F.collect_list("turn").alias("turns"), F.sum("above").alias("above")
@@ -212,7 +209,8 @@ def _probe(points: DataFrame, index: DataFrame, size: int, band: float, xcell: f
     keyed = points.withColumn("_b", F.floor(py / F.lit(band))).withColumn("_c", F.floor(px / F.lit(xcell)))
     side = index.withColumnRenamed("b", "_b").withColumnRenamed("c", "_c")
     cand = keyed.join(maybe_broadcast(side, size), on=["_b", "_c"])
-    inside = ((F.col("base") + turn_count(F.col("turns"), py) + crossing_count(F.col("edges"), px, py)) % 2) == 1
+    turned = F.when(F.size("turns") > 0, turn_count(F.col("turns"), py)).otherwise(0)
+    inside = ((F.col("base") + turned + crossing_count(F.col("edges"), px, py)) % 2) == 1
     if distance is not None:
         keep = inside | (min_edge_distance(F.col("edges"), px, py) <= F.lit(float(distance)))
     else:

@@ -69,13 +69,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, limit: int = 32 * 1024 * 1024) -> DataFrame:
+def small(df: DataFrame, limit: int = 32 * 1024 * 1024, measured: DataFrame | None = None) -> DataFrame:
     """Mark `df` for broadcast if its rows, measured by one count, fit in `limit` bytes; else leave the join to shuffle.
 
-    The size of a row is taken from its types (64 bytes a text or array).
+    `measured`, when given, is a table known to have as many rows and cheaper to
+    count.  The size of a row is taken from its types (64 bytes a text or array).
     """
     width = 16 + sum(8 if f.dataType.typeName() in _FIXED_WIDTH else 64 for f in df.schema.fields)
-    return F.broadcast(df) if df.count() * width <= limit else df
+    return F.broadcast(df) if (df if measured is None else measured).count() * width <= limit else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
