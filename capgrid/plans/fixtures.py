@@ -202,7 +202,7 @@ FACILITIES_SQL = """
 SELECT 'F' || CAST(s_suppkey AS STRING) AS cluster_id,
        ((s_suppkey * 7907) % 34000) / 100e0 - 170e0 AS cx,
        ((s_suppkey * 3491) % 16000) / 100e0 - 80e0 AS cy,
-       s_acctbal / 100e0 AS capacity_mw,
+       (abs(s_acctbal) + 1e0) / 100e0 AS capacity_mw,
        2015e0 + s_suppkey % 7 AS start_year,
        s_suppkey
 FROM {supplier}
