@@ -15,6 +15,11 @@ compared by a distinct count first, and only texts that have repeats sort
 them.  Two different windows of one text would have to share a 64-bit hash to
 be taken for a repeat.
 
+The threshold is derived from labels that play no part in the scores they are
+set against (`separating_threshold`): labelled texts are scored in folds, each
+with the target of the other folds, and the point with the widest gap between
+the kept shares of good and bad texts is taken.
+
 Defined results.  Null and empty texts have no words: all counts zero, score
 zero, base rules failed.  Without trusted documents all scores are zero.
 Repeated rows count as documents each; a trusted id marks every row that has
@@ -23,13 +28,16 @@ it; null ids are never trusted.  Only the id and text are read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capgrid.llm import common
 
 BUCKETS = 1 << 14
-THRESHOLD = -0.3
+#: `separating_threshold` of the sf0.1 labels outside the held-out fold; of that fold no good text scores below it and no bad one above.
+THRESHOLD = -0.065
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -110,3 +118,28 @@ def evaluate(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return fifth.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+
+
+def separating_threshold(docs: DataFrame, labels: DataFrame, folds: int = 3, bin_width: float = 0.005, buckets: int = BUCKETS, id_col: str = "doc_id", text_col: str = "text") -> float:
+    """Score that best separates `labels` (id, quality) of texts that pass the base rules.
+
+    Each fold of the labels is scored with the target learned from the other
+    folds.  Of the bin edges where the kept share of good texts less that of bad
+    ones is greatest, the middle one.  At most one row a bin is read.
+    """
+    known = labels.filter(F.col(id_col).isNotNull() & F.col("quality").isin(0, 1)).select(F.col(id_col).alias("label_id"), "quality", F.pmod(F.xxhash64(id_col, F.lit("fold")), F.lit(folds)).alias("fold"))
+    scored = []
+    for i in range(folds):
+        target = known.filter((F.col("fold") != i) & (F.col("quality") == 1)).select(F.col("label_id").alias(id_col))
+        # cut, as a filter pushed into the scores would compute them twice
+        one = common.cut(evaluate(docs, target, buckets=buckets, id_col=id_col, text_col=text_col).select("id", "score", "base_failed"))
+        scored.append(one.filter(~F.col("base_failed")).join(known.filter(F.col("fold") == i), F.col("id") == F.col("label_id")).select("score", "quality"))
+    every = reduce(DataFrame.unionAll, scored)
+    rows = every.groupBy(F.floor(F.col("score") / bin_width).cast("long").alias("bin")).agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")).collect()
+    good, bad = sum(r["good"] for r in rows), sum(r["bad"] for r in rows)
+    if not good or not bad:
+        raise ValueError("labels of both kinds are needed to derive a threshold")
+    edges = range(min(r["bin"] for r in rows), max(r["bin"] for r in rows) + 2)
+    gap = {e: sum(r["good"] / good - r["bad"] / bad for r in rows if r["bin"] >= e) for e in edges}
+    best = [e for e in edges if gap[e] >= max(gap.values()) - 1e-12]
+    return best[len(best) // 2] * bin_width

@@ -4,6 +4,9 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from capgrid.llm import line_crf
 from capgrid.llm import quality_rules as Q
 from capgrid.llm.queries import QUERIES
 
@@ -81,3 +84,22 @@ def test_empty_tables(spark, odd_docs):
     none = spark.createDataFrame([], "doc_id bigint")
     assert {r["score"] for r in Q.evaluate(odd_docs, none).collect()} == {0.0}
     assert Q.evaluate(odd_docs.limit(0), none).count() == 0
+
+
+def test_threshold_separates_held_out_labels(spark):
+    """Neither the threshold nor the target has seen the labels it is held against."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(16)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    others = labels.filter(~line_crf.in_fold(F.col("doc_id")))
+    assert abs(Q.separating_threshold(docs, others) - Q.THRESHOLD) < 0.02
+    quality = {r["doc_id"]: r["quality"] for r in labels.filter(line_crf.in_fold(F.col("doc_id"))).collect()}
+    rows = [r for r in Q.evaluate(docs, others.filter("quality = 1")).select("id", "kept", "base_failed").collect() if r["id"] in quality and not r["base_failed"]]
+    good, bad = ([r["kept"] for r in rows if quality[r["id"]] == q] for q in (1, 0))
+    assert len(good) > 500 and sum(good) / len(good) > 0.99
+    assert len(bad) > 50 and sum(bad) / len(bad) < 0.05
+
+
+def test_threshold_needs_both_labels(spark, odd_docs):
+    with pytest.raises(ValueError):
+        Q.separating_threshold(odd_docs, spark.createDataFrame([(5, 1)], "doc_id bigint, quality int"))
