@@ -22,6 +22,7 @@ be null.  Columns other than the id and text are not read.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,6 +40,9 @@ END_ID = 0
 SALTS = 64
 #: Texts are encoded in pieces of at most this many characters, cut where two pre-tokens meet.
 ENCODE_CHARS = 1 << 18
+#: Runs of white space from this length on are encoded without the pattern, whose backtracking overflows the stack on long ones.
+RUN_CHARS = 1 << 14
+_LONG_RUN = re.compile("[\\x09-\\x0d \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{%d,}" % RUN_CHARS)  # White_Space, as the pattern's \\s
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _encoders: dict[str, tuple] = {}
 
@@ -63,10 +67,7 @@ def encoder(vocabulary: str):
         _encoders[vocabulary] = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), tuple(special)
     enc, special = _encoders[vocabulary]
 
-    def encode(text: str) -> list[int]:
-        whole = enc.encode if any(s in text for s in special) else None
-        if whole:
-            return whole(text, allowed_special="all")
+    def ordinary(text: str) -> list[int]:
         out: list[int] = []
         at = 0
         while len(text) - at > ENCODE_CHARS:
@@ -78,6 +79,27 @@ def encoder(vocabulary: str):
         out += enc.encode_ordinary(text[at:] if at else text)
         return out
 
+    def plain(text: str) -> list[int]:
+        """A text without special strings; each long white-space run but its last character is a pre-token of its own."""
+        out: list[int] = []
+        at = 0
+        for run in _LONG_RUN.finditer(text) if len(text) >= RUN_CHARS else ():
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += ordinary(text[at : run.start()])
+            out += enc._encode_single_piece(text[run.start() : end].encode())
+            at = end
+        return out + ordinary(text[at:])
+
+    specials = re.compile("(" + "|".join(map(re.escape, special)) + ")")
+
+    def encode(text: str) -> list[int]:
+        if not any(s in text for s in special):
+            return plain(text)
+        out: list[int] = []
+        for i, part in enumerate(specials.split(text)):
+            out += [enc.encode_single_token(part)] if i % 2 else plain(part)
+        return out
+
     return encode
 
 

@@ -62,6 +62,23 @@ def test_long_texts_are_cut_without_changing_ids(monkeypatch):
     assert [encode(t) for t in texts] == whole
 
 
+def test_white_space_runs_of_any_length():
+    encode = P.encoder(vocabulary_path())
+    for n in (1_000_000, 3_000_000):
+        for blank in (" ", "\n"):
+            run = blank * n
+            assert encode(run + "x") + [0] == tokens([run + "x"])[0]
+            assert encode("a" + run) + [0] == tokens(["a" + run])[0]
+
+
+def test_white_space_runs_inside_texts():
+    encode = P.encoder(vocabulary_path())
+    n = P.RUN_CHARS
+    runs = [" " * n, "\n" * (n + 1), " \u3000\t\x85" * n, "\x1c" * n, " " * (n - 1) + "\n"]
+    texts = [f"one{a}two, it{b}'s{a}<|endoftext|>{b}12{b}<|endoftext|>" for a in runs for b in runs]
+    assert [encode(t) + [0] for t in texts] == tokens(texts)
+
+
 def test_odd_rows(spark, odd_docs):
     rows = P.pack(odd_docs, vocabulary_path(), with_ids=True).withColumnRenamed("id", "doc_id").collect()
     docs = odd_docs.collect()
