@@ -3,14 +3,15 @@
 Dated additions and removals become one event per (list, key, day) — a day
 with an addition is active, whatever else is dated on it — and runs of events
 become validity intervals [valid_from, valid_to).  A key is a canonical URL or
-a host; a host entry covers the hosts below it.
+a host; a host entry covers the hosts below it, a URL entry without a query
+the page under every query, one with a query that query alone.
 
 All intervals of a key go into one array (at most lists x change days long),
 so the as-of join is an equi-join on the key with a time test inside the row:
 no pairs of captures and entries are made, and a host that a third of all
 captures share only makes the capture side of a join large, which Spark
 splits.  A host's array already holds the intervals of the hosts above it, so
-a capture needs two look-ups: host and URL.
+a capture needs three look-ups: host, page and, where it has a query, URL.
 
 Defined results.  A capture without a URL or day is on no list.  Entries
 without list, key, action or day are ignored.  An entry that was never removed
@@ -28,6 +29,8 @@ from capgrid.llm import common
 
 #: A day after every date: `valid_to` of entries still in force.
 OPEN_END = 2_147_483_647
+#: Names of parameters that tell where a visit came from and do not select content (whole name, lower case).
+TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid|dclid|msclkid|yclid|mc_cid|mc_eid|igshid)$"
 
 
 def host_of(url: Column) -> Column:
@@ -36,10 +39,30 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.regexp_replace(host, r"^www\.", ""), F.lit(""))
 
 
-def canonical_url(url: Column) -> Column:
-    """Host and path without scheme, fragment, query, trailing slash or `.html`; null without a host."""
+def port_of(url: Column) -> Column:
+    """`:port` where it is given and not the scheme's default, else empty."""
+    authority = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:@]*:0*([0-9]+)(?=[/?#]|$)", 1)
+    scheme = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*)://", 1))
+    default = (authority == "") | ((scheme == "http") & (authority == "80")) | ((scheme == "https") & (authority == "443"))
+    return F.when(default, "").otherwise(F.concat(F.lit(":"), authority))
+
+
+def query_of(url: Column) -> Column:
+    """`?` and the parameters that select content, sorted, without `TRACKING` names; empty when there are none."""
+    given = F.split(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^?#]*\?([^#]*)", 1), "&")
+    kept = F.array_sort(F.filter(given, lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).rlike(TRACKING)))
+    return F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
+
+
+def page_url(url: Column) -> Column:
+    """Host, non-default port and path without scheme, fragment, query, trailing slash or `.html`; null without a host."""
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    return F.concat(host_of(url), F.regexp_replace(F.regexp_replace(path, r"/+$", ""), r"\.html$", ""))
+    return F.concat(host_of(url), port_of(url), F.regexp_replace(F.regexp_replace(path, r"/+$", ""), r"\.html$", ""))
+
+
+def canonical_url(url: Column) -> Column:
+    """`page_url` and its sorted query without tracking parameters; null without a host."""
+    return F.concat(page_url(url), query_of(url))
 
 
 def intervals(events: DataFrame) -> DataFrame:
@@ -66,18 +89,22 @@ def evaluate(captures: DataFrame, events: DataFrame, url_col: str = "url", day_c
     captures = common.without(captures, "lists", "blocked")
     entries = common.cut(_by_key(intervals(events)))
     size = F.size("spans") * 48 + 128
-    host, url = common.fresh("host_key", captures.columns), common.fresh("url_key", captures.columns)
-    keyed = captures.withColumns({host: host_of(F.col(url_col)), url: canonical_url(F.col(url_col))})
+    host, page, url = (common.fresh(n, captures.columns) for n in ("host_key", "page_key", "url_key"))
+    full, bare = canonical_url(F.col(url_col)), page_url(F.col(url_col))
+    keyed = captures.withColumns({host: host_of(F.col(url_col)), page: bare, url: F.when(full != bare, full)})
     hosts = keyed.select(F.col(host).alias("host")).filter(F.col(host).isNotNull()).distinct()
     above = hosts.select("host", F.explode(parents(F.col("host"))).alias("key")).join(entries, "key")
     by_host = above.groupBy("host").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("host_spans"))
     by_host = common.broadcast_if_small(common.cut(by_host), F.size("host_spans") * 48 + 128)
-    by_url = common.broadcast_if_small(entries.filter(F.col("key").contains("/")), size).select(F.col("key").alias("entry_key"), F.col("spans").alias("url_spans"))
-    joined = keyed.join(by_host.withColumnRenamed("host", "entry_host"), F.col(host) == F.col("entry_host"), "left").join(by_url, F.col(url) == F.col("entry_key"), "left")
+    urls = entries.filter(F.col("key").rlike("[/?:]"))
+    by_page = common.broadcast_if_small(urls.filter(~F.col("key").contains("?")), size).select(F.col("key").alias("entry_page"), F.col("spans").alias("page_spans"))
+    by_url = common.broadcast_if_small(urls.filter(F.col("key").contains("?")), size).select(F.col("key").alias("entry_key"), F.col("spans").alias("url_spans"))
+    joined = keyed.join(by_host.withColumnRenamed("host", "entry_host"), F.col(host) == F.col("entry_host"), "left")
+    joined = joined.join(by_page, F.col(page) == F.col("entry_page"), "left").join(by_url, F.col(url) == F.col("entry_key"), "left")
     none = F.array().cast("array<struct<list:string,valid_from:int,valid_to:int>>")
     active = F.filter(
-        F.concat(F.coalesce("host_spans", none), F.coalesce("url_spans", none)),
+        F.concat(F.coalesce("host_spans", none), F.coalesce("page_spans", none), F.coalesce("url_spans", none)),
         lambda s: (s["valid_from"] <= F.col(day_col)) & (F.col(day_col) < s["valid_to"]),
     )
     names = F.array_sort(F.array_distinct(F.transform(active, lambda s: s["list"])))
-    return joined.withColumn("lists", F.array_join(names, ",")).drop(host, url, "entry_host", "entry_key", "host_spans", "url_spans").withColumn("blocked", F.col("lists") != "")
+    return joined.withColumn("lists", F.array_join(names, ",")).drop(host, page, url, "entry_host", "entry_page", "entry_key", "host_spans", "page_spans", "url_spans").withColumn("blocked", F.col("lists") != "")

@@ -115,3 +115,32 @@ def test_lines_by_hand(spark):
     same = line_dedup.drop_boilerplate(docs, F.col("source"), ratio=0.95)
     assert sorted((r["text"] or "") for r in same.collect()) == sorted((p[1] or "") for p in pages)
     assert line_dedup.drop_boilerplate(docs.limit(0), F.col("source")).count() == 0
+
+
+def test_canonical_url_keeps_query_and_port(spark):
+    urls = {
+        "http://a.example/list?page=2&ref=x&id=9#f": "a.example/list?id=9&page=2", "http://a.example/list/?utm_source=feed": "a.example/list",
+        "https://www.A.example:443/p.html?UTM_medium=m&q": "a.example/p?q", "http://a.example:8080/p": "a.example:8080/p", "http://u:1@a.example:80?b=2&a=1": "a.example?a=1&b=2",
+        "https://a.example:80/": "a.example:80", "http://a.example/p#x?id=1": "a.example/p", "http://a.example/p?reference=1": "a.example/p?reference=1", "no url?x=1": None,
+    }
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r["url"]: r["key"] for r in frame.select("url", url_lists.canonical_url(F.col("url")).alias("key")).collect()} == urls
+
+
+def test_revisits_of_other_queries_are_kept_apart(spark):
+    page = "http://a.example/list?page="
+    rows = [
+        (1, page + "1", 10, False, TAG('"one"')), (2, page + "2&ref=x", 20, False, TAG('"two"')), (3, page + "1&utm_source=feed", 30, True, TAG('"one"')), (4, page + "2", 30, True, TAG('"two"')),
+        (5, "http://a.example/list?id=9", 30, True, TAG('"two"')), (6, "http://a.example:8080/list?page=1", 30, True, TAG('"one"')),
+    ]
+    got = [(r[0], r[1], r[2]) for r in resolved(spark, rows)]
+    assert got == [(1, "response", None), (2, "response", None), (3, "resolved", 1), (4, "resolved", 2), (5, "no_response", None), (6, "no_response", None)]
+
+
+def test_url_entries_block_their_query_alone(spark):
+    events = spark.createDataFrame([("one", "a.example/list?page=1", "add", 1), ("all", "b.example/list", "add", 1), ("port", "c.example:8080", "add", 1), ("root", "d.example?id=1", "add", 1)], "list string, key string, action string, day int")
+    urls = ["http://a.example/list?page=1&ref=x", "http://a.example/list?page=2", "http://a.example/list", "http://b.example/list?id=3", "http://c.example:8080/?id=1", "http://c.example/", "http://d.example/?id=1", "http://d.example/?id=2"]
+    captures = spark.createDataFrame([(i, u, 5) for i, u in enumerate(urls)], "page_id int, url string, day int").selectExpr("*", "1 AS page_key")
+    out = url_lists.evaluate(captures, events)
+    assert out.columns == [*captures.columns, "lists", "blocked"]
+    assert [r["lists"] for r in sorted(out.collect(), key=lambda r: r["page_id"])] == ["one", "", "", "all", "port", "", "root", ""]
