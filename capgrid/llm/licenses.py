@@ -8,6 +8,10 @@ one automaton over words: optional regions are branches around their words,
 replaceable regions bounded runs of any-word steps.  Its subset states are
 built as texts need them, so scanning a word is one table look-up.
 
+Texts of licenses run through their disclaimers.  The MIT grant is also accepted
+without a disclaimer, but not with an altered one (`DISCLAIMERS`).  Notices that
+name a license (such as the GPL's) end at its version.
+
 A text is scanned only if it holds the rarest mandatory word of some template
 or base phrase; all its start places are tried.
 
@@ -37,6 +41,24 @@ BASE_PHRASES = (
     ("mit license", "mit"),
 )
 
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "<<var;match=\\d+;min=0;max=1>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "<<var;match=\\d+;min=0;max=1>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+    "in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY <<var>> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+    "ARE DISCLAIMED. IN NO EVENT SHALL <<var>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_DISCLAIMER = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+    "IN NO EVENT SHALL <<var>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+    "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+
 #: Public license notices and texts, with markup for what may vary.
 TEMPLATES = (
     ("apache-2.0", "<<beginOptional>>this work is<<endOptional>> licensed under the Apache License, Version 2.0"),
@@ -57,14 +79,21 @@ TEMPLATES = (
     (
         "isc",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies.",
+        "provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND <<var>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL <<var>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    ("bsd-2-clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
+    (
+        "bsd-3-clause",
+        _BSD_CONDITIONS + "<<var;match=\\d+;min=0;max=1>> Neither the name of <<var>> nor the names of <<var;max=6>> contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission. " + _BSD_DISCLAIMER,
     ),
     (
-        "bsd-2-clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "<<var;match=\\d+;min=0;max=1>> Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "<<var;match=\\d+;min=0;max=1>> Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
-        "in the documentation and/or other materials provided with the distribution.",
+        "gpl-2.0",
+        "This <<var;max=6>> is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+        "<<beginOptional>>either<<endOptional>> version 2 of the License",
     ),
     (
         "gpl-3.0",
@@ -73,6 +102,9 @@ TEMPLATES = (
     ),
 )
 
+#: A grant that its disclaimer follows (recognised by the opening words) is accepted only with the whole disclaimer.
+DISCLAIMERS = {"mit": ("THE SOFTWARE IS PROVIDED", _MIT_DISCLAIMER)}
+
 _MARK = re.compile(r"<<(.*?)>>", re.S)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -180,7 +212,18 @@ class Automaton:
     def run(self, words: list[bytes]) -> list[tuple[int, int, int]]:
         out = []
         for i, w in enumerate(words):
-            state, j = self.move(self.start, w), i
+            if self.move(self.start, w):
+                out += self.run_at(words, i)
+        return out
+
+    def ends(self, words: list[bytes], first: int) -> list[int]:
+        """Last words of what is accepted from word `first` on."""
+        return [last for _, _, last in self.run_at(words, first)]
+
+    def run_at(self, words: list[bytes], i: int) -> list[tuple[int, int, int]]:
+        out = []
+        if i < len(words):
+            state, j = self.move(self.start, words[i]), i
             while state:
                 out += [(self.program.steps[s][1], i, j) for s in state if self.program.steps[s][0] == "accept"]
                 j += 1
@@ -201,6 +244,20 @@ def phrase_places(words: list[bytes], phrase: list[bytes]) -> list[int]:
             out.append(at)
 
 
+def with_disclaimers(words: list[bytes], matches: list[tuple[str, int, int]], disclaimers: dict[str, tuple[list[bytes], Automaton]]) -> list[tuple[str, int, int]]:
+    """Matches extended over the disclaimer that follows them; those whose disclaimer is altered are left out."""
+    out = []
+    for label, first, last in matches:
+        opening, whole = disclaimers.get(label, ((), None))
+        if whole and words[last + 1 : last + 1 + len(opening)] == opening:
+            ends = whole.ends(words, last + 1)
+            if not ends:
+                continue
+            last = min(ends)
+        out.append((label, first, last))
+    return out
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE_PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches).
 
@@ -212,6 +269,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE_PHRASES, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(templates)
+        disclaimers = {label: (split_words(opening), Automaton(((label, text),))) for label, (opening, text) in DISCLAIMERS.items()}
         base = [(split_words(p), label) for p, label in phrases]
         needed = automaton.needed | {max(p, key=len) for p, _ in base}
         for batch in batches:
@@ -227,7 +285,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE_PHRASES, id_col: str
                             if found := phrase_places(words, phrase):
                                 own.add(label)
                                 places += found
-                        matches = sorted((automaton.labels[t], a, b) for t, a, b in automaton.run(words))
+                        found = [(automaton.labels[t], a, b) for t, a, b in automaton.run(words)]
+                        matches = sorted(with_disclaimers(words, found, disclaimers))
                     both = own | {m[0] for m in matches}
                     rows.append((len(starts), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(own)), ",".join(sorted(both)), 1.0 if matches else 0.5 if own else 0.0, [dict(zip(("label", "first", "last"), m)) for m in matches]))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(match))

@@ -88,3 +88,43 @@ def test_bad_markup_is_refused():
     for template in ("a <<endOptional>>", "a <<beginOptional>> b", "a <<what>> b", "<<var>>"):
         with pytest.raises(ValueError):
             L.Automaton((("x", template),))
+
+
+CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain "
+    "the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\n"
+BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND '
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
+    'all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT '
+    "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+MIT_END = (
+    '\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND '
+    "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF "
+    "OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+GPL = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+
+
+def test_whole_texts_and_altered_disclaimers(spark):
+    cases = [
+        (CONDITIONS + BSD_END, "bsd-2-clause", 1.0), (CONDITIONS + THIRD + BSD_END, "bsd-3-clause", 1.0), (CONDITIONS, "", 0.0), (CONDITIONS + BSD_END.replace("NEGLIGENCE", "CARE"), "", 0.0),
+        (ISC, "isc", 1.0), (ISC.replace("NO EVENT", "ANY EVENT"), "", 0.0), (ISC[: ISC.index("THE SOFTWARE IS")], "", 0.0),
+        (MIT + MIT_END, "mit", 1.0), (MIT + MIT_END.replace("WITHOUT WARRANTY", "WITH WARRANTY"), "", 0.0), (MIT + MIT_END[:-20], "", 0.0),
+        (GPL, "gpl,gpl-2.0", 1.0), (GPL.replace("version 2", "version 9"), "gpl", 0.5),
+    ]
+    docs = spark.createDataFrame([(i, "Copyright 2020 Someone\n\n" + t + "\n\nend") for i, (t, _, _) in enumerate(cases)], "doc_id bigint, text string")
+    rows = sorted(L.scan(docs).collect(), key=lambda r: r["id"])
+    assert [(r["labels"], r["score"]) for r in rows] == [c[1:] for c in cases]
+    words = split("Copyright 2020 Someone " + MIT + MIT_END)
+    assert [(m["first"], m["last"]) for m in rows[7]["matches"]] == [(3, len(words) - 1)]
