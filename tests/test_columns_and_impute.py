@@ -160,7 +160,7 @@ def test_conform_strict(spark):
 
 
 def test_zero_denominators_give_null_not_errors(spark):
-    from conftest import EDGE_DDL, square_edges
+    from edge_tables import EDGE_DDL, square_edges
 
     from capgrid.operators import raster
 

@@ -3,7 +3,7 @@
 import math
 
 import numpy as np
-from conftest import EDGE_DDL, square_edges
+from edge_tables import EDGE_DDL, square_edges
 from pyspark.sql import functions as F
 
 from capgrid.operators import geometry as G

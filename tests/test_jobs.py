@@ -4,7 +4,7 @@ import struct
 
 import numpy as np
 import pytest
-from conftest import EDGE_DDL, square_edges
+from edge_tables import EDGE_DDL, square_edges
 
 from capgrid import config as C
 from capgrid.operators import capacity, fuel_classes, reports

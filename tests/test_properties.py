@@ -2,7 +2,7 @@
 
 import math
 
-from conftest import EDGE_DDL, square_edges
+from edge_tables import EDGE_DDL, square_edges
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
