@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capgrid.llm import captures, decontam, licenses, line_crf, line_dedup, packing, quality_rules, revisits, sharding, simhash, url_lists
+from capgrid.llm import (
+    byte_bpe, captures, decontam, hard_negatives, licenses, line_crf, line_dedup, packing, quality_rules, revisits, sharding, simhash, url_lists, whitening,
+)
 from capgrid.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +126,50 @@ FROM done
 def op10(spark, sf_dir):
     out = line_dedup.drop_boilerplate(read(spark, sf_dir, "documents"), F.col("source"), counts=("n_lines", "n_cut"))
     return out.select("doc_id", "n_lines", "n_cut", "text")
+
+
+@query("op11_embedding_whitening")
+def op11(spark, sf_dir):
+    out = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    each = out.select(F.col("id").alias("vec_id"), "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "of"))
+    return each.select("vec_id", (F.col("place") + 1).cast("int").alias("component"), "n", "deviation", F.col("of.whitened").alias("whitened"), F.col("of.explained").alias("explained"), "identity_error")
+
+
+@query("op12_prefix_bpe")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    both = byte_bpe.decode(encoded, ranks)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+NEGATIVES_ORACLE = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.x, r.x)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 10
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_ORACLE)
+def op13(spark, sf_dir):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, shifted)
