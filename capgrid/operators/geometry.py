@@ -650,6 +650,14 @@ def country_borders(shapes: DataFrame, edges: DataFrame) -> tuple[DataFrame, Dat
     return land, e
 
 
+def dissolved_borders(shapes: DataFrame, edges: DataFrame, band: float) -> DataFrame:
+    """One closed border per country: the union of its land shapes (`shape_id` is the country)."""
+    from capgrid.operators import rings
+
+    _, land = country_borders(shapes, edges)
+    return cut_lineage(rings.dissolve(land, "country_id", band))
+
+
 # ---------------------------------------------------------------------------
 # Polygon checks on the edge table
 # ---------------------------------------------------------------------------

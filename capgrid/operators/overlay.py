@@ -1,19 +1,11 @@
-"""Exclusive shapes (each shape minus every shape overlapping it), as an edge table.
-
-No polygon overlay library is needed.  The boundary of "i and no other
-shape" is made of pieces of the input edges:
-
-1. every edge is split where an edge of another shape crosses it or runs
-   along it (candidate pairs from a (band, x-cell) self-join of the edges);
-2. each piece gets two probe points a small distance either side of its
-   midpoint, and the band point-in-polygon join tells which shapes contain
-   each probe;
-3. a piece bounds the exclusive region of shape i exactly when one side is
-   covered by i alone and the other side is not.
-
-The kept pieces form closed loops, so the result works with every operator
-that reads an edge table (membership, distance, placement).  Shapes left
-with no piece have no exclusive area: the caller raises with their ids.
+"""Exclusive shapes (each shape minus every shape overlapping it), as polygons with parts, shells and holes.
+
+The boundary of "i and no other shape" is made of pieces of the input edges:
+those with i alone on exactly one side.  Noding, sides, linking into rings and
+the assignment of holes to shells are those of `rings`; the result is an edge
+table of closed rings, so membership, distance, placement by part and the
+polygon sink work on it.  Shapes left with no piece have no exclusive area:
+the caller raises with their ids.
 """
 
 from __future__ import annotations
@@ -21,118 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capgrid.operators.geometry import points_in_shapes
-
-EDGE_KEY = ["shape_id", "part", "ring", "seq"]
-
-
-def _edge_cells(edges: DataFrame, band: float, prefix: str) -> DataFrame:
-    """Each edge listed in every (band, x-cell) its bounding box touches."""
-    w = 8.0 * band
-    lo = F.floor(F.least("y1", "y2") / F.lit(band))
-    hi = F.floor(F.greatest("y1", "y2") / F.lit(band))
-    xlo = F.floor(F.least("x1", "x2") / F.lit(w))
-    xhi = F.floor(F.greatest("x1", "x2") / F.lit(w))
-    cols = [F.col(c).alias(prefix + c) for c in [*EDGE_KEY, "x1", "y1", "x2", "y2"]]
-    return edges.select(*cols, F.explode(F.sequence(lo, hi)).alias("b"), xlo.alias("_xlo"), xhi.alias("_xhi")).select(
-        *[c for c in [prefix + k for k in [*EDGE_KEY, "x1", "y1", "x2", "y2"]]], "b",
-        F.explode(F.sequence("_xlo", "_xhi")).alias("c"),
-    )
-
-
-def split_points(edges: DataFrame, band: float) -> DataFrame:
-    """(edge key, t) positions along each edge where another shape's edge meets it.
-
-    Candidate pairs meet in a shared (band, x-cell), so a long boundary in one
-    band is compared only with the edges near each of its pieces.
-    """
-    a = _edge_cells(edges, band, "a_")
-    b = _edge_cells(edges, band, "b_")
-    pairs = a.join(b, on=["b", "c"]).where(F.col("a_shape_id") != F.col("b_shape_id"))
-    pairs = pairs.where(
-        (F.greatest("a_x1", "a_x2") >= F.least("b_x1", "b_x2")) & (F.greatest("b_x1", "b_x2") >= F.least("a_x1", "a_x2"))
-        & (F.greatest("a_y1", "a_y2") >= F.least("b_y1", "b_y2")) & (F.greatest("b_y1", "b_y2") >= F.least("a_y1", "a_y2"))
-    ).dropDuplicates([f"a_{k}" for k in EDGE_KEY] + [f"b_{k}" for k in EDGE_KEY])
-    dx, dy = F.col("a_x2") - F.col("a_x1"), F.col("a_y2") - F.col("a_y1")
-    ex, ey = F.col("b_x2") - F.col("b_x1"), F.col("b_y2") - F.col("b_y1")
-    wx, wy = F.col("b_x1") - F.col("a_x1"), F.col("b_y1") - F.col("a_y1")
-    den = dx * ey - dy * ex
-    t = (wx * ey - wy * ex) / den
-    u = (wx * dy - wy * dx) / den
-    d2 = dx * dx + dy * dy
-    # proper crossings, plus end points of collinear edges lying on this edge
-    crossing = F.when((den != 0) & t.between(0, 1) & u.between(0, 1), F.array(t))
-    on_line = (den == 0) & ((wx * dy - wy * dx) == 0)
-    t1 = F.try_divide(wx * dx + wy * dy, d2)
-    t2 = F.try_divide((F.col("b_x2") - F.col("a_x1")) * dx + (F.col("b_y2") - F.col("a_y1")) * dy, d2)
-    collinear = F.when(on_line, F.filter(F.array(t1, t2), lambda v: v.between(0, 1)))
-    ts = pairs.select(
-        *[F.col(f"a_{k}").alias(k) for k in EDGE_KEY], F.explode(F.coalesce(crossing, collinear, F.array())).alias("t")
-    )
-    return ts.where((F.col("t") > 0) & (F.col("t") < 1))
-
-
-def edge_pieces(edges: DataFrame, band: float) -> DataFrame:
-    """Edges cut at their split points: (edge key, k, x1, y1, x2, y2)."""
-    cuts = split_points(edges, band).groupBy(*EDGE_KEY).agg(F.array_sort(F.collect_set("t")).alias("ts"))
-    e = edges.join(cuts, on=EDGE_KEY, how="left").withColumn(
-        "ts", F.concat(F.array(F.lit(0.0)), F.coalesce("ts", F.array().cast("array<double>")), F.array(F.lit(1.0)))
-    )
-    seg = e.select(
-        *EDGE_KEY, "x1", "y1", "x2", "y2",
-        F.posexplode(F.arrays_zip(F.slice("ts", 1, F.size("ts") - 1).alias("ta"), F.slice("ts", 2, F.size("ts")).alias("tb"))).alias("k", "p"),
-    )
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    return seg.where(F.col("p.tb") > F.col("p.ta")).select(
-        *EDGE_KEY, "k",
-        (F.col("x1") + F.col("p.ta") * dx).alias("px1"), (F.col("y1") + F.col("p.ta") * dy).alias("py1"),
-        (F.col("x1") + F.col("p.tb") * dx).alias("px2"), (F.col("y1") + F.col("p.tb") * dy).alias("py2"),
-    )
+from capgrid.operators import rings
+from capgrid.session import cut_lineage
 
 
-def exclusive_edges(edges: DataFrame, band: float, eps: float = 1e-7) -> DataFrame:
-    """Edge table of the exclusive shapes (`shape_id` = the shape whose
-    exclusive region the piece bounds; `part` 0, `ring` 0)."""
-    # deterministic piece id (survives recomputation after an executor loss)
-    pid = F.concat_ws("|", *[F.col(k).cast("string") for k in EDGE_KEY], F.col("k").cast("string"))
-    pieces = edge_pieces(edges, band).withColumn("pid", pid)
-    mx = (F.col("px1") + F.col("px2")) / 2
-    my = (F.col("py1") + F.col("py2")) / 2
-    length = F.hypot(F.col("px2") - F.col("px1"), F.col("py2") - F.col("py1"))
-    nx = -(F.col("py2") - F.col("py1")) / length * F.lit(eps)
-    ny = (F.col("px2") - F.col("px1")) / length * F.lit(eps)
-    probes = pieces.where(length > 0).select(
-        "pid", F.explode(F.array(
-            F.struct(F.lit("l").alias("side"), (mx + nx).alias("x"), (my + ny).alias("y")),
-            F.struct(F.lit("r").alias("side"), (mx - nx).alias("x"), (my - ny).alias("y")),
-        )).alias("p")
-    ).select("pid", "p.side", "p.x", "p.y")
-    hits = points_in_shapes(probes, edges, band, boundary="include")
-    cover = hits.groupBy("pid", "side").agg(F.array_sort(F.collect_set("shape_id")).alias("s"))
-    sides = cover.groupBy("pid").agg(
-        F.max(F.when(F.col("side") == "l", F.col("s"))).alias("L"),
-        F.max(F.when(F.col("side") == "r", F.col("s"))).alias("R"),
-    )
-    empty = F.array().cast("array<string>")
-    L = F.coalesce(F.col("L"), empty)
-    R = F.coalesce(F.col("R"), empty)
-    owners = F.array_distinct(F.concat(
-        F.when((F.size(L) == 1) & (L != R), L).otherwise(empty),
-        F.when((F.size(R) == 1) & (L != R), R).otherwise(empty),
-    ))
-    kept = pieces.join(sides, on="pid", how="left").select(
-        F.explode(owners).alias("owner"), "px1", "py1", "px2", "py2"
-    )
-    # a piece shared by two input edges (a common border) appears once per edge,
-    # possibly in opposite directions: deduplicate on the unordered, rounded end points
-    a = F.struct(F.round("px1", 9).alias("x"), F.round("py1", 9).alias("y"))
-    b = F.struct(F.round("px2", 9).alias("x"), F.round("py2", 9).alias("y"))
-    kept = kept.withColumn("_k", F.array_sort(F.array(a, b))).dropDuplicates(["owner", "_k"])
-    return kept.select(
-        F.col("owner").alias("shape_id"), F.lit(0).alias("part"), F.lit(0).alias("ring"),
-        F.hash("px1", "py1", "px2", "py2").alias("seq"),
-        F.col("px1").alias("x1"), F.col("py1").alias("y1"), F.col("px2").alias("x2"), F.col("py2").alias("y2"),
-    )
+def exclusive_edges(edges: DataFrame, band: float, digits: int | None = None) -> DataFrame:
+    """Edge table of the exclusive shapes; nodes lie on a grid of `digits` decimals (by default twelve significant digits)."""
+    alone = lambda ids: F.when(F.size(ids) == 1, ids).otherwise(F.slice(ids, 1, 0))
+    return rings.rebuild(edges.withColumn("_all", F.lit(0)), ["_all"], alone, band, digits)
 
 
 def shapes_without_exclusive_area(shapes: DataFrame, excl: DataFrame) -> DataFrame:
@@ -140,9 +28,9 @@ def shapes_without_exclusive_area(shapes: DataFrame, excl: DataFrame) -> DataFra
     return shapes.select("shape_id").join(excl.select("shape_id").distinct(), on="shape_id", how="left_anti")
 
 
-def build_exclusive_shapes(shapes: DataFrame, edges: DataFrame, band: float, eps: float = 1e-7) -> DataFrame:
+def build_exclusive_shapes(shapes: DataFrame, edges: DataFrame, band: float, digits: int | None = None) -> DataFrame:
     """Exclusive edge table; fails when a shape has no exclusive area left."""
-    excl = exclusive_edges(edges, band, eps)
+    excl = cut_lineage(exclusive_edges(edges, band, digits))
     # every such shape is listed in the error: their ids, and nothing else, come to the driver
     empty = sorted(r.shape_id for r in shapes_without_exclusive_area(shapes, excl).collect())
     if empty:

@@ -217,6 +217,30 @@ JOIN (VALUES (0, 1, -0.5e0, -0.5e0, 0.5e0, -0.5e0), (1, 1, 0.5e0, -0.5e0, 0.5e0,
      AS t(seq, one, dx1, dy1, dx2, dy2) ON t.one = 1
 """
 
+# Figures that break the rules for polygons, one per supplier: a five-pointed
+# star drawn in one stroke (its ring crosses itself five times); every third
+# one has a spike, every fourth a second ring in its middle, every fifth another
+# part across an arm.
+_STAR = [(0, 10), (6, -8), (-9, 3), (9, 3), (-6, -8)]
+_STAR_RINGS = [
+    ("sk % 3 <> 0", 0, 0, _STAR),
+    ("sk % 3 = 0", 0, 0, [*_STAR, (-13, -8), (-6, -8)]),
+    ("sk % 4 = 0", 0, 1, [(-1, -1), (1, -1), (1, 1), (-1, 1)]),
+    ("sk % 5 = 0", 1, 0, [(3, -3), (12, -3), (12, 12), (3, 12)]),
+]
+
+
+def stars_sql() -> str:
+    """Edge table of the stars (centres as those of the facilities)."""
+    rings = []
+    for where, part, ring, pts in _STAR_RINGS:
+        edges = ", ".join(f"({i}, {a[0]}, {a[1]}, {b[0]}, {b[1]})" for i, (a, b) in enumerate(zip(pts, pts[1:] + pts[:1])))
+        rings.append(f"""SELECT 'K' || CAST(sk AS STRING) AS shape_id, {part} AS part, {ring} AS ring, t.seq,
+  cx + t.dx1 / 16e0 AS x1, cy + t.dy1 / 16e0 AS y1, cx + t.dx2 / 16e0 AS x2, cy + t.dy2 / 16e0 AS y2
+FROM (SELECT s_suppkey AS sk, floor(cx) AS cx, floor(cy) AS cy FROM ({{facilities}}) f) f JOIN (VALUES {edges}) AS t(seq, dx1, dy1, dx2, dy2) ON {where}""")
+    return "\nUNION ALL\n".join(rings)
+
+
 # Solar tracker points scattered around the facilities of their supplier.
 TRACKER_POINTS_SQL = """
 SELECT 'GEM_' || CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_partkey AS STRING) || '-'

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from capgrid import config as C
 from capgrid.functions import columns as X
 from capgrid.functions.fuels import parse_fuel_set
-from capgrid.operators import capacity, fuel_classes, geometry, impute, overlay, quality, raster, reports
+from capgrid.operators import capacity, fuel_classes, geometry, impute, overlay, quality, raster, reports, rings
 from capgrid.operators.place import relocate
 from capgrid.plans import categories as P
 from capgrid.plans import fixtures as FX
@@ -1227,6 +1227,107 @@ def e16s(spark, d):
     return out.select("powerplant_id", "shape_id", "country_id", "output_capacity_mw", "split")
 
 
+def _read_back(spark, attrs, edges, name):
+    """Shapes after a round trip through the polygon sink and reader."""
+    from capgrid.sources.sinks import write_geo_polygons
+
+    path = _scratch(spark, name)
+    write_geo_polygons(attrs, edges, path)
+    return R.read_geo_polygons(spark, path)
+
+
+@query(
+    "E7_exclusive_areas",
+    O.ctes(**O.SHAPES_OV).rstrip() + "," + O.sweep("edges_ov", "0") + """
+SELECT shapes[1] AS shape_id, round(sum((xb - xa) * (hi - lo)), 4) AS area FROM sw_cover WHERE len(shapes) = 1 GROUP BY 1""",
+)
+def e7a(spark, d):
+    s, e = shapes(spark, d, overlap=True)
+    _, edges = _read_back(spark, s.select("shape_id"), overlay.build_exclusive_shapes(s, e, B), "exclusive")
+    return rings.shape_areas(edges).select("shape_id", F.round("area", 4).alias("area"))
+
+
+STARS = dict(stars=FX.duck(FX.stars_sql()))
+
+
+@query(
+    "E17_make_valid",
+    O.ctes(**STARS).rstrip() + "," + O.sweep("stars", "shape_id") + """
+SELECT scope AS shape_id, round(sum((xb - xa) * (hi - lo)), 4) AS area, true AS valid FROM sw_cover GROUP BY 1""",
+)
+def e17v(spark, d):
+    repaired = cut_lineage(rings.make_valid(FX.stand_in(spark, d, FX.stars_sql()), 0.25))
+    ids = repaired.select("shape_id").distinct()
+    _, edges = _read_back(spark, ids, repaired, "repaired")
+    edges = cut_lineage(edges)
+    checks = geometry.polygon_checks(edges).join(rings.ring_conflicts(edges, 0.25), on="shape_id")
+    fine = F.col("valid") & (F.col("crossings") + F.col("shared_edges") + F.col("holes_outside") + F.col("nested_parts") == 0)
+    return rings.shape_areas(edges).join(checks, on="shape_id").select("shape_id", F.round("area", 4).alias("area"), fine.alias("valid"))
+
+
+def _side_of(p, e, k):
+    return f"(({e}.x2 - {e}.x1) * ({p}.y{k} - {e}.y1) - ({e}.y2 - {e}.y1) * ({p}.x{k} - {e}.x1))"
+
+
+_PASS = " AND ".join(f"sign({_side_of(p, e, 1)}) * sign({_side_of(p, e, 2)}) < 0" for p, e in (("b", "a"), ("a", "b")))
+_BETWEEN = lambda p, e, k: f"({_side_of(p, e, k)} = 0 AND {p}.x{k} BETWEEN least({e}.x1, {e}.x2) AND greatest({e}.x1, {e}.x2) AND {p}.y{k} BETWEEN least({e}.y1, {e}.y2) AND greatest({e}.y1, {e}.y2))"
+_MEET = f"({_PASS}) OR " + " OR ".join(_BETWEEN(p, e, k) for p, e in (("b", "a"), ("a", "b")) for k in (1, 2))
+_ALONG = lambda k: f"((a.x2 - a.x1) * (b.x{k} - a.x1) + (a.y2 - a.y1) * (b.y{k} - a.y1))"
+
+
+@query(
+    "E17_ring_conflicts",
+    O.ctes(**STARS, e="SELECT *, (x1 + x2) / 2 AS px, (y1 + y2) / 2 AS py FROM stars").rstrip() + f""",
+pairs AS (SELECT a.shape_id, ({_PASS}) AS crossing,
+    ({_side_of('b', 'a', 1)} = 0 AND {_side_of('b', 'a', 2)} = 0 AND least(greatest({_ALONG(1)}, {_ALONG(2)}), (a.x2 - a.x1) ** 2 + (a.y2 - a.y1) ** 2) > greatest(least({_ALONG(1)}, {_ALONG(2)}), 0)) AS overlap
+  FROM e a JOIN e b ON a.shape_id = b.shape_id AND (a.part, a.ring, a.seq) < (b.part, b.ring, b.seq)),
+counted AS (SELECT shape_id, count(*) FILTER (crossing) AS crossings, count(*) FILTER (overlap) AS shared_edges FROM pairs GROUP BY 1),
+mid AS (SELECT shape_id, part, ring, px, py FROM e WHERE seq = 0),
+ins AS (SELECT m.shape_id, m.part, m.ring, e.part AS other,
+    count(*) FILTER ((e.y1 > m.py) <> (e.y2 > m.py) AND m.px < e.x1 + (m.py - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) AND (m.ring = 0 OR e.ring = 0)) % 2 = 1 AS inside
+  FROM mid m JOIN e ON m.shape_id = e.shape_id WHERE (m.ring > 0) = (e.part = m.part) GROUP BY ALL),
+odd AS (SELECT shape_id, count(*) FILTER (ring > 0 AND NOT inside) AS holes_outside, count(DISTINCT part) FILTER (ring = 0 AND inside) AS nested_parts FROM ins GROUP BY 1)
+SELECT c.shape_id, crossings, shared_edges, coalesce(holes_outside, 0) AS holes_outside, coalesce(nested_parts, 0) AS nested_parts FROM counted c LEFT JOIN odd USING (shape_id)""",
+)
+def e17r(spark, d):
+    return rings.ring_conflicts(FX.stand_in(spark, d, FX.stars_sql()), 0.25)
+
+
+@query(
+    "E11_dissolved_borders",
+    O.ctes(**O.SHAPES_OV, land="SELECT e.*, s.country_id FROM edges_ov e JOIN shapes_ov s USING (shape_id) WHERE s.shape_class = 'land'").rstrip() + "," + O.sweep("land", "country_id") + """
+SELECT scope AS country_id, round(sum((xb - xa) * (hi - lo)), 4) AS area FROM sw_cover GROUP BY 1""",
+)
+def e11b(spark, d):
+    s, e = shapes(spark, d, overlap=True)
+    border = geometry.dissolved_borders(s, e, B)
+    return rings.shape_areas(border).select(F.col("shape_id").alias("country_id"), F.round("area", 4).alias("area"))
+
+
+@query("E11_border_pixels", ORACLES["E11_country_pixels"])
+def e11c(spark, d):
+    s, e = shapes(spark, d, overlap=True)
+    border = geometry.dissolved_borders(s, e, B)
+    names = border.select("shape_id", F.col("shape_id").alias("country_id")).distinct()
+    return raster.pixel_countries(pixels(spark, d), names, border, B).select("prow", "pcol", "country_id")
+
+
+@query(
+    "E12_intersecting_shapes",
+    O.ctes(**O.SHAPES_OV, **O.FAC, f="SELECT *, x1 AS px, y1 AS py FROM facility_edges", s="SELECT *, x1 AS px, y1 AS py FROM edges_ov").rstrip() + f""",
+met AS (SELECT DISTINCT a.shape_id, b.shape_id AS other_id FROM f a JOIN s b ON least(a.x1, a.x2) <= greatest(b.x1, b.x2) AND least(b.x1, b.x2) <= greatest(a.x1, a.x2)
+  AND least(a.y1, a.y2) <= greatest(b.y1, b.y2) AND least(b.y1, b.y2) <= greatest(a.y1, a.y2) WHERE {_MEET}),
+start_f AS (SELECT shape_id || '|' || part || '|' || ring AS pid, * FROM f WHERE seq = 0),
+start_s AS (SELECT shape_id || '|' || part || '|' || ring AS pid, * FROM s WHERE seq = 0)
+SELECT shape_id, other_id FROM met
+UNION SELECT split_part(pid, '|', 1) AS shape_id, shape_id AS other_id FROM ({O.pip('start_f', 's', 'px', 'py', 'pid')})
+UNION SELECT shape_id, split_part(pid, '|', 1) AS other_id FROM ({O.pip('start_s', 'f', 'px', 'py', 'pid')})""",
+)
+def e12i(spark, d):
+    _, e = shapes(spark, d, overlap=True)
+    return rings.intersecting_shapes(FX.stand_in(spark, d, FX.FACILITY_EDGES_SQL), e, 1.0)
+
+
 # ---------------------------------------------------------------------------
 # File sources and the sink: the stand-in is written under the session's
 # checkpoint folder (a fresh sub-folder per call) and read back through the

@@ -138,6 +138,29 @@ def seg_dist(px: str, py: str) -> str:
     return f"sqrt(power({px} - (e.x1 + {t}*(e.x2-e.x1)), 2) + power({py} - (e.y1 + {t}*(e.y2-e.y1)), 2))"
 
 
+def sweep(edges: str, scope: str, prefix: str = "sw") -> str:
+    """CTEs that cover the plane with trapezoids: `{prefix}_cover(scope, lo, hi, xa, xb, shapes)`, the shapes by the even-odd rule over each.
+
+    Between two neighbouring heights at which an edge of the scope ends or
+    crosses another, edges keep their order, so the width half-way times the
+    height is a trapezoid's exact area.
+    """
+    return f"""{prefix}_e AS (SELECT {scope} AS scope, shape_id, part, ring, seq, x1, y1, x2, y2 FROM {edges}),
+{prefix}_x AS (SELECT scope, y1 + t * dy AS y FROM (
+    SELECT a.scope, a.y1, a.y2 - a.y1 AS dy,
+      ((b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1)) / nullif((a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1), 0) AS t,
+      ((b.x1 - a.x1) * (a.y2 - a.y1) - (b.y1 - a.y1) * (a.x2 - a.x1)) / nullif((a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1), 0) AS u
+    FROM {prefix}_e a JOIN {prefix}_e b ON a.scope = b.scope AND least(a.y1, a.y2) <= greatest(b.y1, b.y2) AND least(b.y1, b.y2) <= greatest(a.y1, a.y2)) WHERE t BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1),
+{prefix}_b AS (SELECT scope, y AS lo, lead(y) OVER (PARTITION BY scope ORDER BY y) AS hi FROM (
+    SELECT scope, y1 AS y FROM {prefix}_e UNION SELECT scope, y FROM {prefix}_x)),
+{prefix}_h AS (SELECT b.scope, lo, hi, shape_id, x1 + ((lo + hi) / 2 - y1) * (x2 - x1) / (y2 - y1) AS x
+  FROM {prefix}_b b JOIN {prefix}_e e ON b.scope = e.scope AND (y1 > (lo + hi) / 2) <> (y2 > (lo + hi) / 2) WHERE hi > lo),
+{prefix}_s AS (SELECT scope, lo, hi, x AS xa, lead(x) OVER (PARTITION BY scope, lo ORDER BY x) AS xb FROM {prefix}_h),
+{prefix}_cover AS (SELECT scope, lo, hi, xa, xb, list(shape_id ORDER BY shape_id) AS shapes FROM (
+    SELECT s.scope, s.lo, s.hi, s.xa, s.xb, h.shape_id FROM {prefix}_s s JOIN {prefix}_h h ON s.scope = h.scope AND s.lo = h.lo AND h.x <= s.xa
+    WHERE s.xb > s.xa GROUP BY ALL HAVING count(*) % 2 = 1) GROUP BY ALL)"""
+
+
 def ctes(**parts: str) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in parts.items()) + "\n"
 
