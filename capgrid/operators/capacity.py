@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from capgrid.config import CAPACITY_GROUP_COLUMNS, EIA_CAT_MAPPING, EIA_CATEGORY_IDS
 from capgrid.functions.columns import stats_category_predicate, year_predicate
 from capgrid.operators.geometry import points_in_shapes
-from capgrid.session import small
+from capgrid.session import cut_lineage, small
 
 
 def operating_split(df: DataFrame, year: int) -> tuple[DataFrame, DataFrame]:
@@ -31,9 +31,9 @@ def expected_capacity(stats: DataFrame, year: int, category: str) -> DataFrame:
 # G1 -----------------------------------------------------------------------
 def scale_to_total(df: DataFrame, expected: DataFrame, by: str = "country_id", col: str = "output_capacity_mw") -> DataFrame:
     """value / group sum * expected group total (inner join on the expected table)."""
-    # one row per country on both small sides
+    # one row per country on both small sides; cut, so that measuring them does not read `df` once more
     sums = df.groupBy(by).agg(F.sum(col).alias("_sum"))
-    scaled = df.join(small(sums.join(expected, on=by)), on=by)
+    scaled = df.join(small(cut_lineage(sums.join(expected, on=by))), on=by)
     # a group summing to zero has no share to give (null, as pandas gives NaN; ANSI would raise)
     return scaled.withColumn(col, F.try_divide(F.col(col), F.col("_sum")) * F.col("expected")).select(*df.columns)
 
@@ -49,8 +49,8 @@ def adjust_capacity(plants: DataFrame, stats: DataFrame, year: int, category: st
     now = F.coalesce(year_predicate(year, "operating"), F.lit(False))
     expected = expected_capacity(stats, year, category).where(F.col("expected") > 0)
     sums = plants.where(now).groupBy("country_id").agg(F.sum("output_capacity_mw").alias("_sum"))
-    # one row a country on both sides
-    factors = small(expected.join(sums, on="country_id"))
+    # one row a country on both sides; cut, so that measuring them does not read the plants once more
+    factors = small(cut_lineage(expected.join(sums, on="country_id")))
     joined = plants.join(factors, on="country_id", how="left").where(~now | F.col("expected").isNotNull())
     scaled = F.try_divide(F.col("output_capacity_mw"), F.col("_sum")) * F.col("expected")
     return joined.withColumn("output_capacity_mw", F.when(now, scaled).otherwise(F.col("output_capacity_mw"))).select(*plants.columns)

@@ -16,8 +16,8 @@ index is built once, written to the checkpoint folder and measured; it is
 broadcast within the limit, else the join is a shuffle join on (band, cell),
 which AQE splits when one cell is hot.
 
-Nearest-shape search reads only the band rows within a distance bound of
-each point, from a pyramid of band heights chosen per point.
+Nearest-shape search descends a pyramid of cells and measures only the edges
+of cells that a point's distance bound leaves.
 """
 
 from __future__ import annotations
@@ -80,6 +80,20 @@ def band_index(edges: DataFrame, band: float, pad: float = 0.0, xcell: float | N
     return based.where((F.size("edges") > 0) | (F.size("turns") > 0) | (F.col("base") == 1)).select("shape_id", "b", "c", "base", "turns", "edges")
 
 
+def edge_cells(edges: DataFrame, band: float, tol: float, xcell: float | None = None) -> DataFrame:
+    """Each edge once for every (band, x-cell) it runs through: per band only the cells below its part in that band."""
+    h, w, p = F.lit(float(band)), F.lit(float(default_xcell(band) if xcell is None else xcell)), F.lit(float(tol))
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    listed = edges.withColumn("b", F.explode(F.sequence(F.floor((low - p) / h), F.floor((high + p) / h))))
+
+    def x_at(y: Column) -> Column:
+        share = (F.least(F.greatest(y, low), high) - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
+        return F.col("x1") + share * (F.col("x2") - F.col("x1"))
+
+    one, two = F.coalesce(x_at(F.col("b") * h - p), F.col("x1")), F.coalesce(x_at((F.col("b") + 1) * h + p), F.col("x2"))
+    return listed.withColumn("c", F.explode(F.sequence(F.floor((F.least(one, two) - p) / w), F.floor((F.greatest(one, two) + p) / w))))
+
+
 def build_index(edges: DataFrame, band: float, pad: float = 0.0) -> tuple[DataFrame, int]:
     """The index written to the checkpoint folder, and its measured size; one build serves any number of joins."""
     index = cut_lineage(band_index(edges, band, pad))
@@ -324,26 +338,64 @@ def distance_to_shape(geom: Column, px: Column, py: Column) -> Column:
     return F.when(inside, F.lit(0.0)).otherwise(min_edge_distance(geom, px, py))
 
 
-def _grid_bound(pts: DataFrame, reps: DataFrame, by, band: float, x: str, y: str, id_col: str) -> DataFrame:
-    """(id, _D): distance to the nearest representative found in the point's
-    3 x 3 grid neighbourhood, or among its whole group when none is nearby."""
+_FANOUT = 4  # a cell of the pyramid has at most 4 x 4 cells of the next finer level
+
+
+def _box_gap(px: Column, py: Column, size: float) -> Column:
+    """Distance of a point from the cell (row, col) of the given size."""
+    s = F.lit(float(size))
+    dx = F.greatest(F.col("col") * s - px, px - (F.col("col") + 1) * s, F.lit(0.0))
+    dy = F.greatest(F.col("row") * s - py, py - (F.col("row") + 1) * s, F.lit(0.0))
+    return F.hypot(dx, dy)
+
+
+def nearest_edges(points: DataFrame, edges: DataFrame, by: Sequence[str], x: str, y: str, id_col: str, band: float) -> DataFrame:
+    """(id, best): for each point the nearest edge that shares its `by` keys, as struct (distance, shape_id, part, fx, fy).
+
+    Best-first descent through a pyramid of cells.  A cell knows one vertex of
+    an edge that runs through it, so the distance to that vertex bounds a
+    point's answer from above, and the distance to the cell's square bounds
+    from below what the cell can offer.  Level by level a point's cells are
+    replaced by their children (one equi-join on the keys and the parent cell),
+    the bound shrinks, and cells beyond it go; only the edges of the remaining
+    finest cells are measured.  Ties go to the smallest (shape_id, part).
+    """
+    keys = list(by)
+    own = edges.select(*dict.fromkeys([*keys, "shape_id", "part"]), "x1", "y1", "x2", "y2")
+    leaves = cut_lineage(edge_cells(own, band, 0.0, xcell=band).withColumnsRenamed({"b": "row", "c": "col"}))
+    reach = leaves.agg(*[f(c).alias(f"{n}_{c}") for c in ("row", "col") for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    if reach["lo_row"] is None:
+        return points.select(id_col).limit(0).withColumn("best", F.lit(None).cast("struct<distance:double,shape_id:string,part:int,fx:double,fy:double>"))
+    top = 0
+    while any(reach[f"hi_{c}"] // _FANOUT**top - reach[f"lo_{c}"] // _FANOUT**top > 1 for c in ("row", "col")):
+        top += 1
+
+    def cells(level: int) -> DataFrame:
+        f = _FANOUT**level
+        at = [F.floor(F.col(c) / f).alias(c) for c in ("row", "col")]
+        return leaves.groupBy(*keys, *at).agg(F.min(F.struct("x1", "y1")).alias("seen"))
+
     px, py = F.col(x), F.col(y)
-    g = F.lit(float(band) * 16.0)
-    near_keys = F.explode(F.array(*[
-        F.struct((F.floor(px / g) + i).alias("_gx"), (F.floor(py / g) + j).alias("_gy")) for i in (-1, 0, 1) for j in (-1, 0, 1)
-    ]))
-    rep_cells = reps.select(*by, "rx", "ry", F.floor(F.col("rx") / g).alias("_gx"), F.floor(F.col("ry") / g).alias("_gy"))
-    local = (
-        pts.select(id_col, x, y, *by, near_keys.alias("_k")).select(id_col, x, y, *by, "_k._gx", "_k._gy")
-        .join(rep_cells, on=[*by, "_gx", "_gy"])
-        .groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
-    )
-    far = (
-        pts.join(local.select(id_col), on=id_col, how="left_anti")
-        .join(reps, on=list(by))
-        .groupBy(id_col).agg(F.min(F.hypot(px - F.col("rx"), py - F.col("ry"))).alias("_D"))
-    )
-    return local.unionByName(far)
+    f = _FANOUT**top
+    roots = F.explode(F.array(*[F.struct(F.lit(r).cast("long").alias("row"), F.lit(c).cast("long").alias("col")) for r in range(reach["lo_row"] // f, reach["hi_row"] // f + 1) for c in range(reach["lo_col"] // f, reach["hi_col"] // f + 1)]))
+    state = points.select(id_col, x, y, *keys, F.lit(float("inf")).alias("_D"), roots.alias("_r")).select(id_col, x, y, *keys, "_D", F.col("_r.row").alias("_prow"), F.col("_r.col").alias("_pcol"))
+    for level in range(top, -1, -1):
+        size = float(band) * _FANOUT**level
+        up = F.floor(F.col("row") / _FANOUT), F.floor(F.col("col") / _FANOUT)
+        parent = (F.col("row"), F.col("col")) if level == top else up
+        met = state.join(cells(level).withColumns({"_prow": parent[0], "_pcol": parent[1]}), on=[*keys, "_prow", "_pcol"])
+        seen = met.withColumn("_D", F.least(F.col("_D"), F.min(F.hypot(px - F.col("seen.x1"), py - F.col("seen.y1"))).over(Window.partitionBy(id_col))))
+        # the slack keeps cells that rounding alone would put beyond the bound
+        state = seen.where(_box_gap(px, py, size) <= F.col("_D") * (1 + 1e-12) + 1e-300).select(id_col, x, y, *keys, "_D", F.col("row").alias("_prow"), F.col("col").alias("_pcol"))
+    met = state.join(leaves.withColumnsRenamed({"row": "_prow", "col": "_pcol"}), on=[*keys, "_prow", "_pcol"])
+    foot = edge_foot(px, py)
+    gap = segment_distance(F.struct("x1", "y1", "x2", "y2"), px, py)
+    return met.groupBy(id_col).agg(F.min(F.struct(gap.alias("distance"), "shape_id", "part", foot[0].alias("fx"), foot[1].alias("fy"))).alias("best"))
+
+
+def part_index(edges: DataFrame, band: float) -> tuple[DataFrame, int]:
+    """An index (see `build_index`) whose `shape_id` is the struct (shape_id, part)."""
+    return build_index(edges.select(F.struct("shape_id", "part").alias("shape_id"), "x1", "y1", "x2", "y2"), band)
 
 
 def nearest_shape(
@@ -355,78 +407,32 @@ def nearest_shape(
     y: str = "y",
     id_col: str = "powerplant_id",
     band: float | None = None,
+    index: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """For each point, the nearest shape sharing the `by` keys (ties -> smallest
     shape_id) and the nearest part of it (ties -> smallest part).
 
     Adds `shape_id`, `distance` and `part`; points with no eligible shape drop
-    out.  The search is bounded: D = distance to the nearest eligible
-    representative point (a point inside its shape) bounds the answer, so
-    only the band rows within D of the point are read; no shape's whole
-    geometry travels with a point.
+    out.  Points inside an eligible part (found with the cell index of E3, which
+    `index` may hand in from `part_index`) are at distance 0; all others descend the
+    cell pyramid of `nearest_edges`.  No stage joins on the `by` keys alone, so
+    a country with a hundred thousand shapes costs its points no more than their surroundings.
     """
     if band is None:
         band = default_band(edges)
-    px, py = F.col(x), F.col(y)
     attrs = shapes.select("shape_id", *by)
-    reps = representative_points(edges).join(attrs, on="shape_id")
-    pts = points.select(id_col, x, y, *by)
-    # upper bound D: distance to an eligible representative point, looked up in
-    # the point's 3 x 3 grid neighbourhood; only points with none nearby are
-    # compared with the representatives of their group
-    ub = _grid_bound(pts, reps, by, band, x, y, id_col)
-
-    # the window is also clamped to the y-extent of the eligible shapes (one row per key)
-    extent = edges.groupBy("shape_id").agg(F.min(F.least("y1", "y2")).alias("_y0"), F.max(F.greatest("y1", "y2")).alias("_y1"))
-    extent = extent.join(attrs, on="shape_id").groupBy(*by).agg(F.min("_y0").alias("_y0"), F.max("_y1").alias("_y1"))
-    # band pyramid: level k has bands of height band * 4**k; each point reads the
-    # level where its window spans a few bands, so near and far points alike
-    # touch a handful of rows
-    span = edges.agg((F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h")).first()["h"] or band
-    levels = max(0, math.ceil(math.log(max(span / band, 1.0), 4)))
-    lvl = F.least(F.lit(levels), F.greatest(F.lit(0), F.ceil(F.log(4.0, F.greatest(F.col("_D") / F.lit(band), F.lit(1.0))))))
-    hb = F.lit(float(band)) * F.pow(F.lit(4.0), F.col("_lvl"))
-    lo_y = F.greatest(py - F.col("_D"), F.col("_y0"))
-    hi_y = F.least(py + F.col("_D"), F.col("_y1"))
-    win = (
-        pts.join(ub, on=id_col).join(extent, on=list(by))
-        .withColumn("_lvl", lvl.cast("int"))
-        .withColumn("_b", F.explode(F.sequence(F.floor(lo_y / hb), F.floor(F.greatest(lo_y, hi_y) / hb))))
-    )
-    level_rows = None
-    for k in range(levels + 1):
-        h = float(band) * 4**k
-        lo = F.floor(F.least("y1", "y2") / F.lit(h))
-        hi = F.floor(F.greatest("y1", "y2") / F.lit(h))
-        rk = (
-            edges.select("shape_id", "part", "x1", "y1", "x2", "y2")
-            .withColumn("_b", F.explode(F.sequence(lo, hi)))
-            .withColumn("_lvl", F.lit(k))
-        )
-        level_rows = rk if level_rows is None else level_rows.unionByName(rk)
-    rows = (
-        level_rows.groupBy("shape_id", "part", "_lvl", "_b")
-        .agg(
-            F.min(F.least("x1", "x2")).alias("bx_min"),
-            F.max(F.greatest("x1", "x2")).alias("bx_max"),
-            F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"),
-        )
-        .join(attrs, on="shape_id")
-    )
-    cand = win.join(rows, on=["_lvl", "_b", *by]).where(
-        px.between(F.col("bx_min") - F.col("_D"), F.col("bx_max") + F.col("_D"))
-    )
-    # per row: 0 when the point is inside the part (decided on its own band row),
-    # else the nearest edge of the row; the lexicographic minimum of
-    # (distance, shape_id, part) over all rows is the answer (one aggregation)
-    own_band = F.col("_b") == F.floor(py / hb)
-    inside = own_band & ((crossing_count(F.col("edges"), px, py) % 2) == 1)
-    d = F.when(inside, F.lit(0.0)).otherwise(min_edge_distance(F.col("edges"), px, py))
-    per_row = cand.select(id_col, "shape_id", "part", d.alias("distance"))
-    best = per_row.groupBy(id_col).agg(
-        F.min_by(F.struct("shape_id", "distance", "part"), F.struct("distance", "shape_id", "part")).alias("_best")
-    )
-    return points.join(best, on=id_col).select(
+    pts = cut_lineage(points)
+    own = pts.select(id_col, x, y, *[F.col(k).alias(f"_{k}") for k in by])
+    ready = part_index(edges, band) if index is None else index
+    held = points_in_shapes(own, edges, band, x=x, y=y, index=ready[0], index_size=ready[1])
+    held = held.withColumn("_of", F.col("shape_id")).drop("shape_id").withColumn("shape_id", F.col("_of.shape_id")).join(attrs, on="shape_id")
+    for k in by:
+        held = held.where(F.col(f"_{k}") == F.col(k))
+    inside = cut_lineage(held.groupBy(id_col).agg(F.min(F.struct(F.lit(0.0).alias("distance"), F.col("shape_id"), F.col("_of.part").alias("part"))).alias("_best")))
+    outside = pts.select(id_col, x, y, *by).join(inside.select(id_col), on=id_col, how="left_anti")
+    near = nearest_edges(outside, edges.join(attrs, on="shape_id"), by, x, y, id_col, band)
+    best = inside.unionByName(near.select(id_col, F.struct("best.distance", "best.shape_id", "best.part").alias("_best")))
+    return pts.join(best, on=id_col).select(
         *[F.col(c) for c in points.columns],
         F.col("_best.shape_id").alias("shape_id"),
         F.col("_best.distance").alias("distance"),
@@ -544,8 +550,8 @@ _WGS84_A = 6378137.0
 _WGS84_F = 1 / 298.257223563
 
 
-def _authalic_constants():
-    e2 = _WGS84_F * (2 - _WGS84_F)
+def _authalic_constants(flattening: float = _WGS84_F):
+    e2 = flattening * (2 - flattening)
     e = math.sqrt(e2)
 
     def q(phi):
@@ -557,15 +563,124 @@ def _authalic_constants():
     return e, e2, qp, rq
 
 
-def _authalic_latitude(lat_rad: Column) -> Column:
-    e, e2, qp, _ = _authalic_constants()
+def _authalic_latitude(lat_rad: Column, flattening: float = _WGS84_F) -> Column:
+    e, e2, qp, _ = _authalic_constants(flattening)
     s = F.sin(lat_rad)
     q = F.lit(1 - e2) * (s / (F.lit(1.0) - F.lit(e2) * s * s) - F.lit(1 / (2 * e)) * F.log((F.lit(1.0) - F.lit(e) * s) / (F.lit(1.0) + F.lit(e) * s)))
     return F.asin(F.least(F.greatest(q / F.lit(qp), F.lit(-1.0)), F.lit(1.0)))
 
 
+def _latitude_of_authalic(sin_beta: Column, flattening: float = _WGS84_F) -> Column:
+    """Geographic latitude (radians) whose authalic latitude has the given sine, by Newton steps in one expression."""
+    e, e2, qp, _ = _authalic_constants(flattening)
+
+    def refine(phi, _):
+        sp = F.sin(phi)
+        flat = F.lit(1.0) - F.lit(e2) * sp * sp
+        q = sp / flat - F.log((F.lit(1.0) - F.lit(e) * sp) / (F.lit(1.0) + F.lit(e) * sp)) / F.lit(2 * e)
+        gap = F.lit(qp / (1 - e2)) * sin_beta - q
+        return phi + F.coalesce(gap * flat * flat / F.nullif(F.lit(2.0) * F.cos(phi), F.lit(0.0)), F.lit(0.0))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(5)), F.asin(F.least(F.greatest(sin_beta, F.lit(-1.0)), F.lit(1.0))), refine)
+
+
+# UTM: transverse Mercator by the Krueger series in the third flattening, to its fourth power (fractions of a micrometre within a zone)
+_GRS80_F = 1 / 298.257222101
+_UTM_SCALE, _UTM_EAST, _UTM_NORTH = 0.9996, 500_000.0, 10_000_000.0
+
+
+def utm_zone(epsg: int) -> tuple[float, float, float] | None:
+    """(central meridian, false northing, flattening) of a UTM code: 326zz and 327zz on WGS 84, 258zz (zones 28-38) on GRS 80."""
+    family, zone = divmod(epsg, 100)
+    if family in (326, 327) and 1 <= zone <= 60:
+        return zone * 6.0 - 183, _UTM_NORTH if family == 327 else 0.0, _WGS84_F
+    if family == 258 and 28 <= zone <= 38:
+        return zone * 6.0 - 183, 0.0, _GRS80_F
+    return None
+
+
+def krueger_series(flattening: float) -> tuple[float, list[float], list[float]]:
+    """Rectifying radius, and the coefficients of the forward and the inverse series."""
+    n = flattening / (2 - flattening)
+    radius = _WGS84_A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    forward = [
+        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
+        13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
+        61 * n**3 / 240 - 103 * n**4 / 140,
+        49561 * n**4 / 161280,
+    ]
+    inverse = [
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360,
+        n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440,
+        17 * n**3 / 480 - 37 * n**4 / 840,
+        4397 * n**4 / 161280,
+    ]
+    return radius, forward, inverse
+
+
+def _utm(lon: Column, lat: Column, meridian: float, false_north: float, flattening: float) -> tuple[Column, Column]:
+    radius, series, _ = krueger_series(flattening)
+    e = math.sqrt(flattening * (2 - flattening))
+    s, around = F.sin(F.radians(lat)), F.radians(lon - F.lit(meridian))
+    t = F.sinh(F.atanh(s) - F.lit(e) * F.atanh(F.lit(e) * s))
+    xi, eta = F.atan2(t, F.cos(around)), F.asinh(F.sin(around) / F.sqrt(t * t + F.cos(around) * F.cos(around)))
+    north, east = xi, eta
+    for j, a in enumerate(series, 1):
+        north = north + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        east = east + F.lit(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    return F.lit(_UTM_EAST) + F.lit(_UTM_SCALE * radius) * east, F.lit(false_north) + F.lit(_UTM_SCALE * radius) * north
+
+
+def _utm_inverse(x: Column, y: Column, meridian: float, false_north: float, flattening: float) -> tuple[Column, Column]:
+    radius, _, series = krueger_series(flattening)
+    e = math.sqrt(flattening * (2 - flattening))
+    xi, eta = (y - F.lit(false_north)) / F.lit(_UTM_SCALE * radius), (x - F.lit(_UTM_EAST)) / F.lit(_UTM_SCALE * radius)
+    north, east = xi, eta
+    for j, b in enumerate(series, 1):
+        north = north - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        east = east - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    conformal = F.asinh(F.sin(north) / F.sqrt(F.sinh(east) * F.sinh(east) + F.cos(north) * F.cos(north)))
+    # the geographic latitude is a fixed point; each step gains more than two digits
+    step = lambda phi, _: F.atan(F.sinh(conformal + F.lit(e) * F.atanh(F.lit(e) * F.sin(phi))))
+    phi = F.aggregate(F.sequence(F.lit(1), F.lit(8)), F.atan(F.sinh(conformal)), step)
+    return F.lit(meridian) + F.degrees(F.atan2(F.sinh(east), F.cos(north))), F.degrees(phi)
+
+
+#: Lambert azimuthal equal-area codes: (latitude and longitude of the centre, false easting and northing, flattening).
+_LAEA = {3035: (52.0, 10.0, 4_321_000.0, 3_210_000.0, _GRS80_F)}
+
+
+def laea_constants(epsg: int) -> tuple[float, float, float, float]:
+    """(radius of the authalic sphere, sine and cosine of the centre's authalic latitude, stretch D)."""
+    lat0, _, _, _, flattening = _LAEA[epsg]
+    e, e2, qp, rq = _authalic_constants(flattening)
+    s = math.sin(math.radians(lat0))
+    q = (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    beta = math.asin(q / qp)
+    return rq, math.sin(beta), math.cos(beta), _WGS84_A * math.cos(math.radians(lat0)) / (math.sqrt(1 - e2 * s * s) * rq * math.cos(beta))
+
+
+def _laea(lon: Column, lat: Column, epsg: int) -> tuple[Column, Column]:
+    _, lon0, east, north, flattening = _LAEA[epsg]
+    rq, s0, c0, stretch = laea_constants(epsg)
+    beta, around = _authalic_latitude(F.radians(lat), flattening), F.radians(lon - F.lit(lon0))
+    b = F.lit(rq) * F.sqrt(F.lit(2.0) / (F.lit(1.0) + F.lit(s0) * F.sin(beta) + F.lit(c0) * F.cos(beta) * F.cos(around)))
+    return F.lit(east) + b * F.lit(stretch) * F.cos(beta) * F.sin(around), F.lit(north) + b / F.lit(stretch) * (F.lit(c0) * F.sin(beta) - F.lit(s0) * F.cos(beta) * F.cos(around))
+
+
+def _laea_inverse(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
+    lat0, lon0, east, north, flattening = _LAEA[epsg]
+    rq, s0, c0, stretch = laea_constants(epsg)
+    dx, dy = (x - F.lit(east)) / F.lit(stretch), (y - F.lit(north)) * F.lit(stretch)
+    rho = F.hypot(dx, dy)
+    c = F.lit(2.0) * F.asin(F.least(rho / F.lit(2 * rq), F.lit(1.0)))
+    sine = F.cos(c) * F.lit(s0) + F.coalesce(dy * F.sin(c) / F.nullif(rho, F.lit(0.0)), F.lit(0.0)) * F.lit(c0)
+    lon = F.lit(lon0) + F.degrees(F.atan2(dx * F.sin(c), rho * F.lit(c0) * F.cos(c) - dy * F.lit(s0) * F.sin(c)))
+    return F.when(rho == 0, F.lit(lon0)).otherwise(lon), F.degrees(_latitude_of_authalic(sine, flattening))
+
+
 def project(lon: Column | str, lat: Column | str, epsg: int) -> tuple[Column, Column]:
-    """Forward projection of geographic degrees to EPSG:3857 or EPSG:8857 (metres)."""
+    """Forward projection of geographic degrees to metres: EPSG:3857, 8857, UTM (326zz, 327zz, 258zz) or 3035."""
     lon_c = F.col(lon) if isinstance(lon, str) else lon
     lat_c = F.col(lat) if isinstance(lat, str) else lat
     if epsg == 4326:
@@ -584,6 +699,10 @@ def project(lon: Column | str, lat: Column | str, epsg: int) -> tuple[Column, Co
         x = F.lit(rq * 2 * math.sqrt(3) / 3) * F.radians(lon_c) * F.cos(theta) / denom
         y = F.lit(rq) * theta * (F.lit(_A1) + F.lit(_A2) * t2 + t6 * (F.lit(_A3) + F.lit(_A4) * t2))
         return x, y
+    if epsg in _LAEA:
+        return _laea(lon_c, lat_c, epsg)
+    if zone := utm_zone(epsg):
+        return _utm(lon_c, lat_c, *zone)
     raise ValueError(f"Unsupported CRS EPSG:{epsg}.")
 
 
@@ -615,17 +734,11 @@ def unproject(x: Column | str, y: Column | str, epsg: int, newton_steps: int = 6
         denom = F.lit(_A1) + F.lit(3 * _A2) * t2 + t6 * (F.lit(7 * _A3) + F.lit(9 * _A4) * t2)
         lon = F.degrees(F.lit(3 / (2 * math.sqrt(3))) * x_c * denom / (F.lit(rq) * F.cos(theta)))
         sin_beta = F.lit(2 / math.sqrt(3)) * F.sin(theta)
-
-        def refine(phi, _):
-            """Newton step for the geographic latitude whose authalic latitude is beta."""
-            sp = F.sin(phi)
-            flat = F.lit(1.0) - F.lit(e2) * sp * sp
-            q = sp / flat - F.log((F.lit(1.0) - F.lit(e) * sp) / (F.lit(1.0) + F.lit(e) * sp)) / F.lit(2 * e)
-            gap = F.lit(qp / (1 - e2)) * sin_beta - q
-            return phi + F.coalesce(gap * flat * flat / F.nullif(F.lit(2.0) * F.cos(phi), F.lit(0.0)), F.lit(0.0))
-
-        phi = F.aggregate(F.sequence(F.lit(1), F.lit(5)), F.asin(F.least(F.greatest(sin_beta, F.lit(-1.0)), F.lit(1.0))), refine)
-        return lon, F.degrees(phi)
+        return lon, F.degrees(_latitude_of_authalic(sin_beta))
+    if epsg in _LAEA:
+        return _laea_inverse(x_c, y_c, epsg)
+    if zone := utm_zone(epsg):
+        return _utm_inverse(x_c, y_c, *zone)
     raise ValueError(f"Unsupported CRS EPSG:{epsg}.")
 
 

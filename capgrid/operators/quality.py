@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from capgrid.config import IMPUTED_STATUS, PREPARED_STATUS
+from capgrid.session import cut_lineage
 
 PLANT_SCHEMA = T.StructType(
     [
@@ -202,6 +203,19 @@ AGGREGATED_RULES = [
 SHAPE_RULES = [Rule("shape_id", "unique"), Rule("shape_id", "not_null"), Rule("shape_class", "isin", ["land", "maritime"])]
 
 
+def checked(df: DataFrame, rules: Sequence[Rule], mode: str = "raise", one_category: bool = False) -> DataFrame:
+    """`df` cut at a publish point and then validated: its plan runs once, the checks read the cut table.
+
+    With `one_category`, a table with rows must also hold exactly one category (I4).
+    """
+    if mode == "skip":
+        return df
+    cut = cut_lineage(df)
+    if one_category and cut.limit(1).count():
+        single_category(cut)
+    return gate(cut, rules, mode)
+
+
 # I4 -----------------------------------------------------------------------
 def single_category(df: DataFrame) -> str:
     """The one category of a table (reads at most two distinct values)."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from capgrid.config import EIA_CAT_MAPPING
 from capgrid.functions.columns import stats_category_predicate
 from capgrid.operators.geometry import points_in_shapes
-from capgrid.session import small
+from capgrid.session import cut_lineage, small
 
 
 # H1 -----------------------------------------------------------------------
@@ -49,10 +49,10 @@ def disaggregate_by_proxy(totals: DataFrame, pixels: DataFrame, land_shapes: Dat
 
     Output pixel table with `value` = capacity (MW) per pixel.
     """
-    pc = pixel_countries(pixels, land_shapes, land_edges, band)
+    pc = cut_lineage(pixel_countries(pixels, land_shapes, land_edges, band))  # read for the sums and for the shares
     sums = pc.groupBy("country_id").agg(F.sum("value").alias("_sum"))
-    # one row a country: joined first, then to the pixels
-    shares = pc.join(small(sums.join(totals, on="country_id")), on="country_id")
+    # one row a country: joined first (and cut, since it is measured), then to the pixels
+    shares = pc.join(small(cut_lineage(sums.join(totals, on="country_id"))), on="country_id")
     spread = shares.select(
         "prow", "pcol", "x", "y", (F.try_divide(F.col("value"), F.col("_sum")) * F.col("output_capacity_mw")).alias("value")
     )

@@ -34,7 +34,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capgrid.operators.geometry import band_index, default_xcell, maybe_broadcast, measure_index, points_in_shapes, turn_count
+from capgrid.operators.geometry import band_index, default_xcell, edge_cells, maybe_broadcast, measure_index, points_in_shapes, turn_count
 from capgrid.session import cut_lineage
 
 EDGE = ["x1", "y1", "x2", "y2"]
@@ -54,20 +54,6 @@ def _rounded(edges: DataFrame, digits: int) -> DataFrame:
     return edges.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in EDGE})
 
 
-def edge_cells(edges: DataFrame, band: float, tol: float) -> DataFrame:
-    """Each edge once for every (band, x-cell) it runs through: per band only the cells below its part in that band."""
-    h, w, p = F.lit(float(band)), F.lit(default_xcell(band)), F.lit(float(tol))
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    listed = edges.withColumn("b", F.explode(F.sequence(F.floor((low - p) / h), F.floor((high + p) / h))))
-
-    def x_at(y: Column) -> Column:
-        share = (F.least(F.greatest(y, low), high) - F.col("y1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
-        return F.col("x1") + share * (F.col("x2") - F.col("x1"))
-
-    one, two = F.coalesce(x_at(F.col("b") * h - p), F.col("x1")), F.coalesce(x_at((F.col("b") + 1) * h + p), F.col("x2"))
-    return listed.withColumn("c", F.explode(F.sequence(F.floor((F.least(one, two) - p) / w), F.floor((F.greatest(one, two) + p) / w))))
-
-
 def meetings(edges: DataFrame, scope: list[str], band: float, tol: float) -> DataFrame:
     """Pairs of different edges of one scope that share a square and whose boxes meet: columns a_* and b_* (a before b).
 

@@ -362,12 +362,9 @@ def unadjusted_plants(
     adjustment and aggregation jobs read more than once.
     """
     if users or excluded_ids:
-        plants = cut_lineage(combine_with_user_plants(plants, users, excluded_ids))
-    if quality_mode != "skip":
-        if plants.limit(1).count():
-            quality.single_category(plants)
-        before = quality.stage_rules(tech_values or [], "prepare")
-        plants = quality.gate(plants, [r for r in before if tech_values is not None or (r.column, r.kind) != ("technology", "isin")], quality_mode)
+        plants = combine_with_user_plants(plants, users, excluded_ids)
+    before = [r for r in quality.stage_rules(tech_values or [], "prepare") if tech_values is not None or (r.column, r.kind) != ("technology", "isin")]
+    plants = quality.checked(plants, before, quality_mode, one_category=True)
     if exclusive_edges is not None:
         odd = sorted(r[0] for r in quality.mismatched_ids(shapes, exclusive_edges).collect())
         if odd:
@@ -401,12 +398,12 @@ def unadjusted_plants(
 # P9 -----------------------------------------------------------------------
 def adjusted_plants(unadjusted: DataFrame, stats: DataFrame, year: int, category: str, quality_mode: str = "raise") -> DataFrame:
     out = capacity.adjust_capacity(unadjusted, stats, year, category)
-    return quality.gate(out, [quality.Rule("powerplant_id", "unique"), quality.Rule("output_capacity_mw", "gt", 0)], quality_mode)
+    return quality.checked(out, [quality.Rule("powerplant_id", "unique"), quality.Rule("output_capacity_mw", "gt", 0)], quality_mode)
 
 
 # P10 ----------------------------------------------------------------------
 def aggregated(plants: DataFrame, shapes: DataFrame, edges: DataFrame, year: int, band: float, quality_mode: str = "raise") -> DataFrame:
-    return quality.gate(capacity.aggregate_capacity(plants, shapes, edges, year, band), quality.AGGREGATED_RULES, quality_mode)
+    return quality.checked(capacity.aggregate_capacity(plants, shapes, edges, year, band), quality.AGGREGATED_RULES, quality_mode)
 
 
 # P11 ----------------------------------------------------------------------

@@ -13,6 +13,8 @@ Placeholders `{orders}`, `{customer}`, ... name the base tables.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -275,17 +277,19 @@ def duck(sql: str) -> str:
     return render(sql, {})
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Expose the base tables of `sf_dir` as temp views; returns the names."""
-    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.rstrip("/").split("/")[-1])
+def register_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> dict[str, str]:
+    """Expose base tables of `sf_dir` as temp views, once a session and folder; returns the names."""
+    folder = sf_dir.rstrip("/")
+    tag = hashlib.md5(folder.encode()).hexdigest()[:12]
     names = {}
-    for table in BASE_TABLES:
-        view = f"{table}_{tag}"
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").createOrReplaceTempView(view)
-        names[table] = view
+    for table in tables:
+        names[table] = view = f"{table}_{tag}"
+        if not spark.catalog.tableExists(view):
+            spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(view)
     return names
 
 
 def stand_in(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A stand-in as a Spark DataFrame over the tables of `sf_dir`."""
-    return spark.sql(render(sql, register_tables(spark, sf_dir)))
+    """A stand-in as a Spark DataFrame over those tables of `sf_dir` that it names."""
+    needed = [t for t in BASE_TABLES if f"{{{t}}}" in sql or (t == "supplier" and "{facilities}" in sql)]
+    return spark.sql(render(sql, register_tables(spark, sf_dir, needed)))

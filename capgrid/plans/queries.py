@@ -615,6 +615,67 @@ def e17(spark, d):
     return geometry.polygon_checks(e.select(*bow.columns).unionByName(bow))
 
 
+def _utm_sql(lon, lat, epsg):
+    """Easting and northing by the Krueger series, written out term by term."""
+    meridian, false_north, flattening = geometry.utm_zone(epsg)
+    radius, series, _ = geometry.krueger_series(flattening)
+    e, k = (flattening * (2 - flattening)) ** 0.5, 0.9996 * radius
+    t = f"sinh(atanh(sin(radians({lat}))) - {e!r} * atanh({e!r} * sin(radians({lat}))))"
+    base = f"SELECT *, atan2({t}, cos(radians({lon} - {meridian}))) AS xi, asinh(sin(radians({lon} - {meridian})) / sqrt(power({t}, 2) + power(cos(radians({lon} - {meridian})), 2))) AS eta"
+    x = " + ".join(["eta"] + [f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(series, 1)])
+    y = " + ".join(["xi"] + [f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(series, 1)])
+    return base, f"500000 + {k!r} * ({x})", f"{false_north!r} + {k!r} * ({y})"
+
+
+_UTM_BASE, _UTM_X, _UTM_Y = _utm_sql("lon", "lat", 32733)
+_NEAR_UTM = "lon BETWEEN -20 AND 50 AND lat BETWEEN -80 AND 84"
+
+
+@query("E1_project_utm", PLANTS_CTE.rstrip() + f", u AS ({_UTM_BASE} FROM og_plants WHERE {_NEAR_UTM}) SELECT powerplant_id, {_UTM_X} AS east, {_UTM_Y} AS north FROM u")
+def e1u(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    x, y = geometry.project("lon", "lat", 32733)
+    return p.where(_NEAR_UTM).select("powerplant_id", x.alias("east"), y.alias("north"))
+
+
+def _laea_sql():
+    rq, s0, c0, stretch = geometry.laea_constants(3035)
+    f = 1 / 298.257222101
+    e2 = f * (2 - f)
+    e = e2**0.5
+    q = lambda s: f"((1 - {e2!r}) * ({s} / (1 - {e2!r} * {s} * {s}) - ln((1 - {e!r} * {s}) / (1 + {e!r} * {s})) / (2 * {e!r})))"
+    sine, around = f"({q('sin(radians(lat))')} / {q('1e0')})", "radians(lon - 10)"
+    b = f"({rq!r} * sqrt(2 / (1 + {s0!r} * sb + {c0!r} * cb * cos({around}))))"
+    return (
+        f"SELECT *, {sine} AS sb, sqrt(1 - power({sine}, 2)) AS cb",
+        f"4321000 + {b} * {stretch!r} * cb * sin({around})",
+        f"3210000 + {b} / {stretch!r} * ({c0!r} * sb - {s0!r} * cb * cos({around}))",
+    )
+
+
+_LAEA_BASE, _LAEA_X, _LAEA_Y = _laea_sql()
+
+
+@query("E1_project_laea", PLANTS_CTE.rstrip() + f", u AS ({_LAEA_BASE} FROM og_plants WHERE {_NEAR_UTM}) SELECT powerplant_id, {_LAEA_X} AS east, {_LAEA_Y} AS north FROM u")
+def e1l(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    x, y = geometry.project("lon", "lat", 3035)
+    return p.where(_NEAR_UTM).select("powerplant_id", x.alias("east"), y.alias("north"))
+
+
+@query("E1_unproject_grids", PLANTS_CTE + f"SELECT powerplant_id, epsg, lon, lat FROM og_plants, (VALUES (32733), (25833), (3035)) AS v(epsg) WHERE {_NEAR_UTM}")
+def e1ug(spark, d):
+    p, _ = og_plants(spark, d, with_country=False)
+    out = None
+    for epsg in (32733, 25833, 3035):
+        x, y = geometry.project("lon", "lat", epsg)
+        there = p.where(_NEAR_UTM).select("powerplant_id", x.alias("east"), y.alias("north"))
+        lon, lat = geometry.unproject("east", "north", epsg)
+        back = there.select("powerplant_id", F.lit(epsg).alias("epsg"), F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
 PROJ_SQL = """SELECT powerplant_id, 6378137e0 * radians(lon) AS x3857,
   6378137e0 * ln(tan(pi() / 4 + radians(lat) / 2)) AS y3857 FROM og_plants"""
 

@@ -70,13 +70,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, limit: int = 32 * 1024 * 1024, measured: DataFrame | None = None) -> DataFrame:
-    """Mark `df` for broadcast if its rows, measured by one count, fit in `limit` bytes; else leave the join to shuffle.
+    """Mark `df` for broadcast if its rows, measured by one aggregate, fit in `limit` bytes; else leave the join to shuffle.
 
-    `measured`, when given, is a table known to have as many rows and cheaper to
-    count.  The size of a row is taken from its types (64 bytes a text or array).
+    Texts, arrays and other values of any length count with the length of
+    their text form.  `measured`, when given, is a table known to have as many
+    rows and cheaper to count; it gives the number of rows, at 64 bytes for
+    each value of any length.  Pass tables that are cheap to read twice (cut,
+    or read from files): the measure runs the plan of what it is given.
     """
-    width = 16 + sum(8 if f.dataType.typeName() in _FIXED_WIDTH else 64 for f in df.schema.fields)
-    return F.broadcast(df) if (df if measured is None else measured).count() * width <= limit else df
+    fixed = 16 + 8 * len(df.schema.fields)
+    loose = [f.name for f in df.schema.fields if f.dataType.typeName() not in _FIXED_WIDTH]
+    if measured is not None:
+        size = measured.count() * (fixed + 56 * len(loose))
+    else:
+        lengths = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in loose), F.lit(fixed))
+        size = df.agg(F.sum(lengths).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if size <= limit else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 from edge_tables import EDGE_DDL, square_edges
+import pytest
 from pyspark.sql import functions as F
 
 from capgrid.operators import geometry as G
@@ -259,3 +260,24 @@ def test_nearest_does_not_depend_on_the_band(spark):
         return sorted((r.powerplant_id, r.shape_id, r.part, round(r.distance, 9)) for r in out.collect())
 
     assert run(Q.B) == run(0.25) != []
+
+
+def test_grids_against_published_points(spark):
+    """EPSG guidance note 7-2 gives 3035 at (5 E, 50 N); UTM values are those of public converters, rounded to 0.1 m."""
+    one = spark.range(1)
+    at = lambda lon, lat, epsg: one.select(*[c.alias(n) for c, n in zip(G.project(F.lit(lon), F.lit(lat), epsg), "xy")]).first()
+    assert tuple(at(5.0, 50.0, 3035)) == pytest.approx((3962799.45, 2999718.85), abs=0.01)
+    assert tuple(at(10.0, 52.0, 3035)) == pytest.approx((4321000.0, 3210000.0), abs=1e-6)
+    assert tuple(at(3.0, 0.0, 32631)) == pytest.approx((500000.0, 0.0), abs=1e-6)
+    assert tuple(at(3.0, 0.0, 32731)) == pytest.approx((500000.0, 10000000.0), abs=1e-6)
+    # on the central meridian the northing is the meridian arc times 0.9996 (quarter meridian 10,001,965.7293 m)
+    assert at(3.0, 90.0, 32631)["y"] == pytest.approx(10001965.7293 * 0.9996, abs=1e-3)
+    assert tuple(at(2.2945, 48.8582, 32631)) == pytest.approx((448251.8, 5411932.7), abs=1.0)
+    for epsg in (32631, 32731, 25831, 3035):
+        rows = spark.createDataFrame([(float(lon), float(lat)) for lon in range(-3, 10, 3) for lat in range(-78, 84, 9)], "lon double, lat double")
+        x, y = G.project("lon", "lat", epsg)
+        lon, lat = G.unproject("x", "y", epsg)
+        back = rows.select("lon", "lat", x.alias("x"), y.alias("y")).select((lon - F.col("lon")).alias("a"), (lat - F.col("lat")).alias("b")).collect()
+        assert max(max(abs(r["a"]), abs(r["b"])) for r in back) < 1e-9, epsg
+    with pytest.raises(ValueError):
+        G.project("lon", "lat", 32661)
