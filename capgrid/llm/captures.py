@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capgrid.llm.url_lists import canonical_url, host_of
+from capgrid.llm.url_lists import TRACKING, canonical_url, host_of
 
 FETCHES = 4
 
@@ -47,7 +47,11 @@ def warc_records(pages: DataFrame) -> DataFrame:
 
 
 _HOST = r"""nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)), '^www\.', ''), '')"""
-_KEY = _HOST + r""" || regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/+$', ''), '\.html$', '')"""
+_PORT = r"""CASE WHEN regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:@]*:0*([0-9]+)(?:[/?#]|$)', 1) IN ('', CASE lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*)://', 1)) WHEN 'http' THEN '80' WHEN 'https' THEN '443' ELSE '' END)
+  THEN '' ELSE ':' || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:@]*:0*([0-9]+)(?:[/?#]|$)', 1) END"""
+_PAGE = _HOST + " || " + _PORT + r""" || regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/+$', '')"""
+_PARAMS = r"""list_sort(list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(split_part(p, '=', 1)), '""" + TRACKING + "')))"
+_KEY = _PAGE + f" || CASE WHEN len({_PARAMS}) > 0 THEN '?' || array_to_string({_PARAMS}, '&') ELSE '' END"
 
 REVISIT_ORACLE = f"""
 WITH records AS ({_RECORDS.format(text="VARCHAR", each="unnest(generate_series(0, 3))")}),
@@ -108,12 +112,13 @@ WITH urls AS (SELECT page_id, {_HOST} AS host, {_KEY} AS key FROM pages),
 hosts AS (SELECT DISTINCT host FROM urls),
 events AS ({_EVENTS.format(steps="unnest(generate_series(0, 2))")}),
 daily AS (SELECT list, key, day, bool_or(action = 'add') AS active FROM events WHERE key IS NOT NULL AND day IS NOT NULL GROUP BY ALL),
-visits AS (SELECT page_id, url, {_HOST} AS host, {_KEY} AS url_key, unnest(generate_series(0, 3)) AS visit FROM pages),
+visits AS (SELECT page_id, url, {_HOST} AS host, {_PAGE} AS page_key, {_KEY} AS url_key, unnest(generate_series(0, 3)) AS visit FROM pages),
 dated AS (SELECT *, CAST(page_id % 7 + visit * 7 AS INT) AS day, row_number() OVER () AS row_id FROM visits),
 parts AS (SELECT row_id, day, string_split(host, '.') AS p FROM dated WHERE host IS NOT NULL),
 keys AS (
   SELECT row_id, day, array_to_string(list_slice(p, i, len(p)), '.') AS key FROM (SELECT *, unnest(generate_series(1, len(p))) AS i FROM parts)
-  UNION ALL SELECT row_id, day, url_key FROM dated WHERE contains(url_key, '/')
+  UNION ALL SELECT row_id, day, page_key FROM dated WHERE regexp_matches(page_key, '[/:]')
+  UNION ALL SELECT row_id, day, url_key FROM dated WHERE url_key <> page_key
 ),
 names AS (SELECT DISTINCT list FROM daily),
 asked AS (SELECT keys.*, names.list FROM keys, names),

@@ -1,8 +1,17 @@
 """Line removal by site-relative frequency.
 
 Per host: pages that contain a line (each page counts once), divided by the
-host's pages.  A line on more than `ratio` of its host's pages, and on at
-least `min_pages`, is boilerplate and is cut from every page of the host.
+host's pages.  A line is boilerplate, and is cut from every page of the host,
+if it is on more than `ratio` of the host's pages beyond chance: its pages, less the square
+root that such a count scatters by, must exceed the ratio.  So one page is
+never enough, 6 of 50 pages are, 3 of 10, and on hosts of some hundred pages the ratio
+itself decides; no host is left out.
+
+The ratio 0.065 lies in the gap measured on the documents' sources (500 to
+93,000 pages each): the boilerplate line is on 8.6 to 13.4 % of each one's pages,
+the next ordinary line on at most 4.8 %, passages that pages share on at most
+6.3 %.  What stands for the host is a column of the caller's: the registered query has only
+`documents.source`; tables with URLs pass `url_lists.host_of(url)`.
 
 Lines are counted by a 128-bit hash (two seeds), so line texts are not
 shuffled; the count is summed on the map side first, so one line that every
@@ -24,8 +33,7 @@ from pyspark.sql import functions as F
 
 from capgrid.llm import common
 
-RATIO = 0.1
-MIN_PAGES = 5
+RATIO = 0.065
 
 
 def lines(text: Column) -> Column:
@@ -41,19 +49,19 @@ def _has_word(line: Column) -> Column:
     return F.length(F.trim(line)) > 0
 
 
-def boilerplate(docs: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO) -> DataFrame:
     """(host, codes): one row per host that has boilerplate lines."""
     pages = docs.select(host.alias("host"), F.col(text_col).alias("text"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     codes = F.array_distinct(F.transform(F.filter(lines(F.col("text")), _has_word), _code))
-    counted = pages.select("host", F.explode(codes).alias("code")).groupBy("host", "code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    often = counted.join(totals.withColumnRenamed("host", "total_host"), F.col("host").eqNullSafe(F.col("total_host"))).filter(F.col("n") > F.lit(ratio) * F.col("pages"))
+    counted = pages.select("host", F.explode(codes).alias("code")).groupBy("host", "code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    often = counted.join(totals.withColumnRenamed("host", "total_host"), F.col("host").eqNullSafe(F.col("total_host"))).filter(F.col("n") - F.sqrt("n") > F.lit(ratio) * F.col("pages"))
     return often.groupBy("host").agg(F.collect_list("code").alias("codes"))
 
 
-def drop_boilerplate(docs: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, counts: tuple[str, str] | None = None) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: Column, text_col: str = "text", ratio: float = RATIO, counts: tuple[str, str] | None = None) -> DataFrame:
     """`docs` with the boilerplate lines of their hosts cut from `text_col`; `counts` names columns for lines before and lines cut."""
-    frequent = common.cut(boilerplate(docs, host, text_col, ratio, min_pages))
+    frequent = common.cut(boilerplate(docs, host, text_col, ratio))
     frequent = common.broadcast_if_small(frequent, F.size("codes") * 32 + 64)
     key, codes = common.fresh("host_key", docs.columns), common.fresh("host_codes", docs.columns)
     side = frequent.select(F.col("host").alias(key + "_side"), F.col("codes").alias(codes))

@@ -108,10 +108,10 @@ WITH split AS (
 seen AS (
   SELECT source, line, count(*) AS n FROM (
     SELECT source, unnest(list_distinct(list_filter(lines, lambda l: length(trim(l, ' ')) > 0))) AS line FROM split)
-  GROUP BY source, line HAVING count(*) >= 5
+  GROUP BY source, line HAVING count(*) > 1
 ), often AS (
   SELECT s.source, list(s.line) AS cut FROM seen s JOIN total t ON s.source IS NOT DISTINCT FROM t.source
-  WHERE s.n > 0.1 * t.pages GROUP BY s.source
+  WHERE s.n - sqrt(s.n) > 0.065 * t.pages GROUP BY s.source
 ), done AS (
   SELECT doc_id, text, lines, CASE WHEN cut IS NULL THEN lines ELSE list_filter(lines, lambda l: NOT list_contains(cut, l)) END AS kept
   FROM split LEFT JOIN often ON split.source IS NOT DISTINCT FROM often.source

@@ -30,7 +30,9 @@ from capgrid.llm import common
 #: A day after every date: `valid_to` of entries still in force.
 OPEN_END = 2_147_483_647
 #: Names of parameters that tell where a visit came from and do not select content (whole name, lower case).
-TRACKING = r"^(utm_[^=]*|ref|fbclid|gclid|dclid|msclkid|yclid|mc_cid|mc_eid|igshid)$"
+TRACKING = r"^(utm_[^=]*|fbclid|gclid|dclid|msclkid|yclid|mc_cid|mc_eid|igshid)$"
+#: A looser key also takes `ref` for tracking and `.html` for no part of the path: right on many sites, wrong on others.
+LOOSE_TRACKING = TRACKING.replace("^(", "^(ref|")
 
 
 def host_of(url: Column) -> Column:
@@ -47,22 +49,22 @@ def port_of(url: Column) -> Column:
     return F.when(default, "").otherwise(F.concat(F.lit(":"), authority))
 
 
-def query_of(url: Column) -> Column:
+def query_of(url: Column, loose: bool = False) -> Column:
     """`?` and the parameters that select content, sorted, without `TRACKING` names; empty when there are none."""
     given = F.split(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^?#]*\?([^#]*)", 1), "&")
-    kept = F.array_sort(F.filter(given, lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).rlike(TRACKING)))
+    kept = F.array_sort(F.filter(given, lambda p: (p != "") & ~F.lower(F.substring_index(p, "=", 1)).rlike(LOOSE_TRACKING if loose else TRACKING)))
     return F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
 
 
-def page_url(url: Column) -> Column:
-    """Host, non-default port and path without scheme, fragment, query, trailing slash or `.html`; null without a host."""
-    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
-    return F.concat(host_of(url), port_of(url), F.regexp_replace(F.regexp_replace(path, r"/+$", ""), r"\.html$", ""))
+def page_url(url: Column, loose: bool = False) -> Column:
+    """Host, non-default port and path without scheme, fragment, query or trailing slash (`loose`: or `.html`); null without a host."""
+    path = F.regexp_replace(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1), r"/+$", "")
+    return F.concat(host_of(url), port_of(url), F.regexp_replace(path, r"\.html$", "") if loose else path)
 
 
-def canonical_url(url: Column) -> Column:
+def canonical_url(url: Column, loose: bool = False) -> Column:
     """`page_url` and its sorted query without tracking parameters; null without a host."""
-    return F.concat(page_url(url), query_of(url))
+    return F.concat(page_url(url, loose), query_of(url, loose))
 
 
 def intervals(events: DataFrame) -> DataFrame:
@@ -84,13 +86,13 @@ def parents(host: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
 
 
-def evaluate(captures: DataFrame, events: DataFrame, url_col: str = "url", day_col: str = "day") -> DataFrame:
-    """Captures with `lists` (sorted names of the lists active at fetch time) and `blocked`."""
+def evaluate(captures: DataFrame, events: DataFrame, url_col: str = "url", day_col: str = "day", loose: bool = False) -> DataFrame:
+    """Captures with `lists` (sorted names of the lists active at fetch time) and `blocked`; `loose` as in `canonical_url`, for which the entries' keys must then be made."""
     captures = common.without(captures, "lists", "blocked")
     entries = common.cut(_by_key(intervals(events)))
     size = F.size("spans") * 48 + 128
     host, page, url = (common.fresh(n, captures.columns) for n in ("host_key", "page_key", "url_key"))
-    full, bare = canonical_url(F.col(url_col)), page_url(F.col(url_col))
+    full, bare = canonical_url(F.col(url_col), loose), page_url(F.col(url_col), loose)
     keyed = captures.withColumns({host: host_of(F.col(url_col)), page: bare, url: F.when(full != bare, full)})
     hosts = keyed.select(F.col(host).alias("host")).filter(F.col(host).isNotNull()).distinct()
     above = hosts.select("host", F.explode(parents(F.col("host"))).alias("key")).join(entries, "key")
