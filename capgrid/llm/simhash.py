@@ -40,6 +40,8 @@ SEGMENTS = 8
 WIDTH = 64 // SEGMENTS
 SEED = 42
 SHINGLE_BLOCK = 1 << 16
+#: Members of a join key that are compared in one task; keys with more go block by block.
+MAX_MEMBERS = 4096
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -187,7 +189,7 @@ def _link_batches(distance: int):
     return run
 
 
-def links(distinct: DataFrame, distance: int = 4, exact: int = 3, max_members: int = 200_000) -> DataFrame:
+def links(distinct: DataFrame, distance: int = 4, exact: int = 3, max_members: int = MAX_MEMBERS) -> DataFrame:
     """(a, b) fingerprints joined by links of at most `distance` bits: a spanning forest of each join key's links.
 
     `exact` is the number of agreeing segments in a key: 3 (24 bits) suits up
@@ -242,12 +244,21 @@ def components(docs: DataFrame, shingle: int = 4, distance: int = 4, exact: int
     """(id, text_key, fingerprint, root, component_id), one row per input row; root is the component's smallest fingerprint."""
     light = common.cut(fingerprints(docs, shingle, id_col, text_col))
     by_print = common.cut(light.groupBy("fingerprint").agg(F.min("id").alias("first_id")))
-    found = stars(links(by_print.select("fingerprint"), distance, exact))
-    rooted = by_print.join(found, by_print["fingerprint"] == found["node"], "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
+    found = common.cut(stars(links(by_print.select("fingerprint"), distance, exact)))
+    linked = found.unionAll(found.select(F.col("root").alias("node"), "root").distinct())
+    members = common.cut(by_print.join(linked, by_print["fingerprint"] == linked["node"]).select("fingerprint", "first_id", "root"))
+    smallest = members.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    # A component may hold a third of all fingerprints, so members of large ones find their id under several keys.
+    # Components of over total / 10^6 members number less than 10^6, whatever the input: their sizes fit a broadcast.
+    share = F.lit(max(1000, members.count() // 1_000_000))
+    smallest = common.cut(smallest.withColumn("salts", F.floor(F.col("n") / share) + 1))
+    large = common.broadcast_if_small(smallest.filter("salts > 1").select(F.col("root").alias("large"), F.col("salts").alias("of")), 32)
+    salted = members.join(large, F.col("root") == F.col("large"), "left").withColumn("salt", F.pmod(F.xxhash64("fingerprint"), F.coalesce("of", F.lit(1))))
+    keys = smallest.select("root", "component_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    told = salted.join(keys, ["root", "salt"]).select(F.col("fingerprint").alias("node"), "root", "component_id")
+    named = by_print.join(told, by_print["fingerprint"] == told["node"], "left").select(
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")
     )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.select("fingerprint", "root").join(smallest, "root")
     return light.join(named, "fingerprint").select("id", "text_key", "fingerprint", "root", "component_id")
 
 
