@@ -259,7 +259,8 @@ def components(docs: DataFrame, shingle: int = 4, distance: int = 4, exact: int
     named = by_print.join(told, by_print["fingerprint"] == told["node"], "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")
     )
-    return light.join(named, "fingerprint").select("id", "text_key", "fingerprint", "root", "component_id")
+    # cut, so that the join with all rows deals both sides anew and Spark can split the rows of one fingerprint
+    return light.join(common.cut(named), "fingerprint").select("id", "text_key", "fingerprint", "root", "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 4, distance: int = 4, exact: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
