@@ -7,8 +7,8 @@ word, so a hash collision never counts.  Hit words can be removed as spans,
 or whole documents dropped.
 
 The benchmark's size is measured first.  Beyond `max_bytes` it is cut into
-blocks of items and the documents are scanned once per block; the hits of a
-row are then merged, so nothing is left out.
+blocks of items and the documents are scanned once per block, by tasks that
+hold one block; the hits of a row are then merged, so nothing is left out.
 
 Defined results.  Null and empty texts have no words and no hits.  Items
 without words have no windows.  Windows of an item whose id is null hit words
@@ -30,29 +30,12 @@ from capgrid.llm import common, textscan
 
 WINDOW = 10
 CHUNK = 1 << 21
+#: Item text of one broadcast index, which takes up to four times as much.
+MAX_BYTES = 16 << 20
 _MULT = np.uint64(0xD6E8FEB86659FD93)
 SCAN_DDL = "text_key bigint, n_words bigint, items array<string>, hits array<struct<first:bigint,last:bigint>>"
 
 
-def words(text: bytes) -> list[bytes]:
-    raw = text.lower()
-    starts, ends = textscan.spans(np.frombuffer(raw, np.uint8), textscan.ALNUM)
-    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-
-
-def windows(items: list[tuple[str | None, bytes]], n: int) -> dict[int, dict[bytes, set[str]]]:
-    """Window length -> the window's words, space-joined -> ids of the items that have it."""
-    out: dict[int, dict[bytes, set[str]]] = {}
-    for item, text in items:
-        w = words(text)
-        size = min(n, len(w))
-        for i in range(len(w) - size + 1 if size else 0):
-            ids = out.setdefault(size, {}).setdefault(b" ".join(w[i : i + size]), set())
-            if item is not None:
-                ids.add(item)
-    return out
-
-
 def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of every window of `size` consecutive word hashes."""
     m = len(h) - size + 1
@@ -64,21 +47,43 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
 
 
 class Index:
-    """Sorted hashes of the windows of each length, with the windows themselves for verification."""
-
-    def __init__(self, by_size: dict[int, dict[bytes, set[str]]]):
+    """Hashes of the items' windows, sorted by window length, each with the place of its words in one buffer.
+
+    The buffer holds every item's words with a space between them and a line
+    feed behind each item.  A window takes 12 bytes beside it, so the index
+    stays below four times the items' text.
+    """
+
+    def __init__(self, items: list[tuple[str | None, bytes]], n: int):
+        self.items = [item for item, _ in items]
+        self.buffer = b"".join(b" ".join(_words(text)) + b"\n" for _, text in items)
+        buffer = np.frombuffer(self.buffer, np.uint8)
+        self.begins = np.concatenate(([0], np.flatnonzero(buffer == 0x0A) + 1)).astype(np.int64)
+        starts, ends = textscan.spans(buffer, textscan.ALNUM)
+        h = textscan.word_hashes(buffer, starts, ends)
+        first = np.searchsorted(starts, self.begins)
+        sizes = np.minimum(np.diff(first), n)
         self.sizes = {}
-        for size, wins in by_size.items():
-            joined = b"\n".join(wins)
-            buffer = np.frombuffer(joined, np.uint8)
-            h = textscan.word_hashes(buffer, *textscan.spans(buffer, textscan.ALNUM)).reshape(-1, size)
-            total = h[:, 0].copy()
-            for j in range(1, size):
-                total *= _MULT
-                total += h[:, j]
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            of_size = np.repeat(sizes == size, np.diff(first))  # words of items whose windows are this long
+            total = window_hashes(h, size)
+            whole = np.repeat(first[1:], np.diff(first))[: len(total)] >= np.arange(size, size + len(total))
+            at = np.flatnonzero(of_size[: len(total)] & whole)
+            at = at[np.argsort(total[at], kind="stable")]
+            known, place = total[at], starts[at].astype(np.uint32)
             seen = np.zeros(1 << 20, bool)
-            seen[(total >> np.uint64(44)).astype(np.int64)] = True
-            self.sizes[size] = (seen, np.unique(total), wins)
+            seen[(known >> np.uint64(44)).astype(np.int64)] = True
+            self.sizes[size] = (seen, known, place)
+
+    def resident(self) -> int:
+        """Bytes of the buffer and the arrays, without the fixed table of leading hash bits of each window length."""
+        return len(self.buffer) + self.begins.nbytes + sum(known.nbytes + place.nbytes for _, known, place in self.sizes.values())
+
+    def _owners(self, window: bytes, place: np.ndarray) -> np.ndarray:
+        """The items, as numbers, that hold the window at one of the places whose hash it shares."""
+        size = len(window)
+        same = [p for p in place.tolist() if self.buffer.startswith(window, p) and self.buffer[p + size] in b" \n"]
+        return np.unique(np.searchsorted(self.begins, same, side="right") - 1)
 
     def scan(self, texts: list[bytes]) -> tuple[np.ndarray, list[list[str]], list[list[tuple[int, int]]], list[list[tuple[int, int]]]]:
         """Per text: words, item ids, hit word runs [first, last], and the byte runs that hold them."""
@@ -91,18 +96,20 @@ class Index:
         first_word = np.searchsorted(starts, offsets)
         h = textscan.word_hashes(buffer, starts, ends)
         found: dict[int, set[str]] = {}
+        owners: dict[bytes, np.ndarray] = {}  # of the windows met in these texts
         mark = np.zeros(len(starts) + 1, np.int32)
-        for size, (seen, known, wins) in self.sizes.items():
+        for size, (seen, known, place) in self.sizes.items():
             if len(h) < size:
                 continue
             total = window_hashes(h, size)
             maybe = np.flatnonzero(seen[(total >> np.uint64(44)).astype(np.int64)] & (owner[: len(total)] == owner[size - 1 :]))
-            at = np.searchsorted(known, total[maybe])
-            maybe = maybe[known[np.minimum(at, len(known) - 1)] == total[maybe]]
-            for i in maybe.tolist():
-                ids = wins.get(b" ".join(joined[a:b] for a, b in zip(starts[i : i + size].tolist(), ends[i : i + size].tolist())))
-                if ids is not None:
-                    found.setdefault(int(owner[i]), set()).update(ids)
+            low, high = (np.searchsorted(known, total[maybe], side=side) for side in ("left", "right"))
+            for i, a, b in zip(maybe[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist()):
+                window = b" ".join(joined[p:q] for p, q in zip(starts[i : i + size].tolist(), ends[i : i + size].tolist()))
+                if window not in owners:
+                    owners[window] = self._owners(window, place[a:b])
+                if len(owners[window]):
+                    found.setdefault(int(owner[i]), set()).update(self.items[j] for j in owners[window].tolist() if self.items[j] is not None)
                     mark[i] += 1
                     mark[i + size] -= 1
         hit = np.cumsum(mark[:-1]) > 0
@@ -117,17 +124,26 @@ class Index:
         return np.diff(first_word), [sorted(found.get(d, ())) for d in range(len(texts))], runs, places
 
 
+def _words(text: bytes) -> list[bytes]:
+    raw = text.lower()
+    starts, ends = textscan.spans(np.frombuffer(raw, np.uint8), textscan.ALNUM)
+    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+
+
 def _blocks(benchmark: DataFrame, n: int, item_col: str, text_col: str, max_bytes: int) -> list:
-    """Broadcast window indexes of the benchmark, each made from at most about `max_bytes` of item text."""
-    slim = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """Broadcast window indexes of the benchmark, each made from about `max_bytes` of item text, one at a time on the driver.
+
+    Equal texts of equal ids count once.  Items are dealt by hash, so a block is
+    near its share as long as single items are short beside `max_bytes`.
+    """
+    slim = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
     total = slim.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     count = max(1, -(-total // max_bytes))
     context = benchmark.sparkSession.sparkContext
     out = []
     for b in range(count):
         part = slim if count == 1 else slim.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == b)
-        index = Index(windows([(r["item"], r["text"].encode()) for r in part.collect()], n))
-        out.append(context.broadcast(index))
+        out.append(context.broadcast(Index([(r["item"], r["text"].encode()) for r in part.toLocalIterator()], n)))
     return out
 
 
@@ -144,9 +160,13 @@ def _scan_block(docs: DataFrame, index, id_col: str, text_col: str) -> DataFrame
     return slim.mapInArrow(run, f"id {slim.schema['id'].dataType.simpleString()}, {SCAN_DDL}")
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_bytes: int = 64 << 20) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_bytes: int = MAX_BYTES) -> DataFrame:
     """(id, text_key, n_words, items, hits, n_hit), one row per document; hits are word runs [first, last]."""
-    blocks = _blocks(benchmark, n, item_col, item_text_col, max_bytes)
+    return _scan_blocks(docs, _blocks(benchmark, n, item_col, item_text_col, max_bytes), id_col, text_col)
+
+
+def _scan_blocks(docs: DataFrame, blocks: list, id_col: str, text_col: str) -> DataFrame:
+    """Each block is scanned by tasks of its own, so no worker holds more than one."""
     length = lambda h: F.aggregate(h, F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1)
     first = _scan_block(docs, blocks[0], id_col, text_col)
     if len(blocks) == 1:
@@ -172,24 +192,26 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "
     return out.withColumn("n_hit", length(F.col("hits")))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_bytes: int = 64 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", max_bytes: int = MAX_BYTES) -> DataFrame:
     """`docs` without contaminated documents, or with the hit spans cut out of their texts (`remove="spans"`)."""
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is 'documents' or 'spans', not {remove!r}")
     at = docs.columns.index(text_col)
     blocks = _blocks(benchmark, n, item_col, item_text_col, max_bytes)
-    if remove == "spans" and len(blocks) > 1:  # a cut would hide what overlaps it from the next block
-        return _cut_merged(docs, scan(docs, benchmark, n, id_col, text_col, item_col, item_text_col, max_bytes), id_col, text_col)
-    out = docs
-    for block in blocks:
-        out = out.mapInArrow(_cutter(block, at, remove), docs.schema)
-    return out
+    if len(blocks) == 1:
+        return docs.mapInArrow(_cutter(blocks[0], at, remove), docs.schema)
+    scanned = _scan_blocks(docs, blocks, id_col, text_col).filter("n_hit > 0").dropDuplicates(["id", "text_key"])  # equal rows have equal hits
+    if remove == "spans":
+        return _cut_merged(docs, scanned, id_col, text_col)
+    key = common.fresh("text_key", docs.columns)
+    keyed, hit = docs.withColumn(key, F.xxhash64(text_col)), scanned.select(F.col("id").alias("hit_id"), F.col("text_key").alias("hit_key"))
+    return keyed.join(hit, keyed[id_col].eqNullSafe(F.col("hit_id")) & (keyed[key] == F.col("hit_key")), "left_anti").drop(key)
 
 
 def _cut_merged(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Cut the merged word runs of `scan` out of the texts of their documents."""
     key, runs = common.fresh("text_key", docs.columns), common.fresh("hits", docs.columns)
-    hit = scanned.filter("n_hit > 0").dropDuplicates(["id", "text_key"]).select(F.col("id").alias("hit_id"), F.col("text_key").alias("hit_key"), F.col("hits").alias("hit_runs"))
+    hit = scanned.select(F.col("id").alias("hit_id"), F.col("text_key").alias("hit_key"), F.col("hits").alias("hit_runs"))
     keyed = docs.withColumn(key, F.xxhash64(text_col))
     joined = keyed.join(hit, keyed[id_col].eqNullSafe(F.col("hit_id")) & (keyed[key] == F.col("hit_key")), "left").drop("hit_id", "hit_key", key).withColumnRenamed("hit_runs", runs)
     at, last = docs.columns.index(text_col), len(docs.columns)

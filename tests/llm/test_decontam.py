@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from capgrid.llm import decontam as D
@@ -63,7 +64,7 @@ def test_odd_rows_and_short_items(spark, odd_docs):
 
 
 def test_hash_collisions_do_not_count(monkeypatch):
-    index = D.Index(D.windows([("1", b"a b c")], 10))
+    index = D.Index([("1", b"a b c")], 10)
     monkeypatch.setattr(D, "window_hashes", lambda h, size: index.sizes[3][1].repeat(len(h) - size + 1))
     n_words, items, runs, _ = index.scan([b"x a b c y", b"q r s"])
     assert list(n_words) == [5, 3] and items == [["1"], []] and runs == [[(1, 3)], []]
@@ -74,6 +75,8 @@ def test_remove_documents_and_spans(spark, odd_docs):
     kept = D.decontaminate(odd_docs, bench)
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4]
+    blocks = D.decontaminate(odd_docs, bench, max_bytes=20)
+    assert blocks.columns == odd_docs.columns and sorted(r["doc_id"] for r in blocks.collect()) == [1, 2, 3, 4]
     for limit in (1 << 20, 20):
         cut = {r["doc_id"]: r["text"] for r in D.decontaminate(odd_docs, bench, remove="spans", max_bytes=limit).collect()}
         assert cut[5] == "same words here " and cut[6] == " « et » ponctuation" and cut[1] is None and cut[2] == ""
@@ -84,3 +87,13 @@ def test_empty_tables(spark, odd_docs):
     assert {r["n_hit"] for r in D.scan(odd_docs, bench).collect()} == {0}
     assert D.decontaminate(odd_docs, bench).count() == odd_docs.count()
     assert D.scan(odd_docs.limit(0), bench).count() == 0
+
+
+def test_index_is_bounded_and_shared_windows_name_all_items():
+    rng = np.random.default_rng(0)
+    items = [(str(i), b" ".join(b"w%d" % v for v in rng.integers(0, 50_000, 300))) for i in range(1400)]
+    items += [("x", items[7][1]), ("y", b"W1, " + items[7][1]), (None, items[7][1])]
+    index = D.Index(items, 10)
+    assert index.resident() < 4 * sum(len(t) for _, t in items)
+    _, found, runs, _ = index.scan([b"zzz " + items[7][1] + b" zzz", b" ".join(items[9][1].split()[:9])])
+    assert found == [["7", "x", "y"], []] and runs == [[(1, 300)], []]
