@@ -8,8 +8,8 @@ of its lines' forward-backward marginals for "good", weighted by line length;
 a two-parameter logistic curve maps it to the labelled share of good documents.
 
 The field is fitted to a bounded sample of labelled documents, drawn by a
-hash of the id: at most `max_docs` per label, and of each at most `max_lines`
-consecutive lines.  A training line's label is its document's.  Scoring reads
+hash of the id: at most `max_docs` per label, all lines of each, at most
+`max_lines` together.  A training line's label is its document's.  Scoring reads
 every line of every text, never labels, language, source or id.
 
 Defined results.  A text without lines (null, empty, white space) scores the
@@ -209,8 +209,13 @@ def in_fold(id_column: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_docs: int = 2000, max_lines: int = 64, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit to at most `max_docs` documents of each label outside the held-out fold."""
+def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_docs: int = 2000, max_lines: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit to at most `max_docs` documents of each label outside the held-out fold, every line of each.
+
+    A label's documents are taken in the order of their ids' hashes while their
+    lines add up to at most half of `max_lines`; one that does not fit is left
+    out whole, none is cut.
+    """
     usable = (
         labels.select(F.col(id_col).alias("id"), F.col(target).cast("int").alias("y"))
         .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~in_fold(F.col("id")))
@@ -228,13 +233,22 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_docs:
                 owner, size, features = line_features(texts)
                 first, count = _by_length(owner)
                 for f, c in zip(first.tolist(), count.tolist()):
-                    skip = (c - max_lines) // 2 if c > max_lines else 0  # the lines in the middle
-                    s = slice(f + skip, f + min(c, skip + max_lines))
+                    s = slice(f, f + c)
                     row = at + int(owner[f])
                     yield pa.RecordBatch.from_arrays([pa.array([str(ids[row])]), pa.array([ys[row]], pa.int64()), pa.array([size[s].astype("<i8").tobytes()]), pa.array([features[s].astype("<f8").tobytes()])], ["id", "y", "size", "features"])
 
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
-    joined = joined.groupBy("id", "y").agg(F.min("text").alias("text")).select("id", "text", "y")  # repeated ids count once
+    # repeated ids count once; the sample's texts are written, since their lines are counted before they are read
+    joined = common.cut(joined.groupBy("id", "y").agg(F.min("text").alias("text")).select("id", "text", "y"))
+    n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    told = joined.select("id", "y", F.coalesce(n_lines, F.lit(1)).alias("n")).orderBy(F.xxhash64("id"), "id").collect()  # at most max_docs a label
+    left, chosen = {0: max_lines // 2, 1: max_lines // 2}, []
+    for r in told:
+        if r["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["n"]
+            chosen.append(r["id"])
+    fits = docs.sparkSession.createDataFrame([(i,) for i in chosen], joined.select("id").schema)
+    joined = joined.join(F.broadcast(fits), "id").select("id", "text", "y")
     rows = joined.mapInArrow(run, "id string, y bigint, size binary, features binary").collect()  # bounded by max_docs and max_lines
     rows.sort(key=lambda r: (r["id"], bytes(r["features"])))
     sizes = [np.frombuffer(r["size"], "<i8") for r in rows]

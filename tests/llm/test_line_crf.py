@@ -77,3 +77,16 @@ def test_held_out_labels_are_not_read(spark):
     flipped = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality", "toxic")
     one, two = C.train(docs, labels), C.train(docs, flipped)
     assert np.array_equal(one.weights, two.weights) and one.shift == two.shift
+
+
+def test_sampled_texts_are_never_cut(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    long = spark.createDataFrame([(101, "\n".join(f"line {i} of a long text" for i in range(500))), (103, None)], docs.schema)
+    docs, labels = docs.unionAll(long), labels.unionAll(spark.createDataFrame([(101, 1, 0), (103, 1, 0)], labels.schema))
+    seen = []
+    real = C.fit
+    monkeypatch.setattr(C, "fit", lambda features, owner, *rest: seen.append(np.bincount(owner)) or real(features, owner, *rest))
+    C.train(docs, labels)
+    assert seen[0].max() == 500 and seen[0].min() >= 3  # every line of the long text
+    C.train(docs, labels, max_lines=600)  # half of it, 300, for a label: the long text stays out whole
+    assert seen[1].max() == 7 and len(seen[1]) == len(seen[0]) - 1
