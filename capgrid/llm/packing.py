@@ -11,8 +11,8 @@ is packed greedily (longest first, then the longest that still fits).
 The histogram has one bin per length, so the solver's size depends on the
 window alone and not on the data.  Pieces get their place by rank: the plan
 says which ranks of a length go to which combination, and ranks are counted
-per (length, salt) group, so a length that a third of all pieces share is
-still ranked by many tasks.
+per (length, salt) group.  A length has salts in proportion to its pieces, so
+full windows and other common lengths are ranked by many tasks of even size.
 
 Defined results.  A null or empty text is the end id alone.  Repeated rows
 are packed as often as they occur.  Empty input gives no sequences.  Ids may
@@ -37,7 +37,9 @@ from capgrid.llm import common
 WINDOW = 1024
 DEPTH = 3
 END_ID = 0
-SALTS = 64
+#: A (length, salt) group holds about this many pieces, or one in GROUPS of all if that is more.
+GROUP_ROWS = 4096
+GROUPS = 1 << 16
 #: Texts are encoded in pieces of at most this many characters, cut where two pre-tokens meet.
 ENCODE_CHARS = 1 << 18
 #: Runs of white space from this length on are encoded without the pattern, whose backtracking overflows the stack on long ones.
@@ -238,31 +240,41 @@ def _ranges(patterns: list[tuple[tuple[int, ...], int]], window: int) -> dict[st
     return {k: np.array(v, np.int64)[order] for k, v in (("length", length), ("low", low), ("sequence", sequence), ("offset", offset))}
 
 
-def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, salts: int = SALTS) -> DataFrame:
+def salts_by_length(histogram: np.ndarray, group_rows: int = GROUP_ROWS) -> np.ndarray:
+    """How many salts each length has: at least one, and no more than GROUPS beyond that over all lengths."""
+    share = max(group_rows, -(-int(histogram.sum()) // GROUPS))
+    return np.maximum(1, -(-histogram // share))
+
+
+def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, group_rows: int = GROUP_ROWS) -> DataFrame:
     """The pieces of all documents with the sequence and offset they are packed at.
 
     (id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids])
     """
-    cutted = pieces(docs, vocabulary, window, id_col, text_col, with_ids)
-    salted = common.cut(cutted.withColumn("salt", F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.lit(salts))))
-    counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    table = {(r["length"], r["salt"]): r["n"] for r in counts.collect()}  # at most window x salts rows
-    grid = np.zeros((window + 1, salts), np.int64)
-    for (length, salt), n in table.items():
-        grid[length, salt] = n
-    before = np.cumsum(grid, axis=1) - grid
-    ranges = _ranges(plan(grid.sum(axis=1), window), window)
-    shared = docs.sparkSession.sparkContext.broadcast((before, ranges))
+    cutted = common.cut(pieces(docs, vocabulary, window, id_col, text_col, with_ids))
+    histogram = np.zeros(window + 1, np.int64)
+    for r in cutted.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # one row a length
+        histogram[r["length"]] = r["n"]
+    salts = salts_by_length(histogram, group_rows)
+    of_length = F.get(F.array(*[F.lit(int(v)) for v in salts]), F.col("length").cast("int"))
+    salted = cutted.withColumn("salt", F.pmod(F.xxhash64("id", "start", "ids_crc32"), of_length.cast("long")))
+    base = np.cumsum(salts) - salts
+    grid = np.zeros(int(salts.sum()), np.int64)
+    for r in salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).collect():  # at most GROUPS + 2 x window rows
+        grid[base[r["length"]] + r["salt"]] = r["n"]
+    before = np.cumsum(grid) - grid
+    before -= np.repeat(before[base], salts)  # pieces of the same length under smaller salts
+    shared = docs.sparkSession.sparkContext.broadcast((base, before, _ranges(plan(histogram, window), window)))
     ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("id", "start", "ids_crc32")).cast("long") - 1)
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, r = shared.value
+        base, before, r = shared.value
         first = np.searchsorted(r["length"], np.arange(window + 2))
         key = r["length"] * (1 << 48) + r["low"]
         for batch in batches:
             length, salt, rank = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "salt", "rank"))
-            rank = rank + before[length, salt]
+            rank = rank + before[base[length] + salt]
             at = np.searchsorted(key, length * (1 << 48) + rank, side="right") - 1
             assert not len(at) or (at >= first[length]).all()
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in names]

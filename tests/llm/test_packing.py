@@ -1,3 +1,5 @@
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -54,6 +56,22 @@ def test_encoder_equals_tokenizer():
     assert [encode(t) + [0] for t in texts] == tokens(texts)
 
 
+def test_encoder_equals_tokenizer_over_all_unicode_classes():
+    """Every assigned code point once beside letters, digits, marks and blanks, and random mixes of all general categories."""
+    encode = P.encoder(vocabulary_path())
+    classes = {}
+    for c in range(0x110000):
+        if (kind := unicodedata.category(chr(c))) not in ("Cs", "Cn", "Co"):
+            classes.setdefault(kind, []).append(chr(c))
+    everything = [c for chars in classes.values() for c in chars]
+    frames = ["a{}b", " {}", "1{}2", "{} ", "'{}s", "\n{}\n\n", "-{}{}-"]
+    texts = ["".join(frames[(i + k) % len(frames)].format(c, c) for k, c in enumerate(everything[i : i + 500])) for i in range(0, len(everything), 500)]
+    rng = random.Random(0)
+    kinds = sorted(classes)
+    texts += ["".join(rng.choice(classes[rng.choice(kinds)]) * rng.choice((1, 1, 2, 5)) for _ in range(200)) for _ in range(300)]
+    assert [encode(t) + [0] for t in texts] == tokens(texts)
+
+
 def test_long_texts_are_cut_without_changing_ids(monkeypatch):
     encode = P.encoder(vocabulary_path())
     texts = ["lorem ipsum dolor, sit 12 amet\n" * 100, "x" * 3000, "a  b " * 500]
@@ -86,6 +104,14 @@ def test_odd_rows(spark, odd_docs):
     check(rows, ids)
     assert sum(len(r["ids"]) for r in rows) == sum(len(ids[d["doc_id"]]) for d in docs)
     assert P.pack(odd_docs.limit(0), vocabulary_path()).count() == 0
+    check(P.pack(odd_docs, vocabulary_path(), group_rows=2).withColumnRenamed("id", "doc_id").collect(), ids)  # full windows under many salts
+
+
+def test_salts_grow_with_the_pieces():
+    histogram = np.array([0, 5, 0, 4097, 10**11])
+    assert P.salts_by_length(histogram[:4]).tolist() == [1, 1, 1, 2]
+    salts = P.salts_by_length(histogram)
+    assert salts[-1] >= 0.99 * P.GROUPS and salts.sum() <= P.GROUPS + 2 * len(histogram)
 
 
 def test_plan_uses_every_piece_once():
