@@ -38,7 +38,7 @@ WINDOW = 1024
 DEPTH = 3
 END_ID = 0
 #: A (length, salt) group holds about this many pieces, or one in GROUPS of all if that is more.
-GROUP_ROWS = 4096
+GROUP_ROWS = 256
 GROUPS = 1 << 16
 #: Texts are encoded in pieces of at most this many characters, cut where two pre-tokens meet.
 ENCODE_CHARS = 1 << 18

@@ -108,7 +108,7 @@ def test_odd_rows(spark, odd_docs):
 
 
 def test_salts_grow_with_the_pieces():
-    histogram = np.array([0, 5, 0, 4097, 10**11])
+    histogram = np.array([0, 5, 0, P.GROUP_ROWS + 1, 10**11])
     assert P.salts_by_length(histogram[:4]).tolist() == [1, 1, 1, 2]
     salts = P.salts_by_length(histogram)
     assert salts[-1] >= 0.99 * P.GROUPS and salts.sum() <= P.GROUPS + 2 * len(histogram)
