@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from capgrid import config as C
 from capgrid.functions import columns as X
 from capgrid.functions.fuels import parse_fuel_set
-from capgrid.operators import capacity, fuel_classes, geometry, impute, overlay, quality, raster, reports, rings
+from capgrid.operators import capacity, fuel_classes, geometry, impute, overlay, quality, pixel_shares, raster, reports, rings
 from capgrid.operators.place import relocate
 from capgrid.plans import categories as P
 from capgrid.plans import fixtures as FX
@@ -918,6 +918,53 @@ def h3(spark, d):
     return raster.zonal_sum(pixels(spark, d), s, e, B)
 
 
+GRID = pixel_shares.Grid(left=-179.9983, top=90.0023, width=0.6, height=0.6)
+# each edge clipped to each pixel square it can matter to; the area right of it, by trapezoids between the square's sides
+SHARES_SQL = """,
+turns AS (SELECT shape_id, part, ring, sign(sum(x1 * y2 - x2 * y1)) * CASE WHEN ring = 0 THEN 1 ELSE -1 END AS side FROM edges GROUP BY 1, 2, 3),
+boxes AS (SELECT shape_id, min(x1) AS xl, max(x1) AS xh, min(y1) AS yl, max(y1) AS yh FROM edges GROUP BY 1),
+squares AS (SELECT prow, pcol, x, y, value, -179.9983e0 + 0.6e0 * pcol AS l, 90.0023e0 - 0.6e0 * (prow + 1) AS d FROM pixels),
+clipped AS (SELECT p.prow, p.pcol, e.shape_id, p.l, t.side, e.x1, e.x2, e.y1, e.y2,
+    least(greatest((p.d - e.y1) / (e.y2 - e.y1), 0e0), 1e0) AS ta, least(greatest((p.d + 0.6e0 - e.y1) / (e.y2 - e.y1), 0e0), 1e0) AS tb
+  FROM squares p JOIN boxes b ON p.l < b.xh AND p.l + 0.6e0 > b.xl AND p.d < b.yh AND p.d + 0.6e0 > b.yl
+  JOIN edges e ON e.shape_id = b.shape_id AND e.y1 <> e.y2 AND least(e.y1, e.y2) < p.d + 0.6e0 AND greatest(e.y1, e.y2) > p.d
+  JOIN turns t ON t.shape_id = e.shape_id AND t.part = e.part AND t.ring = e.ring),
+ends AS (SELECT *, x1 + ta * (x2 - x1) - l AS ua, x1 + tb * (x2 - x1) - l AS ub, (y2 - y1) * (tb - ta) AS dy FROM clipped),
+marks AS (SELECT *, CASE WHEN ua = ub THEN 0e0 ELSE least(greatest(-ua / (ub - ua), 0e0), 1e0) END AS m0,
+    CASE WHEN ua = ub THEN 0e0 ELSE least(greatest((0.6e0 - ua) / (ub - ua), 0e0), 1e0) END AS m1 FROM ends),
+bent AS (SELECT *, least(m0, m1) AS p, greatest(m0, m1) AS q, least(greatest(ua, 0e0), 0.6e0) AS f0, least(greatest(ub, 0e0), 0.6e0) AS f1 FROM marks),
+kinks AS (SELECT *, least(greatest(ua + p * (ub - ua), 0e0), 0.6e0) AS fp, least(greatest(ua + q * (ub - ua), 0e0), 0.6e0) AS fq FROM bent),
+shares AS (SELECT prow, pcol, shape_id,
+    sum(side * sign(y2 - y1) * abs(dy) * (p * (f0 + fp) / 2 + (q - p) * (fp + fq) / 2 + (1 - q) * (fq + f1) / 2 - 0.6e0)) / 0.36e0 AS share
+  FROM kinks GROUP BY 1, 2, 3)"""
+
+
+@query(
+    "H2_disaggregate_by_share",
+    H_CTE + SHARES_SQL + """,
+weights AS (SELECT q.prow, q.pcol, q.x, q.y, s.country_id, sum(q.value * h.share) AS w FROM shares h JOIN squares q USING (prow, pcol)
+  JOIN shapes s USING (shape_id) WHERE s.shape_class = 'land' AND h.share > 1e-12 GROUP BY 1, 2, 3, 4, 5)
+SELECT w.prow, w.pcol, w.x, w.y, w.country_id, w.w / t.s * miss.output_capacity_mw AS value
+FROM weights w JOIN (SELECT country_id, sum(w) AS s FROM weights GROUP BY 1) t USING (country_id) JOIN miss USING (country_id)""",
+)
+def h2_share(spark, d):
+    s, e = shapes(spark, d)
+    totals = raster.missing_capacity(stats(spark, d), aggregated_df(spark, d), Y, "solar")
+    land, land_edges = geometry.country_borders(s, e)
+    return pixel_shares.disaggregate_by_share(totals, pixels(spark, d), land, land_edges, GRID)
+
+
+@query(
+    "H3_zonal_sum_by_share",
+    O.ctes(**O.SHAPES, **O.PIXELS).rstrip() + SHARES_SQL + """
+SELECT h.shape_id, s.country_id, sum(q.value * h.share) AS sum FROM shares h JOIN squares q USING (prow, pcol) JOIN shapes s USING (shape_id)
+WHERE h.share > 1e-12 GROUP BY 1, 2""",
+)
+def h3_share(spark, d):
+    s, e = shapes(spark, d)
+    return pixel_shares.zonal_sum_by_share(pixels(spark, d), s, e, GRID)
+
+
 @query(
     "H4_combine_solar",
     H_CTE + ", pxid AS (SELECT *, CAST(prow AS VARCHAR) || '_' || CAST(pcol AS VARCHAR) AS pid FROM pixels),\n"
