@@ -22,7 +22,8 @@ from capgrid.operators.place import relocate
 from capgrid.plans import categories as P
 from capgrid.plans import fixtures as FX
 from capgrid.plans import sql_oracle as O
-from capgrid.session import cut_lineage
+from capgrid.session import cut_lineage, small
+from capgrid.sources import clustered
 from capgrid.sources import readers as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1459,6 +1460,23 @@ def a9(spark, d):
     return raster.zonal_sum(R.read_pixels(spark, path), s, e, B)
 
 
+@query(
+    "A9_clustered_pixels",
+    O.ctes(**O.SHAPES, **O.PIXELS).rstrip() + SHARES_SQL + """
+SELECT h.shape_id, s.country_id, sum(q.value * h.share) AS sum FROM shares h JOIN squares q USING (prow, pcol) JOIN shapes s USING (shape_id)
+WHERE h.share > 1e-12 AND s.country_id = 'N06' GROUP BY 1, 2""",
+)
+def a9_clustered(spark, d):
+    """Zonal sums of one country; only row groups around it are read."""
+    path = _scratch(spark, "clustered")
+    clustered.write_clustered_pixels(pixels(spark, d), path)
+    s, e = shapes(spark, d)
+    own = s.where("country_id = 'N06'")
+    edges = e.join(small(own.select("shape_id")), on="shape_id")
+    near = clustered.read_clustered_pixels(spark, path, clustered.box_of_edges(edges, GRID.left, GRID.top, GRID.width, GRID.height))
+    return pixel_shares.zonal_sum_by_share(near, own, edges, GRID)
+
+
 @query("A10_write_output", AGG_CTE + "\nSELECT *, 'fixture' AS shapes, 'unadjusted' AS adjustment, 'fossil' AS category_part FROM agg")
 def a10(spark, d):
     from capgrid.sources.sinks import write_output

@@ -94,7 +94,7 @@ def test_holes_parts_and_whole_runs(spark, turned):
     hole = [(3.25, 3.25), (5.5, 3.25), (5.5, 5.5), (3.25, 5.5)]
     edges = square_edges("s", 1, 1, 7, 7) + ring_edges("s", hole[::-1] if turned else hole, ring=1) + square_edges("s", 4, 4, 4.5, 4.5, part=1)
     shares = {(r.prow, r.pcol): r.share for r in PS.pixel_shares(grid_pixels(spark), spark.createDataFrame(edges, EDGE_DDL), GRID).collect()}
-    assert shares[(1, 1)] == 1.0 and (0, 0) not in shares and math.isclose(shares[(4, 3)], 0.25)  # row 4 is y 3 to 4
+    assert shares[(1, 1)] == 1.0 and (0, 0) not in shares and math.isclose(shares[(4, 3)], 0.4375)  # row 4 is y 3 to 4
     assert math.isclose(shares[(3, 4)], 0.25) and math.isclose(sum(shares.values()), 36 - 2.25**2 + 0.25)
 
 
