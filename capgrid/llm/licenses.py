@@ -8,9 +8,7 @@ one automaton over words: optional regions are branches around their words,
 replaceable regions bounded runs of any-word steps.  Its subset states are
 built as texts need them, so scanning a word is one table look-up.
 
-Texts of licenses run through their disclaimers.  The MIT grant is also accepted
-without a disclaimer, but not with an altered one (`DISCLAIMERS`).  Notices that
-name a license (such as the GPL's) end at its version.
+Texts of licenses run through their disclaimers.  Notices that name a license (such as the GPL's) end at its version.
 
 A text is scanned only if it holds the rarest mandatory word of some template
 or base phrase; all its start places are tried.
@@ -74,7 +72,8 @@ TEMPLATES = (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;max=8>> and associated documentation files <<beginOptional>>(the \"Software\")<<endOptional>>, "
         "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, "
         "and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
-        "<<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software.",
+        "<<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or substantial portions of the Software. "
+        + _MIT_DISCLAIMER,
     ),
     (
         "isc",
@@ -102,9 +101,6 @@ TEMPLATES = (
     ),
 )
 
-#: A grant that its disclaimer follows (recognised by the opening words) is accepted only with the whole disclaimer.
-DISCLAIMERS = {"mit": ("THE SOFTWARE IS PROVIDED", _MIT_DISCLAIMER)}
-
 _MARK = re.compile(r"<<(.*?)>>", re.S)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -244,20 +240,6 @@ def phrase_places(words: list[bytes], phrase: list[bytes]) -> list[int]:
             out.append(at)
 
 
-def with_disclaimers(words: list[bytes], matches: list[tuple[str, int, int]], disclaimers: dict[str, tuple[list[bytes], Automaton]]) -> list[tuple[str, int, int]]:
-    """Matches extended over the disclaimer that follows them; those whose disclaimer is altered are left out."""
-    out = []
-    for label, first, last in matches:
-        opening, whole = disclaimers.get(label, ((), None))
-        if whole and words[last + 1 : last + 1 + len(opening)] == opening:
-            ends = whole.ends(words, last + 1)
-            if not ends:
-                continue
-            last = min(ends)
-        out.append((label, first, last))
-    return out
-
-
 def scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE_PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches).
 
@@ -269,7 +251,6 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE_PHRASES, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(templates)
-        disclaimers = {label: (split_words(opening), Automaton(((label, text),))) for label, (opening, text) in DISCLAIMERS.items()}
         base = [(split_words(p), label) for p, label in phrases]
         needed = automaton.needed | {max(p, key=len) for p, _ in base}
         for batch in batches:
@@ -285,8 +266,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=BASE_PHRASES, id_col: str
                             if found := phrase_places(words, phrase):
                                 own.add(label)
                                 places += found
-                        found = [(automaton.labels[t], a, b) for t, a, b in automaton.run(words)]
-                        matches = sorted(with_disclaimers(words, found, disclaimers))
+                        matches = sorted((automaton.labels[t], a, b) for t, a, b in automaton.run(words))
                     both = own | {m[0] for m in matches}
                     rows.append((len(starts), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(own)), ",".join(sorted(both)), 1.0 if matches else 0.5 if own else 0.0, [dict(zip(("label", "first", "last"), m)) for m in matches]))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(match))
