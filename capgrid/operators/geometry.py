@@ -195,7 +195,7 @@ def min_edge_distance(edges: Column, px: Column, py: Column) -> Column:
 # ---------------------------------------------------------------------------
 def points_in_shapes(
     points: DataFrame,
-    edges: DataFrame,
+    edges: DataFrame | None,
     band: float,
     x: str = "x",
     y: str = "y",
@@ -207,7 +207,7 @@ def points_in_shapes(
 
     `boundary="include"` is `intersects` (points on an edge match);
     `boundary="exclude"` is `within` (they do not).  Output: all point
-    columns plus `shape_id`.  A prebuilt `index` comes from `build_index(edges, band)`.
+    columns plus `shape_id`.  A prebuilt `index` comes from `build_index(edges, band)`; `edges` are not read then.
     """
     if boundary not in ("include", "exclude"):
         raise ValueError(f"boundary is 'include' or 'exclude', not {boundary!r}")
@@ -323,7 +323,7 @@ def assign_country(
         out = split_capacity(matched, id_col)
         from capgrid.operators.place import place_inside
 
-        moved = place_inside(out.where("split"), edges if exclusive is None else exclusive, inner_distance, x=x, y=y, id_col=id_col)
+        moved = place_inside(out.where("split"), edges if exclusive is None else exclusive, inner_distance, x=x, y=y, id_col=id_col, band=band)
         split_rows = out.where("split").join(moved, on=id_col).withColumn(x, F.col("new_x")).withColumn(y, F.col("new_y"))
         return out.where(~F.col("split")).unionByName(split_rows.drop("new_x", "new_y"))
     raise ValueError(f"on_overlap is 'raise' or 'split_capacity', not {on_overlap!r}")
@@ -408,12 +408,13 @@ def nearest_shape(
     id_col: str = "powerplant_id",
     band: float | None = None,
     index: tuple[DataFrame, int] | None = None,
+    contact: bool = False,
 ) -> DataFrame:
     """For each point, the nearest shape sharing the `by` keys (ties -> smallest
     shape_id) and the nearest part of it (ties -> smallest part).
 
-    Adds `shape_id`, `distance` and `part`; points with no eligible shape drop
-    out.  Points inside an eligible part (found with the cell index of E3, which
+    Adds `shape_id`, `distance` and `part`, with `contact` also the part's nearest
+    point `contact_x`, `contact_y` (null inside); points with no eligible shape drop out.  Points inside an eligible part (found with the cell index of E3, which
     `index` may hand in from `part_index`) are at distance 0; all others descend the
     cell pyramid of `nearest_edges`.  No stage joins on the `by` keys alone, so
     a country with a hundred thousand shapes costs its points no more than their surroundings.
@@ -428,15 +429,16 @@ def nearest_shape(
     held = held.withColumn("_of", F.col("shape_id")).drop("shape_id").withColumn("shape_id", F.col("_of.shape_id")).join(attrs, on="shape_id")
     for k in by:
         held = held.where(F.col(f"_{k}") == F.col(k))
-    inside = cut_lineage(held.groupBy(id_col).agg(F.min(F.struct(F.lit(0.0).alias("distance"), F.col("shape_id"), F.col("_of.part").alias("part"))).alias("_best")))
+    inside = cut_lineage(held.groupBy(id_col).agg(F.min(F.struct(F.lit(0.0).alias("distance"), F.col("shape_id"), F.col("_of.part").alias("part"), *[F.lit(None).cast("double").alias(c) for c in ("fx", "fy")])).alias("_best")))
     outside = pts.select(id_col, x, y, *by).join(inside.select(id_col), on=id_col, how="left_anti")
     near = nearest_edges(outside, edges.join(attrs, on="shape_id"), by, x, y, id_col, band)
-    best = inside.unionByName(near.select(id_col, F.struct("best.distance", "best.shape_id", "best.part").alias("_best")))
+    best = inside.unionByName(near.select(id_col, F.struct("best.distance", "best.shape_id", "best.part", "best.fx", "best.fy").alias("_best")))
     return pts.join(best, on=id_col).select(
         *[F.col(c) for c in points.columns],
         F.col("_best.shape_id").alias("shape_id"),
         F.col("_best.distance").alias("distance"),
         F.col("_best.part").alias("part"),
+        *([F.col("_best.fx").alias("contact_x"), F.col("_best.fy").alias("contact_y")] if contact else []),
     )
 
 
@@ -448,22 +450,6 @@ def edge_foot(px: Column, py: Column) -> tuple[Column, Column]:
     return x1 + t * dx, y1 + t * dy
 
 
-def nearest_part(points: DataFrame, edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """For (point, shape_id) rows, the polygon part closest to the point (ties -> smallest part).
-
-    Points meet edges as join rows; distance and inside-ness are aggregates.
-    """
-    px, py = F.col(x), F.col(y)
-    foot = edge_foot(px, py)
-    right = ((F.col("y1") > py) != (F.col("y2") > py)) & (
-        px < F.col("x1") + (py - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
-    )
-    met = points.join(edges.select("shape_id", "part", "x1", "y1", "x2", "y2"), on="shape_id")
-    by_part = met.groupBy(*points.columns, "part").agg(F.min(F.hypot(px - foot[0], py - foot[1])).alias("_gap"), F.count_if(right).alias("_crossed"))
-    gap = F.when(F.col("_crossed") % 2 == 1, F.lit(0.0)).otherwise(F.col("_gap"))
-    return by_part.groupBy(*points.columns).agg(F.min_by("part", F.struct(gap.alias("_d"), "part")).alias("part"))
-
-
 # ---------------------------------------------------------------------------
 # Required target shape class
 # ---------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from capgrid import config as C
 from capgrid.functions import columns as X
 from capgrid.functions.fuels import parse_fuel_set
 from capgrid.operators import capacity, fuel_classes, geometry, impute, overlay, quality, pixel_shares, raster, reports, rings
-from capgrid.operators.place import relocate
+from capgrid.operators.place import place_inside, relocate
 from capgrid.plans import categories as P
 from capgrid.plans import fixtures as FX
 from capgrid.plans import sql_oracle as O
@@ -1168,6 +1168,27 @@ def e15(spark, d):
     return relocate(assigned, s, e, B, FX.FIXTURE_SHAPE_CLASS, 0.5, "drop").select("powerplant_id", "country_id", "technology", "lon", "lat", "moved")
 
 
+_PLACING = {k: v for k, v in O.relocation(0.5, {}).items() if k in ("m0", "pin", "pdist", "bpart", "pedges", "contact", "ray", "hitsr", "placed")}
+_PLACING = {"m0": _PLACING.pop("m0")} | dict(
+    target="SELECT country_id, min(shape_id) AS shape_id FROM shapes GROUP BY 1",
+    mv="SELECT p.* FROM og_plants p JOIN target t USING (country_id) WHERE NOT EXISTS (SELECT 1 FROM m0 WHERE m0.powerplant_id = p.powerplant_id AND m0.shape_id = t.shape_id)",
+    best="SELECT powerplant_id, shape_id FROM mv JOIN target USING (country_id)",
+) | _PLACING
+
+
+@query("E9_place_inside", O.ctes(**O.BASE, **O.SHAPES, **_PLACING) + "SELECT powerplant_id, nx AS new_x, ny AS new_y FROM placed")
+def e9(spark, d):
+    """Plants outside the first shape of their country, moved just inside it."""
+    p, _ = og_plants(spark, d)
+    s, e = shapes(spark, d)
+    target = s.groupBy("country_id").agg(F.min("shape_id").alias("target"))
+    aimed = cut_lineage(p.select("powerplant_id", "lon", "lat", "country_id").join(target, on="country_id"))
+    index = geometry.part_index(e, B)
+    held = geometry.points_in_shapes(aimed, e, B, x="lon", y="lat", index=index[0], index_size=index[1]).where(F.col("shape_id.shape_id") == F.col("target"))
+    out = aimed.join(held.select("powerplant_id").distinct(), on="powerplant_id", how="left_anti").withColumnRenamed("target", "shape_id")
+    return place_inside(out, e, 0.5, band=B, index=index)
+
+
 P8_CTE = O.ctes(**O.BASE, **O.SHAPES, **O.relocation(0.5, FX.FIXTURE_SHAPE_CLASS), **O.aged_from("reloc"), **O.STATS)
 P9_CTE = P8_CTE.rstrip() + ADJ_SQL
 P10_SQL = P9_CTE + f""", opa AS (SELECT * FROM allp WHERE start_year <= {Y} AND {Y} < end_year),

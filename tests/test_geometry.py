@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from capgrid.operators import geometry as G
-from capgrid.operators.place import place_inside
+from capgrid.operators.place import edges_met, listed_edges, place_inside
 
 
 def _edges(spark):
@@ -281,3 +281,53 @@ def test_grids_against_published_points(spark):
         assert max(max(abs(r["a"]), abs(r["b"])) for r in back) < 1e-9, epsg
     with pytest.raises(ValueError):
         G.project("lon", "lat", 32661)
+
+
+def _placed_by_hand(ring_edges, px, py, rep, inner):
+    """The point, moved by testing every edge of its part."""
+    e = np.array([r[4:8] for r in ring_edges])
+    a, d = e[:, :2], e[:, 2:] - e[:, :2]
+    t = np.clip(((np.array([px, py]) - a) * d).sum(1) / (d * d).sum(1), 0, 1)
+    feet = a + t[:, None] * d
+    gaps = np.hypot(px - feet[:, 0], py - feet[:, 1])
+    right = ((e[:, 1] > py) != (e[:, 3] > py)) & (px < e[:, 0] + (py - e[:, 1]) * d[:, 0] / np.where(d[:, 1] == 0, 1, d[:, 1]))
+    within = right.sum() % 2 == 1
+    c = np.array([px, py]) if within else feet[gaps.argmin()]
+    for aim, reach in ((np.array(rep) - c if within else c - [px, py], np.inf), (np.array(rep) - c, np.hypot(*(np.array(rep) - c)))):
+        u = aim / np.hypot(*aim)
+        along, across = (e.reshape(-1, 2, 2) - c) @ u, (e.reshape(-1, 2, 2) - c) @ np.array([-u[1], u[0]])
+        cut = (across[:, 0] > 0) != (across[:, 1] > 0)
+        at = np.sort(along[cut, 0] - across[cut, 0] * (along[cut, 1] - along[cut, 0]) / (across[cut, 1] - across[cut, 0]))
+        for lo, hi in zip(np.maximum(at[::2], 0), np.minimum(at[1::2], reach)):
+            if hi - lo > 1e-12 * max(1, *abs(c)):
+                return c + u * (lo + (inner if inner < hi - lo else (hi - lo) / 2))
+    return np.array(rep)
+
+
+def test_ray_walk_equals_all_edges(spark):
+    """Jagged rings with a hole, points around and inside, cells far smaller than the shapes; few edges are met."""
+    rng = np.random.default_rng(3)
+    rows = {}
+    for name, n, inner_ring in (("J", 400, True), ("K", 60, False)):
+        at = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        r = 6 + rng.uniform(-2.5, 2.5, n)
+        outer = np.c_[r * np.cos(at), r * np.sin(at)]
+        rings = [outer] + ([0.2 * outer[::-8]] if inner_ring else [])
+        rows[name] = [(name, 0, k, i, *map(float, a), *map(float, b)) for k, g in enumerate(rings) for i, (a, b) in enumerate(zip(g, np.roll(g, -1, axis=0)))]
+    edges = spark.createDataFrame(rows["J"] + rows["K"], EDGE_DDL)
+    points = [(f"p{i}", *map(float, rng.uniform(-12, 12, 2)), "JK"[i % 2]) for i in range(120)]
+    frame = spark.createDataFrame(points, "powerplant_id string, lon double, lat double, shape_id string")
+    reps = {r["shape_id"]: (r["rx"], r["ry"]) for r in G.representative_points(edges).collect()}
+    for inner in (0.05, 1.5):
+        got = {r["powerplant_id"]: (r["new_x"], r["new_y"]) for r in place_inside(frame, edges, inner, band=0.5).collect()}
+        assert set(got) == {p[0] for p in points}
+        for k, px, py, shape in points:
+            assert np.allclose(got[k], _placed_by_hand(rows[shape], px, py, reps[shape], inner), atol=1e-9), k
+
+
+def test_ray_meets_only_the_edges_of_its_cells(spark):
+    at = np.linspace(0, 2 * np.pi, 4000, endpoint=False)
+    ring = np.c_[10 * np.cos(at), 10 * np.sin(at)]
+    edges = spark.createDataFrame([("R", 0, 0, i, *map(float, a), *map(float, b)) for i, (a, b) in enumerate(zip(ring, np.roll(ring, -1, axis=0)))], EDGE_DDL)
+    ray = spark.createDataFrame([("p", 0, "R", 0, -10.0, 0.01, 1.0, 0.0, 21.0)], "id string, attempt int, shape_id string, part int, cx double, cy double, ux double, uy double, to double")
+    assert 0 < edges_met(ray, listed_edges(edges, 0.1), 0.1, "id").count() < 40
