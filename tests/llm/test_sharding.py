@@ -1,3 +1,5 @@
+import itertools
+import math
 from collections import Counter
 
 import pytest
@@ -40,6 +42,55 @@ def test_hypergeometric_moments(spark, n, k, d):
     assert abs(row["v"] - var) <= 0.25 * var + 1e-12
 
 
+def _chi_square(seen, expected):
+    """Statistic and degrees of freedom, cells that expect under 8 together."""
+    rest = [(seen.get(c, 0), e) for c, e in expected.items() if e < 8]
+    cells = [(seen.get(c, 0), e) for c, e in expected.items() if e >= 8] + ([(sum(s for s, _ in rest), sum(e for _, e in rest))] if sum(e for _, e in rest) >= 1 else [])
+    return sum((s - e) ** 2 / e for s, e in cells), len(cells) - 1
+
+
+@pytest.mark.parametrize("n,k,d", [(4000, 2000, 1700), (9000, 6500, 3000), (9000, 2500, 6200), (20000, 15000, 12000)])
+def test_rejection_follows_the_exact_law(spark, n, k, d):
+    """All four reductions (smaller kind, smaller sample), standard deviations just above where inversion ends."""
+    draws = 8000
+    u = S.uniform(F.col("id"), F.lit(f"{n}-{k}-{d}"))
+    long = lambda v: F.lit(v).cast("long")
+    seen = {r["x"]: r["count"] for r in spark.range(draws, numPartitions=8).select(S.hypergeometric(long(n), long(k), long(d), u).alias("x")).groupBy("x").count().collect()}
+    log_choose = lambda a, b: math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
+    expected = {x: draws * math.exp(log_choose(k, x) + log_choose(n - k, d - x) - log_choose(n, d)) for x in range(max(0, d - n + k), min(k, d) + 1)}
+    assert set(seen) <= set(expected)
+    chi, free = _chi_square(seen, expected)
+    assert chi < free + 5 * (2 * free) ** 0.5
+
+
+def test_draws_of_billions_cost_no_more(spark):
+    n, k, d, draws = 3_000_000_000, 47_000_000, 1_500_000_000, 3000
+    long = lambda v: F.lit(v).cast("long")
+    row = spark.range(draws, numPartitions=8).select(S.hypergeometric(long(n), long(k), long(d), S.uniform(F.col("id"))).alias("x")).agg(F.avg("x").alias("m"), F.stddev("x").alias("s"), F.count("x").alias("c")).first()
+    mean = d * k / n
+    sd = (mean * (n - k) / n * (n - d) / (n - 1)) ** 0.5
+    assert row["c"] == draws and abs(row["m"] - mean) <= 5 * sd / draws**0.5 and abs(row["s"] / sd - 1) < 0.07
+
+
+def test_matrix_law_equals_the_enumeration(spark):
+    """Every matrix of 3 partitions and 3 targets comes as often as permutations give it."""
+    rows, columns, trees = [3, 2, 2], [3, 3, 1], 20000
+    fact = math.factorial
+    expected = {}
+    for m in itertools.product(range(4), repeat=9):
+        if [sum(m[i * 3 : i * 3 + 3]) for i in range(3)] == rows and [sum(m[j::3]) for j in range(3)] == columns:
+            weight = math.prod(map(fact, rows)) * math.prod(map(fact, columns)) / fact(sum(rows)) / math.prod(map(fact, m))
+            expected[m] = trees * weight
+    assert abs(sum(expected.values()) - trees) < 1e-6
+    parts = F.array(*[F.struct(F.lit(i).cast("long").alias("part"), F.lit(r).cast("long").alias("n")) for i, r in enumerate(rows)])
+    nodes = spark.range(trees, numPartitions=8).select(F.col("id").alias("of"), S._padded(parts, 2).alias("parts"), F.array(*[F.lit(c).cast("long") for c in columns]).alias("columns"))
+    drawn = S._draw_rows(nodes, 2, 7, 0).groupBy("of").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "sends"))), lambda r: r["sends"])).alias("m"))
+    seen = {tuple(r["m"]): r["count"] for r in drawn.groupBy("m").count().collect()}
+    assert set(seen) <= set(expected)
+    chi, free = _chi_square(seen, expected)
+    assert chi < free + 5 * (2 * free) ** 0.5
+
+
 def test_matrix_has_the_wanted_sums(spark):
     sizes = [13, 0, 7, 100, 1, 29]
     targets = S.exact_sizes(sum(sizes), 11)
