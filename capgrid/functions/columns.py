@@ -110,11 +110,19 @@ def first_present_number(preferred: ColumnLike, fallback: ColumnLike) -> Column:
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM", "yyyy", "MMMM yyyy", "MMM yyyy", "MM/yyyy", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss"]
 
 
-def year_of_mixed_date(c: ColumnLike, formats: Sequence[str] = tuple(DATE_FORMATS)) -> Column:
-    """Year of a date written in one of several layouts; null when none parses."""
+def year_of_mixed_date(c: ColumnLike, formats: Sequence[str] = tuple(DATE_FORMATS), on_error: str = "null") -> Column:
+    """Year of a date written in one of several layouts.
+
+    When none parses: null, or with `on_error="raise"` the job fails and names
+    the text.  Nulls and blank texts are null either way.
+    """
+    if on_error not in ("null", "raise"):
+        raise ValueError(f"on_error is 'null' or 'raise', not {on_error!r}")
     text = F.trim(_col(c).cast("string"))
-    parsed = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
-    return F.year(F.coalesce(*parsed)).cast("double")
+    year = F.year(F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats])).cast("double")
+    if on_error == "null":
+        return year
+    return F.when(year.isNull() & (text != ""), F.raise_error(F.concat(F.lit("Date in no known layout: "), text)).cast("double")).otherwise(year)
 
 
 # B9 -----------------------------------------------------------------------

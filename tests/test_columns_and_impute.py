@@ -183,3 +183,13 @@ def test_coarsen_to_budget(spark):
     out = {(r.brow, r.bcol): r.value for r in raster.coarsen_to_budget(pixels, budget=10).collect()}
     # 10 x 9 grid, factor 3: the tenth row is trimmed, 3 x 3 blocks remain
     assert len(out) == 9 and out[(0, 0)] == sum(r * 10 + c for r in range(3) for c in range(3)) / 9
+
+
+def test_unparsable_dates_can_stop_the_job(spark):
+    dates = spark.createDataFrame([("1974-05-01",), (" ",), (None,)], "d string")
+    strict = X.year_of_mixed_date("d", on_error="raise").alias("y")
+    assert [r["y"] for r in dates.select(strict).collect()] == [1974.0, None, None]
+    with pytest.raises(Exception, match="no known layout: sometime"):
+        dates.union(spark.createDataFrame([("sometime",)], "d string")).select(strict).collect()
+    with pytest.raises(ValueError):
+        X.year_of_mixed_date("d", on_error="skip")
