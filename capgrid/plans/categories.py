@@ -297,9 +297,9 @@ def prepare_large_solar(
     # E5: non-operating tracker points with no facility within the buffer
     future = tracker.where(F.col("status").isin(list(valid_status)))
     near = geometry.points_within_distance(
-        projected(future, buffer_epsg).select("powerplant_id", "_x", "_y"), geometry.project_edges(facility_edges, buffer_epsg), buffer, band, x="_x", y="_y"
+        projected(future, buffer_epsg).select("powerplant_id", "_x", "_y"), geometry.project_edges(facility_edges, buffer_epsg), buffer, band, x="_x", y="_y", pairs=False,
     )
-    mismatch = future.join(near.select("powerplant_id").distinct(), on="powerplant_id", how="left_anti")
+    mismatch = future.join(near.select("powerplant_id"), on="powerplant_id", how="left_anti")
     pv = fac_points.unionByName(mismatch.select(*PLANT_COLUMNS))
     every = pv if csp is None else pv.unionByName(csp.select(*PLANT_COLUMNS))
     return _published(every, {"utility_pv": pv_name, "csp": csp_name}, quality_mode)
