@@ -91,11 +91,12 @@ def fill_from_points(facilities: DataFrame, within: DataFrame, fac_id: str = "sh
     """
     # one pass over the (large) point table: per (facility, status) partial sums;
     # everything else is derived from that small table
-    per = within.groupBy(fac_id, "status").agg(
+    # (written once: the years read it whole and the modes by status, which would run the join behind `within` anew)
+    per = cut_lineage(within.groupBy(fac_id, "status").agg(
         F.sum("start_year").alias("_ss"), F.count("start_year").alias("_ns"),
         F.sum("end_year").alias("_se"), F.count("end_year").alias("_ne"),
         F.count(F.lit(1)).alias("_n"),
-    )
+    ))
     years = per.groupBy(fac_id).agg(
         F.bround(F.try_divide(F.sum("_ss"), F.sum("_ns")), 0).alias("_start"),
         F.bround(F.try_divide(F.sum("_se"), F.sum("_ne")), 0).alias("_end"),
